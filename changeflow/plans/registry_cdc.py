@@ -1 +1,166 @@
-"""CDC, quality, warehouse, streaming-twin and metrics queries."""
+"""Change-event queries: decode, validate, load, apply, publish."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from changeflow.operators import cdc as C
+from changeflow.operators import quality as Q
+from changeflow.operators import warehouse as W
+from changeflow.plans import oracle_cdc as OC
+from changeflow.plans.registry import register
+from changeflow.sources import fixtures as X
+
+
+# ------------------------------------------------------------ payload shape
+@register("cdc_payload_parse", OC.payload_parse())
+def _payload_parse(spark, d):
+    return C.accepted(C.decode_payload(X.cdc_raw(spark, d))).select(
+        "event_id", "_cdc_operation", "_deleted", "_cdc_timestamp")
+
+
+@register("cdc_payload_rejects", OC.payload_rejects())
+def _payload_rejects(spark, d):
+    return C.rejected(C.decode_payload(X.cdc_raw(spark, d))).select("event_id", "reject_reason")
+
+
+@register("cdc_required_fields", OC.required_fields())
+def _required_fields(spark, d):
+    v = C.validate_required(C.decode_payload(X.cdc_raw(spark, d)))
+    return C.accepted(C.coerce_and_enrich(v)).select("event_id", "id", "customer_id", "product_id")
+
+
+@register("cdc_coerce", OC.coerce())
+def _coerce(spark, d):
+    return C.accepted(C.payload_records(X.cdc_raw(spark, d))).select("event_id", "price", "quantity")
+
+
+@register("cdc_enrich", OC.enrich())
+def _enrich(spark, d):
+    return C.accepted(C.payload_records(X.cdc_raw(spark, d))).select(
+        "event_id", "id", "customer_id", "product_id", "quantity", "price", "order_date", "status",
+        "total_amount", "_deleted", "_cdc_operation", "_processed", "_pipeline_version")
+
+
+@register("cdc_dead_letter", OC.dead_letter())
+def _dead_letter(spark, d):
+    return Q.dead_letter(C.payload_records(X.cdc_raw(spark, d))).select("event_id", "reject_reason", "value")
+
+
+@register("cdc_quality_report", OC.quality_report())
+def _quality_report(spark, d):
+    return Q.quality_report(C.payload_records(X.cdc_raw(spark, d)))
+
+
+@register("cdc_json_out", None)
+def _json_out(spark, d):
+    return Q.json_lines(C.accepted(C.payload_records(X.cdc_raw(spark, d))))
+
+
+@register("consume_bounded", OC.consume_bounded(100))
+def _consume_bounded(spark, d):
+    good = C.accepted(C.payload_records(X.cdc_raw(spark, d)))
+    return Q.first_n(good, 100, "event_id").select(
+        "event_id", "id", "customer_id", "product_id", "quantity", "price", "total_amount")
+
+
+# ----------------------------------------------------------- envelope shape
+def _envelope(spark, d):
+    return C.decode_envelope(X.envelope_raw(spark, d))
+
+
+@register("cdc_envelope_parse", OC.envelope_parse())
+def _envelope_parse(spark, d):
+    return _envelope(spark, d).select(
+        "event_id", "op", "ts_ms", F.col("source.table").alias("source_table"),
+        F.col("source.db").alias("source_db"), F.col("source.lsn").alias("source_lsn"),
+        F.col("source.txId").alias("source_txid"), F.col("before.id").alias("before_id"),
+        F.col("after.id").alias("after_id"), "reject_reason")
+
+
+@register("cdc_change_type", OC.change_type())
+def _change_type(spark, d):
+    return C.flatten_envelope(_envelope(spark, d), keep=("event_id",)).select("event_id", "change_type")
+
+
+@register("cdc_record_image", OC.record_image())
+def _record_image(spark, d):
+    return C.flatten_envelope(_envelope(spark, d), keep=("event_id",)).select(
+        "event_id", "change_type", "order_id", "status")
+
+
+@register("cdc_flatten", OC.flatten())
+def _flatten(spark, d):
+    # processed_at is the wall clock and is left out of the comparison.
+    return C.flatten_envelope(_envelope(spark, d), keep=("event_id",)).drop("processed_at")
+
+
+@register("cdc_decode_amount", OC.decode_amount())
+def _decode_amount(spark, d):
+    f = C.flatten_envelope(_envelope(spark, d), keep=("event_id",))
+    return f.where(F.col("total_amount_encoded").isNotNull()).select(
+        "event_id", "total_amount_encoded", "total_amount")
+
+
+@register("cdc_snapshot_rows", OC.snapshot_rows())
+def _snapshot_rows(spark, d):
+    f = C.flatten_envelope(_envelope(spark, d), keep=("event_id",))
+    return f.where(F.col("change_type") == "SNAPSHOT").select("event_id", "order_id", "status", "total_amount")
+
+
+@register("warehouse_append", OC.warehouse_append())
+def _warehouse_append(spark, d):
+    f = C.flatten_envelope(_envelope(spark, d), keep=("event_id",))
+    return C.accepted(f).select("event_id", "operation", "change_type", "order_id", "status", "total_amount",
+                                "order_updated_at")
+
+
+@register("cdc_current_state", OC.current_state())
+def _current_state(spark, d):
+    f = C.accepted(C.flatten_envelope(_envelope(spark, d), keep=("event_id",)))
+    state = C.current_state(f, key="order_id", order_by=["event_id"], op_col="operation",
+                            columns=["customer_name", "status", "total_amount", "order_updated_at", "event_id"])
+    return state.withColumnRenamed("event_id", "last_event_id")
+
+
+@register("cdc_dedup", OC.dedup())
+def _dedup(spark, d):
+    raw = X.cdc_raw(spark, d)
+    redelivered = raw.where(F.col("event_id") % 10 == 0)   # at-least-once: a replayed slice
+    return C.dedup_events(raw.unionByName(redelivered), ["event_id"]).select("event_id", "ts")
+
+
+# --------------------------------------------------------------- flat shape
+def _flat(spark, d):
+    return C.decode_flat(X.flat_raw(spark, d))
+
+
+@register("cdc_flat_parse", OC.flat_parse())
+def _flat_parse(spark, d):
+    return _flat(spark, d).select("event_id", "order_id", "customer_id", "product_name", "quantity", "unit_price",
+                                  "order_date", "status", "operation", "op", "change_type", "reject_reason")
+
+
+def _loaded(spark, d):
+    # A backfill: processed_at is the event time so the report is reproducible.
+    return W.load_order_events(_flat(spark, d), processed_at=F.col("event_time").cast("timestamp_ntz"))
+
+
+@register("load_order_events", OC.load_order_events())
+def _load_order_events(spark, d):
+    return C.accepted(_loaded(spark, d)).drop("reject_reason")
+
+
+@register("load_rejects", OC.load_rejects())
+def _load_rejects(spark, d):
+    return C.rejected(_loaded(spark, d)).select("event_id", "reject_reason")
+
+
+@register("daily_stats", OC.daily_stats())
+def _daily_stats(spark, d):
+    return W.daily_stats(C.accepted(_loaded(spark, d)), day="latest")
+
+
+@register("etl_message_format", OC.etl_message_format())
+def _etl_message_format(spark, d):
+    return C.etl_messages(_flat(spark, d), ts_col="event_time", keep=("event_id",))

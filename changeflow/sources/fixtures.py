@@ -119,16 +119,20 @@ def envelope_raw(spark: SparkSession, base_dir: str) -> DataFrame:
 
 
 # Flat (unwrapped) shape: tombstone (NULL value) when event_id % 61 = 0,
-# rewritten deletes carry __deleted = 'true'.
+# malformed when %97 = 0; customer_id key missing when %89 = 0, unit_price key
+# missing when %83 = 0 and JSON null when %67 = 0; rewritten deletes carry
+# __deleted = 'true'.
 _FLAT_JSON = """case
   when event_id % 61 = 0 then null
   when event_id % 97 = 0 then 'invalid json'
-  else to_json(named_struct(
-    'order_id', cast(id as int), 'customer_id', cast(user_id as int), 'product_name', product_id,
-    'quantity', quantity, 'unit_price', cast(value as decimal(10,2)),
-    'order_date', date_format(ts, 'yyyy-MM-dd HH:mm:ss'), 'status', status,
-    'operation', case op when 'c' then 'INSERT' when 'u' then 'UPDATE' when 'd' then 'DELETE' else 'READ' end,
-    '__op', op, '__deleted', case when op = 'd' then 'true' else 'false' end)) end"""
+  else concat('{"order_id":', cast(id as string),
+    case when event_id % 89 = 0 then '' else concat(',"customer_id":', cast(user_id as string)) end,
+    ',"product_name":"', product_id, '","quantity":', cast(quantity as string),
+    case when event_id % 83 = 0 then '' when event_id % 67 = 0 then ',"unit_price":null'
+         else concat(',"unit_price":', cast(value as string)) end,
+    ',"order_date":"', date_format(ts, 'yyyy-MM-dd HH:mm:ss'), '","status":"', status,
+    '","operation":"', case op when 'c' then 'INSERT' when 'u' then 'UPDATE' when 'd' then 'DELETE' else 'READ' end,
+    '","__op":"', op, '","__deleted":"', case when op = 'd' then 'true' else 'false' end, '"}') end"""
 
 
 def flat_raw(spark: SparkSession, base_dir: str) -> DataFrame:
