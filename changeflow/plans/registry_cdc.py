@@ -164,3 +164,76 @@ def _daily_stats(spark, d):
 @register("etl_message_format", OC.etl_message_format())
 def _etl_message_format(spark, d):
     return C.etl_messages(_flat(spark, d), ts_col="event_time", keep=("event_id",))
+
+
+# ------------------------------------------------------------ metrics & misc
+from changeflow.operators import analytics as A  # noqa: E402
+from changeflow.operators import insights as I  # noqa: E402
+from changeflow.operators import metrics as M  # noqa: E402
+from changeflow.plans import oracle_misc as OM  # noqa: E402
+from changeflow.sources.tables import read_table  # noqa: E402
+
+
+@register("data_freshness", OM.data_freshness())
+def _data_freshness(spark, d):
+    return M.data_freshness(X.order_lines(spark, d), as_of="latest")
+
+
+@register("throughput", OM.throughput(60))
+def _throughput(spark, d):
+    return M.throughput(X.order_lines(spark, d), window_minutes=60, as_of="latest")
+
+
+@register("pipeline_health", OM.pipeline_health(60))
+def _pipeline_health(spark, d):
+    h = M.pipeline_health(X.order_lines(spark, d), C.payload_records(X.cdc_raw(spark, d)),
+                          as_of="latest", window_minutes=60)
+    return h.drop("latency_ms")   # wall-clock dependent
+
+
+@register("alert_rules", OM.alert_rules())
+def _alert_rules(spark, d):
+    orders = X.order_lines(spark, d)
+    health = M.pipeline_health(orders, C.payload_records(X.cdc_raw(spark, d)), as_of="latest", window_minutes=60)
+    anomalies = A.detect_anomalies(orders, 1.0, stats_days=90, candidate_days=30, as_of="latest")
+    one = health.select("seconds_since_last", "error_rate",
+                        F.lit(anomalies.agg(F.count(F.lit(1))).scalar()).alias("anomalies"))
+    rules = {"seconds_since_last": 300.0, "error_rate": 0.05, "anomalies": 100.0}
+    return M.alert_rules(M.metrics_long(one, ["seconds_since_last", "error_rate", "anomalies"]), rules)
+
+
+@register("param_sql", OM.param_sql())
+def _param_sql(spark, d):
+    sql = ("SELECT customer_id, count(*) AS order_count, sum(quantity * price) AS total_value "
+           "FROM {orders} WHERE status <> :skip GROUP BY customer_id "
+           "ORDER BY total_value DESC, customer_id LIMIT :n")
+    out = I.execute_query(spark, sql, {"skip": "cancelled", "n": 5}, orders=X.order_lines(spark, d))
+    return out.select("customer_id", "order_count", F.col("total_value").cast("double").alias("total_value"))
+
+
+@register("insights_bundle", None)
+def _insights_bundle(spark, d):
+    return I.insights_json(I.insights_bundle(X.order_lines(spark, d), as_of="latest"))
+
+
+def _dim(spark, d):
+    cust = read_table(spark, d, "customer").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"))
+    return W.dim_customers(cust)
+
+
+@register("dim_customers", OM.dim_customers())
+def _dim_customers(spark, d):
+    return _dim(spark, d).select("customer_id", "customer_name", "customer_email")
+
+
+@register("orders_with_customer", OM.orders_with_customer())
+def _orders_with_customer(spark, d):
+    return W.orders_with_customer(X.order_lines(spark, d), _dim(spark, d)).select(
+        "id", "customer_id", "customer_name", "product_id", "status", F.col("price").cast("double").alias("price"))
+
+
+@register("lifecycle_tiers", OM.lifecycle_tiers())
+def _lifecycle_tiers(spark, d):
+    t = W.lifecycle_tiers(X.order_lines(spark, d), as_of="latest")
+    return t.groupBy("tier", "year", "month").agg(F.count(F.lit(1)).alias("orders"))
