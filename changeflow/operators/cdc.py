@@ -259,10 +259,17 @@ def current_state(changes: DataFrame, key: str, order_by: list[str], *, op_col:
             .select(key, *[F.col(f"_l.{c}").alias(c) for c in cols]))
 
 
-def dedup_events(df: DataFrame, keys: list[str]) -> DataFrame:
+def dedup_events(df: DataFrame, keys: list[str], *, ts_col: str | None = None,
+                 watermark: str | None = None) -> DataFrame:
     """Idempotent consumption (T10): one row per event key.
 
-    Batch form of ``dropDuplicatesWithinWatermark``; an aggregate on the key,
-    so duplicates are collapsed map-side first.
+    Batch: ``dropDuplicates`` (an aggregate on the key, collapsed map-side
+    before the shuffle). Stream: ``dropDuplicatesWithinWatermark`` — state is
+    kept only until the watermark passes, so it stays bounded.
     """
+    if df.isStreaming:
+        if not (ts_col and watermark):
+            raise ValueError("a streaming dedup needs ts_col and watermark")
+        wm = df.withColumn(ts_col, F.col(ts_col).cast("timestamp")).withWatermark(ts_col, watermark)
+        return wm.dropDuplicatesWithinWatermark(keys)
     return df.dropDuplicates(keys)
