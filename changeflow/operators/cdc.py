@@ -30,6 +30,19 @@ PIPELINE_VERSION = "1.0.0"
 REQUIRED_FIELDS = ("id", "customer_id", "product_id")
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """Evaluate the columns of ``df`` once per row before any later filter.
+
+    Catalyst pushes a filter below projections by substituting each column
+    with its defining expression; for a reject reason built from the parsed
+    JSON that inlines the parse dozens of times. A one-row ``inline``
+    (Generate) is a boundary filters are not pushed through, so downstream
+    ``accepted`` / ``rejected`` filters read the computed columns instead.
+    Row-local: no shuffle, no materialization.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+
+
 def _event_time(ts_col: str | None) -> Column:
     return F.col(ts_col) if ts_col else F.current_timestamp()
 
@@ -59,14 +72,14 @@ def decode_payload(raw: DataFrame, value_col: str = "value", ts_col: str | None
               .when(F.col("_p").isNull(), "no_payload")
               .when(~F.coalesce(op.isin("c", "u", "d"), F.lit(False)), "unsupported_op")
               .when(~F.coalesce(F.size("_fields") > 0, F.lit(False)), "empty_image"))
-    return image.select(
+    return settle(image.select(
         *raw.columns, "image", "_fields",
         op.alias("_cdc_operation"),
         (op == "d").alias("_deleted"),
         _event_time(ts_col).alias("_cdc_timestamp"),
         F.current_timestamp().alias("_processed_at"),
         reason.alias("reject_reason"),
-    )
+    ))
 
 
 def _present(key: str) -> Column:
@@ -91,7 +104,7 @@ def validate_required(decoded: DataFrame, fields=REQUIRED_FIELDS) -> DataFrame:
         if f in fields:
             check = check.when(F.try_variant_get(F.col("_fields")[f], "$", "bigint").isNull(),
                                f"invalid_type:{f}")
-    return decoded.withColumn("reject_reason", F.coalesce(F.col("reject_reason"), check))
+    return settle(decoded.withColumn("reject_reason", F.coalesce(F.col("reject_reason"), check)))
 
 
 # Typed view of the record image (fixed field list of the order shape).
@@ -148,10 +161,11 @@ def decode_envelope(raw: DataFrame, value_col: str = "value") -> DataFrame:
         *[c for c in raw.columns], "_e.*", F.current_timestamp().alias("processed_at"))
     empty = (F.col("op").isNull() & F.col("before").isNull() & F.col("after").isNull()
              & F.col("source").isNull())
-    return out.withColumn("reject_reason",
-                          F.when(F.col(value_col).isNull(), "null_value")
-                          .when(empty, "unreadable")
-                          .when(~F.coalesce(F.col("op").isin("c", "u", "d", "r"), F.lit(False)), "unsupported_op"))
+    return settle(out.withColumn("reject_reason",
+                                 F.when(F.col(value_col).isNull(), "null_value")
+                                 .when(empty, "unreadable")
+                                 .when(~F.coalesce(F.col("op").isin("c", "u", "d", "r"), F.lit(False)),
+                                       "unsupported_op")))
 
 
 def record_image(op: Column, before: Column, after: Column, snapshot_uses_after: bool = True) -> Column:
@@ -198,12 +212,12 @@ def decode_flat(raw: DataFrame, value_col: str = "value", ts_col: str | None = "
     delete; otherwise ``__op``, and without it an upsert (``c``). Key presence
     is kept for the loader's defaults (``unit_price_present``).
     """
-    live = raw.where(F.col(value_col).isNotNull())
-    v = F.try_parse_json(F.col(value_col))
+    live = raw.where(F.col(value_col).isNotNull()).select("*", F.try_parse_json(F.col(value_col)).alias("_v"))
+    v = F.col("_v")
     op = (F.when(F.try_variant_get(v, "$.__deleted", "string") == "true", "d")
           .otherwise(F.coalesce(F.try_variant_get(v, "$.__op", "string"), F.lit("c"))))
-    return live.select(
-        "*",
+    return settle(live.select(
+        *raw.columns,
         F.try_variant_get(v, "$.order_id", "int").alias("order_id"),
         F.try_variant_get(v, "$.customer_id", "int").alias("customer_id"),
         F.try_variant_get(v, "$.product_name", "string").alias("product_name"),
@@ -218,7 +232,7 @@ def decode_flat(raw: DataFrame, value_col: str = "value", ts_col: str | None = "
         _event_time(ts_col).alias("event_time"),
         F.current_timestamp().alias("processed_at"),
         F.when(v.isNull(), "malformed_json").alias("reject_reason"),
-    )
+    ))
 
 
 def etl_messages(flat: DataFrame, ts_col: str | None = "event_time", topic: str = "cdc-events",

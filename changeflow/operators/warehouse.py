@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions.time import resolve_as_of, same_day
+from changeflow.operators.cdc import settle
 from changeflow.schemas import ORDER_EVENT_REQUIRED
 
 
@@ -41,7 +42,8 @@ def load_order_events(flat: DataFrame, processed_at: Column | None = None) -> Da
     check = None
     for c in ORDER_EVENT_REQUIRED:
         check = F.when(F.col(c).isNull(), f"null:{c}") if check is None else check.when(F.col(c).isNull(), f"null:{c}")
-    return row.withColumn("reject_reason", F.coalesce(F.col("_upstream_reason"), check)).drop("_upstream_reason")
+    return settle(row.withColumn("reject_reason", F.coalesce(F.col("_upstream_reason"), check))
+                  .drop("_upstream_reason"))
 
 
 def daily_stats(order_events: DataFrame, day=None) -> DataFrame:
