@@ -105,3 +105,38 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None
     are replaced), so date predicates prune whole folders on read."""
     (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy("year", "month").parquet(path))
+
+
+# Table definitions of the warehouse (K9), as Spark DDL over parquet.
+WAREHOUSE_DDL = {
+    "order_events": """CREATE TABLE IF NOT EXISTS {db}order_events (
+        event_id BIGINT, order_id INT, customer_id INT, product_name STRING, quantity INT,
+        unit_price DECIMAL(10,2), total_amount DECIMAL(12,2), order_date TIMESTAMP_NTZ, status STRING,
+        event_type STRING, processed_at TIMESTAMP, source_timestamp TIMESTAMP_NTZ, processed_date DATE)
+        USING parquet PARTITIONED BY (processed_date){location}""",
+    "dim_customers": """CREATE TABLE IF NOT EXISTS {db}dim_customers (
+        customer_id BIGINT, customer_name STRING, customer_email STRING, created_at TIMESTAMP,
+        updated_at TIMESTAMP) USING parquet{location}""",
+    "daily_order_summary": """CREATE TABLE IF NOT EXISTS {db}daily_order_summary (
+        summary_date DATE, total_orders BIGINT, total_revenue DOUBLE, avg_order_value DOUBLE,
+        unique_customers BIGINT) USING parquet{location}""",
+    "orders": """CREATE TABLE IF NOT EXISTS {db}orders (
+        id BIGINT, customer_id BIGINT, product_id STRING, quantity INT, price DECIMAL(12,2),
+        order_date TIMESTAMP_NTZ, status STRING, created_at TIMESTAMP, updated_at TIMESTAMP)
+        USING parquet{location}""",
+}
+
+
+def create_tables(spark, base_path: str | None = None, database: str | None = None) -> list[str]:
+    """Create the warehouse tables if missing; returns the table names.
+
+    With ``base_path`` each table lives in ``<base_path>/<name>`` (external);
+    the fact table is partitioned by processing date so daily reports prune.
+    """
+    db = f"{database}." if database else ""
+    made = []
+    for name, ddl in WAREHOUSE_DDL.items():
+        loc = f" LOCATION '{base_path.rstrip('/')}/{name}'" if base_path else ""
+        spark.sql(ddl.format(db=db, location=loc))
+        made.append(f"{db}{name}")
+    return made

@@ -24,7 +24,14 @@ def register(name: str, oracle: str | None):
     def deco(fn: Query) -> Query:
         if name in _REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        _REGISTRY[name] = (fn, oracle)
+
+        def run(spark: SparkSession, base_dir: str) -> DataFrame:
+            # Timestamps are UTC wall-clock values throughout the library.
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, base_dir)
+        run.__name__ = run.__qualname__ = name
+        run.__doc__ = fn.__doc__
+        _REGISTRY[name] = (run, oracle)
         return fn
     return deco
 

@@ -67,3 +67,43 @@ def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
                      float(get("inputRowsPerSecond") or 0.0), float(get("processedRowsPerSecond") or 0.0),
                      dur.get("triggerExecution")))
     return spark.createDataFrame(rows, _PROGRESS)
+
+
+class BoundedConsumer:
+    """``foreachBatch`` handler for the bounded consumer.
+
+    Hands each micro-batch's usable rows to ``handler(df, batch_id)`` (which
+    returns how many it processed) and counts successes; ``done`` turns true
+    once ``max_messages`` succeeded, and :func:`consume_bounded` then stops
+    the query at the batch boundary. Input is bounded per batch with
+    ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``; progress is in the
+    checkpoint, so a restart resumes after the last committed batch and a
+    failed batch is retried instead of being skipped.
+    """
+
+    def __init__(self, handler: Callable, max_messages: int):
+        self.handler, self.max_messages, self.processed = handler, int(max_messages), 0
+
+    @property
+    def done(self) -> bool:
+        return self.processed >= self.max_messages
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if self.done:
+            return
+        self.processed += int(self.handler(batch, batch_id))
+
+
+def consume_bounded(df: DataFrame, consumer: BoundedConsumer, *, checkpoint: str,
+                    poll_s: float = 0.5, timeout_s: float = 600) -> StreamingQuery:
+    """Run ``df`` through ``consumer`` until it has processed enough or the input ends."""
+    import time
+    q = start_query(df, checkpoint=checkpoint, foreach_batch=consumer, processing_time="0 seconds")
+    deadline = time.monotonic() + timeout_s
+    while q.isActive and not consumer.done and time.monotonic() < deadline:
+        q.awaitTermination(poll_s)
+        if q.status.get("isDataAvailable") is False and not q.status.get("isTriggerActive"):
+            if q.lastProgress is not None and q.lastProgress.get("numInputRows", 0) == 0:
+                break
+    q.stop()
+    return q
