@@ -51,3 +51,29 @@ def seconds_between(later: Column, earlier: Column) -> Column:
     """Fractional seconds from ``earlier`` to ``later`` (double)."""
     micros = (F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp")))
     return micros.cast("double") / F.lit(1_000_000.0)
+
+
+# Day partition column of a stored orders table (see warehouse.write_orders_by_day).
+DAY_PARTITION = "order_day"
+
+
+def last_days(df: DataFrame, anchor: Column, days: int, ts_col: str = "order_date") -> DataFrame:
+    """Rows of the last ``days`` calendar days before ``anchor`` (midnight aligned).
+
+    When ``df`` carries the ``order_day`` partition column the implied bound
+    on it is added too, so a day-partitioned table is pruned to those days
+    instead of being scanned whole.
+    """
+    out = df.where(since_day_start(F.col(ts_col), anchor, days))
+    if DAY_PARTITION in df.columns:
+        out = out.where(F.col(DAY_PARTITION) >= F.date_sub(F.to_date(anchor), int(days)))
+    return out
+
+
+def last_minutes(df: DataFrame, anchor: Column, minutes: int, ts_col: str = "order_date") -> DataFrame:
+    """Rows of the last ``minutes`` minutes before ``anchor`` (partition-pruned as above)."""
+    out = df.where(since_minutes(F.col(ts_col), anchor, minutes))
+    if DAY_PARTITION in df.columns:
+        start = anchor - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(int(minutes)))
+        out = out.where(F.col(DAY_PARTITION) >= F.to_date(start))
+    return out

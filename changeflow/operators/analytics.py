@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.functions.time import resolve_as_of, since_day_start, since_minutes
+from changeflow.functions.time import last_days, last_minutes, resolve_as_of, since_minutes
 
 CANCELLED = "cancelled"
 
@@ -107,7 +107,7 @@ def product_performance(orders: DataFrame, limit: int = 20) -> DataFrame:
 
 def _daily(orders: DataFrame, days: int, as_of) -> DataFrame:
     anchor = resolve_as_of(orders, as_of)
-    recent = not_cancelled(orders).where(since_day_start(F.col("order_date"), anchor, days))
+    recent = last_days(not_cancelled(orders), anchor, days)
     return recent.groupBy(F.to_date("order_date").alias("order_day")).agg(
         F.count(F.lit(1)).alias("daily_orders"),
         F.count_distinct("customer_id").alias("daily_customers"),
@@ -167,7 +167,7 @@ def _recent_aggs(cond: Column | None = None, suffix: str = "") -> list[Column]:
 def recent_metrics(orders: DataFrame, minutes: int = 5, as_of=None) -> DataFrame:
     """One row over the last ``minutes`` minutes before ``as_of``."""
     anchor = resolve_as_of(orders, as_of)
-    recent = not_cancelled(orders).where(since_minutes(F.col("order_date"), anchor, minutes))
+    recent = last_minutes(not_cancelled(orders), anchor, minutes)
     return recent.agg(*_recent_aggs()).select(
         "*", F.lit(int(minutes)).cast("bigint").alias("time_window_minutes"),
         anchor.alias("calculated_at"))
@@ -179,7 +179,7 @@ def recent_metrics_multi(orders: DataFrame, windows=(5, 15, 60), as_of=None) ->
     conditional aggregates per window, then unpivot to one row per window."""
     windows = sorted({int(w) for w in windows})
     anchor = resolve_as_of(orders, as_of)
-    recent = not_cancelled(orders).where(since_minutes(F.col("order_date"), anchor, windows[-1]))
+    recent = last_minutes(not_cancelled(orders), anchor, windows[-1])
     aggs = []
     for w in windows:
         aggs += _recent_aggs(since_minutes(F.col("order_date"), anchor, w), f"_{w}")
@@ -196,7 +196,7 @@ def recent_metrics_multi(orders: DataFrame, windows=(5, 15, 60), as_of=None) ->
 
 def _anomaly_stats(orders: DataFrame, anchor: Column, stats_days: int) -> Column:
     """One-row statistics as a scalar subquery returning a struct."""
-    hist = not_cancelled(orders).where(since_day_start(F.col("order_date"), anchor, stats_days))
+    hist = last_days(not_cancelled(orders), anchor, stats_days)
     return hist.agg(F.struct(
         _mean(order_value()).alias("avg_value"),
         F.stddev_samp(_dbl(order_value())).alias("sd_value"),
@@ -224,7 +224,7 @@ def detect_anomalies(orders: DataFrame, threshold_multiplier: float = 2.0, *,
     high_value = value > s["avg_value"] + F.lit(k) * s["sd_value"]
     high_qty = F.col("quantity") > s["avg_qty"] + F.lit(k) * s["sd_qty"]
     low_value = value < s["avg_value"] - F.lit(k) * s["sd_value"]
-    cand = not_cancelled(orders).where(since_day_start(F.col("order_date"), anchor, candidate_days))
+    cand = last_days(not_cancelled(orders), anchor, candidate_days)
     return (cand.where(high_value | high_qty | low_value)
             .select("id", "customer_id", "product_id", "quantity",
                     _dbl(F.col("price")).alias("price"), _dbl(value).alias("order_value"), "order_date",

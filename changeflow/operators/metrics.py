@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.functions.time import resolve_as_of, seconds_between, since_minutes
+from changeflow.functions.time import last_minutes, resolve_as_of, seconds_between, since_minutes
 
 # Freshness limit and the documented alert thresholds.
 FRESH_SECONDS = 300
@@ -35,7 +35,7 @@ def data_freshness(orders: DataFrame, as_of=None, fresh_seconds: int = FRESH_SEC
 def throughput(orders: DataFrame, window_minutes: int = 5, as_of=None) -> DataFrame:
     """Orders in the last window (all statuses) and per-hour / per-day estimates."""
     anchor = resolve_as_of(orders, as_of)
-    n = orders.where(since_minutes(F.col("order_date"), anchor, window_minutes)).agg(
+    n = last_minutes(orders, anchor, window_minutes).agg(
         F.count(F.lit(1)).alias("orders_in_window"))
     per_hour = 60.0 / window_minutes
     return n.select(

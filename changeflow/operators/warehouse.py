@@ -100,6 +100,17 @@ def lifecycle_tiers(orders: DataFrame, as_of=None, hot_days: int = 30, warm_mont
     return orders.select("*", F.year(ts).alias("year"), F.month(ts).alias("month"), tier.alias("tier"))
 
 
+def write_orders_by_day(orders: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Store canonical orders partitioned by ``order_day``.
+
+    The analytics window helpers add the matching ``order_day`` bound, so
+    "last N days / minutes" reports read only those day folders; only the
+    days present in the written data are replaced (dynamic overwrite).
+    """
+    (orders.withColumn("order_day", F.to_date("order_date"))
+     .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("order_day").parquet(path))
+
+
 def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write by year/month with dynamic partition overwrite (only touched months
     are replaced), so date predicates prune whole folders on read."""

@@ -19,6 +19,21 @@ def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(base_dir, f"{name}.parquet"))
 
 
+def spread_if_narrow(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-spread a scan over the session's cores when the files give fewer
+    splits than that (e.g. one unsplittable row group), so CPU-heavy per-row
+    work such as JSON decoding is not serialised in one task.
+
+    Counting splits only plans the scan (no job). On a cluster reading many
+    files the scan already has more splits than cores and this is a no-op,
+    so it never adds a shuffle at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
 def jdbc_table(spark: SparkSession, url: str, table: str, *, partition_column: str | None = None,
                lower_bound: int | None = None, upper_bound: int | None = None,
                num_partitions: int | None = None, fetch_size: int = 10_000,

@@ -36,3 +36,22 @@ def test_status_filter_and_projection_reach_the_scan(spark, scratch):
 def test_anomalies_use_a_scalar_subquery_not_a_join(spark):
     plan = _plan(A.detect_anomalies(X.order_lines(spark, SF0001), 2.0, as_of="latest"))
     assert "BroadcastNestedLoopJoin" not in plan and "Subquery" in plan
+
+
+def test_day_partitioned_orders_are_pruned(spark, scratch):
+    from changeflow.operators import warehouse as W
+    path = os.path.join(scratch, "orders_by_day")
+    base = X.order_lines(spark, SF0001).where("order_date >= timestamp_ntz'2001-01-01 00:00:00'")
+    W.write_orders_by_day(base, path)
+    stored = spark.read.parquet(path)
+    for as_of in ("2001-08-01 07:03:46", "latest"):
+        q = A.daily_trends(stored, days=30, as_of=as_of)
+        rows = q.collect()
+        plan = q._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(order_day" in plan and "order_day#" in plan
+        ref = A.daily_trends(base, days=30, as_of=as_of).collect()
+        assert sorted(rows) == sorted(ref)
+    lit = A.recent_metrics(stored, 60, as_of="2001-08-01 07:03:46")
+    plan = lit._jdf.queryExecution().executedPlan().toString()
+    assert "(order_day#" in plan and ">= 2001-08-01)" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert lit.collect()[0].recent_orders == A.recent_metrics(base, 60, as_of="2001-08-01 07:03:46").collect()[0].recent_orders
