@@ -38,10 +38,12 @@ class CurrentStateWriter:
     """``foreachBatch`` handler maintaining the latest row per key."""
 
     def __init__(self, path: str, key: str, order_by: list[str], op_col: str = "op",
-                 delete_ops=("d",), columns: list[str] | None = None):
+                 delete_ops=("d",), columns: list[str] | None = None, touch_col: str | None = None):
+        """``touch_col`` (e.g. ``updated_at``) is set to the apply time on every
+        key the batch changes — the source table's update trigger (P22)."""
         self.path = path.rstrip("/")
         self.key, self.order_by, self.op_col = key, list(order_by), op_col
-        self.delete_ops, self.columns = tuple(delete_ops), columns
+        self.delete_ops, self.columns, self.touch_col = tuple(delete_ops), columns, touch_col
 
     def _latest(self, df: DataFrame) -> DataFrame:
         cols = self.columns or [c for c in df.columns if c != self.key]
@@ -56,6 +58,8 @@ class CurrentStateWriter:
         if batch_id in versions:
             return                                   # replay of a committed batch
         changes = self._latest(batch)
+        if self.touch_col:
+            changes = changes.withColumn(self.touch_col, F.current_timestamp())
         prior = [v for v in versions if v < batch_id]
         if prior:
             prev = spark.read.parquet(f"{self.path}/v={prior[-1]}")

@@ -95,3 +95,21 @@ def session_metrics(events: DataFrame, gap: str = "30 minutes", *, ts_col: str =
         F.min("_first").alias("session_start"), (F.max("_last") + gap_iv).alias("session_end"),
         F.sum("events").alias("events"), F.sum("_value").cast("double").alias("total_value"))
     return merged.select(key, "session_start", "session_end", "events", "total_value").unionByName(interior)
+
+
+def order_window_metrics(orders: DataFrame, duration: str = "1 day", *, watermark: str | None = None,
+                         ts_col: str = "order_date") -> DataFrame:
+    """Streaming twin of the daily summary / recent metrics (A16, A7):
+    per time window of non-cancelled orders — orders, revenue, mean order
+    value and distinct customers (HyperLogLog on streams, exact in batch)."""
+    df = _prepare(orders.where(F.col("status") != "cancelled"), ts_col, watermark)
+    customers = (F.approx_count_distinct("customer_id") if df.isStreaming
+                 else F.count_distinct("customer_id"))
+    g = df.groupBy(F.window(F.col(ts_col), duration).alias("w")).agg(
+        F.count(F.lit(1)).alias("total_orders"),
+        F.sum(F.col("quantity") * F.col("price")).alias("_revenue"),
+        customers.alias("unique_customers"))
+    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    "total_orders", F.col("_revenue").cast("double").alias("total_revenue"),
+                    (F.col("_revenue").cast("double") / F.col("total_orders").cast("double")).alias("avg_order_value"),
+                    "unique_customers")
