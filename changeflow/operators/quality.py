@@ -30,11 +30,19 @@ JSON_FIELDS = ("id", "customer_id", "product_id", "quantity", "price", "order_da
                "_cdc_operation", "_cdc_timestamp", "_deleted", "_processed", "_pipeline_version")
 
 
+# Timestamps are written as ISO-8601 with microseconds (fixed format).
+ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def json_lines(records: DataFrame, fields=JSON_FIELDS) -> DataFrame:
-    """One JSON document per record (K7); write with ``.write.text``."""
+    """One JSON document per record (K7); write with ``.write.text``.
+
+    Absent (NULL) fields are left out, timestamps keep their microseconds.
+    """
     cols = [c for c in fields if c in records.columns]
     keep = [c for c in ("event_id",) if c in records.columns]
-    return records.select(*keep, F.to_json(F.struct(*cols)).alias("json"))
+    opts = {"timestampNTZFormat": ISO_MICROS, "timestampFormat": ISO_MICROS}
+    return records.select(*keep, F.to_json(F.struct(*cols), opts).alias("json"))
 
 
 def first_n(records: DataFrame, n: int, order_col: str) -> DataFrame:

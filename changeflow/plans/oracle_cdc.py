@@ -283,3 +283,14 @@ def etl_message_format() -> str:
 SELECT event_id, 'cdc-events' AS topic, {key} AS key, {value} AS value, {ts} AS timestamp,
        'orders-db' AS source, {op} AS operation
 FROM flat"""
+
+
+def json_out() -> str:
+    doc = ("""'{"id":' || cast(id AS varchar) || ',"customer_id":' || cast(user_id AS varchar)"""
+           """ || ',"product_id":"' || product_id || '","quantity":' || cast(quantity_c AS varchar)"""
+           """ || ',"price":' || cast(price_c AS varchar) || ',"status":"' || status"""
+           """ || '","total_amount":' || cast(price_c * quantity_c AS varchar)"""
+           """ || ',"_cdc_operation":"' || op || '","_cdc_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"""
+           """ || '","_deleted":' || CASE WHEN op = 'd' THEN 'true' ELSE 'false' END"""
+           """ || ',"_processed":true,"_pipeline_version":"1.0.0"}'""")
+    return _w(CDC_BASE, PAYLOAD) + f"SELECT event_id, {doc} AS json FROM payload WHERE reject_reason IS NULL"

@@ -52,7 +52,7 @@ def _quality_report(spark, d):
     return Q.quality_report(C.payload_records(X.cdc_raw(spark, d)))
 
 
-@register("cdc_json_out", None)
+@register("cdc_json_out", OC.json_out())
 def _json_out(spark, d):
     return Q.json_lines(C.accepted(C.payload_records(X.cdc_raw(spark, d))))
 

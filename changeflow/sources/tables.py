@@ -28,8 +28,12 @@ def spread_if_narrow(df: DataFrame, *keys: str) -> DataFrame:
     files the scan already has more splits than cores and this is a no-op,
     so it never adds a shuffle at scale.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:          # e.g. Spark Connect: no RDD view; leave the scan as is
+        return df
+    if splits >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
 

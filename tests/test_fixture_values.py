@@ -48,3 +48,12 @@ def test_cdc_counts(spark):
     env = C.flatten_envelope(C.decode_envelope(X.envelope_raw(spark, SF0001)))
     labels = {r.change_type: r["count"] for r in env.groupBy("change_type").count().collect()}
     assert labels == {"INSERT": 193, "UPDATE": 385, "DELETE": 192, "SNAPSHOT": 192, "UNKNOWN": 38}
+
+
+def test_approx_summary_close_to_exact(spark):
+    o = X.order_lines(spark, "/root/testdata/sf0.01")
+    exact = A.order_summary(o).collect()[0]
+    approx = A.order_summary_approx(o, rsd=0.01).collect()[0]
+    assert approx.total_orders == exact.total_orders and approx.total_revenue == exact.total_revenue
+    for c in ("unique_customers", "unique_products"):
+        assert abs(approx[c] - exact[c]) <= 0.05 * exact[c]
