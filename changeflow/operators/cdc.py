@@ -258,7 +258,8 @@ def etl_messages(flat: DataFrame, ts_col: str | None = "event_time", topic: str
 
 # ------------------------------------------------------------- change apply
 def current_state(changes: DataFrame, key: str, order_by: list[str], *, op_col: str = "op",
-                  delete_ops=("d",), columns: list[str] | None = None) -> DataFrame:
+                  delete_ops=("d",), columns: list[str] | None = None,
+                  keep_tombstones: bool = False) -> DataFrame:
     """Latest row per key; keys whose latest change is a delete disappear.
 
     ``max_by(struct, ordering)`` is an ordinary aggregate, so it combines
@@ -269,6 +270,8 @@ def current_state(changes: DataFrame, key: str, order_by: list[str], *, op_col:
     carried = list(dict.fromkeys(cols + [op_col]))
     ordering = F.struct(*[F.col(c) for c in order_by])
     latest = changes.groupBy(key).agg(F.max_by(F.struct(*carried), ordering).alias("_l"))
+    if keep_tombstones:
+        return latest.select(key, *[F.col(f"_l.{c}").alias(c) for c in carried])
     return (latest.where(~F.col(f"_l.{op_col}").isin(*delete_ops))
             .select(key, *[F.col(f"_l.{c}").alias(c) for c in cols]))
 

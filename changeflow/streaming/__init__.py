@@ -2,8 +2,8 @@
 
 from changeflow.streaming.windows import tumbling_metrics, sliding_metrics, session_metrics
 from changeflow.streaming.runner import BoundedConsumer, consume_bounded, run_available, start_query, progress_frame
-from changeflow.streaming.state import CurrentStateWriter, read_current_state
+from changeflow.streaming.state import CurrentStateWriter, read_current_state, read_state_changelog, state_updates
 from changeflow.streaming.sinks import IdempotentParquetAppend, SplitWriter
 
 __all__ = ["BoundedConsumer", "consume_bounded", "tumbling_metrics", "sliding_metrics", "session_metrics", "run_available", "start_query",
-           "progress_frame", "CurrentStateWriter", "read_current_state", "IdempotentParquetAppend", "SplitWriter"]
+           "progress_frame", "CurrentStateWriter", "read_current_state", "read_state_changelog", "state_updates", "IdempotentParquetAppend", "SplitWriter"]

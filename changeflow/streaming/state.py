@@ -1,5 +1,16 @@
 """Current-state upkeep for a change stream (R1, streaming form).
 
+Two forms:
+
+* :func:`state_updates` — the scalable one: the latest row per key lives in
+  Spark's state store (RocksDB, incremental checkpoints); each micro-batch
+  emits only the keys it touched (update mode), which an idempotent
+  changelog sink appends. Per-batch cost follows the batch, not the state.
+  :func:`read_state_changelog` folds the changelog (latest per key, deletes
+  dropped); compacting it is the same fold written back.
+* :class:`CurrentStateWriter` — a ready-to-query snapshot per batch, for
+  small states (it rewrites the state each batch).
+
 Each micro-batch produces a new snapshot version ``v=<batch_id>`` of the
 state table = latest row per key over (previous version ∪ batch). Deletes
 are kept as tombstones inside the state so an older change arriving later
@@ -15,6 +26,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeflow.operators.cdc import current_state
+
+
+def state_updates(changes: DataFrame, key: str, order_by: list[str], *, op_col: str = "op",
+                  columns: list[str] | None = None) -> DataFrame:
+    """Latest row per key as a streaming aggregate (run with output mode
+    ``update``). Deletes are emitted as tombstone rows; a late, older change
+    never replaces a newer one because the state keeps the max by ordering."""
+    return current_state(changes, key, order_by, op_col=op_col, columns=columns, keep_tombstones=True)
+
+
+def read_state_changelog(spark: SparkSession, path: str, key: str, order_by: list[str], *,
+                         op_col: str = "op", delete_ops=("d",)) -> DataFrame:
+    """Fold an update changelog (``batch_id=<n>`` folders) into the current state."""
+    log = spark.read.parquet(path)
+    cols = [c for c in log.columns if c not in (key, "batch_id")]
+    return current_state(log, key, order_by, op_col=op_col, delete_ops=delete_ops,
+                         columns=[c for c in cols if c != op_col])
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm

@@ -141,3 +141,22 @@ def test_state_touch_column(spark, scratch):
     w(df, 0)
     r = read_current_state(spark, os.path.join(scratch, "st")).collect()
     assert len(r) == 1 and r[0].status == "b" and r[0].updated_at is not None
+
+
+def test_state_store_updates_changelog(spark, scratch):
+    from changeflow.streaming import IdempotentParquetAppend, read_state_changelog, state_updates
+    raw = X.envelope_raw(spark, SF0001)
+    src = _as_files(raw, os.path.join(scratch, "in"), 4)
+    flat = C.accepted(C.flatten_envelope(C.decode_envelope(file_stream(spark, src, raw.schema,
+                                                                         max_files_per_trigger=1)),
+                                         keep=("event_id",))).drop("processed_at")
+    upd = state_updates(flat, "order_id", ["event_id"], op_col="operation", columns=["status", "event_id"])
+    log = os.path.join(scratch, "log")
+    q = run_available(upd, checkpoint=os.path.join(scratch, "ck"), output_mode="update",
+                      foreach_batch=IdempotentParquetAppend(log), timeout_s=300)
+    emitted = spark.read.parquet(log)
+    assert emitted.select("batch_id").distinct().count() == 4
+    live = read_state_changelog(spark, log, "order_id", ["event_id"], op_col="operation")
+    assert live.count() == 166
+    ops = [p["stateOperators"][0] for p in q.recentProgress if p["stateOperators"]]
+    assert ops and ops[-1]["numRowsTotal"] == 200          # one state row per key, tombstones included
