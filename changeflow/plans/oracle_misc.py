@@ -18,7 +18,8 @@ def throughput(minutes: int = 5) -> str:
     per_hour = 60.0 / minutes
     return _with(ORDER_LINES, ASOF) + f"""
 SELECT cast({minutes} AS bigint) AS window_minutes, count(*) AS orders_in_window,
-       count(*) * {per_hour!r} AS orders_per_hour_estimate, count(*) * {per_hour * 24!r} AS orders_per_day_estimate
+       cast(count(*) AS double) * cast({per_hour!r} AS double) AS orders_per_hour_estimate,
+       cast(count(*) AS double) * cast({per_hour * 24!r} AS double) AS orders_per_day_estimate
 FROM order_lines WHERE order_date >= (SELECT t FROM anchor) - INTERVAL {minutes} MINUTE"""
 
 
@@ -36,8 +37,8 @@ SELECT (SELECT t FROM anchor) AS timestamp,
             WHEN (epoch_us((SELECT t FROM anchor)) - epoch_us(max(order_date))) / 1000000.0 < 300 THEN 'fresh'
             ELSE 'stale' END AS freshness_status,
        count(*) FILTER (WHERE order_date >= (SELECT t FROM anchor) - INTERVAL {minutes} MINUTE) AS orders_in_window,
-       count(*) FILTER (WHERE order_date >= (SELECT t FROM anchor) - INTERVAL {minutes} MINUTE) * {60.0 / minutes!r}
-         AS orders_per_hour_estimate,
+       cast(count(*) FILTER (WHERE order_date >= (SELECT t FROM anchor) - INTERVAL {minutes} MINUTE) AS double)
+         * cast({60.0 / minutes!r} AS double) AS orders_per_hour_estimate,
        coalesce((SELECT err FROM q), 0.0) AS error_rate
 FROM order_lines"""
 
@@ -79,5 +80,5 @@ def lifecycle_tiers() -> str:
 SELECT CASE WHEN order_date >= cast(cast((SELECT t FROM anchor) AS date) - INTERVAL 30 DAY AS timestamp) THEN 'hot'
             WHEN order_date >= cast(cast((SELECT t FROM anchor) AS date) - INTERVAL 6 MONTH AS timestamp) THEN 'warm'
             ELSE 'cold' END AS tier,
-       year(order_date) AS year, month(order_date) AS month, count(*) AS orders
+       cast(year(order_date) AS integer) AS year, cast(month(order_date) AS integer) AS month, count(*) AS orders
 FROM order_lines GROUP BY 1, 2, 3"""
