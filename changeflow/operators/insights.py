@@ -18,8 +18,15 @@ def _row(df: DataFrame):
     return df.select(F.struct(*df.columns)).scalar()
 
 
-def _rows(df: DataFrame):
-    return df.agg(F.collect_list(F.struct(*df.columns))).scalar()
+def _rows(df: DataFrame, *order):
+    """The (small, bounded) rows of ``df`` as an array in the given order.
+
+    ``collect_list`` keeps no order, so each element carries its sort key and
+    the array is sorted before the key is dropped.
+    """
+    key = F.struct(*[c.alias(f"_k{i}") for i, c in enumerate(order)])
+    items = F.collect_list(F.struct(key.alias("_k"), F.struct(*df.columns).alias("_v")))
+    return df.agg(F.transform(F.array_sort(items), lambda x: x["_v"])).scalar()
 
 
 def insights_bundle(orders: DataFrame, as_of=None, top_n: int = 5, trend_days: int = 7,
@@ -29,10 +36,11 @@ def insights_bundle(orders: DataFrame, as_of=None, top_n: int = 5, trend_days: i
     anomalies = A.detect_anomalies(orders, threshold_multiplier, as_of=anchor)
     return spark.range(1).select(
         _row(A.order_summary(orders)).alias("summary"),
-        _rows(A.top_customers(orders, top_n)).alias("top_customers"),
-        _rows(A.product_performance(orders, top_n)).alias("top_products"),
+        _rows(A.top_customers(orders, top_n), -F.col("total_value"), F.col("customer_id")).alias("top_customers"),
+        _rows(A.product_performance(orders, top_n), -F.col("total_revenue"), F.col("product_id"))
+        .alias("top_products"),
         _row(A.recent_trend(orders, trend_days, as_of=anchor)).alias("recent_trend"),
-        _rows(A.status_distribution(orders)).alias("status_distribution"),
+        _rows(A.status_distribution(orders), -F.col("count"), F.col("status")).alias("status_distribution"),
         _row(A.recent_metrics(orders, realtime_minutes, as_of=anchor)).alias("real_time"),
         anomalies.agg(F.count(F.lit(1))).scalar().alias("recent_anomalies"),
         anchor.alias("generated_at"),
@@ -41,7 +49,9 @@ def insights_bundle(orders: DataFrame, as_of=None, top_n: int = 5, trend_days: i
 
 def insights_json(bundle: DataFrame) -> DataFrame:
     """The bundle as one JSON document (NULLs written out)."""
-    return bundle.select(F.to_json(F.struct(*bundle.columns), {"ignoreNullFields": "false"}).alias("json"))
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    opts = {"ignoreNullFields": "false", "timestampNTZFormat": iso, "timestampFormat": iso}
+    return bundle.select(F.to_json(F.struct(*bundle.columns), opts).alias("json"))
 
 
 def export_insights(bundle: DataFrame, path: str) -> None:

@@ -66,6 +66,10 @@ def test_insights_export(spark, scratch):
                         "real_time", "recent_anomalies", "generated_at"}
     assert len(doc["top_customers"]) == 5 and doc["summary"]["total_orders"] == 4032
     assert doc["top_customers"][0]["customer_id"] == 10
+    vals = [c["total_value"] for c in doc["top_customers"]]
+    assert vals == sorted(vals, reverse=True)
+    counts = [x["count"] for x in doc["status_distribution"]]
+    assert counts == sorted(counts, reverse=True) and len(counts) == 5
 
 
 def test_bounded_consumer_stops_after_n(spark, scratch):
