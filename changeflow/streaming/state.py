@@ -15,8 +15,9 @@ Each micro-batch produces a new snapshot version ``v=<batch_id>`` of the
 state table = latest row per key over (previous version ∪ batch). Deletes
 are kept as tombstones inside the state so an older change arriving later
 cannot resurrect a deleted key; :func:`read_current_state` hides them.
-A version is committed when Spark's ``_SUCCESS`` marker exists; a replayed
-batch finds its version committed and skips, so the upkeep is idempotent.
+A version is committed once its batch id is appended to the ``_commits``
+table; a replayed batch finds its version committed and skips, so the upkeep
+is idempotent.
 The per-batch work is one aggregate over (state ∪ batch); versions are
 written tables in the shared checkpoint folder, so lineage never grows.
 """
@@ -46,22 +47,23 @@ def read_state_changelog(spark: SparkSession, path: str, key: str, order_by: lis
                          columns=[c for c in cols if c != op_col])
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
 def committed_versions(spark: SparkSession, path: str) -> list[int]:
-    fs, p, jvm = _fs(spark, path)
-    if not fs.exists(p):
+    """Batch ids whose snapshot was fully written (the ``_commits`` table).
+
+    A tiny table of batch ids, appended after a version is written, so a
+    version is visible only once complete; an interrupted attempt leaves an
+    uncommitted folder that the retry overwrites.
+    """
+    try:
+        commits = spark.read.parquet(f"{path.rstrip('/')}/_commits")
+    except Exception:            # nothing committed yet (path missing)
         return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
-    return sorted(out)
+    return sorted(int(r.batch_id) for r in commits.select("batch_id").distinct().collect())
+
+
+def _commit(spark: SparkSession, path: str, batch_id: int) -> None:
+    spark.createDataFrame([(int(batch_id),)], "batch_id long").write.mode("append").parquet(
+        f"{path.rstrip('/')}/_commits")
 
 
 class CurrentStateWriter:
@@ -95,6 +97,7 @@ class CurrentStateWriter:
             prev = spark.read.parquet(f"{self.path}/v={prior[-1]}")
             changes = self._latest(prev.unionByName(changes.select(*prev.columns)))
         changes.write.mode("overwrite").parquet(f"{self.path}/v={int(batch_id)}")
+        _commit(spark, self.path, batch_id)
 
 
 def read_current_state(spark: SparkSession, path: str, op_col: str = "op", delete_ops=("d",)) -> DataFrame:
