@@ -26,18 +26,19 @@ def message_operation(op: Column) -> Column:
 def decode_decimal_base64(encoded: Column, scale: int = 2) -> Column:
     """Decode a connector's base64 big-endian two's-complement unscaled decimal.
 
-    'Jw8=' → 99.99, '2PE=' → -99.99 at scale 2. Up to 8 bytes (64-bit
-    unscaled value, enough for decimal(18, s)); longer or undecodable input →
-    NULL. Pure built-ins: unbase64 → hex → conv, sign fixed from the top bit.
+    'Jw8=' → 99.99, '2PE=' → -99.99 at scale 2. Up to 8 bytes (any 64-bit
+    unscaled value; the result is ``decimal(20, scale)``); longer or
+    undecodable input → NULL. Exact, built-ins only: the hex digits are
+    sign-extended to 16 nibbles and read as a signed 64-bit number by
+    ``conv(…, 16, -10)``.
     """
     raw = F.unbase64(encoded)
     nbytes = F.octet_length(raw)
     hexed = F.hex(raw)
-    unsigned = F.conv(hexed, 16, 10).cast("decimal(20,0)")
     negative = F.conv(F.substring(hexed, 1, 1), 16, 10).cast("int") >= 8
-    modulus = F.pow(F.lit(2.0), nbytes * 8).cast("decimal(20,0)")
-    signed = F.when(negative, unsigned - modulus).otherwise(unsigned)
-    value = (signed / F.lit(10 ** scale)).cast(f"decimal(18,{scale})")
+    extended = F.when(negative, F.lpad(hexed, 16, "F")).otherwise(F.lpad(hexed, 16, "0"))
+    unscaled = F.conv(extended, 16, -10).cast("decimal(20,0)")
+    value = (unscaled / F.lit(10 ** scale)).cast(f"decimal(20,{scale})")
     return F.when((nbytes >= 1) & (nbytes <= 8), value)
 
 

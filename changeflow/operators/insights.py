@@ -55,8 +55,17 @@ def insights_json(bundle: DataFrame) -> DataFrame:
 
 
 def export_insights(bundle: DataFrame, path: str) -> None:
-    """Write the bundle JSON as a text file under ``path`` (one small file by nature)."""
-    insights_json(bundle).write.mode("overwrite").text(path)
+    """Write the bundle JSON as a text file under ``path`` (one small file by nature).
+
+    As in the reference, a failure while computing the bundle is reported in
+    the document (``{"error": ...}``) instead of leaving no output.
+    """
+    try:
+        insights_json(bundle).write.mode("overwrite").text(path)
+    except Exception as exc:  # noqa: BLE001 — reported in the exported document
+        spark = bundle.sparkSession
+        spark.range(1).select(F.to_json(F.struct(F.lit(str(exc)[:2000]).alias("error"))).alias("json")) \
+            .write.mode("overwrite").text(path)
 
 
 def execute_query(spark: SparkSession, sql: str, params: dict | None = None, **frames: DataFrame) -> DataFrame:

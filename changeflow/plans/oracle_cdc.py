@@ -133,7 +133,7 @@ def _amount_b64() -> str:
 
 
 def _amount() -> str:
-    return "cast(CASE WHEN event_id % 13 = 0 THEN -value ELSE value END AS decimal(18,2))"
+    return "cast(CASE WHEN event_id % 13 = 0 THEN -value ELSE value END AS decimal(20,2))"
 
 
 def record_image() -> str:
@@ -188,7 +188,7 @@ def current_state() -> str:
 , latest AS (
   SELECT id, arg_max(event_id, event_id) AS last_event_id FROM env2 WHERE label IS NOT NULL GROUP BY id)
 SELECT e.id AS order_id, 'Customer#' || lpad(cast(e.user_id AS varchar), 9, '0') AS customer_name,
-       e.status, cast(CASE WHEN e.event_id % 13 = 0 THEN -e.value ELSE e.value END AS decimal(18,2)) AS total_amount,
+       e.status, cast(CASE WHEN e.event_id % 13 = 0 THEN -e.value ELSE e.value END AS decimal(20,2)) AS total_amount,
        e.ts AS order_updated_at, e.event_id AS last_event_id
 FROM latest l JOIN env2 e ON e.event_id = l.last_event_id
 WHERE e.op_out <> 'd'"""
