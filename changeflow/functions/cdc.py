@@ -43,9 +43,11 @@ def decode_decimal_base64(encoded: Column, scale: int = 2) -> Column:
 
 
 def parse_event_time(text: Column) -> Column:
-    """Timestamp from either epoch micros (all digits) or ISO-8601 text."""
+    """Timestamp from epoch micros (all digits) or ISO-8601 / SQL text.
+
+    Text follows Spark's timestamp cast rules: date only, ``T`` or space
+    separator, 0-6 fraction digits, optional ``Z`` / offset (converted to the
+    session time zone). Unparseable text → NULL.
+    """
     digits = text.rlike(r"^-?[0-9]{10,}$")
-    return F.when(digits, F.timestamp_micros(text.cast("bigint"))).otherwise(
-        F.coalesce(F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS")),
-                   F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSS][XXX]")),
-                   F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss"))))
+    return F.when(digits, F.timestamp_micros(text.cast("bigint"))).otherwise(F.try_to_timestamp(text))

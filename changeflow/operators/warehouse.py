@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from changeflow.functions.cdc import parse_event_time
 from changeflow.functions.time import resolve_as_of, same_day
 from changeflow.operators.cdc import settle
 from changeflow.schemas import ORDER_EVENT_REQUIRED
@@ -31,8 +32,7 @@ def load_order_events(flat: DataFrame, processed_at: Column | None = None) -> Da
         F.col("order_id"), F.col("customer_id"), F.col("product_name"), F.col("quantity"),
         unit_price.alias("unit_price"),
         (F.col("quantity") * unit_price).cast("decimal(12,2)").alias("total_amount"),
-        F.try_to_timestamp(F.col("order_date"), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
-        .alias("order_date"),
+        parse_event_time(F.col("order_date")).cast("timestamp_ntz").alias("order_date"),
         F.col("status"),
         F.coalesce(F.col("operation"), F.lit("INSERT")).alias("event_type"),
         (processed_at if processed_at is not None else F.current_timestamp()).alias("processed_at"),

@@ -128,3 +128,13 @@ def test_current_state_latest_wins_and_deletes_drop(spark):
     df = spark.createDataFrame(rows, "seq long, id long, op string, status string")
     st = {r.id: r.status for r in C.current_state(df, "id", ["seq"], columns=["status"]).collect()}
     assert st == {10: "b", 12: "s"}
+
+
+def test_event_time_formats(spark):
+    from changeflow.functions.cdc import parse_event_time
+    vals = ["2024-01-15T10:30:00Z", "2024-01-15T10:30:00.123456Z", "2024-01-15T10:30:00.123+02:00",
+            "2024-01-15 10:30:00.5", "2024-01-15", "1705314600000000", "garbage"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = [str(r.t) for r in df.select(parse_event_time(F.col("s")).cast("timestamp_ntz").alias("t")).collect()]
+    assert got == ["2024-01-15 10:30:00", "2024-01-15 10:30:00.123456", "2024-01-15 08:30:00.123000",
+                   "2024-01-15 10:30:00.500000", "2024-01-15 00:00:00", "2024-01-15 10:30:00", "None"]
