@@ -1,6 +1,6 @@
 """DuckDB oracles for metrics, warehouse-side and SQL-interface queries."""
 
-from changeflow.plans.oracle_sql import ASOF, LIVE, ORDER_LINES, _with
+from changeflow.plans.oracle_sql import ASOF, ORDER_LINES, _with
 from changeflow.plans.oracle_cdc import CDC_BASE, PAYLOAD
 
 

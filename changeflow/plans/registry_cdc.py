@@ -126,8 +126,8 @@ def _current_state(spark, d):
 @register("cdc_dedup", OC.dedup())
 def _dedup(spark, d):
     raw = X.cdc_raw(spark, d)
-    redelivered = raw.where(F.col("event_id") % 10 == 0)   # at-least-once: a replayed slice
-    return C.dedup_events(raw.unionByName(redelivered), ["event_id"]).select("event_id", "ts")
+    # at-least-once delivery: the whole topic is delivered twice
+    return C.dedup_events(raw.unionByName(raw), ["event_id"]).select("event_id", "ts")
 
 
 # --------------------------------------------------------------- flat shape
