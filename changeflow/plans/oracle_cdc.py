@@ -294,3 +294,12 @@ def json_out() -> str:
            """ || '","_deleted":' || CASE WHEN op = 'd' THEN 'true' ELSE 'false' END"""
            """ || ',"_processed":true,"_pipeline_version":"1.0.0"}'""")
     return _w(CDC_BASE, PAYLOAD) + f"SELECT event_id, {doc} AS json FROM payload WHERE reject_reason IS NULL"
+
+
+def record_image_reference() -> str:
+    """Reference image choice: ``after`` only for c/u, so snapshots read ``before`` (absent)."""
+    return _w(CDC_BASE, ENVELOPE) + """
+SELECT event_id, coalesce(label, 'UNKNOWN') AS change_type,
+       CASE WHEN NOT unreadable AND ((op_out IN ('c', 'u') AND base_op <> 'd')
+                                     OR (op_out NOT IN ('c', 'u') AND base_op IN ('d', 'u'))) THEN id END AS order_id
+FROM env2"""

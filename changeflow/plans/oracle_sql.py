@@ -186,3 +186,13 @@ FROM live GROUP BY 1"""
 
 def orders_count() -> str:
     return _with(ORDER_LINES) + "SELECT count(*) AS orders_count FROM order_lines"
+
+
+def growth_rate_reference_order(days: int = 30) -> str:
+    """Growth computed on the newest-first series, as the reference did."""
+    return _with(ORDER_LINES, LIVE, ASOF, _daily_rows(days)) + """
+SELECT CASE WHEN count(*) >= 2 AND arg_max(rev, order_day) > 0
+            THEN (cast(arg_min(rev, order_day) AS double) - cast(arg_max(rev, order_day) AS double))
+                 / cast(arg_max(rev, order_day) AS double) * 100.0
+            ELSE 0.0 END AS growth_rate
+FROM d"""

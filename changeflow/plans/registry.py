@@ -108,6 +108,11 @@ def _growth_rate(spark, d):
     return A.growth_rate(order_lines(spark, d), days=30, as_of="latest")
 
 
+@register("growth_rate_reference_order", O.growth_rate_reference_order(30))
+def _growth_rate_reference_order(spark, d):
+    return A.growth_rate(order_lines(spark, d), days=30, as_of="latest", reference_order=True)
+
+
 @register("customer_ltv", O.customer_ltv())
 def _customer_ltv(spark, d):
     return A.customer_ltv(order_lines(spark, d))

@@ -89,6 +89,12 @@ def _record_image(spark, d):
         "event_id", "change_type", "order_id", "status")
 
 
+@register("cdc_record_image_reference", OC.record_image_reference())
+def _record_image_reference(spark, d):
+    f = C.flatten_envelope(_envelope(spark, d), snapshot_uses_after=False, keep=("event_id",))
+    return f.select("event_id", "change_type", "order_id")
+
+
 @register("cdc_flatten", OC.flatten())
 def _flatten(spark, d):
     # processed_at is the wall clock and is left out of the comparison.
