@@ -28,11 +28,13 @@ def order_lines(spark: SparkSession, base_dir: str) -> DataFrame:
     One row per line item. ``id`` is not unique in the test data, so no
     operator keys on it. The join is an equi-join on the order key; Spark
     plans it as a sort-merge (or broadcast when ``orders`` is small enough at
-    runtime, decided by AQE from real sizes).
+    runtime, decided by AQE from real sizes). A line-item scan with fewer
+    splits than cores (one unsplittable row group) is hash-spread on the
+    order key first; with many files this is a no-op.
     """
-    li = read_table(spark, base_dir, "lineitem").select(
+    li = spread_if_narrow(read_table(spark, base_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
-        "l_returnflag", "l_linestatus")
+        "l_returnflag", "l_linestatus"), "l_orderkey")
     od = read_table(spark, base_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     joined = li.join(od, li.l_orderkey == od.o_orderkey)
