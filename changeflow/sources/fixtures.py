@@ -22,7 +22,7 @@ _STATUS = ("case when l_returnflag = 'R' then 'cancelled' when o_orderstatus = '
            "else 'shipped' end")
 
 
-def order_lines(spark: SparkSession, base_dir: str) -> DataFrame:
+def order_lines(spark: SparkSession, base_dir: str, spread: bool = True) -> DataFrame:
     """Canonical orders (id, customer_id, product_id, quantity, price, order_date, status).
 
     One row per line item. ``id`` is not unique in the test data, so no
@@ -30,11 +30,15 @@ def order_lines(spark: SparkSession, base_dir: str) -> DataFrame:
     plans it as a sort-merge (or broadcast when ``orders`` is small enough at
     runtime, decided by AQE from real sizes). A line-item scan with fewer
     splits than cores (one unsplittable row group) is hash-spread on the
-    order key first; with many files this is a no-op.
+    order key first; with many files this is a no-op. Reports made of many
+    separate passes over the same input pass ``spread=False``: each pass
+    would pay its own spread shuffle.
     """
-    li = spread_if_narrow(read_table(spark, base_dir, "lineitem").select(
+    li = read_table(spark, base_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
-        "l_returnflag", "l_linestatus"), "l_orderkey")
+        "l_returnflag", "l_linestatus")
+    if spread:
+        li = spread_if_narrow(li, "l_orderkey")
     od = read_table(spark, base_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     joined = li.join(od, li.l_orderkey == od.o_orderkey)
