@@ -18,6 +18,7 @@ def _row(df: DataFrame):
     return df.select(F.struct(*df.columns)).scalar()
 
 
+
 def _rows(df: DataFrame, *order):
     """The (small, bounded) rows of ``df`` as an array in the given order.
 
@@ -32,10 +33,10 @@ def _rows(df: DataFrame, *order):
 def insights_bundle(orders: DataFrame, as_of=None, top_n: int = 5, trend_days: int = 7,
                     realtime_minutes: int = 15, threshold_multiplier: float = 2.0) -> DataFrame:
     anchor = resolve_as_of(orders, as_of)
-    spark = orders.sparkSession
     anomalies = A.detect_anomalies(orders, threshold_multiplier, as_of=anchor)
-    return spark.range(1).select(
-        _row(A.order_summary(orders)).alias("summary"),
+    summary = A.order_summary(orders)          # the one-row base: a pass over the orders themselves
+    return summary.select(
+        F.struct(*summary.columns).alias("summary"),
         _rows(A.top_customers(orders, top_n), -F.col("total_value"), F.col("customer_id")).alias("top_customers"),
         _rows(A.product_performance(orders, top_n), -F.col("total_revenue"), F.col("product_id"))
         .alias("top_products"),

@@ -24,9 +24,11 @@ def spread_if_narrow(df: DataFrame, *keys: str) -> DataFrame:
     splits than that (e.g. one unsplittable row group), so CPU-heavy per-row
     work such as JSON decoding is not serialised in one task.
 
-    Counting splits only plans the scan (no job). On a cluster reading many
-    files the scan already has more splits than cores and this is a no-op,
-    so it never adds a shuffle at scale.
+    Counting splits only plans the scan (no job) — call it on a scan (plus
+    projections / filters), before any shuffle, where no adaptive stage has
+    to run to know the partitioning. On a cluster reading many files the scan
+    already has more splits than cores and this is a no-op, so it never adds
+    a shuffle at scale.
     """
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
