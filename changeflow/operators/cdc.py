@@ -214,19 +214,15 @@ def decode_flat(raw: DataFrame, value_col: str = "value", ts_col: str | None = "
     """
     live = raw.where(F.col(value_col).isNotNull()).select("*", F.try_parse_json(F.col(value_col)).alias("_v"))
     v = F.col("_v")
-    op = (F.when(F.try_variant_get(v, "$.__deleted", "string") == "true", "d")
-          .otherwise(F.coalesce(F.try_variant_get(v, "$.__op", "string"), F.lit("c"))))
-    return settle(live.select(
+    typed = live.select("*", F.try_variant_get(v, "$", _FLAT_TYPE).alias("_t"),
+                        vpresent(v, "$.unit_price").alias("unit_price_present"))
+    t = F.col("_t")
+    op = F.when(t["__deleted"] == "true", "d").otherwise(F.coalesce(t["__op"], F.lit("c")))
+    return settle(typed.select(
         *raw.columns,
-        F.try_variant_get(v, "$.order_id", "int").alias("order_id"),
-        F.try_variant_get(v, "$.customer_id", "int").alias("customer_id"),
-        F.try_variant_get(v, "$.product_name", "string").alias("product_name"),
-        F.try_variant_get(v, "$.quantity", "int").alias("quantity"),
-        F.try_variant_get(v, "$.unit_price", "decimal(10,2)").alias("unit_price"),
-        vpresent(v, "$.unit_price").alias("unit_price_present"),
-        F.try_variant_get(v, "$.order_date", "string").alias("order_date"),
-        F.try_variant_get(v, "$.status", "string").alias("status"),
-        F.try_variant_get(v, "$.operation", "string").alias("operation"),
+        *[t[c].alias(c) for c in ("order_id", "customer_id", "product_name", "quantity", "unit_price")],
+        "unit_price_present",
+        *[t[c].alias(c) for c in ("order_date", "status", "operation")],
         op.alias("op"),
         change_label(op).alias("change_type"),
         _event_time(ts_col).alias("event_time"),
@@ -235,6 +231,12 @@ def decode_flat(raw: DataFrame, value_col: str = "value", ts_col: str | None = "
     ))
 
 
+# Typed view of a flat change record (fixed field list of the unwrapped shape).
+_FLAT_TYPE = ("struct<order_id int, customer_id int, product_name string, quantity int, "
+              "unit_price decimal(10,2), order_date string, status string, operation string, "
+              "__op string, __deleted string>")
+
+
 def etl_messages(flat: DataFrame, ts_col: str | None = "event_time", topic: str = "cdc-events",
                  source: str = "orders-db", value_cols: tuple | None = None, keep: tuple = ()) -> DataFrame:
     """Standard ETL message per change.

@@ -5,18 +5,36 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
+# Inferred schemas by table path. Inferring a parquet schema runs a small
+# footer-reading job on every read; tables are treated as immutable for the
+# life of the process, so the schema is inferred once and then declared.
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def read_table(spark: SparkSession, base_dir: str, name: str, schema: StructType | None = None) -> DataFrame:
     """Scan ``<base_dir>/<name>.parquet`` (a file or a folder of part files).
 
     Nothing is selected here: Catalyst prunes columns and pushes filters into
-    the parquet reader from whatever the caller does next.
+    the parquet reader from whatever the caller does next. The schema is
+    ``schema`` if given, else inferred on first use and remembered
+    (:func:`clear_schema_cache` forgets it, e.g. after a table is rewritten).
     """
-    return spark.read.parquet(os.path.join(base_dir, f"{name}.parquet"))
+    path = os.path.join(base_dir, f"{name}.parquet")
+    if schema is None:
+        schema = _SCHEMAS.get(path)
+        if schema is None:
+            schema = _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(schema).parquet(path)
+
+
+def clear_schema_cache() -> None:
+    _SCHEMAS.clear()
 
 
 def spread_if_narrow(df: DataFrame, *keys: str) -> DataFrame:
