@@ -41,10 +41,12 @@ def since_minutes(ts: Column, anchor: Column, minutes: int) -> Column:
     return ts >= anchor - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(int(minutes)))
 
 
-def same_day(ts: Column, day: Column) -> Column:
-    """``DATE(ts) = day`` written as a range so it stays a pushable predicate."""
-    start = F.to_date(day).cast("timestamp_ntz")
-    return (ts >= start) & (ts < F.date_add(F.to_date(day), 1).cast("timestamp_ntz"))
+def same_day(ts: Column, day: Column, ts_type: str = "timestamp_ntz") -> Column:
+    """``DATE(ts) = day`` written as a range on the bare column (bounds cast to
+    the column's type, ``timestamp_ntz`` or ``timestamp``) so it stays a
+    pushable predicate."""
+    start = F.to_date(day).cast(ts_type)
+    return (ts >= start) & (ts < F.date_add(F.to_date(day), 1).cast(ts_type))
 
 
 def seconds_between(later: Column, earlier: Column) -> Column:

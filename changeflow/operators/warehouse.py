@@ -49,7 +49,10 @@ def load_order_events(flat: DataFrame, processed_at: Column | None = None) -> Da
 def daily_stats(order_events: DataFrame, day=None) -> DataFrame:
     """Events processed on ``day`` (default today; ``"latest"`` = newest day)."""
     anchor = resolve_as_of(order_events, day, ts_col="processed_at")
-    today = order_events.where(same_day(F.col("processed_at").cast("timestamp_ntz"), anchor))
+    ts_type = order_events.schema["processed_at"].dataType.simpleString()
+    today = order_events.where(same_day(F.col("processed_at"), anchor, ts_type))
+    if "processed_date" in order_events.columns:           # partition column of the stored table
+        today = today.where(F.col("processed_date") == F.to_date(anchor))
     return today.agg(
         F.to_date(anchor).alias("date"),
         F.count(F.lit(1)).alias("total_events"),
