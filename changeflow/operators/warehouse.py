@@ -46,6 +46,26 @@ def load_order_events(flat: DataFrame, processed_at: Column | None = None) -> Da
                   .drop("_upstream_reason"))
 
 
+def append_order_events(loaded: DataFrame, path: str, batch_id: int | None = None) -> None:
+    """Append accepted fact rows in the ``order_events`` layout (partitioned by
+    ``processed_date``). With ``batch_id`` (from ``foreachBatch``) the batch
+    goes to its own sub-partition with overwrite, so a replay cannot duplicate."""
+    rows = (loaded.where(F.col("reject_reason").isNull()).drop("reject_reason")
+            .withColumn("processed_date", F.to_date("processed_at")))
+    if batch_id is None:
+        rows.write.mode("append").partitionBy("processed_date").parquet(path)
+    else:
+        (rows.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("processed_date", "batch_id").parquet(path))
+
+
+def write_daily_summary(summary: DataFrame, path: str) -> None:
+    """Store ``daily_order_summary`` rows, replacing only the days present in
+    ``summary`` (dynamic partition overwrite by ``summary_date``)."""
+    (summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("summary_date").parquet(path))
+
+
 def daily_stats(order_events: DataFrame, day=None) -> DataFrame:
     """Events processed on ``day`` (default today; ``"latest"`` = newest day)."""
     anchor = resolve_as_of(order_events, day, ts_col="processed_at")

@@ -106,3 +106,24 @@ def test_daily_stats_pushes_down_on_stored_events(spark, scratch):
     ref = W.daily_stats(loaded, day="2024-01-30").collect()[0]
     assert (got.total_events, got.unique_orders, got.total_revenue) == (ref.total_events, ref.unique_orders,
                                                                          ref.total_revenue) and got.total_events > 0
+
+
+def test_order_events_append_replay_and_daily_summary_overwrite(spark, scratch):
+    from changeflow.operators import analytics as A
+    from changeflow.sources.fixtures import flat_raw
+    loaded = W.load_order_events(C.decode_flat(flat_raw(spark, SF0001)),
+                                 processed_at=F.col("event_time").cast("timestamp"))
+    path = os.path.join(scratch, "order_events")
+    W.append_order_events(loaded, path, batch_id=7)
+    W.append_order_events(loaded, path, batch_id=7)              # replay
+    stored = spark.read.parquet(path)
+    assert stored.count() == C.accepted(loaded).count()
+    assert {"processed_date", "batch_id"} <= set(stored.columns)
+    orders = X.order_lines(spark, SF0001).where("order_date >= timestamp_ntz'2001-01-01 00:00:00'")
+    spath = os.path.join(scratch, "summary")
+    W.write_daily_summary(A.daily_order_summary(orders), spath)
+    before = spark.read.parquet(spath).count()
+    last_day = A.daily_order_summary(orders).where("summary_date = date'2001-08-01'")
+    W.write_daily_summary(last_day, spath)                         # recompute one day only
+    after = spark.read.parquet(spath)
+    assert after.count() == before and after.where("summary_date = date'2001-08-01'").count() == 1
