@@ -49,3 +49,26 @@ def _sliding(spark, d):
 @register("session_metrics", SESSION_SQL)
 def _session(spark, d):
     return WN.session_metrics(read_table(spark, d, "events"), "30 minutes")
+
+
+ORDER_WINDOWS_SQL = """
+WITH order_lines AS (
+  SELECT o_custkey AS customer_id, cast(l_quantity AS integer) AS quantity,
+         cast(l_extendedprice AS decimal(12,2)) AS price,
+         o_orderdate + to_seconds(cast((l_orderkey * 7919 + l_linenumber * 131 + l_partkey * 17) % 86400 AS integer)) AS order_date,
+         CASE WHEN l_returnflag = 'R' THEN 'cancelled' WHEN o_orderstatus = 'P' THEN 'pending'
+              WHEN o_orderstatus = 'O' THEN 'confirmed' WHEN l_linestatus = 'F' THEN 'delivered'
+              ELSE 'shipped' END AS status
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT time_bucket(INTERVAL 1 DAY, order_date) AS window_start,
+       time_bucket(INTERVAL 1 DAY, order_date) + INTERVAL 1 DAY AS window_end,
+       count(*) AS total_orders, cast(sum(quantity * price) AS double) AS total_revenue,
+       cast(sum(quantity * price) AS double) / cast(count(*) AS double) AS avg_order_value,
+       count(DISTINCT customer_id) AS unique_customers
+FROM order_lines WHERE status <> 'cancelled' GROUP BY 1, 2"""
+
+
+@register("order_window_metrics", ORDER_WINDOWS_SQL)
+def _order_windows(spark, d):
+    from changeflow.sources.fixtures import order_lines
+    return WN.order_window_metrics(order_lines(spark, d), "1 day")
