@@ -8,7 +8,7 @@ a duplicate.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -53,14 +53,25 @@ def kafka_write_options(bootstrap_servers: str, topic: str, extra: dict | None =
     return opts
 
 
-def publish_messages(messages: DataFrame, bootstrap_servers: str, topic: str, extra: dict | None = None) -> None:
-    """Batch-publish (key, value) messages, e.g. from ``etl_messages``."""
-    w = messages.select("key", "value").write.format("kafka")
+def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def publish_messages(messages: DataFrame, bootstrap_servers: str, topic: str, extra: dict | None = None) -> int:
+    """Batch-publish (key, value) messages, e.g. from ``etl_messages``; returns
+    how many were written (observed during the write, no second pass)."""
+    counted, obs = _counted(messages.select("key", "value"), "published")
+    w = counted.write.format("kafka")
     for k, v in kafka_write_options(bootstrap_servers, topic, extra).items():
         w = w.option(k, v)
     w.save()
+    return int(obs.get["rows"])
 
 
-def write_json_lines(records: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """JSON lines, one file per partition (no single-shard bottleneck)."""
-    records.write.mode(mode).json(path)
+def write_json_lines(records: DataFrame, path: str, mode: str = "overwrite") -> int:
+    """JSON lines, one file per partition (no single-shard bottleneck); returns
+    the number of records written."""
+    counted, obs = _counted(records, "json_lines")
+    counted.write.mode(mode).json(path)
+    return int(obs.get["rows"])

@@ -127,3 +127,13 @@ def test_order_events_append_replay_and_daily_summary_overwrite(spark, scratch):
     W.write_daily_summary(last_day, spath)                         # recompute one day only
     after = spark.read.parquet(spath)
     assert after.count() == before and after.where("summary_date = date'2001-08-01'").count() == 1
+
+
+def test_json_lines_writer_counts(spark, scratch):
+    from changeflow.operators.quality import json_lines
+    from changeflow.streaming.sinks import write_json_lines
+    good = C.accepted(C.payload_records(X.cdc_raw(spark, SF0001)))
+    n = write_json_lines(good.select("event_id", "id", "price"), os.path.join(scratch, "jl"))
+    assert n == 763 == spark.read.json(os.path.join(scratch, "jl")).count()
+    docs = json_lines(good).select("json").collect()
+    assert len(docs) == 763 and all(json.loads(r.json)["_pipeline_version"] == "1.0.0" for r in docs)
