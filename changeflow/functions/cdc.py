@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Debezium op codes and the change labels they map to.
+# Change-event op codes (c, u, d, r) and the change labels they map to.
 CHANGE_LABELS = {"c": "INSERT", "u": "UPDATE", "d": "DELETE", "r": "SNAPSHOT"}
 UNKNOWN_LABEL = "UNKNOWN"
 
