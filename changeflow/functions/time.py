@@ -6,7 +6,8 @@ anchor is the ``as_of`` argument so results are reproducible:
 * ``None``      – the wall clock (``localtimestamp()``, session time zone);
 * ``"latest"``  – the newest ``order_date`` of the input itself, evaluated as
   an uncorrelated scalar subquery (one small aggregate job, then a literal in
-  the main plan — no join and nothing collected in Python);
+  the main plan — no join and nothing collected in Python); on a table
+  partitioned by ``order_day`` only the newest day's data is read for it;
 * a ``datetime`` / ISO string – that instant;
 * a ``Column`` – used as is.
 """
@@ -25,6 +26,11 @@ def resolve_as_of(df: DataFrame, as_of, ts_col: str = "order_date") -> Column:
     if isinstance(as_of, Column):
         return as_of
     if isinstance(as_of, str) and as_of == "latest":
+        if DAY_PARTITION in df.columns:
+            # Day-partitioned table: find the newest day from the partition
+            # column, then read only that day's data for the exact maximum.
+            last_day = df.select(F.max(DAY_PARTITION)).scalar()
+            return df.where(F.col(DAY_PARTITION) >= last_day).select(F.max(ts_col)).scalar()
         return df.select(F.max(ts_col)).scalar()
     if isinstance(as_of, (_dt.datetime, _dt.date, str)):
         return F.lit(as_of).cast("timestamp_ntz")
