@@ -160,3 +160,21 @@ def test_state_store_updates_changelog(spark, scratch):
     assert live.count() == 166
     ops = [p["stateOperators"][0] for p in q.recentProgress if p["stateOperators"]]
     assert ops and ops[-1]["numRowsTotal"] == 200          # one state row per key, tombstones included
+
+
+def test_session_stream_matches_closed_batch_sessions(spark, scratch):
+    ev = read_table(spark, SF0001, "events").select("event_id", "ts", "user_id", "value")
+    src = _as_files(ev, os.path.join(scratch, "ev"), 4)
+    stream = file_stream(spark, src, ev.schema, max_files_per_trigger=1)
+    sessions = session_metrics(stream, "30 minutes", watermark="10 minutes")
+    run_available(sessions, checkpoint=os.path.join(scratch, "ck"), sink="memory", query_name="sess_s",
+                  output_mode="append", timeout_s=300)
+    streamed = {(r.user_id, str(r.session_start)[:26]): (r.events, r.total_value)
+                for r in spark.table("sess_s").collect()}
+    max_ts = ev.agg(F.max("ts")).collect()[0][0]
+    closed = session_metrics(ev, "30 minutes").where(
+        F.col("session_end") <= F.lit(max_ts) - F.expr("INTERVAL 10 MINUTES"))
+    batch = {(r.user_id, str(r.session_start)[:26]): (r.events, r.total_value) for r in closed.collect()}
+    assert streamed and set(batch) <= set(streamed)
+    assert all(streamed[k] == v for k, v in batch.items())
+    assert len(streamed) - len(batch) <= ev.select("user_id").distinct().count()   # only still-open tails differ
