@@ -6,7 +6,7 @@ texts, all queue copies are ordered at once, and so on.
 
 from __future__ import annotations
 
-from changeflow.llm import decontaminate, line_dedup, mixing, quality
+from changeflow.llm import decontaminate, licenses, line_dedup, mixing, quality, url_filter
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -117,3 +117,46 @@ SELECT doc_id, coalesce(len(ls), 0)::BIGINT AS n_lines, coalesce(len(gone), 0)::
   sha256(CASE WHEN gone IS NULL THEN text ELSE array_to_string(
     [ls[i] FOR i IN range(1, len(ls) + 1) IF NOT list_contains(gone, i - 1)], chr(10)) END) AS kept_sha256
 FROM every LEFT JOIN gone USING (doc_id)"""
+
+
+def license_scan(table: str = "documents") -> str:
+    m = licenses
+    known = ", ".join(f"('{k}', '{p}')" for k, p in m.PIECES)
+    steps = ", ".join(f"('{r}', '{lic}', {k}, '{sid}', {len(ids)})"
+                      for r, lic, ids in m.PIECE_RULES for k, sid in enumerate(ids))
+    cut = lambda name, pattern: (
+        f"SELECT doc_id, '{name}' AS cut, list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), "
+        f"{_re(pattern)}), lambda x: trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))), lambda x: x <> '') AS s FROM {table}")
+    return rf"""
+WITH known(sid, sentence) AS (VALUES {known}),
+steps(rule, license, step, sid, n) AS (VALUES {steps}),
+cuts AS ({cut("sentence", m.SENTENCE_END)} UNION ALL {cut("line", m.LINE_END)}),
+numbered AS (SELECT doc_id, cut, i AS pos, s[i] AS sentence FROM (SELECT *, unnest(range(1, len(s) + 1)) AS i FROM cuts)),
+seen AS (SELECT doc_id, cut, pos, sid, row_number() OVER w AS nth, pos - lag(pos) OVER w AS gap
+  FROM numbered JOIN known USING (sentence) WINDOW w AS (PARTITION BY doc_id, cut ORDER BY pos)),
+found AS (SELECT doc_id, cut, rule, license, n, min(pos) AS first, max(pos) AS last FROM seen JOIN steps USING (sid)
+  GROUP BY doc_id, cut, rule, license, n, nth - step
+  HAVING count(*) = n AND coalesce(max(gap) FILTER (step > 0), 0) <= {m.MAX_GAP + 1}),
+best AS (SELECT * FROM found f WHERE NOT EXISTS (SELECT 1 FROM found g WHERE g.doc_id = f.doc_id AND g.cut = f.cut
+  AND g.first <= f.first AND g.last >= f.last AND g.last - g.first > f.last - f.first)),
+per AS (SELECT doc_id, list_sort(list(DISTINCT rule)) AS rules, list_sort(list(DISTINCT license)) AS licenses
+  FROM best GROUP BY doc_id)
+SELECT doc_id, coalesce(len(rules), 0)::BIGINT AS n_rules, coalesce(array_to_string(rules, ','), '') AS rules,
+  coalesce(array_to_string(licenses, ','), '') AS licenses
+FROM {table} LEFT JOIN per USING (doc_id)"""
+
+
+def filtered_urls(table: str = "pages") -> str:
+    """Without links (the given pages hold none), the rules and the default decide."""
+    low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    rules = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in url_filter.RULES)
+    return rf"""
+WITH rules(verdict, h, p) AS (VALUES {rules}),
+rests AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM {table}),
+parts AS (SELECT page_id, {low.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM (SELECT page_id, coalesce(rest, '') AS rest FROM rests)),
+fits AS (SELECT page_id, arg_max(h || p, len(h || p)) AS rule, arg_max(verdict, len(h || p)) AS verdict
+  FROM parts, rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(verdict, '{url_filter.DEFAULT}') AS verdict,
+  CASE WHEN rule IS NULL THEN 'default' ELSE 'rule' END AS by
+FROM parts LEFT JOIN fits USING (page_id)"""

@@ -7,17 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm import oracles
+from changeflow.llm import chat, oracles
 from changeflow.llm.common import table
 from changeflow.llm.decontaminate import contamination
+from changeflow.llm.licenses import license_scan
 from changeflow.llm.line_dedup import dedup_lines
 from changeflow.llm.mixing import weighted_fair_mix
 from changeflow.llm.quality import quality_report
 from changeflow.llm.simhash import simhash_groups
+from changeflow.llm.url_filter import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    log = chat.turn_events(turns.unionByName(chat.example_turns(spark)))
+    return chat.digest(chat.format_messages(chat.final_messages(log)))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
@@ -39,11 +51,16 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_quality_rules, op6_simhash_groups, op7_mix_sources, op8_decontaminate,
-                                    op9_line_dedup)}
+    return {f.__name__: f for f in (op2_license_scan, op3_chat_format, op4_quality_rules, op6_simhash_groups,
+                                    op7_mix_sources, op8_decontaminate, op9_line_dedup, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_quality_rules": oracles.quality_rules(), "op7_mix_sources": oracles.mix_sources(),
-            "op8_decontaminate": oracles.decontaminated(), "op9_line_dedup": oracles.deduplicated_lines()}
+            "op8_decontaminate": oracles.decontaminated(), "op9_line_dedup": oracles.deduplicated_lines(),
+            "op2_license_scan": oracles.license_scan(), "op10_url_filter": oracles.filtered_urls()}
