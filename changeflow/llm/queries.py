@@ -12,6 +12,7 @@ from changeflow.llm.common import table
 from changeflow.llm.decontaminate import contamination
 from changeflow.llm.licenses import license_scan
 from changeflow.llm.line_dedup import dedup_lines
+from changeflow.llm.lm_scores import lm_scores
 from changeflow.llm.mixing import weighted_fair_mix
 from changeflow.llm.quality import quality_report
 from changeflow.llm.simhash import simhash_groups
@@ -34,6 +35,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -56,7 +61,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_license_scan, op3_chat_format, op4_quality_rules, op6_simhash_groups,
+    return {f.__name__: f for f in (op2_license_scan, op3_chat_format, op4_quality_rules, op5_lm_scores, op6_simhash_groups,
                                     op7_mix_sources, op8_decontaminate, op9_line_dedup, op10_url_filter)}
 
 
