@@ -62,11 +62,6 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-def shape(word: bytes, shapes: int) -> int:
-    """The class of an infrequent word among the shapes."""
-    return zlib.crc32(word[-3:]) % shapes
-
-
 # ------------------------------------------------------------------ counts
 def token_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(word binary, c): how often each token occurs, the end included."""
@@ -180,9 +175,10 @@ class Trainer:
 class Classes:
     """Maps tokens to classes: frequent words first, then shapes."""
 
-    def __init__(self, frequent: list[bytes], shapes: int):
-        self.ids = {w: k for k, w in enumerate(frequent)}
-        self.frequent, self.shapes = len(frequent), shapes
+    def __init__(self, words: list[bytes], shapes: int):
+        self.words, self.shapes = words, shapes
+        self.ids = {w: k for k, w in enumerate(words)}
+        self.frequent = len(words)
         self.n = self.frequent + shapes
 
     def of(self, tokens: list[bytes]) -> np.ndarray:
@@ -200,13 +196,14 @@ def train(docs: DataFrame, text_col: str, classes: Classes, frequency: np.ndarra
     """Fit the model on all ``docs``; ``share`` deals each row to one of ``rounds`` rounds."""
     spark = docs.sparkSession
     model = Model(classes.n, dimensions, frequency)
-    shared = spark.sparkContext.broadcast(classes)
+    shared = spark.sparkContext.broadcast((classes.words, classes.shapes))
     for k in range(rounds):
         start = spark.sparkContext.broadcast((model.flat(), frequency))
 
         def run(batches: Iterator[pa.RecordBatch], k: int = k, start=start) -> Iterator[pa.RecordBatch]:
             values, freq = start.value
-            local = Model(shared.value.n, dimensions, freq)
+            own = Classes(*shared.value)
+            local = Model(own.n, dimensions, freq)
             local.load(values)
             trainer = Trainer(local, seed=1000 * k + (TaskContext.get().partitionId() if TaskContext.get() else 0))
             seen, held = 0, []
@@ -223,8 +220,8 @@ def train(docs: DataFrame, text_col: str, classes: Classes, frequency: np.ndarra
 
             for batch in batches:
                 for text in batch.column(0):
-                    ids = shared.value.of([*words(text.as_py()), END])
-                    held.append((*shared.value.contexts(ids), ids))
+                    ids = own.of([*words(text.as_py()), END])
+                    held.append((*own.contexts(ids), ids))
                     seen += len(ids)
                 if held:
                     steps(False)
@@ -265,12 +262,12 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     known = {bytes(r["word"]): r["c"] for r in top}
     frequent = [w for w in known if w != END][:vocabulary - 1] + [END]
     classes = Classes(frequent, shapes)
-    bounded = spark.sparkContext.broadcast((classes, known))
+    bounded = spark.sparkContext.broadcast((frequent, known))
 
     def class_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums, kinds = np.zeros(classes.n, np.int64), np.zeros(classes.n, np.int64)
         for batch in batches:
-            ids = bounded.value[0].of(batch.column(0).to_pylist())
+            ids = classes.of(batch.column(0).to_pylist())
             sums += np.bincount(ids, weights=batch.column(1).to_numpy(), minlength=classes.n).astype(np.int64)
             kinds += np.bincount(ids, minlength=classes.n)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(classes.n)), pa.array(sums), pa.array(kinds)],
@@ -287,11 +284,14 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     # Inside a shape, a word's share is its smoothed count; one unknown word is allowed for.
     inside = np.zeros(classes.n)
     inside[classes.frequent:] = np.log10(size + kinds + 1)[classes.frequent:]
-    fitted = spark.sparkContext.broadcast((model, inside))
+    fitted = spark.sparkContext.broadcast((model.flat(), size + 1, inside))
     per_token = math.log10(n_train + n_words + 1)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (own, counted), (fit, in_shape) = bounded.value, fitted.value
+        (frequent_words, counted), (values, frequency, in_shape) = bounded.value, fitted.value
+        own = Classes(frequent_words, shapes)
+        fit = Model(own.n, dimensions, frequency)
+        fit.load(values)
         logs = {w: math.log10(c + 1) for w, c in counted.items()}
         part = TaskContext.get().partitionId() if TaskContext.get() else 0
         row = part << 40

@@ -16,11 +16,18 @@ from changeflow.llm.lm_scores import lm_scores
 from changeflow.llm.mixing import weighted_fair_mix
 from changeflow.llm.quality import quality_report
 from changeflow.llm.simhash import simhash_groups
+from changeflow.llm.suffix_dedup import cut_repeats
 from changeflow.llm.url_filter import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = cut_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
@@ -61,8 +68,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_license_scan, op3_chat_format, op4_quality_rules, op5_lm_scores, op6_simhash_groups,
-                                    op7_mix_sources, op8_decontaminate, op9_line_dedup, op10_url_filter)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_chat_format, op4_quality_rules,
+                                    op5_lm_scores, op6_simhash_groups, op7_mix_sources, op8_decontaminate, op9_line_dedup, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
