@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +45,21 @@ def settle(df: DataFrame, **cols: Column) -> DataFrame:
     return df.select(*keep, F.inline(packed).alias(*cols))
 
 
+def carry(cols: Sequence[str]) -> Column:
+    """Input columns packed as one opaque column ``carried``, so their names clash with nothing on the way."""
+    packed = F.struct(F.lit(1).alias("_"), *[F.col(f"`{c}`") for c in cols])
+    return F.array(packed).alias("carried")
+
+
+def unpack(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``df`` with the packed columns last. A generator, as Catalyst loses fields that it prunes through one."""
+    own = [F.col(f"`{c}`") for c in df.columns if c != "carried"]
+    if not cols:
+        return df.select(*own)
+    wide = df.select(*own, F.inline("carried").alias("_", *[f"_carried_{k}" for k in range(len(cols))]))
+    return wide.select(*own, *[F.col(f"_carried_{k}").alias(c) for k, c in enumerate(cols)])
+
+
 def ascii_lower(word: Column) -> Column:
     """Lower-case A-Z alone; other letters stay."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import WORD, materialize
+from changeflow.llm.common import WORD, carry, materialize, unpack
 
 MIN_WORDS = 25
 _TRIM = " \t\n\x0b\x0c\r"
@@ -89,7 +89,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         F.col("doc").alias("gone_doc"), F.col("th").alias("gone_th"), "gone")
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("th"), text.alias("t"),
-                       F.struct(F.lit(1).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("carried"))
+                       carry(keep))
     rows = rows.join(gone, (F.col("th") == F.col("gone_th")) & F.col("id").eqNullSafe(F.col("gone_doc")), "left")
     lines = F.split("t", "\n")
     numbers = F.sequence(F.lit(0), F.size(lines) - 1)
@@ -98,8 +98,8 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                                                  F.when(F.col("gone").isNotNull(),
                                                         F.array_except(numbers, "gone")).alias("left")))))
     kept = F.array_join(F.transform("left", lambda i: F.get("lines", i)), "\n")
-    return rows.select(
+    return unpack(rows.select(
         F.col("id").alias(id_col), F.greatest("n", F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
         F.when(F.col("gone").isNull(), F.col("t")).otherwise(kept).alias("kept_text"),
-        *[F.col("carried")[c].alias(c) for c in keep])
+        "carried"), keep)

@@ -45,7 +45,7 @@ SHAPES = 64
 DIMENSIONS = 16
 ROUNDS = 3
 LOOKUP = 1 << 17
-BATCH = 2048
+BATCH = 512
 NOISE = 32
 RATE = 0.1
 # Distinct words that a task holds before it passes counts on.

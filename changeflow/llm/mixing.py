@@ -24,7 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import materialize, word_count
+from changeflow.llm.common import carry as pack
+from changeflow.llm.common import materialize, unpack, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -78,7 +79,7 @@ def weighted_fair_mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         word_count(F.col(f"`{text_col}`")).alias("size"), key.alias("key"),
         F.substring(key, 1, slice_digits).alias("slice"),
         F.xxhash64(F.col(f"`{text_col}`")).alias("tie"),
-        F.struct(F.lit(1).alias("_"), *[F.col(f"`{c}`") for c in carry]).alias("carried"))
+        pack(carry))
     if not carry:              # narrow rows are kept; with carried texts, counting words twice is cheaper than a copy
         queued = materialize(queued, "mix-queue")
 
@@ -105,15 +106,15 @@ def weighted_fair_mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         copies = F.when(live, F.lit(max_epochs)).otherwise(0)
     else:
         copies = F.when(live, sum((F.when(p <= cut, 1).otherwise(0) for p in passes), F.lit(0))).otherwise(0)
-    return placed.select(
+    return unpack(placed.select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
         copies.cast("int").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"),
-        passes[0]["finish"].alias("first_finish"), *[F.col("carried")[c].alias(c) for c in carry])
+        passes[0]["finish"].alias("first_finish"), "carried"), carry)
 
 
 def _item(epoch: Column) -> Column:
     """A queued copy of a document, as the tuple by which all copies are ordered."""
-    finish = (F.col("source_size") * epoch + F.col("served")).cast("double") / F.col("target")
+    finish = F.try_divide((F.col("source_size") * epoch + F.col("served")).cast("double"), F.col("target"))
     return F.struct(finish.alias("finish"), F.coalesce(F.col("source"), F.lit("")).alias("source"),
                     F.col("source").isNull().alias("no_source"), epoch.cast("int").alias("epoch"),
                     F.col("key").alias("key"), F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id"),

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import BLANKS, NOT_BLANK, settle
+from changeflow.llm.common import BLANKS, NOT_BLANK, carry, settle, unpack
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -66,7 +66,7 @@ def quality_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """One row per document: the base figures, the line verdict and ``kept``; ``keep`` names input columns to carry."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     base = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
-                       F.struct(F.lit(1).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("carried"),
+                       carry(keep),
                        text.alias("t"))
     base = settle(base, words=split_words(F.col("t")),
                   lines=F.filter(F.split(F.col("t"), "\n"), lambda x: F.rlike(x, F.lit(NOT_BLANK))))
@@ -103,7 +103,6 @@ def quality_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         line_chars=line_chars, good_line_chars=good_chars)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     lines_ok = 100 * (F.col("line_chars") - F.col("good_line_chars")) <= MAX_LOST_PERCENT * F.col("line_chars")
-    return out.select(
+    return unpack(out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "line_chars",
-        "good_line_chars", failed.alias("base_failed"), (~failed & lines_ok).alias("kept"),
-        *[F.col("carried")[c].alias(c) for c in keep])
+        "good_line_chars", failed.alias("base_failed"), (~failed & lines_ok).alias("kept"), "carried"), keep)

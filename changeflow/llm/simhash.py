@@ -278,8 +278,8 @@ def one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     first = rows.groupBy("component").agg(F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "row")).alias("r"))
     key = lambda i, row: F.concat_ws(":", F.coalesce(i.cast("string"), F.lit("null")), row.cast("string"))
     stay = materialize(first.select(key(F.col("r.id"), F.col("r.row")).alias("_key")), "simhash-stay")
-    keyed = docs.withColumn("_key", key(F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`").cast("string"))))
-    kept = keyed.join(stay, "_key")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept")
+    keyed = docs.select(key(F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`").cast("string"))).alias("_key"), whole)
     # Rows equal in id and text share a key; one of them stays.
     nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0)))
-    return kept.withColumn("_nth", nth).where("_nth = 1").drop("_key", "_nth")
+    return keyed.join(stay, "_key").withColumn("_nth", nth).where("_nth = 1").select("kept.*")
