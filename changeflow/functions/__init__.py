@@ -6,12 +6,9 @@ from changeflow.functions.time import (
 from changeflow.functions.cdc import (
     change_label, decode_decimal_base64, parse_event_time, message_operation,
 )
-from changeflow.functions.coerce import (
-    vfield, vpresent, to_double_or, to_int_or, to_long, to_string,
-)
+from changeflow.functions.coerce import vpresent
 
 __all__ = [
     "resolve_as_of", "since_day_start", "since_minutes", "seconds_between", "same_day",
-    "change_label", "decode_decimal_base64", "parse_event_time", "message_operation",
-    "vfield", "vpresent", "to_double_or", "to_int_or", "to_long", "to_string",
+    "change_label", "decode_decimal_base64", "parse_event_time", "message_operation", "vpresent",
 ]

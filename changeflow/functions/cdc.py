@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,11 +13,9 @@ UNKNOWN_LABEL = "UNKNOWN"
 
 
 def change_label(op: Column) -> Column:
-    """c→INSERT, u→UPDATE, d→DELETE, r→SNAPSHOT, anything else (NULL too) → UNKNOWN."""
-    expr = F.when(op == "c", "INSERT")
-    for code in ("u", "d", "r"):
-        expr = expr.when(op == code, CHANGE_LABELS[code])
-    return expr.otherwise(UNKNOWN_LABEL)
+    """The label of an op code; anything else (NULL too) → UNKNOWN."""
+    known = F.create_map(*[F.lit(x) for pair in CHANGE_LABELS.items() for x in pair])
+    return F.coalesce(F.try_element_at(known, op), F.lit(UNKNOWN_LABEL))
 
 
 def message_operation(op: Column) -> Column:
@@ -26,28 +26,40 @@ def message_operation(op: Column) -> Column:
 def decode_decimal_base64(encoded: Column, scale: int = 2) -> Column:
     """Decode a connector's base64 big-endian two's-complement unscaled decimal.
 
-    'Jw8=' → 99.99, '2PE=' → -99.99 at scale 2. Up to 8 bytes (any 64-bit
-    unscaled value; the result is ``decimal(20, scale)``); longer or
-    undecodable input → NULL. Exact, built-ins only: the hex digits are
-    sign-extended to 16 nibbles and read as a signed 64-bit number by
-    ``conv(…, 16, -10)``.
+    'Jw8=' → 99.99, '2PE=' → -99.99 at scale 2. The result is
+    ``decimal(38, scale)``; input that is not base64, empty, wider than 16 bytes
+    or beyond 38 digits → NULL (:func:`changeflow.operators.cdc.flatten_envelope`
+    rejects such rows by reason). Exact, built-ins only: the sign-extended hex
+    digits are read as a signed high and an unsigned low 64-bit half by ``conv``.
     """
-    raw = F.unbase64(encoded)
+    raw = F.try_to_binary(encoded, F.lit("base64"))
     nbytes = F.octet_length(raw)
     hexed = F.hex(raw)
     negative = F.conv(F.substring(hexed, 1, 1), 16, 10).cast("int") >= 8
-    extended = F.when(negative, F.lpad(hexed, 16, "F")).otherwise(F.lpad(hexed, 16, "0"))
-    unscaled = F.conv(extended, 16, -10).cast("decimal(20,0)")
-    value = (unscaled / F.lit(10 ** scale)).cast(f"decimal(20,{scale})")
-    return F.when((nbytes >= 1) & (nbytes <= 8), value)
+    extended = F.when(negative, F.lpad(hexed, 32, "F")).otherwise(F.lpad(hexed, 32, "0"))
+    high = F.conv(F.substring(extended, 1, 16), 16, -10).cast("decimal(20,0)")
+    low = F.conv(F.substring(extended, 17, 16), 16, 10).cast("decimal(20,0)")
+    unscaled = F.try_add(F.try_multiply(high, F.lit(Decimal(1 << 64))), low)
+    # Scaled by moving the point in the digits: a division would round.
+    digits = F.lpad(F.abs(unscaled).cast("string"), F.greatest(F.length(F.abs(unscaled).cast("string")), F.lit(scale + 1)), F.lit("0"))
+    text = F.concat(F.when(unscaled < 0, "-").otherwise(""), F.substring(digits, F.lit(1), F.length(digits) - scale),
+                    F.lit("."), F.right(digits, F.lit(scale)))
+    return F.when((nbytes >= 1) & (nbytes <= 16), text.try_cast(f"decimal(38,{scale})"))
+
+
+# Epoch units of event times that arrive as numbers.
+EPOCH_UNITS = {"seconds": F.timestamp_seconds, "millis": F.timestamp_millis, "micros": F.timestamp_micros}
 
 
-def parse_event_time(text: Column) -> Column:
-    """Timestamp from epoch micros (all digits) or ISO-8601 / SQL text.
+def parse_event_time(text: Column, epoch_unit: str = "micros") -> Column:
+    """Timestamp from an epoch number (all digits, in ``epoch_unit``) or ISO-8601 / SQL text.
 
-    Text follows Spark's timestamp cast rules: date only, ``T`` or space
-    separator, 0-6 fraction digits, optional ``Z`` / offset (converted to the
-    session time zone). Unparseable text → NULL.
+    The unit is the source's and never guessed from the number. Text follows
+    Spark's timestamp cast rules: date only, ``T`` or space separator, 0-6
+    fraction digits, optional ``Z`` / offset (converted to the session time
+    zone). Unparseable text → NULL.
     """
-    digits = text.rlike(r"^-?[0-9]{10,}$")
-    return F.when(digits, F.timestamp_micros(text.cast("bigint"))).otherwise(F.try_to_timestamp(text))
+    if epoch_unit not in EPOCH_UNITS:
+        raise ValueError(f"epoch_unit must be one of {sorted(EPOCH_UNITS)}")
+    digits = text.rlike(r"^-?[0-9]{5,}$")          # four digits are a year
+    return F.when(digits, EPOCH_UNITS[epoch_unit](text.try_cast("bigint"))).otherwise(F.try_to_timestamp(text))

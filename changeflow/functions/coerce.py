@@ -1,11 +1,4 @@
-"""Tolerant field access on a parsed JSON ``VARIANT``.
-
-Semantics follow Python's ``float(x)`` / ``int(x)`` with fallbacks: a key that
-is present with an unusable value (NULL, wrong text) takes the default, a key
-that is absent stays absent (NULL) — the two cases are told apart because
-``try_variant_get(v, path, 'variant')`` is a variant-null for a present JSON
-null and SQL NULL for a missing key.
-"""
+"""Key presence in a parsed JSON ``VARIANT``."""
 
 from __future__ import annotations
 
@@ -13,36 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def vfield(v: Column, path: str) -> Column:
-    return F.try_variant_get(v, path, "variant")
-
-
 def vpresent(v: Column, path: str) -> Column:
-    """Key exists (its value may be JSON null)."""
-    return vfield(v, path).isNotNull()
-
-
-def vnonnull(v: Column, path: str) -> Column:
-    """Key exists and its value is not JSON null."""
-    f = vfield(v, path)
-    return f.isNotNull() & ~F.is_variant_null(f)
-
-
-def to_double_or(v: Column, path: str, default: float) -> Column:
-    """float(x) if present, ``default`` on failure or null, NULL if absent."""
-    return F.when(vpresent(v, path),
-                  F.coalesce(F.try_variant_get(v, path, "double"), F.lit(float(default))))
-
-
-def to_int_or(v: Column, path: str, default: int) -> Column:
-    """int(x) if present (2.7 → 2, "5" → 5, "2.7" → default), NULL if absent."""
-    return F.when(vpresent(v, path),
-                  F.coalesce(F.try_variant_get(v, path, "int"), F.lit(int(default))))
-
-
-def to_long(v: Column, path: str) -> Column:
-    return F.try_variant_get(v, path, "bigint")
-
-
-def to_string(v: Column, path: str) -> Column:
-    return F.try_variant_get(v, path, "string")
+    """Key exists. Its value may be JSON null: ``try_variant_get(v, path, 'variant')`` is a
+    variant-null for a present JSON null and SQL NULL for a missing key."""
+    return F.try_variant_get(v, path, "variant").isNotNull()

@@ -20,17 +20,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def resolve_as_of(df: DataFrame, as_of, ts_col: str = "order_date") -> Column:
+# Day column of an orders table (see warehouse.write_orders_by_day).
+DAY_PARTITION = "order_day"
+
+
+def resolve_as_of(df: DataFrame, as_of, ts_col: str = "order_date", day_col: str = DAY_PARTITION) -> Column:
     if as_of is None:
         return F.localtimestamp()
     if isinstance(as_of, Column):
         return as_of
     if isinstance(as_of, str) and as_of == "latest":
-        if DAY_PARTITION in df.columns:
-            # Day-partitioned table: find the newest day from the partition
-            # column, then read only that day's data for the exact maximum.
-            last_day = df.select(F.max(DAY_PARTITION)).scalar()
-            return df.where(F.col(DAY_PARTITION) >= last_day).select(F.max(ts_col)).scalar()
+        if day_col in df.columns:
+            # Find the newest day from the day column (on a partitioned table
+            # from its folders), then read only that day for the exact maximum.
+            last_day = df.select(F.max(day_col)).scalar()
+            return df.where(F.col(day_col) >= last_day).select(F.max(ts_col)).scalar()
         return df.select(F.max(ts_col)).scalar()
     if isinstance(as_of, (_dt.datetime, _dt.date, str)):
         return F.lit(as_of).cast("timestamp_ntz")
@@ -61,10 +65,6 @@ def seconds_between(later: Column, earlier: Column) -> Column:
     return micros.cast("double") / F.lit(1_000_000.0)
 
 
-# Day partition column of a stored orders table (see warehouse.write_orders_by_day).
-DAY_PARTITION = "order_day"
-
-
 def last_days(df: DataFrame, anchor: Column, days: int, ts_col: str = "order_date") -> DataFrame:
     """Rows of the last ``days`` calendar days before ``anchor`` (midnight aligned).
 

@@ -104,11 +104,14 @@ def validate_required(decoded: DataFrame, fields=REQUIRED_FIELDS) -> DataFrame:
         if f in fields:
             check = check.when(F.try_variant_get(F.col("_fields")[f], "$", "bigint").isNull(),
                                f"invalid_type:{f}")
+    # A number that no 64-bit integer holds is neither kept nor replaced by the default.
+    size = F.abs(F.try_variant_get(F.col("_fields")["quantity"], "$", "double"))
+    check = check.when(size >= F.lit(2.0 ** 63), "out_of_range:quantity")
     return settle(decoded.withColumn("reject_reason", F.coalesce(F.col("reject_reason"), check)))
 
 
 # Typed view of the record image (fixed field list of the order shape).
-_IMAGE_TYPE = ("struct<id bigint, customer_id bigint, product_id string, quantity int, "
+_IMAGE_TYPE = ("struct<id bigint, customer_id bigint, product_id string, quantity bigint, "
                "price double, order_date string, status string>")
 
 
@@ -120,7 +123,7 @@ def coerce_and_enrich(validated: DataFrame) -> DataFrame:
     """
     typed = validated.select("*", F.try_variant_get("image", "$", _IMAGE_TYPE).alias("_t"))
     price = F.when(_present("price"), F.coalesce(F.col("_t.price"), F.lit(0.0)))
-    qty = F.when(_present("quantity"), F.coalesce(F.col("_t.quantity"), F.lit(1)))
+    qty = F.when(_present("quantity"), F.coalesce(F.col("_t.quantity"), F.lit(1).cast("bigint")))
     step = typed.select("*", price.alias("price"), qty.alias("quantity"))
     return step.select(
         *[c for c in validated.columns if c != "_fields"],
@@ -154,18 +157,22 @@ def decode_envelope(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """``from_json`` with the envelope schema, then ``cdc_event.*``.
 
     Malformed text, ``{}`` and NULL values become all-NULL rows (labelled
-    UNKNOWN later); ``reject_reason`` tells them apart.
+    UNKNOWN later); ``reject_reason`` tells them apart, and names events
+    without a record image (``empty_image``) or a readable id (``null_key``).
     """
     parsed = F.from_json(F.col(value_col), ENVELOPE)
     out = raw.select("*", parsed.alias("_e")).select(
         *[c for c in raw.columns], "_e.*", F.current_timestamp().alias("processed_at"))
     empty = (F.col("op").isNull() & F.col("before").isNull() & F.col("after").isNull()
              & F.col("source").isNull())
+    image = record_image(F.col("op"), F.col("before"), F.col("after"))
     return settle(out.withColumn("reject_reason",
                                  F.when(F.col(value_col).isNull(), "null_value")
                                  .when(empty, "unreadable")
                                  .when(~F.coalesce(F.col("op").isin("c", "u", "d", "r"), F.lit(False)),
-                                       "unsupported_op")))
+                                       "unsupported_op")
+                                 .when(image.isNull(), "empty_image")
+                                 .when(image["id"].isNull(), "null_key")))
 
 
 def record_image(op: Column, before: Column, after: Column, snapshot_uses_after: bool = True) -> Column:
@@ -178,12 +185,17 @@ def record_image(op: Column, before: Column, after: Column, snapshot_uses_after:
     return F.when(op.isin(*ops), after).otherwise(before)
 
 
-def flatten_envelope(decoded: DataFrame, snapshot_uses_after: bool = True, keep: tuple = ()) -> DataFrame:
+def flatten_envelope(decoded: DataFrame, snapshot_uses_after: bool = True, keep: tuple = (),
+                     epoch_unit: str = "micros") -> DataFrame:
     """The 13-column flat change record (P4) plus the decoded amount.
 
-    ``keep`` names input columns to carry along (e.g. an event id).
+    ``keep`` names input columns to carry along (e.g. an event id), ``epoch_unit``
+    is the unit of numeric event times. An amount that cannot be decoded
+    is a reject (``invalid_amount``), not a silent NULL.
     """
     rec = record_image(F.col("op"), F.col("before"), F.col("after"), snapshot_uses_after)
+    amount = decode_decimal_base64(rec["total_amount"], 2)
+    bad_amount = F.when(rec["total_amount"].isNotNull() & amount.isNull(), "invalid_amount")
     return decoded.select(
         *keep,
         F.col("op").alias("operation"),
@@ -197,10 +209,10 @@ def flatten_envelope(decoded: DataFrame, snapshot_uses_after: bool = True, keep:
         rec["customer_email"].alias("customer_email"),
         rec["total_amount"].alias("total_amount_encoded"),
         rec["status"].alias("status"),
-        parse_event_time(rec["created_at"]).cast("timestamp_ntz").alias("order_created_at"),
-        parse_event_time(rec["updated_at"]).cast("timestamp_ntz").alias("order_updated_at"),
-        decode_decimal_base64(rec["total_amount"], 2).alias("total_amount"),
-        "reject_reason",
+        parse_event_time(rec["created_at"], epoch_unit).cast("timestamp_ntz").alias("order_created_at"),
+        parse_event_time(rec["updated_at"], epoch_unit).cast("timestamp_ntz").alias("order_updated_at"),
+        amount.alias("total_amount"),
+        F.coalesce("reject_reason", bad_amount).alias("reject_reason"),
     )
 
 
@@ -210,19 +222,21 @@ def decode_flat(raw: DataFrame, value_col: str = "value", ts_col: str | None = "
 
     A NULL value is a tombstone and is skipped; ``__deleted = 'true'`` means a
     delete; otherwise ``__op``, and without it an upsert (``c``). Key presence
-    is kept for the loader's defaults (``unit_price_present``).
+    is kept for the loader's defaults (``<key>_present``), the record's own
+    ``timestamp`` as text, and the whole record as ``record`` (VARIANT).
     """
     live = raw.where(F.col(value_col).isNotNull()).select("*", F.try_parse_json(F.col(value_col)).alias("_v"))
     v = F.col("_v")
     typed = live.select("*", F.try_variant_get(v, "$", _FLAT_TYPE).alias("_t"),
-                        vpresent(v, "$.unit_price").alias("unit_price_present"))
+                        *[vpresent(v, f"$.{k}").alias(f"{k}_present") for k in _DEFAULTED])
     t = F.col("_t")
     op = F.when(t["__deleted"] == "true", "d").otherwise(F.coalesce(t["__op"], F.lit("c")))
     return settle(typed.select(
         *raw.columns,
         *[t[c].alias(c) for c in ("order_id", "customer_id", "product_name", "quantity", "unit_price")],
-        "unit_price_present",
-        *[t[c].alias(c) for c in ("order_date", "status", "operation")],
+        *[f"{k}_present" for k in _DEFAULTED],
+        *[t[c].alias(c) for c in ("order_date", "status", "operation", "timestamp")],
+        v.alias("record"),
         op.alias("op"),
         change_label(op).alias("change_type"),
         _event_time(ts_col).alias("event_time"),
@@ -234,48 +248,59 @@ def decode_flat(raw: DataFrame, value_col: str = "value", ts_col: str | None = "
 # Typed view of a flat change record (fixed field list of the unwrapped shape).
 _FLAT_TYPE = ("struct<order_id int, customer_id int, product_name string, quantity int, "
               "unit_price decimal(10,2), order_date string, status string, operation string, "
-              "__op string, __deleted string>")
+              "timestamp string, __op string, __deleted string>")
+# Keys whose absence has another meaning than a JSON null (loader defaults).
+_DEFAULTED = ("unit_price", "operation", "timestamp")
 
 
 def etl_messages(flat: DataFrame, ts_col: str | None = "event_time", topic: str = "cdc-events",
-                 source: str = "orders-db", value_cols: tuple | None = None, keep: tuple = ()) -> DataFrame:
-    """Standard ETL message per change.
+                 source: str = "orders-db", keep: tuple = ()) -> DataFrame:
+    """Standard ETL message per usable change.
 
-    ``key`` = order id as text ('' when missing), ``value`` = JSON of
-    {key, value, timestamp, source, operation} with NULLs written out; the
-    Kafka sink takes (key, value) as is.
+    ``value`` = JSON of {topic, key, value, timestamp, source, operation}: the whole
+    record with its unknown keys and nulls, and the order id as text ('' when
+    missing) as key. The Kafka key is NULL without an order id, so such
+    messages spread over the partitions. Rejected events are not published.
     """
-    cols = value_cols or ("order_id", "customer_id", "product_name", "quantity", "unit_price",
-                          "order_date", "status", "operation")
-    key = F.coalesce(F.col("order_id").cast("string"), F.lit(""))
+    good = accepted(flat)
+    order_id = F.col("order_id").cast("string")
     ts = F.date_format(_event_time(ts_col), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     operation = message_operation(F.col("op"))
-    body = F.struct(key.alias("key"), F.struct(*[F.col(c) for c in cols]).alias("value"),
-                    ts.alias("timestamp"), F.lit(source).alias("source"), operation.alias("operation"))
-    return flat.select(
-        *keep, F.lit(topic).alias("topic"), key.alias("key"),
+    body = F.struct(F.lit(topic).alias("topic"), F.coalesce(order_id, F.lit("")).alias("key"),
+                    F.col("record").alias("value"), ts.alias("timestamp"), F.lit(source).alias("source"),
+                    operation.alias("operation"))
+    return good.select(
+        *keep, F.lit(topic).alias("topic"), order_id.alias("key"),
         F.to_json(body, {"ignoreNullFields": "false"}).alias("value"),
         ts.alias("timestamp"), F.lit(source).alias("source"), operation.alias("operation"))
 
 
 # ------------------------------------------------------------- change apply
+def is_delete(op_col: str, delete_ops=("d",)) -> Column:
+    """Whether a change deletes its key; a change without an op code does not."""
+    return F.coalesce(F.col(op_col).isin(*delete_ops), F.lit(False))
+
+
 def current_state(changes: DataFrame, key: str, order_by: list[str], *, op_col: str = "op",
                   delete_ops=("d",), columns: list[str] | None = None,
                   keep_tombstones: bool = False) -> DataFrame:
     """Latest row per key; keys whose latest change is a delete disappear.
 
-    ``max_by(struct, ordering)`` is an ordinary aggregate, so it combines
-    map-side: a key holding a third of all changes is reduced per partition
-    before the shuffle, never gathered into one task.
+    ``max_by`` combines map-side: a key holding a third of all changes is
+    reduced per partition before the shuffle, never gathered into one task.
+    Its struct buffer makes Spark aggregate by sorting inside each task; a
+    hash aggregate of the order alone with a join back would decode every
+    change twice, which costs more. Rows without a key are no state.
     """
     cols = columns or [c for c in changes.columns if c != key]
     carried = list(dict.fromkeys(cols + [op_col]))
+    keyed = changes.where(F.col(key).isNotNull())
     ordering = F.struct(*[F.col(c) for c in order_by])
-    latest = changes.groupBy(key).agg(F.max_by(F.struct(*carried), ordering).alias("_l"))
+    latest = keyed.groupBy(key).agg(F.max_by(F.struct(*carried), ordering).alias("_l")).select(
+        key, *[F.col(f"_l.{c}").alias(c) for c in carried])
     if keep_tombstones:
-        return latest.select(key, *[F.col(f"_l.{c}").alias(c) for c in carried])
-    return (latest.where(~F.col(f"_l.{op_col}").isin(*delete_ops))
-            .select(key, *[F.col(f"_l.{c}").alias(c) for c in cols]))
+        return latest
+    return latest.where(~is_delete(op_col, delete_ops)).select(key, *cols)
 
 
 def dedup_events(df: DataFrame, keys: list[str], *, ts_col: str | None = None,

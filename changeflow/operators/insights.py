@@ -58,15 +58,45 @@ def insights_json(bundle: DataFrame) -> DataFrame:
 def export_insights(bundle: DataFrame, path: str) -> None:
     """Write the bundle JSON as a text file under ``path`` (one small file by nature).
 
-    As in the reference, a failure while computing the bundle is reported in
-    the document (``{"error": ...}``) instead of leaving no output.
+    A failure while computing the bundle is written as the document
+    (``{"error": ...}``), as in the reference, and raised.
     """
     try:
         insights_json(bundle).write.mode("overwrite").text(path)
-    except Exception as exc:  # noqa: BLE001 — reported in the exported document
+    except Exception as exc:  # noqa: BLE001 — recorded in the exported document, then raised
         spark = bundle.sparkSession
-        spark.range(1).select(F.to_json(F.struct(F.lit(str(exc)[:2000]).alias("error"))).alias("json")) \
+        spark.range(1).select(F.to_json(F.struct(F.lit(str(exc)).alias("error"))).alias("json")) \
             .write.mode("overwrite").text(path)
+        raise
+
+
+def insights_rows(bundle: DataFrame) -> DataFrame:
+    """The bundle as long rows (section, rank, item, measure, value): one per number in the document.
+
+    ``rank`` is the position in a list section (from 1, else 0), ``item`` its key as text.
+    """
+    kinds = bundle.schema
+    parts = []
+
+    def numbers(section: str, struct, fields, rank, item) -> list:
+        return [F.struct(F.lit(section).alias("section"), rank.cast("int").alias("rank"), item.cast("string").alias("item"),
+                         F.lit(f.name).alias("measure"), struct[f.name].cast("double").alias("value"))
+                for f in fields if f.dataType.typeName() in ("long", "integer", "double")]
+
+    def lines(section: str, key: str, fields):
+        return lambda z: F.array(*numbers(section, z["x"], fields, z["i"], z["x"][key]))
+
+    none = F.lit("")
+    for section in ("summary", "recent_trend", "real_time"):
+        parts.append(F.array(*numbers(section, F.col(section), kinds[section].dataType.fields, F.lit(0), none)))
+    for section, key in (("top_customers", "customer_id"), ("top_products", "product_id"), ("status_distribution", "status")):
+        fields = [f for f in kinds[section].dataType.elementType.fields if f.name != key]
+        ranks = F.sequence(F.lit(1), F.size(section))
+        parts.append(F.flatten(F.transform(F.arrays_zip(ranks.alias("i"), F.col(section).alias("x")),
+                                           lines(section, key, fields))))
+    parts.append(F.array(F.struct(F.lit("recent_anomalies").alias("section"), F.lit(0).alias("rank"), none.alias("item"),
+                                  F.lit("count").alias("measure"), F.col("recent_anomalies").cast("double").alias("value"))))
+    return bundle.select(F.inline(F.concat(*parts)))
 
 
 def execute_query(spark: SparkSession, sql: str, params: dict | None = None, **frames: DataFrame) -> DataFrame:

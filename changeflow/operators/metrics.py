@@ -59,11 +59,13 @@ def pipeline_health(orders: DataFrame, decoded: DataFrame | None = None, as_of=N
         F.max("order_date").alias("latest_order"),
         F.count(F.when(since_minutes(F.col("order_date"), anchor, window_minutes), 1)).alias("orders_in_window"))
     if decoded is not None:
+        lag = (F.unix_micros(F.col("_processed_at").cast("timestamp"))
+               - F.unix_micros(F.col("_cdc_timestamp").cast("timestamp")))
         q = decoded.agg(F.struct(
             F.try_divide(F.count(F.when(F.col("reject_reason").isNotNull(), 1)).cast("double"),
                          F.count(F.lit(1)).cast("double")).alias("error_rate"),
-            (F.avg(F.unix_micros(F.col("_processed_at").cast("timestamp"))
-                   - F.unix_micros(F.col("_cdc_timestamp").cast("timestamp"))) / 1000.0).alias("latency_ms"),
+            F.try_divide(F.sum(lag.cast("decimal(38,0)")).cast("double"), F.count(lag).cast("double") * 1000.0)
+            .alias("latency_ms"),
         )).scalar()
         err, lat = F.coalesce(q["error_rate"], F.lit(0.0)), q["latency_ms"]
     else:

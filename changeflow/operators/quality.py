@@ -25,24 +25,30 @@ def quality_report(decoded: DataFrame) -> DataFrame:
                       .alias("share"))
 
 
-# Columns of the JSON record written by the line sink (payload path).
-JSON_FIELDS = ("id", "customer_id", "product_id", "quantity", "price", "order_date", "status", "total_amount",
-               "_cdc_operation", "_cdc_timestamp", "_deleted", "_processed", "_pipeline_version")
-
+# Keys that processing sets on a record, in the order they are written.
+PROCESSED_KEYS = ("price", "quantity", "total_amount", "_cdc_operation", "_cdc_timestamp", "_deleted", "_processed",
+                  "_pipeline_version")
 
 # Timestamps are written as ISO-8601 with microseconds (fixed format).
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
-def json_lines(records: DataFrame, fields=JSON_FIELDS) -> DataFrame:
+def json_lines(records: DataFrame, processed=PROCESSED_KEYS) -> DataFrame:
     """One JSON document per record (K7); write with ``.write.text``.
 
-    Absent (NULL) fields are left out, timestamps keep their microseconds.
+    The whole record as it came, unknown keys and explicit nulls included, with
+    the coerced and added keys in place of its own. A processed key that is NULL was
+    absent and stays absent. ``records`` comes from ``coerce_and_enrich``.
     """
-    cols = [c for c in fields if c in records.columns]
     keep = [c for c in ("event_id",) if c in records.columns]
-    opts = {"timestampNTZFormat": ISO_MICROS, "timestampFormat": ISO_MICROS}
-    return records.select(*keep, F.to_json(F.struct(*cols), opts).alias("json"))
+    times = {f.name for f in records.schema.fields if f.dataType.typeName() in ("timestamp", "timestamp_ntz")}
+    text = {c: F.date_format(c, ISO_MICROS) if c in times else F.col(c) for c in processed}
+    added = F.map_from_entries(F.filter(
+        F.array(*[F.struct(F.lit(c).alias("key"), text[c].cast("variant").alias("value")) for c in processed]),
+        lambda e: e["value"].isNotNull()))
+    own = F.map_filter(F.try_variant_get("image", "$", "map<string,variant>"),
+                       lambda k, v: ~F.array_contains(F.map_keys(added), k))
+    return records.select(*keep, F.to_json(F.map_concat(own, added)).alias("json"))
 
 
 def first_n(records: DataFrame, n: int, order_col: str) -> DataFrame:

@@ -10,19 +10,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType, TimestampType
 
 from changeflow.functions.cdc import parse_event_time
 from changeflow.functions.time import resolve_as_of, same_day
 from changeflow.operators.cdc import settle
-from changeflow.schemas import ORDER_EVENT_REQUIRED
+from changeflow.schemas import (
+    DAILY_ORDER_SUMMARY, DAILY_SUMMARY_PARTITIONS, DIM_CUSTOMER, ORDER, ORDER_EVENT, ORDER_EVENT_PARTITIONS,
+    ORDER_EVENT_REQUIRED,
+)
+from changeflow.streaming.sinks import MANUAL, BatchSink
 
 
 def load_order_events(flat: DataFrame, processed_at: Column | None = None) -> DataFrame:
     """Map decoded flat changes onto the ``order_events`` fact shape (K4, K5).
 
-    Defaults as in the reference: ``unit_price`` → 0 only when the key is
-    missing (a JSON null fails), ``event_type`` → 'INSERT', ``source_timestamp``
-    → load time. ``total_amount`` is the generated column quantity × unit_price.
+    Defaults are for a missing key only, a JSON null fails: ``unit_price`` → 0,
+    ``operation`` → 'INSERT', the record's ``timestamp`` → the event's time.
+    ``total_amount`` is the generated column quantity × unit_price.
     ``processed_at`` defaults to load time; backfills pass the event time.
     """
     unit_price = F.when(F.col("unit_price_present"), F.col("unit_price")).otherwise(
@@ -34,9 +39,10 @@ def load_order_events(flat: DataFrame, processed_at: Column | None = None) -> Da
         (F.col("quantity") * unit_price).cast("decimal(12,2)").alias("total_amount"),
         parse_event_time(F.col("order_date")).cast("timestamp_ntz").alias("order_date"),
         F.col("status"),
-        F.coalesce(F.col("operation"), F.lit("INSERT")).alias("event_type"),
+        F.when(F.col("operation_present"), F.col("operation")).otherwise("INSERT").alias("event_type"),
         (processed_at if processed_at is not None else F.current_timestamp()).alias("processed_at"),
-        F.coalesce(F.col("event_time").cast("timestamp_ntz"), F.localtimestamp()).alias("source_timestamp"),
+        F.when(F.col("timestamp_present"), parse_event_time(F.col("timestamp")).cast("timestamp_ntz"))
+         .otherwise(F.coalesce(F.col("event_time").cast("timestamp_ntz"), F.localtimestamp())).alias("source_timestamp"),
         F.col("reject_reason").alias("_upstream_reason"),
     )
     check = None
@@ -46,41 +52,85 @@ def load_order_events(flat: DataFrame, processed_at: Column | None = None) -> Da
                   .drop("_upstream_reason"))
 
 
-def append_order_events(loaded: DataFrame, path: str, batch_id: int | None = None) -> None:
-    """Append accepted fact rows in the ``order_events`` layout (partitioned by
-    ``processed_date``). With ``batch_id`` (from ``foreachBatch``) the batch
-    goes to its own sub-partition with overwrite, so a replay cannot duplicate."""
-    rows = (loaded.where(F.col("reject_reason").isNull()).drop("reject_reason")
-            .withColumn("processed_date", F.to_date("processed_at")))
-    if batch_id is None:
-        rows.write.mode("append").partitionBy("processed_date").parquet(path)
-    else:
-        (rows.withColumn("batch_id", F.lit(int(batch_id))).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("processed_date", "batch_id").parquet(path))
+def _fitted(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` with the columns and types of a warehouse table; columns it lacks are NULL."""
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in schema.fields])
+
+
+class OrderEventsSink(BatchSink):
+    """``foreachBatch`` handler appending accepted fact rows in the ``order_events`` layout.
+
+    A batch owns the folder ``stream=<id>/batch_id=<n>``, written with overwrite and
+    partitioned by ``processed_date`` inside: a replay replaces the batch even on
+    another day. ``table`` names the catalog table over ``path``; the batch's
+    partitions are registered with it.
+    """
+
+    def __init__(self, path: str, table: str | None = None):
+        self.path, self.table = path.rstrip("/"), table
+
+    def __call__(self, batch: DataFrame, batch_id: int, stream: str = MANUAL) -> None:
+        rows = _fitted(batch.where(F.col("reject_reason").isNull()), ORDER_EVENT)
+        folder = f"{self.path}/stream={stream}/batch_id={int(batch_id)}"
+        (rows.withColumn("processed_date", F.to_date("processed_at"))
+         .write.mode("overwrite").partitionBy("processed_date").parquet(folder))
+        if self.table:
+            spark = batch.sparkSession
+            own = f"stream = '{stream}', batch_id = {int(batch_id)}"
+            schema = StructType([*ORDER_EVENT.fields, StructField("processed_date", DateType())])
+            # One row per day of the batch: read from the folder names.
+            days = {r[0] for r in spark.read.schema(schema).parquet(folder).select("processed_date").distinct().collect()}
+            before = spark.sql(f"SHOW PARTITIONS {self.table} PARTITION ({own})").collect()
+            for day in sorted({r[0].rsplit("=", 1)[1] for r in before} - {str(d) for d in days}):
+                spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION ({own}, processed_date = DATE '{day}')")
+            for day in sorted(days):
+                spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS PARTITION ({own}, processed_date = DATE '{day}') "
+                          f"LOCATION '{folder}/processed_date={day}'")
+
+
+def append_order_events(loaded: DataFrame, path: str, batch_id: int, stream: str = MANUAL,
+                        table: str | None = None) -> None:
+    """Append one batch of accepted fact rows; see :class:`OrderEventsSink`."""
+    OrderEventsSink(path, table)(loaded, batch_id, stream)
 
 
 def write_daily_summary(summary: DataFrame, path: str) -> None:
     """Store ``daily_order_summary`` rows, replacing only the days present in
     ``summary`` (dynamic partition overwrite by ``summary_date``)."""
-    (summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    schema = StructType([*DAILY_ORDER_SUMMARY.fields, *DAILY_SUMMARY_PARTITIONS.fields])
+    (_fitted(summary, schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("summary_date").parquet(path))
 
 
+def _day_measures() -> list[Column]:
+    revenue = F.sum(F.col("quantity") * F.col("unit_price")).cast("double")
+    return [F.count(F.lit(1)).alias("total_events"), F.count_distinct("order_id").alias("unique_orders"),
+            F.count_distinct("customer_id").alias("unique_customers"),
+            F.coalesce(revenue, F.lit(0.0)).alias("total_revenue")]
+
+
 def daily_stats(order_events: DataFrame, day=None) -> DataFrame:
-    """Events processed on ``day`` (default today; ``"latest"`` = newest day)."""
-    anchor = resolve_as_of(order_events, day, ts_col="processed_at")
+    """Events processed on ``day`` (default today; ``"latest"`` = newest day).
+
+    On the stored table ``"latest"`` is found from the ``processed_date`` partitions, and only that
+    day is read. Elsewhere all days are aggregated in one pass and the newest is kept, so
+    the input is not computed twice.
+    """
+    stored = "processed_date" in order_events.columns           # partition column of the stored table
+    if isinstance(day, str) and day == "latest" and not stored:
+        days = order_events.groupBy(F.to_date("processed_at").alias("date")).agg(*_day_measures())
+        row = F.struct("total_events", "unique_orders", "unique_customers", "total_revenue")
+        newest = days.agg(F.max("date").alias("date"), F.max_by(row, F.col("date")).alias("r"))
+        return newest.select("date", *[F.coalesce(F.col(f"r.{c}"), F.lit(0)).cast(t).alias(c) for c, t in (
+            ("total_events", "bigint"), ("unique_orders", "bigint"), ("unique_customers", "bigint"),
+            ("total_revenue", "double"))])
+    anchor = resolve_as_of(order_events, day, ts_col="processed_at", day_col="processed_date")
     ts_type = order_events.schema["processed_at"].dataType.simpleString()
     today = order_events.where(same_day(F.col("processed_at"), anchor, ts_type))
-    if "processed_date" in order_events.columns:           # partition column of the stored table
+    if stored:
         today = today.where(F.col("processed_date") == F.to_date(anchor))
-    return today.agg(
-        F.to_date(anchor).alias("date"),
-        F.count(F.lit(1)).alias("total_events"),
-        F.count_distinct("order_id").alias("unique_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.coalesce(F.sum(F.col("quantity") * F.col("unit_price")).cast("double"), F.lit(0.0))
-        .alias("total_revenue"),
-    )
+    return today.agg(F.to_date(anchor).alias("date"), *_day_measures())
 
 
 def dim_customers(customers: DataFrame, key: str = "customer_id", order_by: str | None = None) -> DataFrame:
@@ -141,36 +191,35 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None
      .partitionBy("year", "month").parquet(path))
 
 
-# Table definitions of the warehouse (K9), as Spark DDL over parquet.
-WAREHOUSE_DDL = {
-    "order_events": """CREATE TABLE IF NOT EXISTS {db}order_events (
-        event_id BIGINT, order_id INT, customer_id INT, product_name STRING, quantity INT,
-        unit_price DECIMAL(10,2), total_amount DECIMAL(12,2), order_date TIMESTAMP_NTZ, status STRING,
-        event_type STRING, processed_at TIMESTAMP, source_timestamp TIMESTAMP_NTZ, processed_date DATE)
-        USING parquet PARTITIONED BY (processed_date){location}""",
-    "dim_customers": """CREATE TABLE IF NOT EXISTS {db}dim_customers (
-        customer_id BIGINT, customer_name STRING, customer_email STRING, created_at TIMESTAMP,
-        updated_at TIMESTAMP) USING parquet{location}""",
-    "daily_order_summary": """CREATE TABLE IF NOT EXISTS {db}daily_order_summary (
-        summary_date DATE, total_orders BIGINT, total_revenue DOUBLE, avg_order_value DOUBLE,
-        unique_customers BIGINT) USING parquet{location}""",
-    "orders": """CREATE TABLE IF NOT EXISTS {db}orders (
-        id BIGINT, customer_id BIGINT, product_id STRING, quantity INT, price DECIMAL(12,2),
-        order_date TIMESTAMP_NTZ, status STRING, created_at TIMESTAMP, updated_at TIMESTAMP)
-        USING parquet{location}""",
+# The warehouse tables (K9): columns and partition columns.
+WAREHOUSE_TABLES = {
+    "order_events": (ORDER_EVENT, ORDER_EVENT_PARTITIONS),
+    "dim_customers": (DIM_CUSTOMER, StructType()),
+    "daily_order_summary": (DAILY_ORDER_SUMMARY, DAILY_SUMMARY_PARTITIONS),
+    "orders": (StructType([*ORDER.fields, StructField("created_at", TimestampType()),
+                           StructField("updated_at", TimestampType())]), StructType()),
 }
 
 
+def table_ddl(name: str, db: str = "", location: str = "") -> str:
+    """``CREATE TABLE IF NOT EXISTS`` of a warehouse table, made from its schema."""
+    columns, partitions = WAREHOUSE_TABLES[name]
+    cols = ", ".join(f"{f.name} {f.dataType.simpleString().upper()}" for f in [*columns.fields, *partitions.fields])
+    by = f" PARTITIONED BY ({', '.join(partitions.names)})" if partitions.fields else ""
+    return f"CREATE TABLE IF NOT EXISTS {db}{name} ({cols}) USING parquet{by}{location}"
+
+
 def create_tables(spark, base_path: str | None = None, database: str | None = None) -> list[str]:
     """Create the warehouse tables if missing; returns the table names.
 
     With ``base_path`` each table lives in ``<base_path>/<name>`` (external);
-    the fact table is partitioned by processing date so daily reports prune.
+    the fact table is partitioned by stream, batch and processing date, so
+    replays replace and daily reports prune.
     """
     db = f"{database}." if database else ""
     made = []
-    for name, ddl in WAREHOUSE_DDL.items():
+    for name in WAREHOUSE_TABLES:
         loc = f" LOCATION '{base_path.rstrip('/')}/{name}'" if base_path else ""
-        spark.sql(ddl.format(db=db, location=loc))
+        spark.sql(table_ddl(name, db, loc))
         made.append(f"{db}{name}")
     return made

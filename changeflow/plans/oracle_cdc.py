@@ -21,10 +21,12 @@ PAYLOAD_TEXT = """CASE
     || '","' || CASE WHEN op = 'd' THEN 'before' ELSE 'after' END || '":{"id":' || cast(id AS varchar)
     || CASE WHEN event_id % 89 = 0 THEN '' ELSE ',"customer_id":' || cast(user_id AS varchar) END
     || ',"product_id":"' || product_id
-    || '","quantity":' || CASE WHEN event_id % 79 = 0 THEN '"x"' ELSE cast(quantity AS varchar) END
+    || '","quantity":' || CASE WHEN event_id % 79 = 0 THEN '"x"' WHEN event_id % 101 = 0 THEN '3000000000'
+                               ELSE cast(quantity AS varchar) END
     || ',"price":' || CASE WHEN event_id % 83 = 0 THEN '"invalid"' WHEN event_id % 67 = 0 THEN 'null'
-                           ELSE cast(value AS varchar) END
-    || ',"status":"' || status || '"}}}' END"""
+                           WHEN event_id % 101 = 0 THEN '0' ELSE cast(value AS varchar) END
+    || ',"status":"' || status || '"' || CASE WHEN event_id % 10 = 0 THEN ',"note":"k' || (event_id % 7) || '"' ELSE '' END
+    || CASE WHEN event_id % 9 = 0 THEN ',"coupon":null' ELSE '' END || '}}}' END"""
 
 PAYLOAD = """payload AS (
   SELECT *,
@@ -35,25 +37,32 @@ PAYLOAD = """payload AS (
          WHEN event_id % 71 = 0 THEN 'no_payload'
          WHEN event_id % 73 = 0 OR op NOT IN ('c', 'u', 'd') THEN 'unsupported_op'
          WHEN event_id % 89 = 0 THEN 'missing_field:customer_id' END AS reject_reason,
-    CASE WHEN event_id % 83 = 0 OR event_id % 67 = 0 THEN 0.0 ELSE value END AS price_c,
-    CASE WHEN event_id % 79 = 0 THEN 1 ELSE quantity END AS quantity_c
+    CASE WHEN event_id % 83 = 0 OR event_id % 67 = 0 OR event_id % 101 = 0 THEN 0.0 ELSE value END AS price_c,
+    cast(CASE WHEN event_id % 79 = 0 THEN 1 WHEN event_id % 101 = 0 THEN 3000000000 ELSE quantity END AS bigint) AS quantity_c
   FROM cdc_base)"""
 
-# Envelope: whole-row dirt %97 (malformed) and %71 ('{}') read as all-NULL.
+# Envelope: whole-row dirt %97 (malformed) and %71 ('{}') read as all-NULL; %67 has no
+# record image and %83 no readable id.
 ENVELOPE = """env AS (
-  SELECT event_id, ts, id, user_id, status, value, op AS base_op,
+  SELECT event_id, ts, user_id, status, value, op AS base_op,
+    CASE WHEN event_id % 83 <> 0 THEN id END AS id,
     event_id % 97 = 0 OR event_id % 71 = 0 AS unreadable,
+    event_id % 67 = 0 AS no_image,
     CASE WHEN event_id % 97 = 0 OR event_id % 71 = 0 THEN NULL
          WHEN event_id % 73 = 0 THEN 'x' ELSE op END AS op_out
   FROM cdc_base),
-env2 AS (
+env1 AS (
   SELECT *,
-    CASE WHEN unreadable THEN NULL
+    CASE WHEN unreadable OR no_image THEN NULL
          WHEN op_out IN ('c', 'u', 'r') THEN (CASE WHEN base_op <> 'd' THEN 1 END)
          ELSE (CASE WHEN base_op IN ('d', 'u') THEN 1 END) END AS has_image,
     CASE WHEN unreadable THEN NULL ELSE CASE op_out WHEN 'c' THEN 'INSERT' WHEN 'u' THEN 'UPDATE'
          WHEN 'd' THEN 'DELETE' WHEN 'r' THEN 'SNAPSHOT' END END AS label
-  FROM env)"""
+  FROM env),
+env2 AS (
+  SELECT *, CASE WHEN unreadable THEN 'unreadable' WHEN op_out NOT IN ('c', 'u', 'd', 'r') THEN 'unsupported_op'
+                 WHEN has_image IS NULL THEN 'empty_image' WHEN id IS NULL THEN 'null_key' END AS reject_reason
+  FROM env1)"""
 
 
 def _w(*ctes: str) -> str:
@@ -116,10 +125,8 @@ SELECT event_id, op_out AS op,
        CASE WHEN NOT unreadable THEN 'orders_db' END AS source_db,
        CASE WHEN NOT unreadable THEN event_id * 4294967296 + 17 END AS source_lsn,
        CASE WHEN NOT unreadable THEN 1000 + event_id END AS source_txid,
-       CASE WHEN NOT unreadable AND base_op IN ('d', 'u') THEN id END AS before_id,
-       CASE WHEN NOT unreadable AND base_op <> 'd' THEN id END AS after_id,
-       CASE WHEN unreadable THEN 'unreadable' WHEN op_out NOT IN ('c', 'u', 'd', 'r') THEN 'unsupported_op' END
-         AS reject_reason
+       CASE WHEN NOT unreadable AND NOT no_image AND base_op IN ('d', 'u') THEN id END AS before_id,
+       CASE WHEN NOT unreadable AND NOT no_image AND base_op <> 'd' THEN id END AS after_id, reject_reason
 FROM env2"""
 
 
@@ -128,12 +135,15 @@ def change_type() -> str:
 
 
 def _amount_b64() -> str:
-    return ("to_base64(from_hex(lpad(hex(((cast(round(value * 100) AS bigint) * "
-            "CASE WHEN event_id % 13 = 0 THEN -1 ELSE 1 END) % 4294967296 + 4294967296) % 4294967296), 8, '0')))")
+    return ("to_base64(from_hex(CASE WHEN event_id % 59 = 0 THEN '01' || lpad(hex(cast(round(value * 100) AS bigint)), 16, '0') "
+            "ELSE lpad(hex(((cast(round(value * 100) AS bigint) * CASE WHEN event_id % 13 = 0 THEN -1 ELSE 1 END) "
+            "% 4294967296 + 4294967296) % 4294967296), 8, '0') END))")
 
 
 def _amount() -> str:
-    return "cast(CASE WHEN event_id % 13 = 0 THEN -value ELSE value END AS decimal(20,2))"
+    wide = "cast(cast(18446744073709551616 AS hugeint) + cast(round(value * 100) AS bigint) AS decimal(36,0)) * cast(0.01 AS decimal(2,2))"
+    return (f"CASE WHEN event_id % 59 = 0 THEN cast({wide} AS decimal(38,2)) "
+            "ELSE cast(CASE WHEN event_id % 13 = 0 THEN -value ELSE value END AS decimal(38,2)) END")
 
 
 def record_image() -> str:
@@ -158,9 +168,7 @@ SELECT event_id, op_out AS operation,
        CASE WHEN has_image = 1 THEN status END AS status,
        CASE WHEN has_image = 1 THEN ts END AS order_created_at,
        CASE WHEN has_image = 1 THEN ts END AS order_updated_at,
-       CASE WHEN has_image = 1 THEN {_amount()} END AS total_amount,
-       CASE WHEN unreadable THEN 'unreadable' WHEN op_out NOT IN ('c', 'u', 'd', 'r') THEN 'unsupported_op' END
-         AS reject_reason
+       CASE WHEN has_image = 1 THEN {_amount()} END AS total_amount, reject_reason
 FROM env2"""
 
 
@@ -172,7 +180,8 @@ FROM env2 WHERE has_image = 1"""
 
 def snapshot_rows() -> str:
     return _w(CDC_BASE, ENVELOPE) + f"""
-SELECT event_id, id AS order_id, status, {_amount()} AS total_amount
+SELECT event_id, CASE WHEN has_image = 1 THEN id END AS order_id, CASE WHEN has_image = 1 THEN status END AS status,
+       CASE WHEN has_image = 1 THEN {_amount()} END AS total_amount
 FROM env2 WHERE label = 'SNAPSHOT'"""
 
 
@@ -180,17 +189,16 @@ def warehouse_append() -> str:
     return _w(CDC_BASE, ENVELOPE) + f"""
 SELECT event_id, op_out AS operation, label AS change_type, id AS order_id, status,
        {_amount()} AS total_amount, ts AS order_updated_at
-FROM env2 WHERE label IS NOT NULL"""
+FROM env2 WHERE reject_reason IS NULL"""
 
 
 def current_state() -> str:
     return _w(CDC_BASE, ENVELOPE) + f"""
 , latest AS (
-  SELECT id, arg_max(event_id, event_id) AS last_event_id FROM env2 WHERE label IS NOT NULL GROUP BY id)
+  SELECT id, arg_max(event_id, event_id) AS last_event_id FROM env2 WHERE reject_reason IS NULL GROUP BY id)
 SELECT e.id AS order_id, 'Customer#' || lpad(cast(e.user_id AS varchar), 9, '0') AS customer_name,
-       e.status, cast(CASE WHEN e.event_id % 13 = 0 THEN -e.value ELSE e.value END AS decimal(20,2)) AS total_amount,
-       e.ts AS order_updated_at, e.event_id AS last_event_id
-FROM latest l JOIN env2 e ON e.event_id = l.last_event_id
+       e.status, e.amount AS total_amount, e.ts AS order_updated_at, e.event_id AS last_event_id
+FROM latest l JOIN (SELECT *, {_amount()} AS amount FROM env2) e ON e.event_id = l.last_event_id
 WHERE e.op_out <> 'd'"""
 
 
@@ -210,9 +218,12 @@ FLAT = """flat AS (
     event_id % 97 <> 0 AND event_id % 83 <> 0 AS unit_price_present,
     CASE WHEN event_id % 97 <> 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS order_date,
     CASE WHEN event_id % 97 <> 0 THEN status END AS status,
-    CASE WHEN event_id % 97 <> 0 THEN CASE op WHEN 'c' THEN 'INSERT' WHEN 'u' THEN 'UPDATE'
-         WHEN 'd' THEN 'DELETE' ELSE 'READ' END END AS operation,
-    CASE WHEN event_id % 97 = 0 THEN 'c' ELSE op END AS op
+    CASE WHEN event_id % 97 <> 0 AND event_id % 59 <> 0 AND event_id % 53 <> 0
+         THEN CASE op WHEN 'c' THEN 'INSERT' WHEN 'u' THEN 'UPDATE' WHEN 'd' THEN 'DELETE' ELSE 'READ' END END AS operation,
+    event_id % 97 <> 0 AND event_id % 59 <> 0 AS operation_present,
+    event_id % 97 <> 0 AND (event_id % 47 = 0 OR event_id % 4 = 0) AS timestamp_present,
+    CASE WHEN event_id % 97 <> 0 AND event_id % 47 <> 0 AND event_id % 4 = 0 THEN ts - INTERVAL 1 DAY END AS record_time,
+    CASE WHEN event_id % 97 = 0 THEN 'c' ELSE op END AS op, value, id, user_id
   FROM cdc_base WHERE event_id % 61 <> 0)"""
 
 
@@ -229,12 +240,15 @@ LOADED = """loaded AS (
   SELECT event_id, order_id, customer_id, product_name, quantity,
     CASE WHEN unit_price_present THEN unit_price ELSE cast(0 AS decimal(10,2)) END AS unit_price,
     cast(quantity * CASE WHEN unit_price_present THEN unit_price ELSE 0 END AS decimal(12,2)) AS total_amount,
-    cast(order_date AS timestamp) AS order_date, status, coalesce(operation, 'INSERT') AS event_type,
-    ts AS processed_at, ts AS source_timestamp,
+    cast(order_date AS timestamp) AS order_date, status,
+    CASE WHEN operation_present THEN operation ELSE 'INSERT' END AS event_type, ts AS processed_at,
+    CASE WHEN timestamp_present THEN record_time ELSE ts END AS source_timestamp,
     CASE WHEN malformed THEN 'malformed_json'
          WHEN order_id IS NULL THEN 'null:order_id' WHEN customer_id IS NULL THEN 'null:customer_id'
          WHEN product_name IS NULL THEN 'null:product_name' WHEN quantity IS NULL THEN 'null:quantity'
-         WHEN unit_price_present AND unit_price IS NULL THEN 'null:unit_price' END AS reject_reason
+         WHEN unit_price_present AND unit_price IS NULL THEN 'null:unit_price'
+         WHEN operation_present AND operation IS NULL THEN 'null:event_type'
+         WHEN timestamp_present AND record_time IS NULL THEN 'null:source_timestamp' END AS reject_reason
   FROM flat)"""
 
 
@@ -260,36 +274,45 @@ FROM ok WHERE processed_at >= cast((SELECT day FROM d) AS timestamp)
   AND processed_at < cast((SELECT day FROM d) + 1 AS timestamp)"""
 
 
-def etl_message_format() -> str:
-    def num(c):
-        return f"coalesce(cast({c} AS varchar), 'null')"
+def _trimmed(number: str) -> str:
+    """A decimal number as text without trailing zeros."""
+    return f"CASE WHEN contains({number}, '.') THEN rtrim(rtrim({number}, '0'), '.') ELSE {number} END"
 
-    def txt(c):
-        return f"coalesce('\"' || {c} || '\"', 'null')"
+
+def etl_message_format() -> str:
+    """The record's keys in alphabetical order, absent ones left out and nulls kept."""
     ts = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
     op = "CASE op WHEN 'u' THEN 'UPDATE' WHEN 'd' THEN 'DELETE' ELSE 'INSERT' END"
     key = "coalesce(cast(order_id AS varchar), '')"
-    value = ("'{\"key\":\"' || " + key + " || '\",\"value\":{\"order_id\":' || " + num("order_id")
-             + " || ',\"customer_id\":' || " + num("customer_id")
-             + " || ',\"product_name\":' || " + txt("product_name")
-             + " || ',\"quantity\":' || " + num("quantity")
-             + " || ',\"unit_price\":' || " + num("unit_price")
-             + " || ',\"order_date\":' || " + txt("order_date")
-             + " || ',\"status\":' || " + txt("status")
-             + " || ',\"operation\":' || " + txt("operation")
-             + " || '},\"timestamp\":\"' || " + ts + " || '\",\"source\":\"orders-db\",\"operation\":\"' || "
-             + op + " || '\"}'")
+    opt = lambda cond, null, text: f"CASE WHEN {cond} THEN '' WHEN {null} THEN {text[0]} ELSE {text[1]} END"
+    record = " || ".join([
+        "'{\"__deleted\":\"' || CASE WHEN op = 'd' THEN 'true' ELSE 'false' END || '\",\"__op\":\"' || op || '\"'",
+        "CASE WHEN customer_id IS NULL THEN '' ELSE ',\"customer_id\":' || customer_id END",
+        "CASE WHEN event_id % 10 = 0 THEN ',\"note\":\"k' || (event_id % 7) || '\"' ELSE '' END",
+        opt("NOT operation_present", "operation IS NULL", ("',\"operation\":null'", "',\"operation\":\"' || operation || '\"'")),
+        "',\"order_date\":\"' || order_date || '\",\"order_id\":' || order_id || ',\"product_name\":\"' || product_name "
+        "|| '\",\"quantity\":' || quantity || ',\"status\":\"' || status || '\"'",
+        opt("NOT timestamp_present", "record_time IS NULL", ("',\"timestamp\":null'",
+            "',\"timestamp\":\"' || strftime(record_time, '%Y-%m-%dT%H:%M:%S.%f') || '\"'")),
+        opt("NOT unit_price_present", "event_id % 67 = 0", ("',\"unit_price\":null'",
+            f"',\"unit_price\":' || {_trimmed('cast(value AS varchar)')}")),
+        "'}'"])
+    value = (f"'{{\"topic\":\"cdc-events\",\"key\":\"' || {key} || '\",\"value\":' || {record} || ',\"timestamp\":\"' || {ts} "
+             f"|| '\",\"source\":\"orders-db\",\"operation\":\"' || {op} || '\"}}'")
     return _w(CDC_BASE, FLAT) + f"""
-SELECT event_id, 'cdc-events' AS topic, {key} AS key, {value} AS value, {ts} AS timestamp,
+SELECT event_id, 'cdc-events' AS topic, cast(order_id AS varchar) AS key, {value} AS value, {ts} AS timestamp,
        'orders-db' AS source, {op} AS operation
-FROM flat"""
+FROM flat WHERE NOT malformed"""
 
 
 def json_out() -> str:
-    doc = ("""'{"id":' || cast(id AS varchar) || ',"customer_id":' || cast(user_id AS varchar)"""
-           """ || ',"product_id":"' || product_id || '","quantity":' || cast(quantity_c AS varchar)"""
-           """ || ',"price":' || cast(price_c AS varchar) || ',"status":"' || status"""
-           """ || '","total_amount":' || cast(price_c * quantity_c AS varchar)"""
+    """The record's own keys in alphabetical order, then the processed ones."""
+    doc = ("""'{' || CASE WHEN event_id % 9 = 0 THEN '"coupon":null,' ELSE '' END"""
+           """ || '"customer_id":' || user_id || ',"id":' || id"""
+           """ || CASE WHEN event_id % 10 = 0 THEN ',"note":"k' || (event_id % 7) || '"' ELSE '' END"""
+           """ || ',"product_id":"' || product_id || '","status":"' || status"""
+           """ || '","price":' || cast(price_c AS varchar) || ',"quantity":' || cast(quantity_c AS varchar)"""
+           """ || ',"total_amount":' || cast(price_c * quantity_c AS varchar)"""
            """ || ',"_cdc_operation":"' || op || '","_cdc_timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"""
            """ || '","_deleted":' || CASE WHEN op = 'd' THEN 'true' ELSE 'false' END"""
            """ || ',"_processed":true,"_pipeline_version":"1.0.0"}'""")
@@ -300,6 +323,6 @@ def record_image_reference() -> str:
     """Reference image choice: ``after`` only for c/u, so snapshots read ``before`` (absent)."""
     return _w(CDC_BASE, ENVELOPE) + """
 SELECT event_id, coalesce(label, 'UNKNOWN') AS change_type,
-       CASE WHEN NOT unreadable AND ((op_out IN ('c', 'u') AND base_op <> 'd')
+       CASE WHEN NOT unreadable AND NOT no_image AND ((op_out IN ('c', 'u') AND base_op <> 'd')
                                      OR (op_out NOT IN ('c', 'u') AND base_op IN ('d', 'u'))) THEN id END AS order_id
 FROM env2"""

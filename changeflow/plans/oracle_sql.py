@@ -117,24 +117,20 @@ FROM live WHERE order_date >= {_minutes_ago(w)}""")
 
 
 def detect_anomalies(k: float = 2.0, stats_days: int = 7, candidate_days: int = 1) -> str:
-    return _with(ORDER_LINES, LIVE, ASOF, f"""s AS (
-  SELECT cast(sum(quantity * price) AS double) / nullif(count(quantity * price), 0) AS avg_value,
-         stddev_samp(cast(quantity * price AS double)) AS sd_value,
-         cast(sum(quantity) AS double) / nullif(count(quantity), 0) AS avg_qty,
-         stddev_samp(cast(quantity AS double)) AS sd_qty
-  FROM live WHERE order_date >= {_day_start(stats_days)})""") + f"""
-SELECT o.id, o.customer_id, o.product_id, o.quantity, cast(o.price AS double) AS price,
-       cast(o.quantity * o.price AS double) AS order_value, o.order_date,
-       CASE WHEN o.quantity * o.price > s.avg_value + {k} * s.sd_value THEN 'High Value'
-            WHEN o.quantity > s.avg_qty + {k} * s.sd_qty THEN 'High Quantity'
-            WHEN o.quantity * o.price < s.avg_value - {k} * s.sd_value THEN 'Low Value'
-            ELSE 'Normal' END AS anomaly_type
-FROM live o, s
-WHERE o.order_date >= {_day_start(candidate_days)}
-  AND (o.quantity * o.price > s.avg_value + {k} * s.sd_value
-       OR o.quantity > s.avg_qty + {k} * s.sd_qty
-       OR o.quantity * o.price < s.avg_value - {k} * s.sd_value)
-ORDER BY o.order_date DESC"""
+    """Each recent order is labelled once against scalar bounds; labelled rows are kept."""
+    def bound(x: str, sign: str) -> str:
+        mean = f"cast(sum({x}) AS double) / nullif(count({x}), 0)"
+        return f"(SELECT {mean} {sign} {k} * stddev_samp(cast({x} AS double)) FROM history)"
+    value = "quantity * price"
+    return _with(ORDER_LINES, LIVE, ASOF,
+                 f"history AS (SELECT * FROM live WHERE order_date >= {_day_start(stats_days)})",
+                 f"""labelled AS (
+  SELECT *, CASE WHEN {value} > {bound(value, "+")} THEN 'High Value' WHEN quantity > {bound("quantity", "+")} THEN 'High Quantity'
+                 WHEN {value} < {bound(value, "-")} THEN 'Low Value' END AS anomaly_type
+  FROM live WHERE order_date >= {_day_start(candidate_days)})""") + f"""
+SELECT id, customer_id, product_id, quantity, cast(price AS double) AS price, cast({value} AS double) AS order_value,
+       order_date, anomaly_type
+FROM labelled WHERE anomaly_type IS NOT NULL"""
 
 
 def anomaly_counts(k: float = 1.0, stats_days: int = 90, candidate_days: int = 30) -> str:

@@ -9,7 +9,9 @@ from changeflow.operators import quality as Q
 from changeflow.operators import warehouse as W
 from changeflow.plans import oracle_cdc as OC
 from changeflow.plans.registry import register
+from changeflow.session import scratch_path
 from changeflow.sources import fixtures as X
+from changeflow.streaming.sinks import IdempotentParquetAppend
 
 
 # ------------------------------------------------------------ payload shape
@@ -116,9 +118,14 @@ def _snapshot_rows(spark, d):
 
 @register("warehouse_append", OC.warehouse_append())
 def _warehouse_append(spark, d):
-    f = C.flatten_envelope(_envelope(spark, d), keep=("event_id",))
-    return C.accepted(f).select("event_id", "operation", "change_type", "order_id", "status", "total_amount",
-                                "order_updated_at")
+    # What the sink wrote, read back; the batch is delivered twice, as after a failure.
+    f = C.accepted(C.flatten_envelope(_envelope(spark, d), keep=("event_id",))).drop("processed_at")
+    path = scratch_path(spark, "warehouse")
+    sink = IdempotentParquetAppend(path)
+    for _ in range(2):
+        sink(f, 0, "registry")
+    return spark.read.parquet(path).select("event_id", "operation", "change_type", "order_id", "status", "total_amount",
+                                           "order_updated_at")
 
 
 @register("cdc_current_state", OC.current_state())
@@ -173,6 +180,7 @@ def _etl_message_format(spark, d):
 
 
 # ------------------------------------------------------------ metrics & misc
+from changeflow.functions.time import resolve_as_of  # noqa: E402
 from changeflow.operators import analytics as A  # noqa: E402
 from changeflow.operators import insights as I  # noqa: E402
 from changeflow.operators import metrics as M  # noqa: E402
@@ -185,16 +193,39 @@ def _data_freshness(spark, d):
     return M.data_freshness(X.order_lines(spark, d), as_of="latest")
 
 
+def _later(orders, minutes: int):
+    """An anchor some minutes after the newest order."""
+    return resolve_as_of(orders, "latest") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes))
+
+
+@register("data_freshness_stale", OM.data_freshness(10))
+def _data_freshness_stale(spark, d):
+    orders = X.order_lines(spark, d)
+    return M.data_freshness(orders, as_of=_later(orders, 10))
+
+
 @register("throughput", OM.throughput(60))
 def _throughput(spark, d):
     return M.throughput(X.order_lines(spark, d), window_minutes=60, as_of="latest")
 
 
+def _processed(spark, d):
+    """Decoded events with a processing time that does not depend on the clock: 0 to 6 s after the event."""
+    delay = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("event_id") % 7).cast("decimal(18,6)"))
+    return C.payload_records(X.cdc_raw(spark, d)).withColumn("_processed_at", F.col("_cdc_timestamp") + delay)
+
+
 @register("pipeline_health", OM.pipeline_health(60))
 def _pipeline_health(spark, d):
-    h = M.pipeline_health(X.order_lines(spark, d), C.payload_records(X.cdc_raw(spark, d)),
-                          as_of="latest", window_minutes=60)
-    return h.drop("latency_ms")   # wall-clock dependent
+    return M.pipeline_health(X.order_lines(spark, d), _processed(spark, d), as_of="latest", window_minutes=60,
+                             max_error_rate=0.5)
+
+
+@register("pipeline_health_degraded", OM.pipeline_health(60, 10))
+def _pipeline_health_degraded(spark, d):
+    orders = X.order_lines(spark, d)
+    return M.pipeline_health(orders, _processed(spark, d), as_of=_later(orders, 10), window_minutes=60,
+                             max_error_rate=0.5)
 
 
 @register("alert_rules", OM.alert_rules())
@@ -217,10 +248,9 @@ def _param_sql(spark, d):
     return out.select("customer_id", "order_count", F.col("total_value").cast("double").alias("total_value"))
 
 
-@register("insights_bundle", None)
+@register("insights_bundle", OM.insights_bundle(5, 7, 15))
 def _insights_bundle(spark, d):
-    # ~10 scalar-subquery sections over one input: no per-section spread shuffle
-    return I.insights_json(I.insights_bundle(X.order_lines(spark, d, spread=False), as_of="latest"))
+    return I.insights_rows(I.insights_bundle(X.stored_order_lines(spark, d), as_of="latest"))
 
 
 def _dim(spark, d):

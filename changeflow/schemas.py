@@ -1,7 +1,7 @@
 """Fixed schemas: the canonical order shape and the three wire shapes of change events."""
 
 from pyspark.sql.types import (
-    BooleanType, DateType, DecimalType, DoubleType, IntegerType, LongType, StringType,
+    DateType, DecimalType, IntegerType, LongType, StringType,
     StructField, StructType, TimestampNTZType, TimestampType,
 )
 
@@ -17,12 +17,10 @@ ORDER = StructType([
     StructField("status", StringType()),
 ])
 
-# Status domain of the source system (fixed values).
-ORDER_STATUSES = ("pending", "confirmed", "shipped", "delivered", "cancelled")
-
-# Warehouse fact table. NOT NULL on every column except the generated /
-# defaulted ones (event_id, total_amount, processed_at).
+# Warehouse tables: the writers cast to these and the DDL is made from them. NOT NULL
+# marks what a row must have to be loaded.
 ORDER_EVENT = StructType([
+    StructField("event_id", LongType()),
     StructField("order_id", IntegerType(), False),
     StructField("customer_id", IntegerType(), False),
     StructField("product_name", StringType(), False),
@@ -35,8 +33,7 @@ ORDER_EVENT = StructType([
     StructField("processed_at", TimestampType()),
     StructField("source_timestamp", TimestampNTZType(), False),
 ])
-ORDER_EVENT_REQUIRED = ("order_id", "customer_id", "product_name", "quantity", "unit_price",
-                        "order_date", "status", "event_type", "source_timestamp")
+ORDER_EVENT_REQUIRED = tuple(f.name for f in ORDER_EVENT.fields if not f.nullable)
 
 DIM_CUSTOMER = StructType([
     StructField("customer_id", LongType(), False),
@@ -47,13 +44,19 @@ DIM_CUSTOMER = StructType([
 ])
 
 DAILY_ORDER_SUMMARY = StructType([
-    StructField("summary_date", DateType(), False),
     StructField("total_orders", LongType(), False),
     StructField("total_revenue", DecimalType(15, 2), False),
     StructField("avg_order_value", DecimalType(10, 2), False),
     StructField("unique_customers", LongType(), False),
 ])
 
+# Columns that the stored tables are partitioned by. Every batch of a stream has
+# its own folder, so a replay replaces it whatever day it runs on.
+ORDER_EVENT_PARTITIONS = StructType([
+    StructField("stream", StringType()), StructField("batch_id", LongType()),
+    StructField("processed_date", DateType())])
+DAILY_SUMMARY_PARTITIONS = StructType([StructField("summary_date", DateType())])
+
 # Envelope wire shape (before/after/source/op/ts_ms). Timestamps are kept as
 # strings because connectors emit either ISO text or epoch micros; txId and lsn
 # are 64-bit in practice.
@@ -87,31 +90,3 @@ ENVELOPE = StructType([
     StructField("ts_ms", StringType()),
     StructField("transaction", StringType()),
 ])
-
-# Flat (unwrapped) wire shape; ``__op`` / ``__deleted`` come from the unwrap
-# transform of the connector.
-FLAT_ORDER = StructType([
-    StructField("order_id", IntegerType()),
-    StructField("customer_id", IntegerType()),
-    StructField("product_name", StringType()),
-    StructField("quantity", IntegerType()),
-    StructField("unit_price", DecimalType(10, 2)),
-    StructField("order_date", StringType()),
-    StructField("status", StringType()),
-    StructField("operation", StringType()),
-    StructField("__op", StringType()),
-    StructField("__deleted", StringType()),
-])
-
-# Payload-wrapped shape, typed projection after validation.
-PAYLOAD_RECORD = StructType([
-    StructField("id", LongType()),
-    StructField("customer_id", LongType()),
-    StructField("product_id", StringType()),
-    StructField("quantity", IntegerType()),
-    StructField("price", DoubleType()),
-    StructField("order_date", StringType()),
-    StructField("status", StringType()),
-    StructField("total_amount", DoubleType()),
-    StructField("_deleted", BooleanType()),
-])

@@ -44,13 +44,15 @@ def build_session(master: str | None = None, app_name: str = "changeflow",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset — local tests — a fresh scratch folder is made and registered.
+    Read from ``spark.checkpoint.dir`` (set by the cluster). Only in local mode,
+    as in tests, is a scratch folder made when it is unset: elsewhere executors could not see it.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="changeflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)

@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.sources.tables import read_table, spread_if_narrow
+from changeflow.session import scratch_path
+from changeflow.sources.tables import read_table
 
 # Fixed values of the fixture (see FIXTURES.md): the seconds-of-day hash that
 # gives each line a time of day, and the status mapping.
@@ -22,23 +23,18 @@ _STATUS = ("case when l_returnflag = 'R' then 'cancelled' when o_orderstatus = '
            "else 'shipped' end")
 
 
-def order_lines(spark: SparkSession, base_dir: str, spread: bool = True) -> DataFrame:
-    """Canonical orders (id, customer_id, product_id, quantity, price, order_date, status).
+def order_lines(spark: SparkSession, base_dir: str) -> DataFrame:
+    """Canonical orders (id, customer_id, product_id, quantity, price, order_date, status) and ``order_day``.
 
     One row per line item. ``id`` is not unique in the test data, so no
     operator keys on it. The join is an equi-join on the order key; Spark
     plans it as a sort-merge (or broadcast when ``orders`` is small enough at
-    runtime, decided by AQE from real sizes). A line-item scan with fewer
-    splits than cores (one unsplittable row group) is hash-spread on the
-    order key first; with many files this is a no-op. Reports made of many
-    separate passes over the same input pass ``spread=False``: each pass
-    would pay its own spread shuffle.
+    runtime, decided by AQE from real sizes). ``order_day`` is the order's own
+    date column, so the window helpers' bound on it reaches the scan of ``orders``.
     """
     li = read_table(spark, base_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
         "l_returnflag", "l_linestatus")
-    if spread:
-        li = spread_if_narrow(li, "l_orderkey")
     od = read_table(spark, base_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     joined = li.join(od, li.l_orderkey == od.o_orderkey)
@@ -50,17 +46,21 @@ def order_lines(spark: SparkSession, base_dir: str, spread: bool = True) -> Data
         F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
         (F.col("o_orderdate") + F.expr(f"make_dt_interval(0, 0, 0, {_SECOND_OF_DAY})")).alias("order_date"),
         F.expr(_STATUS).alias("status"),
+        F.col("o_orderdate").alias("order_day"),
     )
 
 
-def cdc_base(spark: SparkSession, base_dir: str) -> DataFrame:
-    """``events`` plus the change-event attributes derived from it.
+def stored_order_lines(spark: SparkSession, base_dir: str) -> DataFrame:
+    """``order_lines`` written once in day order and read back, for reports of many passes: no pass repeats the
+    join, and file statistics prune the windowed ones to their days."""
+    path = scratch_path(spark, "order-lines")
+    order_lines(spark, base_dir).repartitionByRange("order_day").sortWithinPartitions("order_day").write.parquet(path)
+    return spark.read.parquet(path)
 
-    Change events feed CPU-heavy JSON decoding, so a narrow scan is spread
-    over the cores first (a topic would be read with ``minPartitions``).
-    """
-    ev = spread_if_narrow(read_table(spark, base_dir, "events"), "event_id")
-    return ev.select(
+
+def cdc_base(spark: SparkSession, base_dir: str) -> DataFrame:
+    """``events`` plus the change-event attributes derived from it."""
+    return read_table(spark, base_dir, "events").select(
         "*",
         (F.col("event_id") % 200).alias("id"),
         (F.col("event_id") % 5 + 1).cast("int").alias("quantity"),
@@ -80,10 +80,13 @@ _PAYLOAD_JSON = """case
     '","', case when op = 'd' then 'before' else 'after' end, '":{"id":', cast(id as string),
     case when event_id % 89 = 0 then '' else concat(',"customer_id":', cast(user_id as string)) end,
     ',"product_id":"', product_id,
-    '","quantity":', case when event_id % 79 = 0 then '"x"' else cast(quantity as string) end,
+    '","quantity":', case when event_id % 79 = 0 then '"x"' when event_id % 101 = 0 then '3000000000'
+                          else cast(quantity as string) end,
     ',"price":', case when event_id % 83 = 0 then '"invalid"' when event_id % 67 = 0 then 'null'
-                      else cast(value as string) end,
-    ',"status":"', status, '"}}}') end"""
+                      when event_id % 101 = 0 then '0' else cast(value as string) end,
+    ',"status":"', status, '"',
+    case when event_id % 10 = 0 then concat(',"note":"k', cast(event_id % 7 as string), '"') else '' end,
+    case when event_id % 9 = 0 then ',"coupon":null' else '' end, '}}}') end"""
 
 
 def cdc_raw(spark: SparkSession, base_dir: str) -> DataFrame:
@@ -92,14 +95,15 @@ def cdc_raw(spark: SparkSession, base_dir: str) -> DataFrame:
 
 
 # Envelope shape: base64 4-byte two's-complement amount (negated when
-# event_id % 13 = 0), epoch-micro created_at when event_id % 11 = 0, a 64-bit
-# lsn, and whole-row dirt: %97 malformed, %71 empty object, %73 op 'x'.
+# event_id % 13 = 0, 9 bytes wide with 2^64 added when event_id % 59 = 0),
+# epoch-micro created_at when event_id % 11 = 0, a 64-bit lsn, and dirt: %97
+# malformed, %71 empty object, %73 op 'x', %67 no image, %83 an id that is text.
 _ENVELOPE_JSON = """case
   when event_id % 97 = 0 then 'invalid json'
   when event_id % 71 = 0 then '{}'
-  else to_json(named_struct(
-    'before', case when op = 'd' or op = 'u' then image end,
-    'after', case when op = 'd' then null else image end,
+  else replace(to_json(named_struct(
+    'before', case when event_id % 67 = 0 then null when op = 'd' or op = 'u' then image end,
+    'after', case when event_id % 67 = 0 or op = 'd' then null else image end,
     'source', named_struct('version', '2.4.0', 'connector', 'postgresql', 'name', 'orders_db',
         'ts_ms', cast(unix_millis(cast(ts as timestamp)) as string),
         'snapshot', case when op = 'r' then 'true' else 'false' end,
@@ -107,15 +111,18 @@ _ENVELOPE_JSON = """case
         'txId', 1000 + event_id, 'lsn', event_id * 4294967296 + 17),
     'op', case when event_id % 73 = 0 then 'x' else op end,
     'ts_ms', cast(unix_millis(cast(ts as timestamp)) as string),
-    'transaction', null)) end"""
+    'transaction', null)),
+    case when event_id % 83 = 0 then concat('"id":', cast(id as string), ',') else '"' end,
+    case when event_id % 83 = 0 then '"id":"x",' else '"' end) end"""
 
 _ENVELOPE_IMAGE = """named_struct(
     'id', id,
     'customer_name', concat('Customer#', lpad(cast(user_id as string), 9, '0')),
     'customer_email', concat('customer', cast(user_id as string), '@example.com'),
-    'total_amount', base64(unhex(lpad(hex(pmod(
-        cast(round(value * 100) as bigint) * case when event_id % 13 = 0 then -1 else 1 end,
-        4294967296)), 8, '0'))),
+    'total_amount', base64(unhex(case when event_id % 59 = 0
+        then concat('01', lpad(hex(cast(round(value * 100) as bigint)), 16, '0'))
+        else lpad(hex(pmod(cast(round(value * 100) as bigint) * case when event_id % 13 = 0 then -1 else 1 end,
+                           4294967296)), 8, '0') end)),
     'status', status,
     'created_at', case when event_id % 11 = 0 then cast(unix_micros(cast(ts as timestamp)) as string)
                        else date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") end,
@@ -130,8 +137,10 @@ def envelope_raw(spark: SparkSession, base_dir: str) -> DataFrame:
 
 # Flat (unwrapped) shape: tombstone (NULL value) when event_id % 61 = 0,
 # malformed when %97 = 0; customer_id key missing when %89 = 0, unit_price key
-# missing when %83 = 0 and JSON null when %67 = 0; rewritten deletes carry
-# __deleted = 'true'.
+# missing when %83 = 0 and JSON null when %67 = 0; operation key missing when
+# %59 = 0 and JSON null when %53 = 0; timestamp JSON null when %47 = 0 and present,
+# a day before the event, when %4 = 0; an unknown key when %10 = 0; rewritten
+# deletes carry __deleted = 'true'.
 _FLAT_JSON = """case
   when event_id % 61 = 0 then null
   when event_id % 97 = 0 then 'invalid json'
@@ -141,8 +150,12 @@ _FLAT_JSON = """case
     case when event_id % 83 = 0 then '' when event_id % 67 = 0 then ',"unit_price":null'
          else concat(',"unit_price":', cast(value as string)) end,
     ',"order_date":"', date_format(ts, 'yyyy-MM-dd HH:mm:ss'), '","status":"', status,
-    '","operation":"', case op when 'c' then 'INSERT' when 'u' then 'UPDATE' when 'd' then 'DELETE' else 'READ' end,
-    '","__op":"', op, '","__deleted":"', case when op = 'd' then 'true' else 'false' end, '"}') end"""
+    '"', case when event_id % 59 = 0 then '' when event_id % 53 = 0 then ',"operation":null' else concat(',"operation":"',
+        case op when 'c' then 'INSERT' when 'u' then 'UPDATE' when 'd' then 'DELETE' else 'READ' end, '"') end,
+    case when event_id % 47 = 0 then ',"timestamp":null' when event_id % 4 = 0
+         then concat(',"timestamp":"', date_format(ts - interval 1 day, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), '"') else '' end,
+    case when event_id % 10 = 0 then concat(',"note":"k', cast(event_id % 7 as string), '"') else '' end,
+    ',"__op":"', op, '","__deleted":"', case when op = 'd' then 'true' else 'false' end, '"}') end"""
 
 
 def flat_raw(spark: SparkSession, base_dir: str) -> DataFrame:

@@ -11,51 +11,16 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-# Inferred schemas by table path. Inferring a parquet schema runs a small
-# footer-reading job on every read; tables are treated as immutable for the
-# life of the process, so the schema is inferred once and then declared.
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def read_table(spark: SparkSession, base_dir: str, name: str, schema: StructType | None = None) -> DataFrame:
     """Scan ``<base_dir>/<name>.parquet`` (a file or a folder of part files).
 
     Nothing is selected here: Catalyst prunes columns and pushes filters into
     the parquet reader from whatever the caller does next. The schema is
-    ``schema`` if given, else inferred on first use and remembered
-    (:func:`clear_schema_cache` forgets it, e.g. after a table is rewritten).
-    """
-    path = os.path.join(base_dir, f"{name}.parquet")
-    if schema is None:
-        schema = _SCHEMAS.get(path)
-        if schema is None:
-            schema = _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(schema).parquet(path)
-
-
-def clear_schema_cache() -> None:
-    _SCHEMAS.clear()
-
-
-def spread_if_narrow(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread a scan over the session's cores when the files give fewer
-    splits than that (e.g. one unsplittable row group), so CPU-heavy per-row
-    work such as JSON decoding is not serialised in one task.
-
-    Counting splits only plans the scan (no job) — call it on a scan (plus
-    projections / filters), before any shuffle, where no adaptive stage has
-    to run to know the partitioning. On a cluster reading many files the scan
-    already has more splits than cores and this is a no-op, so it never adds
-    a shuffle at scale.
+    ``schema`` if given (no footer is read for it), else read from the files,
+    each time: a table that was rewritten reads as it is now.
     """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:          # e.g. Spark Connect: no RDD view; leave the scan as is
-        return df
-    if splits >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(os.path.join(base_dir, f"{name}.parquet"))
 
 
 def jdbc_table(spark: SparkSession, url: str, table: str, *, partition_column: str | None = None,

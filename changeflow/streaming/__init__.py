@@ -1,9 +1,13 @@
 """Structured Streaming: windowed metrics, sinks, current-state upkeep, runners."""
 
 from changeflow.streaming.windows import tumbling_metrics, sliding_metrics, session_metrics
-from changeflow.streaming.runner import BoundedConsumer, consume_bounded, run_available, start_query, progress_frame
-from changeflow.streaming.state import CurrentStateWriter, read_current_state, read_state_changelog, state_updates
-from changeflow.streaming.sinks import IdempotentParquetAppend, SplitWriter
+from changeflow.streaming.runner import (
+    BoundedConsumer, ProgressLog, consume_bounded, progress_frame, run_available, start_query,
+)
+from changeflow.streaming.state import (
+    CurrentStateWriter, compact_state_changelog, read_current_state, read_state_changelog, state_updates,
+)
+from changeflow.streaming.sinks import BatchSink, IdempotentParquetAppend, SplitWriter
 
 __all__ = ["BoundedConsumer", "consume_bounded", "tumbling_metrics", "sliding_metrics", "session_metrics", "run_available", "start_query",
-           "progress_frame", "CurrentStateWriter", "read_current_state", "read_state_changelog", "state_updates", "IdempotentParquetAppend", "SplitWriter"]
+           "progress_frame", "ProgressLog", "BatchSink", "compact_state_changelog", "CurrentStateWriter", "read_current_state", "read_state_changelog", "state_updates", "IdempotentParquetAppend", "SplitWriter"]

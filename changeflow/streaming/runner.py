@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from changeflow.streaming.sinks import BatchSink, checkpoint_query_id
+
 
 def start_query(df: DataFrame, *, checkpoint: str, sink: str = "console", output_mode: str = "append",
                 processing_time: str | None = "10 seconds", available_now: bool = False,
@@ -29,7 +34,11 @@ def start_query(df: DataFrame, *, checkpoint: str, sink: str = "console", output
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    if foreach_batch is not None:
+    if isinstance(foreach_batch, BatchSink):
+        def deliver(batch: DataFrame, batch_id: int) -> None:
+            foreach_batch(batch, batch_id, checkpoint_query_id(batch.sparkSession, checkpoint))
+        w = w.foreachBatch(deliver)
+    elif foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
     else:
         w = w.format(sink)
@@ -40,12 +49,22 @@ def start_query(df: DataFrame, *, checkpoint: str, sink: str = "console", output
     return w.start(path) if path else w.start()
 
 
+def _wait(q: StreamingQuery, timeout_s: float | None) -> None:
+    """Wait for the end of a bounded query; its failure is raised, and so is running out of time."""
+    ended = q.awaitTermination(timeout_s) if timeout_s is not None else (q.awaitTermination(), True)[1]
+    if not ended:
+        q.stop()
+        raise TimeoutError(f"the query did not end in {timeout_s} s; its checkpoint keeps what it committed")
+
+
 def run_available(df: DataFrame, *, checkpoint: str, timeout_s: float | None = None, **kwargs) -> StreamingQuery:
-    """Run to the end of the currently available input and wait for it."""
+    """Run to the end of the currently available input and wait for it.
+
+    Raises ``TimeoutError`` when ``timeout_s`` is not enough: the run is then
+    incomplete, and the next one goes on from the checkpoint.
+    """
     q = start_query(df, checkpoint=checkpoint, available_now=True, **kwargs)
-    q.awaitTermination(timeout_s)
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    _wait(q, timeout_s)
     return q
 
 
@@ -56,33 +75,61 @@ _PROGRESS = StructType([
 ])
 
 
-def progress_frame(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """The query's recent progress reports (one small row per micro-batch)."""
-    rows = []
-    for p in query.recentProgress:
-        d = p if isinstance(p, dict) else p.__dict__
-        get = d.get if isinstance(d, dict) else (lambda k, default=None: getattr(p, k, default))
-        dur = get("durationMs") or {}
-        rows.append((get("batchId"), get("timestamp"), get("numInputRows"),
-                     float(get("inputRowsPerSecond") or 0.0), float(get("processedRowsPerSecond") or 0.0),
-                     dur.get("triggerExecution")))
+class ProgressLog(StreamingQueryListener):
+    """Keeps every progress report of the queries it sees, in order.
+
+    A query itself keeps only the newest ones (``spark.sql.streaming.numRecentProgressUpdates``).
+    Register with ``spark.streams.addListener``; one small dict per micro-batch.
+    """
+
+    def __init__(self):
+        self.reports: list[dict] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.reports.append(json.loads(event.progress.json))
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def progress_frame(spark: SparkSession, source: StreamingQuery | ProgressLog) -> DataFrame:
+    """Progress reports, one row per micro-batch, of a query or a :class:`ProgressLog`.
+
+    A query that ran longer than Spark keeps reports for is refused: its
+    oldest ones are gone, so a log must listen from the start.
+    """
+    if isinstance(source, ProgressLog):
+        reports = list(source.reports)
+    else:
+        reports = [p if isinstance(p, dict) else json.loads(p.json) for p in source.recentProgress]
+        kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+        if len(reports) >= kept - 1:               # Spark drops the oldest as soon as it has that many
+            raise ValueError(f"the query keeps its newest reports only; use a ProgressLog")
+    rows = [(p.get("batchId"), p.get("timestamp"), p.get("numInputRows"), float(p.get("inputRowsPerSecond") or 0.0),
+             float(p.get("processedRowsPerSecond") or 0.0), (p.get("durationMs") or {}).get("triggerExecution"))
+            for p in reports]
     return spark.createDataFrame(rows, _PROGRESS)
 
 
+class _Enough(Exception):
+    """Ends a bounded run before a batch is handled, so that batch stays uncommitted."""
+
+
 class BoundedConsumer:
     """``foreachBatch`` handler for the bounded consumer.
 
-    Hands each micro-batch's usable rows to ``handler(df, batch_id)`` (which
-    returns how many it processed) and counts successes; ``done`` turns true
-    once ``max_messages`` succeeded, and :func:`consume_bounded` then stops
-    the query at the batch boundary. Input is bounded per batch with
-    ``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``; progress is in the
-    checkpoint, so a restart resumes after the last committed batch and a
-    failed batch is retried instead of being skipped.
+    Hands each micro-batch to ``handler(df, batch_id)``, which returns how many
+    messages it processed. Once ``max_messages`` have succeeded the next batch
+    is refused: it fails inside the query before anything is committed, so a
+    later run with the same checkpoint starts with exactly that batch. A batch
+    whose handler fails is not committed either.
     """
 
     def __init__(self, handler: Callable, max_messages: int):
-        self.handler, self.max_messages, self.processed = handler, int(max_messages), 0
+        self.handler, self.max_messages, self.processed, self.refused = handler, int(max_messages), 0, False
 
     @property
     def done(self) -> bool:
@@ -90,20 +137,22 @@ class BoundedConsumer:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if self.done:
-            return
+            self.refused = True
+            raise _Enough(f"{self.processed} messages processed; batch {batch_id} is left for the next run")
         self.processed += int(self.handler(batch, batch_id))
 
 
 def consume_bounded(df: DataFrame, consumer: BoundedConsumer, *, checkpoint: str,
-                    poll_s: float = 0.5, timeout_s: float = 600) -> StreamingQuery:
-    """Run ``df`` through ``consumer`` until it has processed enough or the input ends."""
-    import time
-    q = start_query(df, checkpoint=checkpoint, foreach_batch=consumer, processing_time="0 seconds")
-    deadline = time.monotonic() + timeout_s
-    while q.isActive and not consumer.done and time.monotonic() < deadline:
-        q.awaitTermination(poll_s)
-        if q.status.get("isDataAvailable") is False and not q.status.get("isTriggerActive"):
-            if q.lastProgress is not None and q.lastProgress.get("numInputRows", 0) == 0:
-                break
-    q.stop()
+                    timeout_s: float | None = 600) -> StreamingQuery:
+    """Run ``df`` through ``consumer`` until it has processed enough or the available input ends.
+
+    Input is taken in micro-batches (``maxOffsetsPerTrigger`` / ``maxFilesPerTrigger``), so
+    the bound is met to the batch. Failures of the handler and running out of time are raised.
+    """
+    q = start_query(df, checkpoint=checkpoint, foreach_batch=consumer, available_now=True)
+    try:
+        _wait(q, timeout_s)
+    except StreamingQueryException:
+        if not consumer.refused:
+            raise
     return q

@@ -1,32 +1,52 @@
 """Exactly-once file sinks for ``foreachBatch`` and message sinks (K3, K6, K7).
 
-A micro-batch can be replayed after a failure with the same ``batch_id``; the
-writers put each batch in its own ``batch_id=<n>`` folder written with
-overwrite, so a replay replaces its own earlier attempt instead of appending
-a duplicate.
+A micro-batch can be replayed after a failure with the same ``batch_id``, and a
+query with a fresh checkpoint counts its batches from 0 again. The writers put
+each batch in its own ``stream=<query id>/batch_id=<n>`` folder, written with
+overwrite: a replay replaces its own earlier attempt and nothing else.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import json
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+# Stream name of batches that are written without a streaming query.
+MANUAL = "manual"
+
+
+def checkpoint_query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that owns a checkpoint; it survives restarts."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"])["id"]
+
+
+class BatchSink:
+    """``foreachBatch`` handler that is told which query a batch belongs to.
+
+    :func:`changeflow.streaming.runner.start_query` passes the query id as ``stream``.
+    """
+
+    def __call__(self, batch: DataFrame, batch_id: int, stream: str = MANUAL) -> None:
+        raise NotImplementedError
+
 
-class IdempotentParquetAppend:
-    """``foreachBatch`` handler appending each batch to ``path/batch_id=<n>``."""
+class IdempotentParquetAppend(BatchSink):
+    """Appends each batch to ``path/stream=<id>/batch_id=<n>``."""
 
     def __init__(self, path: str, partition_by: tuple = ()):
         self.path = path.rstrip("/")
         self.partition_by = partition_by
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+    def __call__(self, batch: DataFrame, batch_id: int, stream: str = MANUAL) -> None:
         w = batch.write.mode("overwrite")
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
-        w.parquet(f"{self.path}/batch_id={int(batch_id)}")
+        w.parquet(f"{self.path}/stream={stream}/batch_id={int(batch_id)}")
 
 
-class SplitWriter:
+class SplitWriter(BatchSink):
     """Write accepted rows and rejects of each batch in ONE pass.
 
     The batch is written once, partitioned by ``_outcome`` (accepted /
@@ -37,11 +57,11 @@ class SplitWriter:
         self.path = path.rstrip("/")
         self.reason_col = reason_col
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+    def __call__(self, batch: DataFrame, batch_id: int, stream: str = MANUAL) -> None:
         out = batch.withColumn("_outcome", F.when(F.col(self.reason_col).isNull(), "accepted")
                                .otherwise("rejected"))
         (out.write.mode("overwrite").partitionBy("_outcome")
-         .parquet(f"{self.path}/batch_id={int(batch_id)}"))
+         .parquet(f"{self.path}/stream={stream}/batch_id={int(batch_id)}"))
 
 
 def kafka_write_options(bootstrap_servers: str, topic: str, extra: dict | None = None) -> dict:

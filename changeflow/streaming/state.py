@@ -7,27 +7,29 @@ Two forms:
   emits only the keys it touched (update mode), which an idempotent
   changelog sink appends. Per-batch cost follows the batch, not the state.
   :func:`read_state_changelog` folds the changelog (latest per key, deletes
-  dropped); compacting it is the same fold written back.
+  dropped); :func:`compact_state_changelog` writes that fold, with its
+  tombstones, as the base of a new log.
 * :class:`CurrentStateWriter` — a ready-to-query snapshot per batch, for
   small states (it rewrites the state each batch).
 
-Each micro-batch produces a new snapshot version ``v=<batch_id>`` of the
-state table = latest row per key over (previous version ∪ batch). Deletes
-are kept as tombstones inside the state so an older change arriving later
-cannot resurrect a deleted key; :func:`read_current_state` hides them.
-A version is committed once its batch id is appended to the ``_commits``
-table; a replayed batch finds its version committed and skips, so the upkeep
-is idempotent.
-The per-batch work is one aggregate over (state ∪ batch); versions are
-written tables in the shared checkpoint folder, so lineage never grows.
+Each micro-batch produces the next snapshot version ``v=<n>`` of the state
+table = latest row per key over (previous version ∪ batch). Deletes are kept
+as tombstones inside the state so an older change arriving later cannot
+resurrect a deleted key; :func:`read_current_state` hides them. A version is
+committed once (version, query id, batch id) is appended to the ``_commits``
+table. A replayed batch finds its own commit and skips; a query with a fresh
+checkpoint has another id, so its batch 0 is a new batch. Versions older than
+the newest ``keep_versions`` are emptied.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.operators.cdc import current_state
+from changeflow.operators.cdc import current_state, is_delete
+from changeflow.streaming.sinks import MANUAL, BatchSink
 
 
 def state_updates(changes: DataFrame, key: str, order_by: list[str], *, op_col: str = "op",
@@ -38,72 +40,100 @@ def state_updates(changes: DataFrame, key: str, order_by: list[str], *, op_col:
     return current_state(changes, key, order_by, op_col=op_col, columns=columns, keep_tombstones=True)
 
 
-def read_state_changelog(spark: SparkSession, path: str, key: str, order_by: list[str], *,
-                         op_col: str = "op", delete_ops=("d",)) -> DataFrame:
-    """Fold an update changelog (``batch_id=<n>`` folders) into the current state."""
-    log = spark.read.parquet(path)
-    cols = [c for c in log.columns if c not in (key, "batch_id")]
-    return current_state(log, key, order_by, op_col=op_col, delete_ops=delete_ops,
-                         columns=[c for c in cols if c != op_col])
+def _changelog(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    log = None
+    for path in [paths] if isinstance(paths, str) else paths:
+        part = spark.read.parquet(path).drop("stream", "batch_id")
+        log = part if log is None else log.unionByName(part)
+    return log
 
 
-def committed_versions(spark: SparkSession, path: str) -> list[int]:
-    """Batch ids whose snapshot was fully written (the ``_commits`` table).
+def read_state_changelog(spark: SparkSession, path: str | list[str], key: str, order_by: list[str], *,
+                         op_col: str = "op", delete_ops=("d",), keep_tombstones: bool = False) -> DataFrame:
+    """Fold one or more update changelogs into the current state."""
+    log = _changelog(spark, path)
+    cols = [c for c in log.columns if c not in (key, op_col)]
+    return current_state(log, key, order_by, op_col=op_col, delete_ops=delete_ops, columns=cols,
+                         keep_tombstones=keep_tombstones)
 
-    A tiny table of batch ids, appended after a version is written, so a
-    version is visible only once complete; an interrupted attempt leaves an
-    uncommitted folder that the retry overwrites.
+
+def compact_state_changelog(spark: SparkSession, path: str | list[str], base: str, key: str, order_by: list[str], *,
+                            op_col: str = "op") -> None:
+    """Write the fold of a changelog to ``base``, one row per key, tombstones included.
+
+    Reading ``[base, log]`` gives the same state as reading the log, whether ``log`` still holds the
+    compacted batches or only later ones: the fold takes the newest row however often it is there.
     """
+    folded = read_state_changelog(spark, path, key, order_by, op_col=op_col, keep_tombstones=True)
+    folded.write.mode("errorifexists").parquet(base)
+
+
+def _commits(spark: SparkSession, path: str) -> DataFrame | None:
+    """The ``_commits`` table, or None if nothing was ever committed. Any other failure to read it is raised: an
+    unreadable table is not an empty one."""
     try:
-        commits = spark.read.parquet(f"{path.rstrip('/')}/_commits")
-    except Exception:            # nothing committed yet (path missing)
-        return []
-    return sorted(int(r.batch_id) for r in commits.select("batch_id").distinct().collect())
+        return spark.read.schema("version long, stream string, batch_id long").parquet(f"{path.rstrip('/')}/_commits")
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
-def _commit(spark: SparkSession, path: str, batch_id: int) -> None:
-    spark.createDataFrame([(int(batch_id),)], "batch_id long").write.mode("append").parquet(
-        f"{path.rstrip('/')}/_commits")
+def newest_version(spark: SparkSession, path: str, stream: str | None = None) -> tuple[int, int]:
+    """(newest committed version, newest committed batch of ``stream``), -1 for none. One aggregated row."""
+    commits = _commits(spark, path)
+    if commits is None:
+        return -1, -1
+    own = F.max(F.when(F.col("stream") == F.lit(stream), F.col("batch_id")))
+    row = commits.agg(F.max("version").alias("v"), own.alias("b")).first()
+    return (-1 if row["v"] is None else row["v"]), (-1 if row["b"] is None else row["b"])
 
 
-class CurrentStateWriter:
+class CurrentStateWriter(BatchSink):
     """``foreachBatch`` handler maintaining the latest row per key."""
 
     def __init__(self, path: str, key: str, order_by: list[str], op_col: str = "op",
-                 delete_ops=("d",), columns: list[str] | None = None, touch_col: str | None = None):
+                 delete_ops=("d",), columns: list[str] | None = None, touch_col: str | None = None,
+                 keep_versions: int = 2):
         """``touch_col`` (e.g. ``updated_at``) is set to the apply time on every
         key the batch changes — the source table's update trigger (P22)."""
         self.path = path.rstrip("/")
         self.key, self.order_by, self.op_col = key, list(order_by), op_col
         self.delete_ops, self.columns, self.touch_col = tuple(delete_ops), columns, touch_col
+        self.keep_versions = max(1, int(keep_versions))
 
     def _latest(self, df: DataFrame) -> DataFrame:
         cols = self.columns or [c for c in df.columns if c != self.key]
-        carried = list(dict.fromkeys(cols + [self.op_col] + self.order_by))
-        order = F.struct(*[F.col(c) for c in self.order_by])
-        agg = df.groupBy(self.key).agg(F.max_by(F.struct(*carried), order).alias("_l"))
-        return agg.select(self.key, *[F.col(f"_l.{c}").alias(c) for c in carried])
+        carried = list(dict.fromkeys([c for c in cols if c in df.columns] + [self.op_col] + self.order_by))
+        return current_state(df, self.key, self.order_by, op_col=self.op_col, columns=carried, keep_tombstones=True)
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+    def __call__(self, batch: DataFrame, batch_id: int, stream: str = MANUAL) -> None:
         spark = batch.sparkSession
-        versions = committed_versions(spark, self.path)
-        if batch_id in versions:
+        version, done = newest_version(spark, self.path, stream)
+        if batch_id <= done:
             return                                   # replay of a committed batch
         changes = self._latest(batch)
         if self.touch_col:
             changes = changes.withColumn(self.touch_col, F.current_timestamp())
-        prior = [v for v in versions if v < batch_id]
-        if prior:
-            prev = spark.read.parquet(f"{self.path}/v={prior[-1]}")
-            changes = self._latest(prev.unionByName(changes.select(*prev.columns)))
-        changes.write.mode("overwrite").parquet(f"{self.path}/v={int(batch_id)}")
-        _commit(spark, self.path, batch_id)
+        if version >= 0:
+            prev = spark.read.parquet(f"{self.path}/v={version}")
+            latest = current_state(prev.unionByName(changes.select(*prev.columns)), self.key, self.order_by,
+                                   op_col=self.op_col, columns=[c for c in prev.columns if c != self.key],
+                                   keep_tombstones=True)
+            changes = latest.select(*prev.columns)
+        new = version + 1
+        changes.write.mode("overwrite").parquet(f"{self.path}/v={new}")
+        spark.createDataFrame([(new, stream, int(batch_id))], "version long, stream string, batch_id long") \
+            .write.mode("append").parquet(f"{self.path}/_commits")
+        old = new - self.keep_versions
+        if old >= 0:
+            changes.limit(0).write.mode("overwrite").parquet(f"{self.path}/v={old}")
 
 
 def read_current_state(spark: SparkSession, path: str, op_col: str = "op", delete_ops=("d",)) -> DataFrame:
     """The newest committed version without tombstones."""
-    versions = committed_versions(spark, path)
-    if not versions:
+    version, _ = newest_version(spark, path)
+    if version < 0:
         raise FileNotFoundError(f"no committed state under {path}")
-    state = spark.read.parquet(f"{path.rstrip('/')}/v={versions[-1]}")
-    return state.where(~F.col(op_col).isin(*delete_ops))
+    state = spark.read.parquet(f"{path.rstrip('/')}/v={version}")
+    return state.where(~is_delete(op_col, delete_ops))

@@ -54,15 +54,17 @@ def sliding_metrics(events: DataFrame, duration: str = "10 minutes", slide: str
 
 def session_metrics(events: DataFrame, gap: str = "30 minutes", *, ts_col: str = "ts", key: str = "user_id",
                     value_col: str = "value", watermark: str | None = None,
-                    split_seconds: int = 86_400) -> DataFrame:
+                    split_seconds: int = 3_600) -> DataFrame:
     """Activity sessions per key: a session ends after ``gap`` without events.
 
     Streams use ``session_window`` with a watermark (state kept by Spark).
     Batch is exact and skew-safe in two phases: sessions are first built
-    per (key, ``split_seconds`` time slice) — a key holding a third of all rows is
-    spread over its slices — and the partial sessions, one row per piece,
-    are then merged across slice borders with a running "starts a new
-    session" flag. Phase 2 sees one row per partial session, not per event.
+    per (key, ``split_seconds`` time slice), and the partial sessions, one row
+    per piece, are then merged across slice borders with a running "starts a
+    new session" flag. A key holding a third of all rows is spread over its
+    slices; the rows of one key in one slice meet in one task, so a busier
+    key wants a smaller slice. Phase 2 sees one row per partial session, and of a
+    hot key only the two border pieces of each slice together.
     """
     if events.isStreaming:
         df = _prepare(events, ts_col, watermark)
@@ -77,24 +79,19 @@ def session_metrics(events: DataFrame, gap: str = "30 minutes", *, ts_col: str =
             .agg(F.count(F.lit(1)).alias("events"),
                  F.sum(F.col(value_col).cast("decimal(12,2)")).alias("_value"),
                  F.min(ts_col).alias("_first"), F.max(ts_col).alias("_last")))
-    # Only the first and the last piece of a slice can touch a slice border;
-    # pieces in between are final sessions already.
+    # Only the first and the last piece of a slice can touch a slice border. Those of a
+    # key are merged together; a piece between them is a session, so it stays with its slice.
     in_slice = Window.partitionBy(key, "_slice")
-    part = part.select("*", ((F.col("_first") == F.min("_first").over(in_slice))
-                             | (F.col("_last") == F.max("_last").over(in_slice))).alias("_border"))
-    interior = part.where(~F.col("_border")).select(
-        key, F.col("_first").alias("session_start"), (F.col("_last") + gap_iv).alias("session_end"),
-        "events", F.col("_value").cast("double").alias("total_value"))
-    border = part.where(F.col("_border"))
-    w = Window.partitionBy(key).orderBy("_first", "_last")
+    border = (F.col("_first") == F.min("_first").over(in_slice)) | (F.col("_last") == F.max("_last").over(in_slice))
+    part = part.withColumn("_group", F.when(~border, F.col("_slice")))
+    w = Window.partitionBy(key, "_group").orderBy("_first", "_last")
     prev_end = F.max(F.col("_last")).over(w.rowsBetween(Window.unboundedPreceding, -1)) + gap_iv
-    flagged = border.select("*", F.when(prev_end.isNull() | (F.col("_first") >= prev_end), 1)
-                            .otherwise(0).alias("_new"))
-    numbered = flagged.select("*", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_sid"))
-    merged = numbered.groupBy(key, "_sid").agg(
+    flagged = part.withColumn("_new", F.when(prev_end.isNull() | (F.col("_first") >= prev_end), 1).otherwise(0))
+    numbered = flagged.withColumn("_sid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = numbered.groupBy(key, "_group", "_sid").agg(
         F.min("_first").alias("session_start"), (F.max("_last") + gap_iv).alias("session_end"),
         F.sum("events").alias("events"), F.sum("_value").cast("double").alias("total_value"))
-    return merged.select(key, "session_start", "session_end", "events", "total_value").unionByName(interior)
+    return merged.select(key, "session_start", "session_end", "events", "total_value")
 
 
 def order_window_metrics(orders: DataFrame, duration: str = "1 day", *, watermark: str | None = None,

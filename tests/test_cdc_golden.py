@@ -116,11 +116,67 @@ def test_etl_message(spark):
     evs = [{"order_id": 5, "customer_id": 2, "__op": "u"}, {"customer_id": 3, "__op": "x"}]
     msgs = C.etl_messages(C.decode_flat(_raw(spark, evs)), keep=("event_id",)).orderBy("event_id").collect()
     assert [m.operation for m in msgs] == ["UPDATE", "INSERT"]
-    assert [m.key for m in msgs] == ["5", ""]
+    assert [m.key for m in msgs] == ["5", None]                 # no id: no key, any partition
     body = json.loads(msgs[0].value)
-    assert set(body) == {"key", "value", "timestamp", "source", "operation"}
-    assert body["value"]["product_name"] is None                # NULLs written out
-    assert body["source"] == "orders-db" and msgs[0].topic == "cdc-events"
+    assert set(body) == {"topic", "key", "value", "timestamp", "source", "operation"}
+    assert body["value"] == evs[0]                              # the record as it came
+    assert json.loads(msgs[1].value)["key"] == ""
+    assert body["source"] == "orders-db" and msgs[0].topic == body["topic"] == "cdc-events"
+
+
+def test_messages_keep_unknown_keys_and_nulls_and_skip_rejects(spark):
+    evs = [{"order_id": 5, "note": {"a": [1, None]}, "status": None}, "invalid json"]
+    msgs = C.etl_messages(C.decode_flat(_raw(spark, evs))).collect()
+    assert [json.loads(m.value)["value"] for m in msgs] == [evs[0]]
+
+
+def test_json_lines_keep_the_whole_record(spark):
+    from changeflow.operators.quality import json_lines
+    rec = dict(ORDER, status=None, note="k", price="12.5")
+    del rec["quantity"]
+    out = json_lines(C.payload_records(_raw(spark, [{"payload": {"op": "c", "after": rec}}]))).collect()
+    doc = json.loads(out[0].json)
+    assert doc["status"] is None and doc["note"] == "k" and doc["price"] == 12.5
+    assert not {"quantity", "total_amount"} & set(doc) and doc["_deleted"] is False
+
+
+def test_large_quantity_is_kept_and_an_unholdable_one_rejected(spark):
+    evs = [{"payload": {"op": "c", "after": dict(ORDER, quantity=q)}} for q in (3_000_000_000, 10 ** 25)]
+    out = C.payload_records(_raw(spark, evs)).orderBy("event_id").collect()
+    assert out[0].quantity == 3_000_000_000 and out[0].total_amount == 3_000_000_000 * 99.99
+    assert [r.reject_reason for r in out] == [None, "out_of_range:quantity"]
+
+
+def test_envelope_without_image_or_id_is_rejected(spark):
+    evs = [{"op": "u"}, {"op": "c", "after": {"id": "x", "status": "s"}}, {"op": "d", "before": {"id": 4}},
+           {"op": "c", "after": {"id": 5, "total_amount": "!!"}}, {"op": "c", "after": {"id": 6, "total_amount": "AQAAAAAAAAAA"}}]
+    f = C.flatten_envelope(C.decode_envelope(_raw(spark, evs)), keep=("event_id",)).orderBy("event_id").collect()
+    assert [r.reject_reason for r in f] == ["empty_image", "null_key", None, "invalid_amount", None]
+    assert f[4].total_amount == Decimal(2 ** 64) / 100
+
+
+def test_null_keys_and_null_ops_in_current_state(spark):
+    rows = [(1, None, "c", "a"), (2, 10, None, "b"), (3, 11, "d", "c")]
+    df = spark.createDataFrame(rows, "seq long, id long, op string, status string")
+    assert [(r.id, r.status) for r in C.current_state(df, "id", ["seq"], columns=["status"]).collect()] == [(10, "b")]
+
+
+def test_event_time_unit_is_a_parameter(spark):
+    from changeflow.functions.cdc import parse_event_time
+    df = spark.createDataFrame([("1705314600000",)], "s string")
+    got = [str(df.select(parse_event_time(F.col("s"), u).cast("timestamp_ntz")).first()[0]) for u in ("millis", "micros")]
+    assert got == ["2024-01-15 10:30:00", "1970-01-20 17:41:54.600000"]
+
+
+def test_loader_defaults_are_for_missing_keys_only(spark):
+    from changeflow.operators.warehouse import load_order_events
+    base = {"order_id": 1, "customer_id": 2, "product_name": "p", "quantity": 1, "unit_price": 2.5,
+            "order_date": "2024-01-01", "status": "s"}
+    evs = [base, dict(base, operation=None), dict(base, timestamp="2024-01-02T03:04:05"), dict(base, timestamp=None)]
+    out = load_order_events(C.decode_flat(_raw(spark, evs))).orderBy("event_id").collect()
+    assert [r.reject_reason for r in out] == [None, "null:event_type", None, "null:source_timestamp"]
+    assert out[0].event_type == "INSERT" and out[0].source_timestamp is not None
+    assert str(out[2].source_timestamp) == "2024-01-02 03:04:05"
 
 
 def test_current_state_latest_wins_and_deletes_drop(spark):

@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from changeflow.plans import registry
 from changeflow.operators import analytics as A
 from changeflow.sources import fixtures as X
 from conftest import SF0001
@@ -15,7 +16,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_python_udf_and_no_cartesian(spark, name):
     plan = _plan(E.queries()[name](spark, SF0001))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
@@ -38,6 +39,29 @@ def test_anomalies_use_a_scalar_subquery_not_a_join(spark):
     assert "BroadcastNestedLoopJoin" not in plan and "Subquery" in plan
 
 
+WINDOWED = ["daily_trends", "detect_anomalies", "anomaly_counts", "recent_metrics", "recent_metrics_multi", "recent_trend",
+            "growth_rate", "recent_trend_head", "throughput"]
+
+
+@pytest.mark.parametrize("name", WINDOWED)
+def test_registered_window_reports_bound_the_orders_scan(spark, name):
+    """The date bound is in the scan of ``orders`` itself, not above the join."""
+    plan = _plan(registry.queries()[name](spark, SF0001))
+    scans = [x for x in plan.splitlines() if "FileScan parquet" in x and "o_orderdate" in x]
+    assert any("o_orderdate" in x.split("DataFilters:")[1].split("]")[0] and ">=" in x.split("DataFilters:")[1].split("Format")[0]
+               for x in scans), plan
+
+
+def test_sessions_merge_once(spark):
+    plan = _plan(registry.queries()["session_metrics"](spark, SF0001))
+    assert plan.count("MergingSessions") <= 2 and "Union" not in plan
+
+
+def test_no_plan_depends_on_the_number_of_splits(spark):
+    for name, fn in registry.queries().items():
+        assert "REPARTITION_BY_NUM" not in _plan(fn(spark, SF0001)), name
+
+
 def test_day_partitioned_orders_are_pruned(spark, scratch):
     from changeflow.operators import warehouse as W
     path = os.path.join(scratch, "orders_by_day")

@@ -10,7 +10,7 @@ from changeflow.operators import insights as I
 from changeflow.operators import warehouse as W
 from changeflow.sources import fixtures as X
 from changeflow.sources.streams import file_stream, kafka_options
-from changeflow.streaming import BoundedConsumer, IdempotentParquetAppend, consume_bounded, run_available
+from changeflow.streaming import BoundedConsumer, IdempotentParquetAppend, SplitWriter, consume_bounded, run_available
 from changeflow.streaming.sinks import kafka_write_options
 from conftest import SF0001
 
@@ -32,7 +32,7 @@ def test_warehouse_append_stream(spark, scratch):
     flat = C.accepted(C.flatten_envelope(C.decode_envelope(stream), keep=("event_id",)))
     run_available(flat, checkpoint=os.path.join(scratch, "ck"),
                   foreach_batch=IdempotentParquetAppend(os.path.join(scratch, "wh")), timeout_s=300)
-    assert spark.read.parquet(os.path.join(scratch, "wh")).count() == 962
+    assert spark.read.parquet(os.path.join(scratch, "wh")).count() == 936
 
 
 def test_create_tables_and_partitioned_write_prunes(spark, scratch):
@@ -90,6 +90,137 @@ def test_bounded_consumer_stops_after_n(spark, scratch):
     assert len(seen) < 5
 
 
+def _numbered_files(spark, path, files, rows):
+    for i in range(files):
+        spark.range(i * rows, (i + 1) * rows).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_bounded_consumer_restarted_until_empty_hands_every_row_over_once(spark, scratch):
+    src = os.path.join(scratch, "in")
+    _numbered_files(spark, src, 12, 10)
+    seen, runs = [], 0
+    while True:
+        stream = file_stream(spark, src, spark.range(1).schema, max_files_per_trigger=1)
+        consumer = BoundedConsumer(lambda df, _: (seen.extend(r.id for r in df.collect()), df.count())[1], 25)
+        consume_bounded(stream, consumer, checkpoint=os.path.join(scratch, "ck"), timeout_s=300)
+        runs += 1
+        if not consumer.processed:
+            break
+        assert consumer.processed <= 30
+    assert sorted(seen) == list(range(120)) and runs >= 4
+
+
+def test_bounded_consumer_raises_a_failing_handler_and_retries_its_batch(spark, scratch):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+    src = os.path.join(scratch, "in")
+    _numbered_files(spark, src, 2, 5)
+    stream = file_stream(spark, src, spark.range(1).schema, max_files_per_trigger=1)
+
+    def fails(df, _):
+        raise KeyError("no")
+    with pytest.raises(StreamingQueryException):
+        consume_bounded(stream, BoundedConsumer(fails, 100), checkpoint=os.path.join(scratch, "ck"))
+    good = BoundedConsumer(lambda df, _: df.count(), 100)
+    consume_bounded(stream, good, checkpoint=os.path.join(scratch, "ck"))
+    assert good.processed == 10
+
+
+def test_running_out_of_time_is_an_error(spark, scratch):
+    import time
+
+    import pytest
+    src = os.path.join(scratch, "in")
+    _numbered_files(spark, src, 1, 5)
+    stream = file_stream(spark, src, spark.range(1).schema)
+    slow = lambda df, _: time.sleep(8)
+    with pytest.raises(TimeoutError):
+        run_available(stream, checkpoint=os.path.join(scratch, "ck"), foreach_batch=slow, timeout_s=2)
+
+
+def test_a_fresh_checkpoint_appends_beside_what_is_stored(spark, scratch):
+    schema = spark.range(1).schema
+    for k, sink in enumerate((IdempotentParquetAppend(os.path.join(scratch, "a")), )):
+        for ck, lo in (("c1", 0), ("c2", 5)):
+            src = os.path.join(scratch, f"in{lo}")
+            spark.range(lo, lo + 5).write.mode("overwrite").parquet(src)
+            for _ in range(2):                         # the second run finds nothing new
+                run_available(file_stream(spark, src, schema), checkpoint=os.path.join(scratch, ck), foreach_batch=sink,
+                              timeout_s=300)
+    assert sorted(r.id for r in spark.read.parquet(os.path.join(scratch, "a")).collect()) == list(range(10))
+    split = SplitWriter(os.path.join(scratch, "s"))
+    rows = spark.range(3).withColumn("reject_reason", F.when(F.col("id") == 0, "bad"))
+    for stream in ("one", "two", "two"):
+        split(rows, 0, stream)
+    assert spark.read.parquet(os.path.join(scratch, "s")).groupBy("_outcome").count().count() == 2
+    assert spark.read.parquet(os.path.join(scratch, "s")).count() == 6
+
+
+def test_state_keeps_rows_over_a_fresh_checkpoint_and_refuses_unreadable_commits(spark, scratch):
+    import pytest
+    from changeflow.streaming import CurrentStateWriter, read_current_state
+    path = os.path.join(scratch, "st")
+    w = CurrentStateWriter(path, key="id", order_by=["seq"], columns=["v"])
+    df = lambda *rows: spark.createDataFrame(list(rows), "seq long, id long, op string, v string")
+    w(df((1, 1, "c", "a"), (2, 2, "c", "b")), 0, "first")
+    w(df((3, 3, "c", "c")), 0, "second")               # batch 0 of another query is not a replay
+    w(df((9, 3, "c", "z")), 0, "second")               # this one is
+    w(df((4, 2, "d", "b")), 1, "second")
+    assert {(r.id, r.v) for r in read_current_state(spark, path).collect()} == {(1, "a"), (3, "c")}
+    assert spark.read.parquet(f"{path}/v=0").count() == 0            # old versions are emptied
+    for name in os.listdir(f"{path}/_commits"):
+        if name.endswith(".parquet"):
+            with open(f"{path}/_commits/{name}", "wb") as f:
+                f.write(b"broken")
+    with pytest.raises(Exception, match="(?i)parquet|footer|magic"):
+        w(df((5, 7, "c", "n")), 2, "second")
+
+
+def test_changelog_compaction_keeps_the_state(spark, scratch):
+    from changeflow.streaming import read_state_changelog
+    from changeflow.streaming.state import compact_state_changelog
+    log, base = os.path.join(scratch, "log"), os.path.join(scratch, "base")
+    sink = IdempotentParquetAppend(log)
+    df = lambda *rows: spark.createDataFrame(list(rows), "id long, seq long, op string, v string")
+    sink(df((1, 1, "c", "a"), (2, 2, "c", "b")), 0)
+    sink(df((1, 3, "d", "a"), (2, 4, "u", "B")), 1)
+    compact_state_changelog(spark, log, base, "id", ["seq"])
+    assert spark.read.parquet(base).count() == 2                    # the tombstone stays
+    sink(df((1, 2, "u", "late"), (3, 5, "c", "n")), 2)
+    state = {(r.id, r.v) for r in read_state_changelog(spark, [base, log], "id", ["seq"]).collect()}
+    assert state == {(2, "B"), (3, "n")}
+
+
+def test_order_events_replay_over_midnight_and_catalog(spark, scratch):
+    path = os.path.join(scratch, "tables")
+    spark.sql("CREATE DATABASE IF NOT EXISTS wh_test")
+    for t in W.create_tables(spark, path, "wh_test"):
+        spark.sql(f"DROP TABLE {t}")
+    W.create_tables(spark, path, "wh_test")
+    flat = C.decode_flat(X.flat_raw(spark, SF0001))
+    sink = W.OrderEventsSink(os.path.join(path, "order_events"), "wh_test.order_events")
+    n = C.accepted(W.load_order_events(flat)).count()
+    for day in ("2024-03-01 23:59:59", "2024-03-02 00:00:01"):       # the replay runs on the next day
+        sink(W.load_order_events(flat, F.lit(day).cast("timestamp")), 0, "q")
+    table = spark.table("wh_test.order_events")
+    assert table.count() == n > 0
+    assert [str(r[0]) for r in table.select("processed_date").distinct().collect()] == ["2024-03-02"]
+    sink(W.load_order_events(flat, F.lit("2024-03-02 01:00:00").cast("timestamp")), 0, "another")
+    assert spark.table("wh_test.order_events").count() == 2 * n
+    plan = W.daily_stats(spark.table("wh_test.order_events"), day="latest")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "processed_date" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert W.daily_stats(spark.table("wh_test.order_events"), day="latest").first().total_events == 2 * n
+
+
+def test_export_insights_records_and_raises_a_failure(spark, scratch):
+    import pytest
+    path = os.path.join(scratch, "doc")
+    bad = spark.range(1).select(F.raise_error(F.lit("boom " * 600)).alias("summary"))
+    with pytest.raises(Exception, match="boom"):
+        I.export_insights(bad, path)
+    assert json.loads(spark.read.text(path).first().value)["error"].count("boom") >= 600
+
+
 def test_daily_stats_pushes_down_on_stored_events(spark, scratch):
     from changeflow.sources.fixtures import flat_raw
     loaded = C.accepted(W.load_order_events(C.decode_flat(flat_raw(spark, SF0001)),
