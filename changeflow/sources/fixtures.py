@@ -59,8 +59,8 @@ def stored_order_lines(spark: SparkSession, base_dir: str) -> DataFrame:
 
 
 def cdc_base(spark: SparkSession, base_dir: str) -> DataFrame:
-    """``events`` plus the change-event attributes derived from it."""
-    return read_table(spark, base_dir, "events").select(
+    """``events`` plus the change-event attributes derived from it, dealt by event as a topic deals its messages."""
+    return read_table(spark, base_dir, "events").repartition("event_id").select(
         "*",
         (F.col("event_id") % 200).alias("id"),
         (F.col("event_id") % 5 + 1).cast("int").alias("quantity"),
