@@ -4,7 +4,7 @@ by tests that compare stream output with these)."""
 from __future__ import annotations
 
 from changeflow.plans.registry import register
-from changeflow.sources.tables import read_table
+from changeflow.sources.fixtures import events
 from changeflow.streaming import windows as WN
 
 _DEC = "cast(sum(cast(value AS decimal(12,2))) AS double)"
@@ -38,17 +38,17 @@ FROM g GROUP BY user_id, sid"""
 
 @register("tumbling_metrics", TUMBLING_SQL)
 def _tumbling(spark, d):
-    return WN.tumbling_metrics(read_table(spark, d, "events"), "5 minutes")
+    return WN.tumbling_metrics(events(spark, d), "5 minutes")
 
 
 @register("sliding_metrics", SLIDING_SQL)
 def _sliding(spark, d):
-    return WN.sliding_metrics(read_table(spark, d, "events"), "10 minutes", "5 minutes")
+    return WN.sliding_metrics(events(spark, d), "10 minutes", "5 minutes")
 
 
 @register("session_metrics", SESSION_SQL)
 def _session(spark, d):
-    return WN.session_metrics(read_table(spark, d, "events"), "30 minutes")
+    return WN.session_metrics(events(spark, d), "30 minutes")
 
 
 ORDER_WINDOWS_SQL = """

@@ -23,6 +23,18 @@ _STATUS = ("case when l_returnflag = 'R' then 'cancelled' when o_orderstatus = '
            "else 'shipped' end")
 
 
+# Declared columns of the given tables, so that no job reads footers to infer them.
+_LINEITEM = ("l_orderkey bigint, l_linenumber int, l_partkey bigint, l_quantity double, l_extendedprice double, "
+             "l_returnflag string, l_linestatus string")
+_ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderstatus string"
+_EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def events(spark: SparkSession, base_dir: str) -> DataFrame:
+    """The ``events`` table with its declared columns."""
+    return read_table(spark, base_dir, "events", _EVENTS)
+
+
 def order_lines(spark: SparkSession, base_dir: str) -> DataFrame:
     """Canonical orders (id, customer_id, product_id, quantity, price, order_date, status) and ``order_day``.
 
@@ -32,11 +44,8 @@ def order_lines(spark: SparkSession, base_dir: str) -> DataFrame:
     runtime, decided by AQE from real sizes). ``order_day`` is the order's own
     date column, so the window helpers' bound on it reaches the scan of ``orders``.
     """
-    li = read_table(spark, base_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
-        "l_returnflag", "l_linestatus")
-    od = read_table(spark, base_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    li = read_table(spark, base_dir, "lineitem", _LINEITEM)
+    od = read_table(spark, base_dir, "orders", _ORDERS)
     joined = li.join(od, li.l_orderkey == od.o_orderkey)
     return joined.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
@@ -60,7 +69,7 @@ def stored_order_lines(spark: SparkSession, base_dir: str) -> DataFrame:
 
 def cdc_base(spark: SparkSession, base_dir: str) -> DataFrame:
     """``events`` plus the change-event attributes derived from it, dealt by event as a topic deals its messages."""
-    return read_table(spark, base_dir, "events").repartition("event_id").select(
+    return events(spark, base_dir).repartition("event_id").select(
         "*",
         (F.col("event_id") % 200).alias("id"),
         (F.col("event_id") % 5 + 1).cast("int").alias("quantity"),

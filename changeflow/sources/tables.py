@@ -11,7 +11,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def read_table(spark: SparkSession, base_dir: str, name: str, schema: StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, base_dir: str, name: str, schema: StructType | str | None = None) -> DataFrame:
     """Scan ``<base_dir>/<name>.parquet`` (a file or a folder of part files).
 
     Nothing is selected here: Catalyst prunes columns and pushes filters into
