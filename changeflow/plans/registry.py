@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from changeflow.operators import analytics as A
 from changeflow.plans import oracle_sql as O
-from changeflow.sources.fixtures import order_lines
+from changeflow.sources.fixtures import latest_order_time, order_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,7 +54,7 @@ def _product_performance(spark, d):
 
 @register("daily_trends", O.daily_trends(30))
 def _daily_trends(spark, d):
-    return A.daily_trends(order_lines(spark, d), days=30, as_of="latest")
+    return A.daily_trends(order_lines(spark, d), days=30, as_of=latest_order_time(spark, d))
 
 
 @register("status_distribution", O.status_distribution())
@@ -69,48 +69,48 @@ def _hourly_pattern(spark, d):
 
 @register("recent_metrics", O.recent_metrics(60))
 def _recent_metrics(spark, d):
-    return A.recent_metrics(order_lines(spark, d), minutes=60, as_of="latest")
+    return A.recent_metrics(order_lines(spark, d), minutes=60, as_of=latest_order_time(spark, d))
 
 
 @register("recent_metrics_multi", O.recent_metrics_multi((5, 15, 60)))
 def _recent_metrics_multi(spark, d):
-    return A.recent_metrics_multi(order_lines(spark, d), windows=(5, 15, 60), as_of="latest")
+    return A.recent_metrics_multi(order_lines(spark, d), windows=(5, 15, 60), as_of=latest_order_time(spark, d))
 
 
 @register("detect_anomalies", O.detect_anomalies(2.0, 7, 1))
 def _detect_anomalies(spark, d):
-    return A.detect_anomalies(order_lines(spark, d), 2.0, stats_days=7, candidate_days=1, as_of="latest")
+    return A.detect_anomalies(order_lines(spark, d), 2.0, stats_days=7, candidate_days=1, as_of=latest_order_time(spark, d))
 
 
 @register("detect_anomalies_k1", O.detect_anomalies(1.0, 7, 1))
 def _detect_anomalies_k1(spark, d):
-    return A.detect_anomalies(order_lines(spark, d), 1.0, stats_days=7, candidate_days=1, as_of="latest")
+    return A.detect_anomalies(order_lines(spark, d), 1.0, stats_days=7, candidate_days=1, as_of=latest_order_time(spark, d))
 
 
 @register("detect_anomalies_wide", O.detect_anomalies(1.0, 90, 30))
 def _detect_anomalies_wide(spark, d):
-    return A.detect_anomalies(order_lines(spark, d), 1.0, stats_days=90, candidate_days=30, as_of="latest")
+    return A.detect_anomalies(order_lines(spark, d), 1.0, stats_days=90, candidate_days=30, as_of=latest_order_time(spark, d))
 
 
 @register("anomaly_counts", O.anomaly_counts(1.0, 90, 30))
 def _anomaly_counts(spark, d):
     return A.anomaly_counts(A.detect_anomalies(order_lines(spark, d), 1.0, stats_days=90,
-                                               candidate_days=30, as_of="latest"))
+                                               candidate_days=30, as_of=latest_order_time(spark, d)))
 
 
 @register("recent_trend", O.recent_trend(7))
 def _recent_trend(spark, d):
-    return A.recent_trend(order_lines(spark, d), days=7, as_of="latest")
+    return A.recent_trend(order_lines(spark, d), days=7, as_of=latest_order_time(spark, d))
 
 
 @register("growth_rate", O.growth_rate(30))
 def _growth_rate(spark, d):
-    return A.growth_rate(order_lines(spark, d), days=30, as_of="latest")
+    return A.growth_rate(order_lines(spark, d), days=30, as_of=latest_order_time(spark, d))
 
 
 @register("growth_rate_reference_order", O.growth_rate_reference_order(30))
 def _growth_rate_reference_order(spark, d):
-    return A.growth_rate(order_lines(spark, d), days=30, as_of="latest", reference_order=True)
+    return A.growth_rate(order_lines(spark, d), days=30, as_of=latest_order_time(spark, d), reference_order=True)
 
 
 @register("customer_ltv", O.customer_ltv())
@@ -120,7 +120,7 @@ def _customer_ltv(spark, d):
 
 @register("recent_trend_head", O.recent_trend_head(7, 30))
 def _recent_trend_head(spark, d):
-    return A.recent_trend_head(order_lines(spark, d), n=7, days=30, as_of="latest")
+    return A.recent_trend_head(order_lines(spark, d), n=7, days=30, as_of=latest_order_time(spark, d))
 
 
 @register("daily_order_summary", O.daily_order_summary())

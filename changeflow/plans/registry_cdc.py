@@ -206,7 +206,7 @@ def _data_freshness_stale(spark, d):
 
 @register("throughput", OM.throughput(60))
 def _throughput(spark, d):
-    return M.throughput(X.order_lines(spark, d), window_minutes=60, as_of="latest")
+    return M.throughput(X.order_lines(spark, d), window_minutes=60, as_of=X.latest_order_time(spark, d))
 
 
 def _processed(spark, d):
@@ -231,8 +231,9 @@ def _pipeline_health_degraded(spark, d):
 @register("alert_rules", OM.alert_rules())
 def _alert_rules(spark, d):
     orders = X.order_lines(spark, d)
-    health = M.pipeline_health(orders, C.payload_records(X.cdc_raw(spark, d)), as_of="latest", window_minutes=60)
-    anomalies = A.detect_anomalies(orders, 1.0, stats_days=90, candidate_days=30, as_of="latest")
+    last = X.latest_order_time(spark, d)
+    health = M.pipeline_health(orders, C.payload_records(X.cdc_raw(spark, d)), as_of=last, window_minutes=60)
+    anomalies = A.detect_anomalies(orders, 1.0, stats_days=90, candidate_days=30, as_of=last)
     one = health.select("seconds_since_last", "error_rate",
                         F.lit(anomalies.agg(F.count(F.lit(1))).scalar()).alias("anomalies"))
     rules = {"seconds_since_last": 300.0, "error_rate": 0.05, "anomalies": 100.0}

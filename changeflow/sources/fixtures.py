@@ -59,6 +59,19 @@ def order_lines(spark: SparkSession, base_dir: str) -> DataFrame:
     )
 
 
+def latest_order_time(spark: SparkSession, base_dir: str, days: int = 30) -> str:
+    """The newest ``order_date`` as text, for reports that are anchored at the data.
+
+    The newest day comes from ``orders`` alone; only its last ``days`` days are then joined with the
+    line items. All days are, if none of those orders has a line.
+    """
+    newest = read_table(spark, base_dir, "orders", _ORDERS).agg(F.max("o_orderdate")).first()[0]
+    lines = order_lines(spark, base_dir)
+    recent = lines.where(F.col("order_day") >= F.date_sub(F.to_date(F.lit(str(newest))), days))
+    last = recent.agg(F.max("order_date")).first()[0] or lines.agg(F.max("order_date")).first()[0]
+    return str(last) if last is not None else "1970-01-01 00:00:00"
+
+
 def stored_order_lines(spark: SparkSession, base_dir: str) -> DataFrame:
     """``order_lines`` written once in day order and read back, for reports of many passes: no pass repeats the
     join, and file statistics prune the windowed ones to their days."""
