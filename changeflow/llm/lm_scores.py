@@ -46,6 +46,8 @@ DIMENSIONS = 16
 ROUNDS = 3
 LOOKUP = 1 << 17
 BATCH = 512
+# Tokens that a task works on at a time; bounds its memory.
+HELD_TOKENS = 1 << 16
 NOISE = 32
 RATE = 0.1
 # Distinct words that a task holds before it passes counts on.
@@ -102,6 +104,7 @@ class Model:
         self.b = np.log(self.noise).astype(np.float32)
         self.C1 = np.eye(dimensions, dtype=np.float32)
         self.C2 = np.eye(dimensions, dtype=np.float32) * np.float32(0.5)
+        self.norms: np.ndarray | None = None
 
     def flat(self) -> np.ndarray:
         return np.concatenate([getattr(self, f).ravel() for f in self.FIELDS])
@@ -112,20 +115,23 @@ class Model:
             old = getattr(self, f)
             setattr(self, f, values[at:at + old.size].reshape(old.shape).astype(np.float32))
             at += old.size
+        self.norms = None
 
     def predicted(self, c1: np.ndarray, c2: np.ndarray) -> np.ndarray:
         return self.R[c1] @ self.C1 + self.R[c2] @ self.C2
 
     def log_norm(self, c1: np.ndarray, c2: np.ndarray) -> np.ndarray:
-        """Log of the softmax denominator for each context, each different context once."""
-        pairs, back = np.unique(c1.astype(np.int64) * (self.n + 1) + c2, return_inverse=True)
-        out = np.empty(len(pairs), np.float32)
-        for at in range(0, len(pairs), 4096):
-            part = pairs[at:at + 4096]
+        """Log of the softmax denominator for each context, kept per pair of classes: each is computed once."""
+        if self.norms is None:
+            self.norms = np.full((self.n + 1) ** 2, np.nan, np.float32)
+        pairs = c1.astype(np.int64) * (self.n + 1) + c2
+        new = np.unique(pairs[np.isnan(self.norms[pairs])])
+        for at in range(0, len(new), 4096):
+            part = new[at:at + 4096]
             s = self.predicted(part // (self.n + 1), part % (self.n + 1)) @ self.Q.T + self.b
             top = s.max(axis=1)
-            out[at:at + 4096] = top + np.log(np.exp(s - top[:, None]).sum(axis=1))
-        return out[back]
+            self.norms[part] = top + np.log(np.exp(s - top[:, None]).sum(axis=1))
+        return self.norms[pairs]
 
     def log_prob(self, c2: np.ndarray, c1: np.ndarray, w: np.ndarray) -> np.ndarray:
         """Natural log probability of each class after its context."""
@@ -206,10 +212,10 @@ def train(docs: DataFrame, text_col: str, classes: Classes, frequency: np.ndarra
             local = Model(own.n, dimensions, freq)
             local.load(values)
             trainer = Trainer(local, seed=1000 * k + (TaskContext.get().partitionId() if TaskContext.get() else 0))
-            seen, held = 0, []
+            seen, waiting, held = 0, 0, []
 
             def steps(all_of_it: bool) -> None:
-                nonlocal held
+                nonlocal held, waiting
                 c2, c1, w = (np.concatenate(x) for x in zip(*held))
                 at = 0
                 while len(w) - at >= (1 if all_of_it else BATCH):
@@ -217,14 +223,16 @@ def train(docs: DataFrame, text_col: str, classes: Classes, frequency: np.ndarra
                     trainer.step(c2[i], c1[i], w[i])
                     at += BATCH
                 held = [(c2[at:], c1[at:], w[at:])] if at < len(w) else []
+                waiting = max(0, len(w) - at)
 
             for batch in batches:
                 for text in batch.column(0):
                     ids = own.of([*words(text.as_py()), END])
                     held.append((*own.contexts(ids), ids))
                     seen += len(ids)
-                if held:
-                    steps(False)
+                    waiting += len(ids)
+                    if waiting >= HELD_TOKENS:
+                        steps(False)
             if held:
                 steps(True)
             if seen:
@@ -257,9 +265,17 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     n_train, n_words = total["n"] or 0, total["v"]
 
-    # Bounded by ``lookup``: the words whose counts go to every task. The first ``vocabulary`` are classes.
-    top = counts.orderBy(F.desc("c"), "word").limit(lookup).collect()
-    known = {bytes(r["word"]): r["c"] for r in top}
+    # Bounded by ``lookup``: the words whose counts go to every task, down to a frequency that a histogram
+    # gives (some thousand rows at most). The first ``vocabulary`` are classes.
+    octave = F.floor(F.log2("c") * 64)
+    least, room = None, lookup
+    for r in sorted(counts.groupBy(octave.alias("bin")).count().collect(), key=lambda r: -r["bin"]):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["bin"]
+    top = [] if least is None else counts.where(octave >= least).select("word", "c").collect()
+    known = {bytes(r["word"]): r["c"] for r in sorted(top, key=lambda r: (-r["c"], bytes(r["word"])))}
     frequent = [w for w in known if w != END][:vocabulary - 1] + [END]
     classes = Classes(frequent, shapes)
     bounded = spark.sparkContext.broadcast((frequent, known))
@@ -295,14 +311,13 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
         logs = {w: math.log10(c + 1) for w, c in counted.items()}
         part = TaskContext.get().partitionId() if TaskContext.get() else 0
         row = part << 40
-        for batch in batches:
-            ids, out = batch.column(0), []
-            tokens = [[*words(t.as_py()), END] for t in batch.column(2)]
-            if not tokens:
-                continue
-            kinds_of = [own.of(t) for t in tokens]
-            before = [own.contexts(k) for k in kinds_of]
-            flat = np.concatenate(kinds_of)
+        kinds_out = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
+                     pa.list_(pa.struct([("word", pa.binary()), ("m", pa.int64())])))
+
+        def scored_rows(tokens: list[list[bytes]]) -> Iterator[tuple]:
+            classes_of = [own.of(t) for t in tokens]
+            before = [own.contexts(k) for k in classes_of]
+            flat = np.concatenate(classes_of)
             by_class = fit.log_prob(np.concatenate([b[0] for b in before]), np.concatenate([b[1] for b in before]), flat)
             by_class = by_class.astype(np.float64) / math.log(10) - in_shape[flat]
             ends = np.cumsum([len(t) for t in tokens])
@@ -318,15 +333,22 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
                             shaped += m * logs[w]
                     else:
                         rest[w] = m
-                out.append((row, len(t), n_known, base, float(sums[k]) + shaped,
-                            [{"word": w, "m": m} for w, m in rest.items()]))
-                row += 1
-            columns = list(zip(*out))
-            kinds_out = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                         pa.list_(pa.struct([("word", pa.binary()), ("m", pa.int64())])))
-            yield pa.RecordBatch.from_arrays(
-                [ids, batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds_out))],
-                names=["id", "held_out", "row", "n_tokens", "n_known", "base", "score", "rest"])
+                yield len(t), n_known, base, float(sums[k]) + shaped, [{"word": w, "m": m} for w, m in rest.items()]
+
+        for batch in batches:
+            at = 0
+            while at < batch.num_rows:                 # a few texts at a time, by their tokens
+                tokens, size = [], 0
+                while at + len(tokens) < batch.num_rows and size < HELD_TOKENS:
+                    tokens.append([*words(batch.column(2)[at + len(tokens)].as_py()), END])
+                    size += len(tokens[-1])
+                columns = list(zip(*((row + k, *r) for k, r in enumerate(scored_rows(tokens)))))
+                done = batch.slice(at, len(tokens))
+                yield pa.RecordBatch.from_arrays(
+                    [done.column(0), done.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds_out))],
+                    names=["id", "held_out", "row", "n_tokens", "n_known", "base", "score", "rest"])
+                at += len(tokens)
+                row += len(tokens)
 
     narrow = docs.select(F.col(f"`{id_col}`").alias("id"), held_out.alias("held_out"),
                          F.col(f"`{text_col}`").cast("string").alias("text"))
