@@ -153,10 +153,12 @@ def _settled(parts: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     Those are the open ones and, of each group of whole parts in a bucket with open ones, a single
     one that stands for all, as an open part may share strings with it.
     """
-    shared = parts.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    # Counts are written before they are joined: a join with an aggregate cannot be split where a bucket is hot.
+    shared = materialize(parts.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core"), f"{name}-shared")
     live = materialize(parts.join(shared, "core", "left_semi"), f"{name}-live")
     place = F.xxhash64("row", "at")
-    equal = live.groupBy("core", "block").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
+    equal = materialize(live.groupBy("core", "block").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1"),
+                        f"{name}-equal")
     marked = materialize(live.join(equal, ["core", "block"], "left").select(
         "row", "at", "lo", "hi", "core", F.col("n").isNotNull().alias("whole"), (place == F.col("first")).alias("stands")),
         f"{name}-marked")
