@@ -276,6 +276,7 @@ def lm_scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
         least = r["bin"]
     top = [] if least is None else counts.where(octave >= least).select("word", "c").collect()
     known = {bytes(r["word"]): r["c"] for r in sorted(top, key=lambda r: (-r["c"], bytes(r["word"])))}
+    known |= {END: r["c"] for r in counts.where(F.col("word") == F.lit(END)).collect()}      # a class by itself
     frequent = [w for w in known if w != END][:vocabulary - 1] + [END]
     classes = Classes(frequent, shapes)
     bounded = spark.sparkContext.broadcast((frequent, known))
