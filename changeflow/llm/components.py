@@ -20,22 +20,23 @@ from pyspark.sql import functions as F
 from changeflow.llm.common import materialize
 
 
-def _with_smallest(edges: DataFrame) -> DataFrame:
-    """Edges (u, v) -> (u, v, m): m is the smallest of u and its v."""
-    smallest = edges.groupBy("u").agg(F.min("v").alias("n")).select(
-        F.col("u").alias("u2"), F.least("u", "n").alias("m"))
+def _with_smallest(edges: DataFrame, name: str) -> DataFrame:
+    """Edges (u, v) -> (u, v, m): m is the smallest of u and its v. The minima are written before they are joined:
+    a join with an aggregate cannot be split where a node is a hub."""
+    smallest = materialize(edges.groupBy("u").agg(F.min("v").alias("n")).select(
+        F.col("u").alias("u2"), F.least("u", "n").alias("m")), name)
     return edges.join(smallest, F.col("u") == F.col("u2")).select("u", "v", "m")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, name: str) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _with_smallest(both).where(F.col("v") > F.col("u")).select(
+    return _with_smallest(both, f"{name}-large").where(F.col("v") > F.col("u")).select(
         F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, name: str) -> DataFrame:
     """Expects u > v."""
-    seen = _with_smallest(edges)
+    seen = _with_smallest(edges, f"{name}-small")
     own = seen.select("u", F.col("m").alias("v"))
     others = seen.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return own.unionByName(others).distinct()
@@ -52,7 +53,8 @@ def connected_components(edges: DataFrame, name: str = "components", max_rounds:
     edges = materialize(edges, f"{name}-edges")
     last = None
     for k in range(max_rounds):
-        edges = materialize(_small_star(_large_star(edges)), f"{name}-{k}")
+        edges = materialize(_large_star(edges, f"{name}-{k}"), f"{name}-{k}-mid")
+        edges = materialize(_small_star(edges, f"{name}-{k}"), f"{name}-{k}")
         # A checksum as a decimal: it can't overflow.
         state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == last:

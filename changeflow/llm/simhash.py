@@ -38,14 +38,16 @@ SHINGLE_WORDS = 3
 MAX_BITS = 3
 SEED = 42
 BLOCK_BITS = 16
-# A block with more entries than this is dealt on in pairs of sub-tries.
-HOT_BLOCK = 50_000
+# A block with more entries than this (some 100 MB in a task) is dealt on in pairs of sub-tries.
+HOT_BLOCK = 1_000_000
 SPLIT_BITS = 10
 # Node pairs of up to this many comparisons are compared outright.
 LEAF = 64
 # Node pairs walked at a time; bounds a task's memory.
 FRONTIER = 1 << 18
 _CHUNK = 1 << 15
+# Rows that a task gathers before it joins the whole units among them.
+_HELD = 200_000
 
 
 def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int = SEED) -> int:
@@ -198,24 +200,24 @@ def _join_partition(max_bits: int):
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))],
                                               names=["u", "v"])
 
-        waiting = 0
+        waiting, enough = 0, _HELD
         for batch in batches:
             if not batch.num_rows:
                 continue
             held.append(tuple(c.to_numpy(zero_copy_only=False) for c in batch.columns))
             waiting += batch.num_rows
-            if waiting < 200_000:
+            if waiting < enough:
                 continue
             rows = tuple(np.concatenate(x) for x in zip(*held))
             a, b = rows[0], rows[1]
             turns = np.flatnonzero((a[1:] != a[:-1]) | (b[1:] != b[:-1]))
-            if not len(turns):
-                held = [rows]
+            if not len(turns):                         # one large unit so far
+                held, enough = [rows], 2 * waiting
                 continue
             cut = turns[-1] + 1                        # the last unit may go on in the next batch
             yield links(tuple(x[:cut] for x in rows))
             held = [tuple(x[cut:] for x in rows)]
-            waiting = len(held[0][0])
+            waiting, enough = len(held[0][0]), max(_HELD, 2 * len(held[0][0]))
         if held:
             yield links(tuple(np.concatenate(x) for x in zip(*held)))
     return run
@@ -231,7 +233,8 @@ def near_links(entries: DataFrame, max_bits: int = MAX_BITS, hot_block: int = HO
         for b in range(64 // BLOCK_BITS)])).alias("e")).select("e.block", "e.key")
     # block number and its 16 bits
     turned = turned.withColumn("root", F.shiftrightunsigned("key", 64 - BLOCK_BITS) * 8 + F.col("block"))
-    sizes = turned.groupBy("root").agg(F.count("*").alias("entries")).where(F.col("entries") > hot_block)
+    sizes = materialize(turned.groupBy("root").agg(F.count("*").alias("entries")).where(F.col("entries") > hot_block),
+                        "simhash-hot")
     sized = turned.join(sizes, "root", "left")
     prefix = F.shiftrightunsigned("key", 64 - BLOCK_BITS - split_bits).bitwiseAND(F.lit((1 << split_bits) - 1))
     near = [x for x in range(1 << split_bits) if x.bit_count() <= max_bits]
@@ -255,8 +258,9 @@ def row_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     marked = materialize(fingerprints(docs, id_col, text_col, shingle_words), "simhash-fp")
     entries = materialize(marked.groupBy("fp").agg(F.count("*").alias("n_same")), "simhash-entries")
     groups = connected_components(near_links(entries.select("fp"), max_bits), "simhash-cc")
-    labelled = entries.join(groups, entries["fp"] == groups["node"], "left").select(
-        "fp", "n_same", F.coalesce("component", "fp").alias("component"))
+    # Written before it is joined, so that the join can be split where a fingerprint is hot.
+    labelled = materialize(entries.join(groups, entries["fp"] == groups["node"], "left").select(
+        "fp", "n_same", F.coalesce("component", "fp").alias("component")), "simhash-labels")
     return marked.join(labelled, "fp").select("id", "row", "fp", "n_same", "component")
 
 
@@ -266,7 +270,7 @@ def simhash_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     over links of at most ``max_bits`` bits) and ``n_same`` (documents of exactly this fingerprint)."""
     rows = materialize(row_groups(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words,
                                   max_bits=max_bits), "simhash-rows")
-    smallest = rows.groupBy("component").agg(F.min("id").alias("component_id"))
+    smallest = materialize(rows.groupBy("component").agg(F.min("id").alias("component_id")), "simhash-smallest")
     return rows.join(smallest, "component").select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "n_same")
 
