@@ -73,10 +73,13 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     windows = materialize(line_windows(docs, id_col, text_col, min_words), "line-windows")
     # A fingerprint's place is the window it was selected in; one place has one hash.
     place = F.xxhash64("doc", "th", "a", "b")
+    # Aggregates are written before they are joined: a join with one cannot be split where a fingerprint is hot.
     shared = windows.groupBy("fingerprint").agg(F.min(place).alias("p"), F.max(place).alias("q")).where("p <> q")
-    posts = materialize(windows.join(shared.select("fingerprint"), "fingerprint", "left_semi"), "line-posts")
+    shared = materialize(shared.select("fingerprint"), "line-shared")
+    posts = materialize(windows.join(shared, "fingerprint", "left_semi"), "line-posts")
     spot = F.struct(F.col("doc").isNotNull().alias("known"), "doc", "th", "a")
-    firsts = posts.groupBy("fingerprint", "window").agg(F.min(spot).alias("spot"), F.count("*").alias("n")).where("n > 1")
+    firsts = materialize(posts.groupBy("fingerprint", "window").agg(
+        F.min(spot).alias("spot"), F.count("*").alias("n")).where("n > 1"), "line-firsts")
     later = posts.join(firsts, ["fingerprint", "window"]).where(spot != F.col("spot"))
     under = later.select("doc", "th", F.explode(F.sequence("a", "b")).alias("line")).distinct()
     return under.groupBy("doc", "th").agg(F.collect_list("line").alias("gone"))

@@ -126,8 +126,8 @@ def filter_urls(pages: DataFrame, *, rules: Sequence[Rule] = RULES, redirects: D
     parts = settle(members, host=host_of(F.col("node")), path=path_of(F.col("node")))
     decided = settle(parts, own=matching_rule(F.col("host"), F.col("path"), rules)["verdict"]).groupBy("component").agg(
         F.max(F.col("own") == "allow").alias("allowed"), F.max(F.col("own") == "block").alias("blocked"))
-    decided = decided.where("allowed or blocked").select(
-        "component", F.when(F.col("allowed"), "allow").otherwise("block").alias("alias_verdict"))
+    decided = materialize(decided.where("allowed or blocked").select(
+        "component", F.when(F.col("allowed"), "allow").otherwise("block").alias("alias_verdict")), "url-decided")
     spread = materialize(members.join(decided, "component").select("node", "alias_verdict"), "url-spread")
 
     rows = settle(pages.select(F.col(f"`{id_col}`"), F.col(f"`{url_col}`").alias("page_url")),
