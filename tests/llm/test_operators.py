@@ -188,6 +188,16 @@ def test_lm_base_score_equals_brute_force_and_model_is_normalised(spark):
         assert abs(p.sum() - 1) < 1e-4
 
 
+def test_lm_scores_do_not_depend_on_the_lookup_size(spark):
+    """Which words are looked up by a join is a matter of cost: base figures agree, and unknown words too."""
+    docs = frame(spark, corpus(4) * 2)
+    few, many = ({r.doc_id: r for r in lm_scores.lm_scores(docs, lookup=n, vocabulary=1, shapes=4).collect()} for n in (2, 10 ** 5))
+    for i, r in few.items():
+        assert (r.n_known, r.n_tokens) == (many[i].n_known, many[i].n_tokens)
+        assert abs(r.base_score - many[i].base_score) < 1e-9 * max(1, -r.base_score)
+        assert abs(r.score - many[i].score) < 1e-3 * max(1, -r.score)
+
+
 def test_lm_learns_and_defined_cases(spark):
     r = random.Random(1)
     # Two languages: the context tells which words follow.
@@ -313,6 +323,20 @@ def test_decontamination_equals_brute_force(spark):
     assert not contamination(frame(spark, texts), items.limit(0)).where("contaminated").count()
 
 
+def test_decontamination_with_full_bit_fields(spark, monkeypatch):
+    """However full the fields are, nothing is lost and the join drops what they let through."""
+    from changeflow.llm import decontaminate
+    r, words = random.Random(11), vocabulary(80, 11)
+    bench = [(i, prose(r, words, 25)) for i in range(30)]
+    texts = [prose(r, words, 30) + " " + bench[i][1] + " " + prose(r, words, 30) for i in range(0, 30, 3)] + [prose(r, words, 200)]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", (64, 64))
+    got = {x.doc_id: (x.n_words, x.n_hit, x.n_items) for x in contamination(frame(spark, texts), items).collect()}
+    for i, t in enumerate(texts):
+        n, hit, ids = brute.decontaminate(t, bench)
+        assert got[i] == (n, hit, len(ids))
+
+
 def test_proximity_matches(spark):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
     shuffled = "alpha gamma beta delta zeta epsilon eta theta kappa iota lambda"
