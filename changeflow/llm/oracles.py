@@ -19,6 +19,7 @@ def _re(pattern: str) -> str:
 
 def quality_rules(table: str = "documents") -> str:
     q = quality
+    phrases = " OR ".join(f"contains(lower(line), {_re(p)})" for p in q.BOILERPLATE)
     return rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM {table}),
 places AS (SELECT doc_id, i, array_to_string(w[i:i + {q.WINDOW - 1}], ' ') AS content
@@ -32,8 +33,8 @@ figures AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
 judged AS (SELECT doc_id, line,
     (n < {q.SHORT_LINE} AND NOT regexp_matches(line, {_re(q.CLOSING)}))
     OR 10 * len(regexp_extract_all(line, {_re(q.SYMBOLS)})) > length(line)
-    OR (seps >= 3 AND 5 * seps >= n - seps) OR regexp_matches(line, {_re(q.NAVIGATION)})
-    OR (n < {4 * q.SHORT_LINE} AND regexp_matches(line, {_re(q.BOILERPLATE)})) AS bad
+    OR (seps >= 3 AND 5 * seps >= n - seps) OR regexp_matches(lower(line), {_re(q.NAVIGATION)})
+    OR (n < {4 * q.SHORT_LINE} AND ({phrases})) AS bad
   FROM figures),
 per AS (SELECT doc_id, count(*) - count(DISTINCT line) AS dup, sum(length(line)) AS chars,
     coalesce(sum(length(line)) FILTER (NOT bad), 0) AS good FROM judged GROUP BY doc_id),

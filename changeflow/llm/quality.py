@@ -34,26 +34,33 @@ SYMBOLS = "[#*$%&|<>]"
 SHORT_LINE = 10
 CLOSING = "[.!?…:;\"'”’»)\\]。！？]" + BLANKS + "*$"
 # Menus and trails: several short segments between separators.
-SEPARATOR = "(\\||»|›|·|•|::|>>| > )"
-NAVIGATION = ("(?i)^" + BLANKS + "*(home|menu|login|log in|sign in|sign up|register|next|previous|back to top|search|"
+SEPARATOR = "[|›»·•]|::|>>| > "
+NAVIGATION = ("^" + BLANKS + "*(home|menu|login|log in|sign in|sign up|register|next|previous|back to top|search|"
               "sitemap|contact us|about us|share|print|read more|more)" + BLANKS + "*[.:>»]*" + BLANKS + "*$")
-BOILERPLATE = ("(?i)(lorem ipsum|enable javascript|javascript is disabled|uses? cookies|cookie policy|"
-               "all rights reserved|terms of use|terms of service|privacy policy|subscribe to our newsletter|"
-               "click here|powered by|\\{\\{|\\}\\}|function ?\\()")
+# Phrases of a short line that is not prose, in lower case.
+BOILERPLATE = ("lorem ipsum", "enable javascript", "javascript is disabled", "use cookies", "uses cookies", "cookie policy",
+               "all rights reserved", "terms of use", "terms of service", "privacy policy", "subscribe to our newsletter",
+               "click here", "powered by", "{{", "}}", "function(", "function (")
 
 
-def line_ok(line: Column) -> Column:
-    """Whether a line with text passes the punctuation, navigation and boilerplate rules."""
+def with_lower(lines: Column) -> Column:
+    """Each line beside its lower-case form, computed once."""
+    return F.transform(lines, lambda x: F.struct(x.alias("line"), F.lower(x).alias("low")))
+
+
+def line_ok(x: Column) -> Column:
+    """Whether a line with text, as ``with_lower`` gives it, passes the punctuation, navigation and boilerplate rules."""
+    line, low = x["line"], x["low"]
     n_words = F.regexp_count(line, F.lit("[^ \\t-\\r]+"))
-    chars = F.char_length(line)
     symbols = F.regexp_count(line, F.lit(SYMBOLS))
-    short = n_words < SHORT_LINE
-    unpunctuated = short & ~F.rlike(line, F.lit(CLOSING))
-    symbolic = symbols * 10 > chars
+    unpunctuated = (n_words < SHORT_LINE) & ~F.rlike(line, F.lit(CLOSING))
+    symbolic = symbols * 10 > F.char_length(line)
     separators = F.regexp_count(line, F.lit(SEPARATOR))
-    menu = ((separators >= 3) & (separators * 5 >= n_words - separators)) | F.rlike(line, F.lit(NAVIGATION))
-    boilerplate = (n_words < 4 * SHORT_LINE) & F.rlike(line, F.lit(BOILERPLATE))
-    return ~(unpunctuated | symbolic | menu | boilerplate)
+    menu = ((separators >= 3) & (separators * 5 >= n_words - separators)) | F.rlike(low, F.lit(NAVIGATION))
+    phrases = F.contains(low, F.lit(BOILERPLATE[0]))
+    for p in BOILERPLATE[1:]:
+        phrases = phrases | F.contains(low, F.lit(p))
+    return ~(unpunctuated | symbolic | menu | ((n_words < 4 * SHORT_LINE) & phrases))
 
 
 def split_words(text: Column) -> Column:
@@ -92,7 +99,8 @@ def quality_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         F.transform(s, lambda x, j: F.least(F.lit(WINDOW), F.coalesce(F.get(s, j + 1) - x, F.lit(WINDOW)))),
         F.lit(0).cast("long"), lambda a, x: a + x)
     line_chars = F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + F.char_length(x))
-    good_chars = F.aggregate(F.filter("lines", line_ok), F.lit(0).cast("long"), lambda a, x: a + F.char_length(x))
+    good_chars = F.aggregate(F.filter(with_lower(F.col("lines")), line_ok), F.lit(0).cast("long"),
+                             lambda a, x: a + F.char_length(x["line"]))
     out = settle(
         base,
         n_words=n.cast("long"),
