@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -32,19 +33,27 @@ def decode_decimal_base64(encoded: Column, scale: int = 2) -> Column:
     rejects such rows by reason). Exact, built-ins only: the sign-extended hex
     digits are read as a signed high and an unsigned low 64-bit half by ``conv``.
     """
-    raw = F.try_to_binary(encoded, F.lit("base64"))
-    nbytes = F.octet_length(raw)
-    hexed = F.hex(raw)
-    negative = F.conv(F.substring(hexed, 1, 1), 16, 10).cast("int") >= 8
-    extended = F.when(negative, F.lpad(hexed, 32, "F")).otherwise(F.lpad(hexed, 32, "0"))
-    high = F.conv(F.substring(extended, 1, 16), 16, -10).cast("decimal(20,0)")
-    low = F.conv(F.substring(extended, 17, 16), 16, 10).cast("decimal(20,0)")
-    unscaled = F.try_add(F.try_multiply(high, F.lit(Decimal(1 << 64))), low)
-    # Scaled by moving the point in the digits: a division would round.
-    digits = F.lpad(F.abs(unscaled).cast("string"), F.greatest(F.length(F.abs(unscaled).cast("string")), F.lit(scale + 1)), F.lit("0"))
-    text = F.concat(F.when(unscaled < 0, "-").otherwise(""), F.substring(digits, F.lit(1), F.length(digits) - scale),
-                    F.lit("."), F.right(digits, F.lit(scale)))
-    return F.when((nbytes >= 1) & (nbytes <= 16), text.try_cast(f"decimal(38,{scale})"))
+    def unscaled(raw: Column) -> Column:
+        hexed = F.hex(raw)
+        fill = F.when(F.substring(hexed, 1, 1) >= "8", "F").otherwise("0")         # the sign, extended
+        extended = F.lpad(hexed, F.lit(32), fill)
+        high = F.conv(F.substring(extended, 1, 16), 16, -10).cast("decimal(20,0)")
+        low = F.conv(F.substring(extended, 17, 16), 16, 10).cast("decimal(20,0)")
+        whole = F.try_add(F.try_multiply(high, F.lit(Decimal(1 << 64))), low)
+        return F.when(F.octet_length(raw).between(1, 16), whole)
+
+    def scaled(value: Column) -> Column:
+        # The point is moved in the digits: a division would round.
+        digits = F.regexp_replace(F.abs(value).cast("string"), "^", "0" * scale)
+        text = F.concat(F.when(value < 0, "-").otherwise(""), F.regexp_replace(digits, f"(.{{{scale}}})$", ".$1"))
+        return text.try_cast(f"decimal(38,{scale})")
+
+    return _once(_once(F.try_to_binary(encoded, F.lit("base64")), unscaled), scaled)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 # Epoch units of event times that arrive as numbers.

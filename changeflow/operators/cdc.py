@@ -194,8 +194,8 @@ def flatten_envelope(decoded: DataFrame, snapshot_uses_after: bool = True, keep:
     is a reject (``invalid_amount``), not a silent NULL.
     """
     rec = record_image(F.col("op"), F.col("before"), F.col("after"), snapshot_uses_after)
-    amount = decode_decimal_base64(rec["total_amount"], 2)
-    bad_amount = F.when(rec["total_amount"].isNotNull() & amount.isNull(), "invalid_amount")
+    decoded = settle(decoded.select("*", decode_decimal_base64(rec["total_amount"], 2).alias("_amount")))
+    bad_amount = F.when(rec["total_amount"].isNotNull() & F.col("_amount").isNull(), "invalid_amount")
     return decoded.select(
         *keep,
         F.col("op").alias("operation"),
@@ -211,7 +211,7 @@ def flatten_envelope(decoded: DataFrame, snapshot_uses_after: bool = True, keep:
         rec["status"].alias("status"),
         parse_event_time(rec["created_at"], epoch_unit).cast("timestamp_ntz").alias("order_created_at"),
         parse_event_time(rec["updated_at"], epoch_unit).cast("timestamp_ntz").alias("order_updated_at"),
-        amount.alias("total_amount"),
+        F.col("_amount").alias("total_amount"),
         F.coalesce("reject_reason", bad_amount).alias("reject_reason"),
     )
 

@@ -119,7 +119,8 @@ def _snapshot_rows(spark, d):
 @register("warehouse_append", OC.warehouse_append())
 def _warehouse_append(spark, d):
     # What the sink wrote, read back; the batch is delivered twice, as after a failure.
-    f = C.accepted(C.flatten_envelope(_envelope(spark, d), keep=("event_id",))).drop("processed_at")
+    f = C.accepted(C.flatten_envelope(_envelope(spark, d), keep=("event_id",)))
+    f = f.select("event_id", "operation", "change_type", "order_id", "status", "total_amount", "order_updated_at")
     path = scratch_path(spark, "warehouse")
     sink = IdempotentParquetAppend(path)
     for _ in range(2):
