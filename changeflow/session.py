@@ -55,7 +55,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="changeflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+    if spark.sparkContext.getCheckpointDir() is None:         # each call would make another folder
+        spark.sparkContext.setCheckpointDir(configured)
     return configured
 
 
