@@ -164,7 +164,8 @@ def _settled(parts: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         f"{name}-marked")
     columns = ["row", "at", "lo", "hi", "core"]
     open_ = marked.where("not whole").select(columns)
-    standing = marked.where("stands").select(columns).join(open_.select("core").distinct(), "core", "left_semi")
+    undecided = materialize(open_.select("core").distinct(), f"{name}-undecided")
+    standing = marked.where("stands").select(columns).join(undecided, "core", "left_semi")
     return marked.where("whole").select("row", "lo", "hi"), open_.unionByName(standing)
 
 
