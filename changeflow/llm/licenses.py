@@ -6,7 +6,8 @@ against licence rules: ordered lists of identifiers that must follow each other
 most ``max_gap`` other sentences between two. A match inside a longer match is dropped.
 
 Texts are cut twice: at sentence ends and blank lines (licences wrap lines), and at every
-line end (notices without a full stop). A rule counts if it matches in either.
+line end (notices without a full stop). A rule counts if it matches in either. Comment leaders at line
+starts go first, so a comment's empty line is blank and a leader like ``;`` ends no sentence.
 
 Scale: no Python, and no shuffle but for recognised sentences. The known sentences are a
 fixed table of this module, tens of rows, so the lookup is a broadcast join by nature. Texts
@@ -23,6 +24,8 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from changeflow.llm.common import settle
+
 MAX_GAP = 2
 ANCHORS = ("licen", "copyright", "permission", "redistribut", "warrant", "liab", "public domain", "notice", "spdx",
            "unless required", "endorse", "free software", "merchantab", "creative commons", "cc by", "cc0")
@@ -115,6 +118,8 @@ RULES = (
 # A sentence ends at a mark before a blank or the end, or at a blank line.
 SENTENCE_END = "[.!?;:]+(?:[ \\t-\\r]+|$)|\\r?\\n[ \\t]*\\r?\\n[ \\t-\\r]*"
 LINE_END = "[.!?;:]+(?:[ \\t-\\r]+|$)|[\\r\\n]+"
+# Comment marks at a line's start, also those of boxes, and the indent after them. Normalising drops them anyway.
+LEADERS = "(?m)^[ \\t/*#;%!|<>='\"-]+"
 
 
 def normalised(sentence: str) -> str:
@@ -155,7 +160,8 @@ def rule_matches(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     text = F.col(f"`{text_col}`")
     anchors = "(?i)" + "|".join(a.replace(" ", "[^a-z0-9]+") for a in ANCHORS)
     some = docs.where(F.rlike(text, F.lit(anchors))).select(
-        F.col(f"`{id_col}`").alias("doc"), F.xxhash64(text).alias("th"), text.alias("t"))
+        F.col(f"`{id_col}`").alias("doc"), F.xxhash64(text).alias("th"), text.alias("raw"))
+    some = settle(some, t=F.regexp_replace("raw", LEADERS, ""))
     cuts = F.array(F.struct(F.lit("sentence").alias("cut"), _sentences(F.col("t"), SENTENCE_END).alias("s")),
                    F.struct(F.lit("line").alias("cut"), _sentences(F.col("t"), LINE_END).alias("s")))
     cut = some.select("doc", "th", F.inline(cuts))

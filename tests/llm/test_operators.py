@@ -103,6 +103,26 @@ def test_license_order_and_gap_matter(spark):
     assert got == {0: "", 1: "", 2: "bsd-2-text"}
 
 
+@pytest.mark.parametrize("first,leader,last", [("/*", " * ", " */"), ("", "# ", ""), ("", "// ", ""), ("", "-- ", ""),
+                                               ("", ";; ", ""), ("", "; ", ""), ("", "! ", ""), ("<!--", "  ", "-->")])
+def test_licenses_in_comments(spark, first, leader, last):
+    """Each licence text of several sentences, wrapped, below a copyright line without a full stop."""
+    import textwrap
+    texts, want = [], []
+    for rule, licence, names in licenses.RULES:
+        parts = [licenses.SENTENCES[n] for n in names]
+        if rule == "apache-2-header":
+            parts = [" ".join(parts[:3]), "    http://www.apache.org/licenses/LICENSE-2.0", " ".join(parts[3:])]
+        if len(names) > 1 or rule in ("isc-text", "mpl-2-header"):
+            lines = ["Copyright (c) 2020 Someone", ""]
+            for p in parts:
+                lines += [*textwrap.wrap(p, 60), ""]
+            texts.append("\n".join([first, *((leader + x).rstrip() for x in lines), last, "int main() {}"]))
+            want.append((rule, licence))
+    got = {r.doc_id: (r.rules, r.licenses) for r in licenses.license_scan(frame(spark, texts)).collect()}
+    assert len(want) >= 8 and [got[i] for i in range(len(texts))] == want
+
+
 # ---------------------------------------------------------------- 3
 @pytest.mark.parametrize("text", ["", " ", "\\", "a\\ ", chat.EXAMPLE, "\\</s>", "\\\\[INST]", "<s> </s>", " [/INST]",
                                   "<<SYS>> x <</SYS>>", "[ROLE a] b [/ROLE]", "é\n\t[/ROLE]", "<<s>", "</s></s>\\"])
