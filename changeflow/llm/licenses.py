@@ -1,17 +1,19 @@
 """License scans by sentence rules.
 
 A text is cut into sentences, each sentence is normalised and looked up among the
-sentences known from licences and notices. The recognised identifiers, in order, are matched
-against licence rules: ordered lists of identifiers that must follow each other with at
-most ``max_gap`` other sentences between two. A match inside a longer match is dropped.
+sentences known from licences and notices; wordings of one sentence share an identifier. The recognised
+identifiers, in order, are matched against licence rules: lists of identifiers that occur in
+this order with at most ``max_gap`` other sentences, known or not, between two. A match inside a
+longer match is dropped.
 
 Texts are cut twice: at sentence ends and blank lines (licences wrap lines), and at every
 line end (notices without a full stop). A rule counts if it matches in either. Comment leaders at line
 starts go first, so a comment's empty line is blank and a leader like ``;`` ends no sentence.
 
 Scale: no Python, and no shuffle but for recognised sentences. The known sentences are a
-fixed table of this module, tens of rows, so the lookup is a broadcast join by nature. Texts
-without one of the anchor words, which every known sentence contains, are not cut.
+fixed table in code (``license_families`` has the notices by family and version), so the lookup
+is a broadcast join by nature. Texts without one of the anchor words, which every known sentence contains,
+are not cut.
 
 Defined cases: null, empty and unlicensed texts have a row without licences; the same licence
 twice counts once; rows equal in id and text have equal results.
@@ -24,11 +26,13 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from changeflow.llm import license_families
 from changeflow.llm.common import settle
 
 MAX_GAP = 2
 ANCHORS = ("licen", "copyright", "permission", "redistribut", "warrant", "liab", "public domain", "notice", "spdx",
-           "unless required", "endorse", "free software", "merchantab", "creative commons", "cc by", "cc0")
+           "unless required", "endorse", "free software", "merchantab", "creative commons", "cc by", "cc0",
+           "reserved", "released under", "distributed under", "available under")
 
 # Sentences of public licences and common notices, as published.
 SENTENCES = {
@@ -121,10 +125,22 @@ LINE_END = "[.!?;:]+(?:[ \\t-\\r]+|$)|[\\r\\n]+"
 # Comment marks at a line's start, also those of boxes, and the indent after them. Normalising drops them anyway.
 LEADERS = "(?m)^[ \\t/*#;%!|<>='\"-]+"
 
+# "GPLv2+" is another licence than "GPLv2".
+PLUS = "([0-9])\\+"
+# Whose name a BSD text protects differs from project to project.
+OWNER = "^neither the names? of .{1,200}? nor the names? of (its|their|any|other) contributors may"
+# Notices say in many ways what is granted; the verb stays, as rules differ in it.
+GRANT = "^(?:this [a-z]+ is )?(?:made )?(licensed|released|distributed|available) under (?:the terms of )?(?:the |an? )?"
+
+
+def plain(sentence: str) -> str:
+    """A normalised sentence as it is looked up."""
+    return re.sub(GRANT, r"\1 under ", sentence)
+
 
 def normalised(sentence: str) -> str:
-    """Lower case, everything but letters and digits as one blank."""
-    return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip()
+    """Lower case, everything but letters and digits as one blank; a plus after a version is spelled out."""
+    return re.sub("[^a-z0-9]+", " ", re.sub(PLUS, r"\1 or later ", sentence.lower())).strip()
 
 
 def known_sentences(cut: str) -> dict[str, list[str]]:
@@ -138,18 +154,41 @@ def _tables() -> tuple[list[tuple[str, str]], list[tuple[str, str, list[str]]]]:
     of: dict[str, list[str]] = {}
     for name, parts in known_sentences(SENTENCE_END).items():
         of[name] = [pieces.setdefault(p, name if len(parts) == 1 else f"{name}.{k}") for k, p in enumerate(parts)]
+    more, more_rules = license_families.families()
+    taken = {plain(p) for p in pieces}
+    for name, wordings in (license_families.WORDINGS | more).items():
+        for wording in wordings:
+            parts = [p for p in map(normalised, re.split(SENTENCE_END, wording)) if p]
+            if name.startswith("notice.") and plain(parts[0]) in taken:
+                continue                                                 # a rule of its own has it
+            ids = of.setdefault(name, [pieces.setdefault(p, name if len(parts) == 1 else f"{name}.{k}")
+                                       for k, p in enumerate(parts)])
+            if len(ids) != len(parts):
+                raise ValueError(f"wordings of {name} differ in their pieces")
+            for p, sid in zip(parts, ids):
+                pieces.setdefault(p, sid)
     rules = [(rule, licence, [p for s in sentences for p in of[s]]) for rule, licence, sentences in RULES]
+    for rule, licence, sentences in more_rules:
+        want = [p for s in sentences for p in of.get(s, [])]
+        if want and all(want != ids for _, _, ids in rules):
+            rules.append((rule, licence, want))
     return sorted((k, p) for p, k in pieces.items()), rules
 
 
 PIECES, PIECE_RULES = _tables()
 _FOUND_BY = [normalised(a) for a in ANCHORS]
-if any(not any(a in " ".join(parts) for a in _FOUND_BY) for parts in known_sentences(SENTENCE_END).values()):
+_EVERY = [*SENTENCES.values(), *(w for more in (license_families.WORDINGS, license_families.families()[0])
+                                 for ws in more.values() for w in ws)]
+if any(not any(a in normalised(w) for a in _FOUND_BY) for w in _EVERY):
     raise ValueError("a known sentence holds no anchor word")
 
 
 def _sentences(text: Column, cut: str) -> Column:
-    parts = F.transform(F.split(text, cut), lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
+    def norm(s: Column) -> Column:
+        s = F.trim(F.regexp_replace(F.regexp_replace(F.lower(s), PLUS, "$1 or later "), "[^a-z0-9]+", " "))
+        s = F.regexp_replace(s, GRANT, "$1 under ")
+        return F.regexp_replace(s, OWNER, "neither the name of the copyright holder nor the names of $1 contributors may")
+    parts = F.transform(F.split(text, cut), norm)
     return F.filter(parts, lambda s: s != "")
 
 
@@ -166,27 +205,27 @@ def rule_matches(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                    F.struct(F.lit("line").alias("cut"), _sentences(F.col("t"), LINE_END).alias("s")))
     cut = some.select("doc", "th", F.inline(cuts))
     rows = cut.select("doc", "th", "cut", F.posexplode("s").alias("pos", "sentence"))
-    known = spark.createDataFrame(PIECES, "sid string, sentence string")
+    known = spark.createDataFrame([(sid, plain(p)) for sid, p in PIECES], "sid string, sentence string")
     seen = rows.join(F.broadcast(known), "sentence").select("doc", "th", "cut", "pos", "sid").distinct()
 
     longest = max(len(ids) for _, _, ids in PIECE_RULES)
     text_order = Window.partitionBy("doc", "th", "cut").orderBy("pos")
-    ahead = text_order.rowsBetween(0, longest - 1)
+    ahead = text_order.rangeBetween(0, (longest - 1) * (max_gap + 1))
     seen = seen.withColumns({"ids": F.collect_list("sid").over(ahead), "at": F.collect_list("pos").over(ahead)})
     rules = spark.createDataFrame([(r, lic, ids, ids[0]) for r, lic, ids in PIECE_RULES],
                                   "rule string, license string, want array<string>, sid string")
     n = F.size("want")
-    steps = F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)))
-    near = F.forall(steps, lambda k: (k >= n) | (F.get("at", k) - F.get("at", k - 1) <= max_gap + 1))
-    found = seen.join(F.broadcast(rules), "sid").where((F.slice("ids", F.lit(1), n) == F.col("want")) & near)
-    found = found.select("doc", "th", "cut", "rule", "license", F.col("pos").alias("first"),
-                         F.get("at", n - 1).alias("last"))
+    # The places where the identifiers so far can end.
+    ends = F.aggregate(F.slice("want", F.lit(2), n), F.array("pos"), lambda ends, sid: F.filter(
+        F.col("at"), lambda p, j: (F.get("ids", j) == sid) & F.exists(ends, lambda e: (e < p) & (p - e <= max_gap + 1))))
+    found = seen.join(F.broadcast(rules), "sid").withColumn("last", F.array_min(ends)).where("last is not null")
+    found = found.select("doc", "th", "cut", "rule", "license", F.col("pos").alias("first"), "last", n.alias("n"))
     # By start, longest first: a match is inside an earlier one if that one reaches as far.
-    earlier = Window.partitionBy("doc", "th", "cut").orderBy("first", F.desc("last"), "rule").rowsBetween(
+    earlier = Window.partitionBy("doc", "th", "cut").orderBy("first", F.desc("last"), F.desc("n"), "rule").rowsBetween(
         Window.unboundedPreceding, -1)
     reached = F.max("last").over(earlier)
     return found.withColumn("reached", reached).where(F.col("reached").isNull() | (F.col("reached") < F.col("last"))).drop(
-        "reached")
+        "reached", "n")
 
 
 def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",

@@ -123,6 +123,42 @@ def test_licenses_in_comments(spark, first, leader, last):
     assert len(want) >= 8 and [got[i] for i in range(len(texts))] == want
 
 
+@pytest.mark.parametrize("text,want", [
+    ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0-only"),
+    ("Licensed under CC BY 4.0.", "CC-BY-4.0"), ("Licensed under CC BY-SA 3.0.", "CC-BY-SA-3.0"),
+    ("Released under CC0 1.0.", "CC0-1.0"), ("Licensed under the BSD 3-Clause License.", "BSD-3-Clause"),
+    ("Released under the BSD License", "BSD"), ("Distributed under GPLv2+.", "GPL-2.0-or-later"),
+    ("Distributed under GPLv2.", "GPL-2.0-only"), ("This project is licensed under the MIT License", "MIT"),
+    ("Licensed under the terms of the GNU Lesser General Public License v2.1 or later.", "LGPL-2.1-or-later"),
+    ("This program is released under the GNU Affero General Public License v3.0", "AGPL-3.0-only"),
+    ("Licensed under the Eclipse Public License 2.0", "EPL-2.0"), ("MIT License\n\nx", "MIT"),
+    ("Copyright X\nAll rights reserved.", "All-Rights-Reserved"), ("// SPDX-License-Identifier: LGPL-3.0-or-later", "LGPL-3.0-or-later"),
+    ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\n"
+     "License as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.",
+     "LGPL-2.1-or-later"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivs 3.0 Unported License.", "CC-BY-NC-ND-3.0")])
+def test_license_families(spark, text, want):
+    assert licenses.license_scan(frame(spark, ["Some prose.\n" + text])).first().licenses == want
+
+
+def test_license_rules_are_subsequences_and_names_differ(spark):
+    s = licenses.SENTENCES
+    bsd = [s[f"bsd.{k}"] for k in ("redistribution", "source", "binary")]
+    owners = ["Neither the name of the <organization> nor the names of its contributors may be used to endorse or promote "
+              "products derived from this software without specific prior written permission.",
+              s["bsd.endorse"].replace("the copyright holder", "Example Widgets GmbH"),
+              s["bsd.endorse"].replace("the copyright holder", "Example Inc."),
+              "The name of the author may not be used to endorse or promote products derived from this software without "
+              "specific prior written permission."]
+    texts = [" ".join([*bsd, o]) for o in owners]
+    # A known sentence between two of a rule is one like any other.
+    texts.append(" ".join([bsd[0], "All rights reserved.", *bsd[1:]]))
+    # The first of two sources is too far from the binary clause, the second is not.
+    texts.append(" ".join([bsd[0], bsd[1], "x.", bsd[1], "x. y.", bsd[2]]))
+    got = {r.doc_id: r.licenses for r in licenses.license_scan(frame(spark, texts)).collect()}
+    assert got == {0: "BSD-3-Clause", 1: "BSD-3-Clause", 2: "BSD-3-Clause", 3: "BSD-3-Clause", 4: "BSD-2-Clause", 5: "BSD-2-Clause"}
+
+
 # ---------------------------------------------------------------- 3
 @pytest.mark.parametrize("text", ["", " ", "\\", "a\\ ", chat.EXAMPLE, "\\</s>", "\\\\[INST]", "<s> </s>", " [/INST]",
                                   "<<SYS>> x <</SYS>>", "[ROLE a] b [/ROLE]", "é\n\t[/ROLE]", "<<s>", "</s></s>\\"])
