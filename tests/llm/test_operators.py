@@ -402,6 +402,21 @@ def test_proximity_matches(spark):
     assert kinds == {(0, "phrase"), (1, "near")}
 
 
+def test_proximity_matches_need_no_neighbour_and_no_whole_window(spark):
+    """A word inserted on both sides of the pivot, and a short item with a word that no document has."""
+    common = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    item = common.replace("epsilon", "pivotal")
+    docs = frame(spark, [common, common, item.replace("pivotal", "x pivotal y"), "one two red four five six seven", "nothing of it",
+                         "one two three"])
+    bench = spark.createDataFrame([(1, item), (2, "one two missing four five six seven")], "item_id long, text string")
+    kinds = {(x.doc.id, x.item_id, x.kind) for x in benchmark_matches(tokenized(docs), bench).collect()}
+    assert {(2, 1, "near"), (3, 2, "near")} == kinds
+    got = {x.doc_id: x for x in contamination(docs, bench, proximity=True).collect()}
+    assert {i: (x.n_near, x.near_sha256) for i, x in got.items()} == {
+        i: (int(i in (2, 3)), brute.sha({2: "1", 3: "2"}.get(i, ""))) for i in range(6)}
+    assert not any(x.contaminated or x.n_items for x in got.values())
+
+
 # ---------------------------------------------------------------- 9
 def test_line_dedup_equals_brute_force(spark):
     texts = corpus(8) + corpus(9)[5:] + ["same " * 30 + "\n\nx\n" + "same " * 30, "s1 s2\ns3\n" * 12]
