@@ -7,7 +7,7 @@ Two verdicts per document, both from built-in functions alone:
   fails the base if it has under ``MIN_WORDS`` words or if more than
   ``MAX_REPEAT_PERCENT`` percent of its words are repeated;
 * line cleaning: each line is judged on punctuation, navigation and boilerplate,
-  failing lines go, and a document that loses more than
+  failing lines go (``cleaned`` gives what is left), and a document that loses more than
   ``MAX_LOST_PERCENT`` percent of its characters is rejected.
 
 Everything is computed inside the document's own row: no shuffle, so neither hot
@@ -69,12 +69,21 @@ def split_words(text: Column) -> Column:
 
 
 def quality_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                   keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: the base figures, the line verdict and ``kept``; ``keep`` names input columns to carry."""
+                   keep: tuple[str, ...] = (), cleaned: bool = False) -> DataFrame:
+    """One row per document: the base figures, the line verdict and ``kept``; ``keep`` names input columns to carry.
+    ``cleaned`` adds ``clean_text``, the text without its failing lines, and ``removed_lines``, their numbers from 0."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     base = docs.select(F.col(f"`{id_col}`").alias("doc_id"),
                        carry(keep),
-                       text.alias("t"))
+                       text.alias("t"), *([F.col(f"`{text_col}`").alias("raw")] if cleaned else []))
+    if cleaned:
+        every = F.transform(F.split("t", "\n"), lambda x, i: F.struct(x.alias("line"), F.lower(x).alias("low"), i.alias("i")))
+        base = settle(base, every=F.transform(every, lambda x: F.struct(
+            x["line"].alias("line"), x["i"].alias("i"), (F.rlike(x["line"], F.lit(NOT_BLANK)) & ~line_ok(x)).alias("bad"))))
+        lines = lambda bad: F.filter("every", lambda x: x["bad"] if bad else ~x["bad"])
+        base = settle(base, removed_lines=F.transform(lines(True), lambda x: x["i"]),
+                      clean_text=F.when(F.col("raw").isNotNull(), F.array_join(F.transform(
+                          lines(False), lambda x: x["line"]), "\n"))).drop("every", "raw")
     base = settle(base, words=split_words(F.col("t")),
                   lines=F.filter(F.split(F.col("t"), "\n"), lambda x: F.rlike(x, F.lit(NOT_BLANK))))
     w = F.col("words")
@@ -113,4 +122,5 @@ def quality_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     lines_ok = 100 * (F.col("line_chars") - F.col("good_line_chars")) <= MAX_LOST_PERCENT * F.col("line_chars")
     return unpack(out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "line_chars",
-        "good_line_chars", failed.alias("base_failed"), (~failed & lines_ok).alias("kept"), "carried"), keep)
+        "good_line_chars", failed.alias("base_failed"), (~failed & lines_ok).alias("kept"),
+        *(("clean_text", "removed_lines") if cleaned else ()), "carried"), keep)

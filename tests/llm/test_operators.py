@@ -219,6 +219,18 @@ def test_quality_line_rules(spark):
     assert got == {0: True, 1: True, 2: False, 3: False, 4: False, 5: True}
 
 
+def test_quality_gives_the_text_without_failing_lines(spark):
+    good = "The quick brown fox jumps over the lazy dog near the river bank today."
+    other = "A slow green turtle walks under one tall old oak tree behind our house."
+    texts = [good, f"Home\n{good}\n\n{other}\nHome\n", None, "", "Home", corpus()[9]]
+    rows = quality_report(frame(spark, texts), keep=("t",), cleaned=True).collect()
+    got = {r.doc_id: (r.clean_text, list(r.removed_lines)) for r in rows}
+    assert [got[i] for i in range(5)] == [(good, []), (f"{good}\n\n{other}\n", [0, 4]), (None, []), ("", []), ("", [0])]
+    for r in rows:
+        lost = sum(len(x) for i, x in enumerate((texts[r.doc_id] or "").split("\n")) if i in r.removed_lines)
+        assert lost == r.line_chars - r.good_line_chars and r.t == "clash"
+
+
 # ---------------------------------------------------------------- 5
 def test_lm_base_score_equals_brute_force_and_model_is_normalised(spark):
     import math
