@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,3 +71,27 @@ def ascii_lower(word: Column) -> Column:
 def word_count(text: Column) -> Column:
     """Number of words (runs of non-blank characters); null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def arrow_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of record batches, one at a time."""
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns))
+
+
+def arrow_batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Record batches of a bounded number of text characters and bytes."""
+    held: list[tuple] = []
+    waiting = 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+    for row in rows:
+        held.append(row)
+        waiting += 100 + sum(len(x) for x in row if isinstance(x, (str, bytes)))
+        if waiting >= size:
+            yield batch()
+            held, waiting = [], 0
+    if held:
+        yield batch()

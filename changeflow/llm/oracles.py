@@ -6,7 +6,7 @@ texts, all queue copies are ordered at once, and so on.
 
 from __future__ import annotations
 
-from changeflow.llm import decontaminate, licenses, line_dedup, mixing, quality, url_filter
+from changeflow.llm import conversation_repair, decontaminate, fill_middle, licenses, line_dedup, mixing, quality, url_filter
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -161,3 +161,87 @@ fits AS (SELECT page_id, arg_max(h || p, len(h || p)) AS rule, arg_max(verdict,
 SELECT page_id, host, path, rule, coalesce(verdict, '{url_filter.DEFAULT}') AS verdict,
   CASE WHEN rule IS NULL THEN 'default' ELSE 'rule' END AS by
 FROM parts LEFT JOIN fits USING (page_id)"""
+
+
+def filled_middle(table: str = "documents", seed: int = 7, rate: int = 100, spm: int = 50) -> str:
+    """Outputs built from the unit lists, and restored from them by one pattern each."""
+    p, s, m = fill_middle.SENTINELS
+    h = [f"cast('0x' || substr(h, {8 * k + 1}, 8) AS bigint) AS h{k + 1}" for k in range(4)]
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('{seed}:' || coalesce(doc_id::VARCHAR, '')) AS h FROM {table}),
+u AS (SELECT doc_id, t, {', '.join(h)}, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS units FROM d),
+n AS (SELECT *, len(units)::BIGINT AS n FROM u),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '{p}') OR contains(t, '{s}') OR contains(t, '{m}') OR h3 % 100 >= {rate} THEN 'plain'
+         WHEN h4 % 100 < {spm} THEN 'spm' ELSE 'psm' END AS form FROM n),
+x AS (SELECT *, coalesce(array_to_string(list_filter(units, lambda y, i: i <= a), ''), '') AS pre,
+    coalesce(array_to_string(list_filter(units, lambda y, i: i > a AND i <= b), ''), '') AS mid,
+    coalesce(array_to_string(list_filter(units, lambda y, i: i > b), ''), '') AS suf FROM c),
+o AS (SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '{p}' || pre || '{s}' || suf || '{m}' || mid
+    ELSE '{s}' || suf || '{p}' || pre || '{m}' || mid END AS output FROM x),
+r AS (SELECT *, CASE form WHEN 'plain' THEN output
+    WHEN 'psm' THEN regexp_replace(output, '(?s)^{p}(.*){s}(.*){m}(.*)$', '\1\3\2')
+    ELSE regexp_replace(output, '(?s)^{s}(.*){p}(.*){m}(.*)$', '\2\3\1') END AS restored FROM o)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre)::BIGINT END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(mid)::BIGINT END AS middle_chars,
+    sha256(output) AS output_sha256, sha256(restored) AS restored_sha256
+FROM r"""
+
+
+def repaired_conversations(table: str = "conversations") -> str:
+    """The edits as a walk over the turns by the role that came last, cheapest and least audit for each."""
+    r = conversation_repair
+    ops = ("flatten(list_transform(range(1, length(s) + 1), lambda i: list_concat([ascii(s[i])], [-1, -1, -1, -1, -1, -1, -1, -1])))")
+    crc = (f"xor(list_reduce(list_concat([4294967295::BIGINT], {ops}), "
+           "lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)")
+    i, k, d, t = r.INSERT, r.REROLE, r.DELETE, r.TRUNCATED
+    return rf"""
+WITH RECURSIVE named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS s FROM {table}),
+hashed AS (SELECT *, {crc} % 20 AS kind FROM named),
+damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy FROM hashed WHERE kind <> 0),
+numbered AS (SELECT *, role[1] AS initial,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+    regexp_extract_all(text, '[^\x20\x09-\x0D]') AS chars FROM damaged),
+seen AS (SELECT *, CASE WHEN len(chars) = 0 THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN chars[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial AS pair FROM numbered),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM seen GROUP BY conv_id),
+added(a, b, audit, cost) AS (VALUES ('-', '-', '', 0), ('s', 's', '', 0), ('u', 'u', '', 0), ('a', 'a', '', 0),
+    ('-', 'u', 'I', {i}), ('s', 'u', 'I', {i}), ('a', 'u', 'I', {i}), ('u', 'a', 'I', {i}), ('-', 'a', 'II', {2 * i}), ('s', 'a', 'II', {2 * i})),
+kept(a, b) AS (VALUES ('-', 's'), ('-', 'u'), ('s', 'u'), ('a', 'u'), ('u', 'a')),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS i, b AS last, cost::BIGINT AS cost, added.audit FROM (SELECT DISTINCT conv_id FROM seen), added WHERE a = '-'
+  UNION ALL
+  SELECT conv_id, i, last, min(cost) AS cost, arg_min(audit, (cost, audit)) AS audit FROM (
+    SELECT m.conv_id, m.i, added.b AS last, m.cost + added.cost AS cost, m.audit || added.audit AS audit FROM (
+      SELECT w.conv_id, s.i, w.last, w.cost + {d} AS cost, w.audit || 'D' AS audit
+      FROM walk w JOIN seen s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.i = w.i + 1
+      UNION ALL
+      SELECT w.conv_id, s.i, k.b, w.cost + (s.initial <> k.b)::INT * {k} + (s.fault = 'truncated')::INT * {t},
+          w.audit || CASE WHEN s.initial = k.b THEN 'K' ELSE 'R' END
+      FROM walk w JOIN seen s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.i = w.i + 1 JOIN kept k ON k.a = w.last
+      WHERE s.fault IN ('none', 'truncated') AND (k.b <> 's' OR s.initial = 's')) m
+    JOIN added ON added.a = m.last) GROUP BY conv_id, i, last),
+best AS (SELECT w.conv_id, min(w.cost) AS cost, arg_min(w.audit, (w.cost, w.audit)) AS audit
+  FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = c.n WHERE w.last IN ('-', 'a') GROUP BY w.conv_id),
+edits AS (SELECT conv_id, p, audit[p] AS edit, len(list_filter(string_split(audit[:p], ''), lambda y: y <> 'I')) AS i,
+    len(list_filter(string_split(audit[:p], ''), lambda y: y <> 'D')) AS place,
+    len(list_filter(string_split(audit, ''), lambda y: y <> 'D')) AS places
+  FROM (SELECT *, unnest(range(1, length(audit) + 1)) AS p FROM best)),
+lines AS (SELECT e.conv_id, e.place, CASE WHEN edit = 'K' THEN s.role
+      WHEN (place - 1 - places % 2) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' ||
+      CASE WHEN edit = 'I' THEN '' ELSE s.text END AS line
+  FROM edits e LEFT JOIN seen s ON s.conv_id IS NOT DISTINCT FROM e.conv_id AND s.i = e.i WHERE edit <> 'D'),
+hashes AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY place)) AS h FROM lines GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+    coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+    coalesce(audit, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM {table}) o LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN hashes h ON h.conv_id IS NOT DISTINCT FROM o.conv_id"""

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from changeflow.llm import chat, oracles
 from changeflow.llm.common import table
+from changeflow.llm.conversation_repair import damage, repair_report
 from changeflow.llm.decontaminate import contamination
+from changeflow.llm.fill_middle import fill_middle, restore
+from changeflow.llm.language_id import language_ids
 from changeflow.llm.licenses import license_scan
 from changeflow.llm.line_dedup import dedup_lines
 from changeflow.llm.lm_scores import lm_scores
@@ -67,12 +70,28 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(table(spark, sf_dir, "pages"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle(table(spark, sf_dir, "documents"))
+    return restore(made, carry=("n", "form", "prefix_chars", "middle_chars", "output_sha256")).drop("text")
+
+
+def op12_repair_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return repair_report(damage(turns), turns)
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_ids(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_suffix_dedup, op2_license_scan, op3_chat_format, op4_quality_rules,
-                                    op5_lm_scores, op6_simhash_groups, op7_mix_sources, op8_decontaminate, op9_line_dedup, op10_url_filter)}
+                                    op5_lm_scores, op6_simhash_groups, op7_mix_sources, op8_decontaminate, op9_line_dedup,
+                                    op10_url_filter, op11_fill_middle, op12_repair_turns, op13_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op4_quality_rules": oracles.quality_rules(), "op7_mix_sources": oracles.mix_sources(),
             "op8_decontaminate": oracles.decontaminated(), "op9_line_dedup": oracles.deduplicated_lines(),
-            "op2_license_scan": oracles.license_scan(), "op10_url_filter": oracles.filtered_urls()}
+            "op2_license_scan": oracles.license_scan(), "op10_url_filter": oracles.filtered_urls(),
+            "op11_fill_middle": oracles.filled_middle(), "op12_repair_turns": oracles.repaired_conversations()}

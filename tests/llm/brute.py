@@ -111,3 +111,62 @@ def line_dedup(rows, min_words):
 
 def sha(text):
     return hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()
+
+
+def repaired(turns):
+    """[(initial, fault)] -> (cost, audit): every walk over the turns by the role that came last, whole audits compared."""
+    best = {"": (0, "")}
+
+    def inserted(found):
+        out = dict(found)
+        for _ in range(2):
+            for last, (cost, audit) in list(out.items()):
+                for r in "ua":
+                    if follows(last, r) and (r not in out or (cost + 5, audit + "I") < out[r]):
+                        out[r] = (cost + 5, audit + "I")
+        return out
+
+    def follows(last, r):
+        return r == "s" and last == "" or r == "u" and last != "u" or r == "a" and last == "u"
+
+    best = inserted(best)
+    for initial, fault in turns:
+        new = {}
+        for last, (cost, audit) in best.items():
+            ways = [(last, cost + 2, audit + "D")]
+            if fault not in ("blank", "duplicate"):
+                extra = 5 if fault == "truncated" else 0
+                ways += [(r, cost + extra + (r != initial), audit + ("K" if r == initial else "R"))
+                         for r in "sua" if follows(last, r) and (r == initial or r != "s")]
+            for r, c, a in ways:
+                if r not in new or (c, a) < new[r]:
+                    new[r] = (c, a)
+        best = inserted(new)
+    return min(best[k] for k in ("", "a") if k in best)
+
+
+def conversation(rows):
+    """One conversation's damaged rows [(turn, role, text)] to the figures of its repair."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.sha256(r[2].encode()).hexdigest()))
+    seen, faults = set(), []
+    for _, role, text in rows:
+        words = re.findall("[^ \t-\r]", text)
+        faults.append("blank" if not words else "duplicate" if (role, text) in seen else
+                      "truncated" if words[-1] not in ".!?" else "")
+        seen.add((role, text))
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    initials = [role[:1] for _, role, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    cost, audit = repaired(list(zip(initials, faults)))
+    odd, out, at = (len(audit) - audit.count("D")) % 2, [], 0
+    for edit in audit:
+        due = ("user", "assistant")[(len(out) - odd) % 2]
+        if edit == "I":
+            out.append(f"{due}:")
+            continue
+        _, role, text = rows[at]
+        at += 1
+        if edit != "D":
+            out.append(f"{role if edit == 'K' else due}:{text}")
+    return (gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, sha("\n".join(out)))
