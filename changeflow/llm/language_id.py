@@ -25,8 +25,12 @@ any value of the label column, the empty text included. Other columns are ignore
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +46,22 @@ SMOOTHING = 0.5
 MIN_COUNT = 2
 SAMPLE_CHARS = 2_000_000
 UNKNOWN = "und"
+HELD_TYPES = 20_000
 SLICE = 1 << 20
-CACHED_WORDS = 200_000
-CACHED_LENGTH = 40
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}'’]*")
 
 
+@cache
+def basic_pattern() -> re.Pattern:
+    """The same words among the first 65,536 characters, written out as ranges: ``re`` keeps these as a bit map."""
+    def ranges(*kinds: str) -> str:
+        runs = groupby(enumerate(unicodedata.category(chr(c))[0] in kinds for c in range(0x10000)), key=lambda x: x[1])
+        ends = [[c for c, _ in run] for same, run in runs if same]
+        return "".join(f"\\u{r[0]:04x}-\\u{r[-1]:04x}" for r in ends)
+
+    return re.compile(f"[{ranges('L')}][{ranges('L', 'M')}'’]*")
+
+
 def words_of(text: str) -> Counter:
     """Counts of the words of a text, read in slices that end at blanks."""
     found: Counter = Counter()
@@ -56,7 +70,9 @@ def words_of(text: str) -> Counter:
         end = at + SLICE
         while end < len(text) and not text[end].isspace():
             end += 1
-        found.update(_WORD.findall(text[at:end].lower()))
+        part = text[at:end].lower()
+        basic = len(part.encode("utf-16-le", "surrogatepass")) == 2 * len(part)
+        found.update((basic_pattern() if basic else _WORD).findall(part))
         at = end
     return found
 
@@ -68,53 +84,96 @@ def grams(word: str, n: int) -> Iterator[str]:
 
 
 class Model:
-    """Log frequencies per language of words (length 0) and of n-grams by length."""
+    """Log frequencies per language of words and of n-grams by length; n-grams are looked up by 64-bit hash."""
 
     def __init__(self, languages: list[str], totals: dict[int, np.ndarray], counts: dict[int, tuple[list[str], np.ndarray]]):
-        """``counts[n]`` has the known words or n-grams and their counts, a row each; ``totals[n]`` the languages' totals."""
+        """``counts[n]`` has the known words (0) or n-grams and their counts, a row each; ``totals[n]`` the languages' totals."""
         self.languages = languages
-        self.rows = {n: {w: k for k, w in enumerate(known)} for n, (known, _) in counts.items()}
-        self.scores = {n: (np.log(c + SMOOTHING) - np.log(totals[n] + SMOOTHING * max(1, len(known)))).astype(np.float32)
-                       for n, (known, c) in counts.items()}
-        self.cache: dict[str, np.ndarray | None] = {}
+        self.words = {w: k for k, w in enumerate(counts[0][0])}
+        self.scores, self.keys = {}, {}
+        for n, (known, c) in counts.items():
+            scores = np.log(c + SMOOTHING) - np.log(totals[n] + SMOOTHING * max(1, len(known)))
+            if n:
+                keys = _keys(_codes("".join(known)).reshape(-1, n).T)
+                order = np.argsort(keys)
+                self.keys[n], scores = keys[order], scores[order]
+            self.scores[n] = scores
+
+    def predict(self, texts: pa.Array) -> list[tuple[str, float]]:
+        """(language, score) of each text."""
+        out, held, types = [], [], 0
+        for text in texts:
+            held.append(words_of(text.as_py() or ""))
+            types += len(held[-1])
+            if types >= HELD_TYPES:
+                out += self._predict(held)
+                held, types = [], 0
+        return out + self._predict(held)
+
+    def _predict(self, texts: list[Counter]) -> list[tuple[str, float]]:
+        """Predictions for a few texts, given their words: one array for all of them."""
+        if not self.languages or not any(texts):
+            return [(UNKNOWN, 0.0)] * len(texts)
+        get = self.words.get
+        words = [w for found in texts for w in found]
+        rows = np.array([get(w, -1) for w in words])
+        times = np.fromiter((c for found in texts for c in found.values()), np.float64, len(words))
+        text = np.repeat(np.arange(len(texts)), [len(found) for found in texts])
+        sums, n = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
+        seen = rows >= 0
+        _add(sums, text[seen], times[seen, None] * self.scores[0][rows[seen]])
+        n += np.bincount(text[seen], times[seen], len(texts))
+        if not seen.all():
+            self._back_off([w for w, r in zip(words, rows.tolist()) if r < 0], times[~seen], text[~seen], sums, n)
+        best = sums.argmax(axis=1)
+        top = sums[np.arange(len(texts)), best]
+        share = 1.0 / np.exp((sums - top[:, None]) / np.maximum(n, 1)[:, None]).sum(axis=1)
+        return [(self.languages[b], float(x)) if found else (UNKNOWN, 0.0) for found, b, x in zip(texts, best, share)]
+
+    def _back_off(self, words: list[str], times: np.ndarray, text: np.ndarray, sums: np.ndarray, n_words: np.ndarray) -> None:
+        """Add what unseen words give: each the mean over its longest known n-grams."""
+        codes = _codes("<" + "><".join(words) + ">")
+        own = np.cumsum(codes == _codes("<")[0]) - 1               # the word that a character belongs to
+        for n in range(LONGEST, 0, -1):
+            if not len(codes):
+                break
+            if len(codes) < n or not len(self.keys[n]):
+                continue
+            # An n-gram over the border of two words holds "><", so it is not known.
+            keys = _keys([codes[k:len(codes) - n + 1 + k] for k in range(n)])
+            at = np.minimum(np.searchsorted(self.keys[n], keys), len(self.keys[n]) - 1)
+            hit = self.keys[n][at] == keys
+            whose = own[:len(keys)][hit]
+            hits = np.bincount(whose, minlength=len(words))
+            _add(sums, text[whose], (times[whose] / hits[whose])[:, None] * self.scores[n][at[hit]])
+            n_words += np.bincount(text[hits > 0], times[hits > 0], len(n_words))
+            left = hits[own] == 0
+            codes, own = codes[left], own[left]
 
-    def __getstate__(self):
-        return {**self.__dict__, "cache": {}}
 
-    def backoff(self, word: str) -> np.ndarray | None:
-        """The mean over a word's longest known n-grams, or None."""
-        for n in range(LONGEST, 0, -1):
-            known = self.rows[n]
-            hits = Counter(known[g] for g in grams(word, n) if g in known)
-            if hits:
-                rows, times = np.fromiter(hits, np.int64), np.fromiter(hits.values(), np.float64)
-                return times @ self.scores[n][rows] / times.sum()
-        return None
-
-    def word(self, word: str) -> np.ndarray | None:
-        row = self.rows[0].get(word)
-        if row is not None:
-            return self.scores[0][row]
-        if word in self.cache:
-            return self.cache[word]
-        s = self.backoff(word)
-        if len(self.cache) < CACHED_WORDS and len(word) <= CACHED_LENGTH:
-            self.cache[word] = s
-        return s
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        found = words_of(text or "")
-        if not found or not self.languages:
-            return UNKNOWN, 0.0
-        sums, n = np.zeros(len(self.languages)), 0
-        for w in sorted(found):                       # in one order, so that a rerun adds up alike
-            s = self.word(w)
-            if s is not None:
-                sums += found[w] * s
-                n += found[w]
-        best = int(np.argmax(sums))
-        weights = np.exp((sums - sums[best]) / max(n, 1))
-        return self.languages[best], float(1.0 / weights.sum())
+def _add(sums: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """Add ``values`` to the rows of ``sums`` that ``rows``, in ascending order, names."""
+    if len(rows):
+        starts = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+        sums[rows[starts]] += np.add.reduceat(values, starts, axis=0)
+
+
+_PLACES = np.random.default_rng(13).integers(1 << 62, (1 << 63) - 1, LONGEST, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _codes(text: str) -> np.ndarray:
+    """The characters of a text as spread 64-bit numbers."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    c = (c + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return c ^ (c >> np.uint64(29))
+
+
+def _keys(codes) -> np.ndarray:
+    """Hashes of n-grams, given their first characters, second ones and so on."""
+    total = np.zeros(len(codes[0]), np.uint64)
+    for c, place in zip(codes, _PLACES):
+        total += c * place
+    return total
 
 
 def _counts(found: Counter, names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
@@ -190,7 +249,7 @@ def identify(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            found = [model.predict(t.as_py()) for t in batch.column(1)]
+            found = model.predict(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in found], pa.string()),
                                               pa.array([f[1] for f in found], pa.float64())],
                                              names=["id", "lang_pred", "score"])
