@@ -16,7 +16,7 @@ canonical target of a third of all pages is a hub, see ``components``.
 
 Defined cases: a null url or one without ``://`` has an empty host and path, no node, and
 the default verdict; null or broken html has no links; relative targets are resolved against
-the page; repeated pages share their node.
+the page's own url (a query on its path, ``.`` and ``..`` segments taken out); repeated pages share their node.
 """
 
 from __future__ import annotations
@@ -90,6 +90,7 @@ def _resolved(target: Column, url: Column) -> Column:
     folder = F.when(folder == "", "/").otherwise(folder)
     target = F.regexp_replace(target, "(?i)&amp;", "&")
     return (F.when(F.rlike(target, F.lit("(?i)^[a-z][a-z0-9+.-]*://")), target)
+            .when(target.startswith("?"), F.concat(site, path_of(rest), target))
             .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
             .when(target.startswith("/"), F.concat(site, target))
             .when(F.rlike(target, F.lit("(?i)^[a-z][a-z0-9+.-]*:")), F.lit(None))       # mailto: and the like
@@ -97,6 +98,19 @@ def _resolved(target: Column, url: Column) -> Column:
             .otherwise(F.concat(site, folder, target)))
 
 
+def _without_dots(url: Column) -> Column:
+    """An absolute url whose path has no ``.`` and ``..`` segments."""
+    head, path, tail = (F.regexp_extract(url, "^([^:/?#]*://[^/?#]*)([^?#]*)(.*)$", k) for k in (1, 2, 3))
+    segments = F.split(path, "/")
+    left = F.aggregate(
+        F.slice(segments, F.lit(2), F.size(segments)), F.array().cast("array<string>"),
+        lambda kept, s: F.when(s == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0))))
+        .when(s == ".", kept).otherwise(F.concat(kept, F.array(s))),
+        lambda kept: F.concat(F.lit("/"), F.array_join(kept, "/"),
+                              F.when(F.element_at(segments, -1).isin(".", "..") & (F.size(kept) > 0), "/").otherwise("")))
+    return F.when(F.rlike(path, F.lit("/\\.\\.?(/|$)")), F.concat(head, left, tail)).otherwise(url)
+
+
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Alias links (u, v) between nodes, from canonical and refresh tags."""
     tags = F.explode(F.regexp_extract_all(F.col(f"`{html_col}`"), F.lit(_LINK_TAG), F.lit(0)))
@@ -108,8 +122,8 @@ def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 
 def _edges(links: DataFrame) -> DataFrame:
     """(url, target) -> (u, v), the nodes of a link. Each step is settled: nested, the expressions would multiply."""
-    steps = settle(links.select("url", "target"), goal=after_scheme(_resolved(F.col("target"), F.col("url"))),
-                   start=after_scheme(F.col("url")))
+    steps = settle(links.select("url", "target"), full=_resolved(F.col("target"), F.col("url")))
+    steps = settle(steps, goal=after_scheme(_without_dots(F.col("full"))), start=after_scheme(F.col("url")))
     steps = settle(steps.select("start", "goal"), u=node_of(F.col("start")), v=node_of(F.col("goal")))
     return steps.select("u", "v").where("u <> v")
 

@@ -446,6 +446,30 @@ def test_line_dedup_equals_brute_force(spark):
 
 
 # ---------------------------------------------------------------- 10
+@pytest.mark.parametrize("target,want", [
+    ("../z/p.html", "http://a.org/x/z/p.html"), ("./q", "http://a.org/x/y/q"), ("q/../r", "http://a.org/x/y/r"),
+    ("?b=2", "http://a.org/x/y/p.html?b=2"), ("../../../../up", "http://a.org/up"), ("..", "http://a.org/x/"),
+    (".", "http://a.org/x/y/"), ("/a/./b/../c?x=../d", "http://a.org/a/c?x=../d"), ("//b.org/./k", "http://b.org/k"),
+    ("https://c.org/a/../b#f", "https://c.org/b#f"), ("plain.html", "http://a.org/x/y/plain.html"), ("a..b", "http://a.org/x/y/a..b")])
+def test_relative_targets_are_resolved(spark, target, want):
+    from urllib.parse import urljoin
+
+    from changeflow.llm.common import settle
+    from changeflow.llm.url_filter import _resolved, _without_dots
+    row = spark.createDataFrame([("http://a.org/x/y/p.html?a=1", target)], "url string, target string")
+    got = settle(row, full=_resolved(F.col("target"), F.col("url"))).select(_without_dots(F.col("full"))).first()[0]
+    assert got == want == urljoin("http://a.org/x/y/p.html?a=1", target)
+
+
+def test_relative_links_carry_decisions(spark):
+    rows = [(1, "http://a.org/x/", '<link rel="canonical" href="../z/p.html">'), (2, "http://a.org/z/p.html", ""),
+            (3, "http://a.org/z/p.html", '<link rel="canonical" href="http://k.net/">'),
+            (4, "http://b.org/x/", '<link rel="canonical" href="?b=2">'),
+            (5, "http://b.org/x/?b=2", '<meta http-equiv=refresh content="0;url=//k.net/">')]
+    got = {r.page_id: r.verdict for r in filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == dict.fromkeys(range(1, 6), "block")
+
+
 def test_url_rules_and_aliases(spark):
     pages = [
         (0, "http://a.net/x", None), (1, "https://WWW.Example.NET/en/1?q#f", ""), (2, "http://www.example.net/En/1", "<p>"),
