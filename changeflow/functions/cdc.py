@@ -56,8 +56,14 @@ def _once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-# Epoch units of event times that arrive as numbers.
-EPOCH_UNITS = {"seconds": F.timestamp_seconds, "millis": F.timestamp_millis, "micros": F.timestamp_micros}
+# Epoch units of event times that arrive as numbers, in microseconds, and the years 1 to 9999 in these.
+EPOCH_UNITS = {"seconds": 1_000_000, "millis": 1_000, "micros": 1}
+EPOCH_RANGE = (-62_135_596_800_000_000, 253_402_300_799_999_999)
+
+
+def epoch_number(text: Column) -> Column:
+    """Whether an event time is written as a number (four digits are a year)."""
+    return text.rlike(r"^-?[0-9]{5,}$")
 
 
 def parse_event_time(text: Column, epoch_unit: str = "micros") -> Column:
@@ -66,9 +72,12 @@ def parse_event_time(text: Column, epoch_unit: str = "micros") -> Column:
     The unit is the source's and never guessed from the number. Text follows
     Spark's timestamp cast rules: date only, ``T`` or space separator, 0-6
     fraction digits, optional ``Z`` / offset (converted to the session time
-    zone). Unparseable text → NULL.
+    zone). Unparseable text and numbers beyond the years 1 to 9999 → NULL.
     """
     if epoch_unit not in EPOCH_UNITS:
         raise ValueError(f"epoch_unit must be one of {sorted(EPOCH_UNITS)}")
-    digits = text.rlike(r"^-?[0-9]{5,}$")          # four digits are a year
-    return F.when(digits, EPOCH_UNITS[epoch_unit](text.try_cast("bigint"))).otherwise(F.try_to_timestamp(text))
+    size = EPOCH_UNITS[epoch_unit]
+    number = text.try_cast("bigint")
+    fits = number.between(-(-EPOCH_RANGE[0] // size), EPOCH_RANGE[1] // size)
+    return F.when(epoch_number(text), F.when(fits, F.timestamp_micros(F.try_multiply(number, F.lit(size))))).otherwise(
+        F.try_to_timestamp(text))

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.functions.cdc import change_label, decode_decimal_base64, message_operation, parse_event_time
+from changeflow.functions.cdc import change_label, decode_decimal_base64, epoch_number, message_operation, parse_event_time
 from changeflow.functions.coerce import vpresent
 from changeflow.schemas import ENVELOPE
 
@@ -185,17 +185,40 @@ def record_image(op: Column, before: Column, after: Column, snapshot_uses_after:
     return F.when(op.isin(*ops), after).otherwise(before)
 
 
+# Columns that order the changes of a key as the source's log does; NULL comes first.
+LOG_ORDER = ("log_lsn", "log_change", "log_tx")
+
+
+def log_position(source: Column, op: Column) -> list[Column]:
+    """A change's place in the log: its sequence number, whether it is a change, its transaction.
+
+    A snapshot row shows what was there when the snapshot was read, at the number it carries: it goes
+    before a change of the same number, whenever it arrives. Without a number a row goes before all others.
+    """
+    snapshot = (op == "r") | ~F.lower(F.coalesce(source["snapshot"], F.lit("false"))).isin("false", "")
+    return [source["lsn"].alias("log_lsn"), (~F.coalesce(snapshot, F.lit(False))).alias("log_change"),
+            source["txId"].alias("log_tx")]
+
+
 def flatten_envelope(decoded: DataFrame, snapshot_uses_after: bool = True, keep: tuple = (),
-                     epoch_unit: str = "micros") -> DataFrame:
+                     epoch_unit: str = "micros", position: bool = False) -> DataFrame:
     """The 13-column flat change record (P4) plus the decoded amount.
 
     ``keep`` names input columns to carry along (e.g. an event id), ``epoch_unit``
     is the unit of numeric event times. An amount that cannot be decoded
-    is a reject (``invalid_amount``), not a silent NULL.
+    is a reject (``invalid_amount``), not a silent NULL, and so is an epoch
+    number beyond the years 1 to 9999 (``out_of_range:<field>``).
+
+    ``position=True`` adds the change's place in the source's log, the columns of :data:`LOG_ORDER`.
     """
     rec = record_image(F.col("op"), F.col("before"), F.col("after"), snapshot_uses_after)
-    decoded = settle(decoded.select("*", decode_decimal_base64(rec["total_amount"], 2).alias("_amount")))
-    bad_amount = F.when(rec["total_amount"].isNotNull() & F.col("_amount").isNull(), "invalid_amount")
+    times = {c: parse_event_time(rec[c], epoch_unit) for c in ("created_at", "updated_at")}
+    decoded = settle(decoded.select("*", decode_decimal_base64(rec["total_amount"], 2).alias("_amount"),
+                                    *[t.alias(f"_{c}") for c, t in times.items()]))
+    bad_value = F.when(rec["total_amount"].isNotNull() & F.col("_amount").isNull(), "invalid_amount")
+    for c in times:
+        bad_value = bad_value.when(epoch_number(rec[c]) & F.col(f"_{c}").isNull(), f"out_of_range:{c}")
+    place = log_position(F.col("source"), F.col("op")) if position else []
     return decoded.select(
         *keep,
         F.col("op").alias("operation"),
@@ -209,10 +232,11 @@ def flatten_envelope(decoded: DataFrame, snapshot_uses_after: bool = True, keep:
         rec["customer_email"].alias("customer_email"),
         rec["total_amount"].alias("total_amount_encoded"),
         rec["status"].alias("status"),
-        parse_event_time(rec["created_at"], epoch_unit).cast("timestamp_ntz").alias("order_created_at"),
-        parse_event_time(rec["updated_at"], epoch_unit).cast("timestamp_ntz").alias("order_updated_at"),
+        F.col("_created_at").cast("timestamp_ntz").alias("order_created_at"),
+        F.col("_updated_at").cast("timestamp_ntz").alias("order_updated_at"),
         F.col("_amount").alias("total_amount"),
-        F.coalesce("reject_reason", bad_amount).alias("reject_reason"),
+        *place,
+        F.coalesce("reject_reason", bad_value).alias("reject_reason"),
     )
 
 

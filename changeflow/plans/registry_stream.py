@@ -4,15 +4,16 @@ by tests that compare stream output with these)."""
 from __future__ import annotations
 
 from changeflow.plans.registry import register
-from changeflow.sources.fixtures import events
+from changeflow.sources.fixtures import events, events_wide
 from changeflow.streaming import windows as WN
 
-_DEC = "cast(sum(cast(value AS decimal(12,2))) AS double)"
+_DEC = ("cast(sum(try_cast(value AS decimal(28,2))) AS double) AS total_value, "
+        "count(*) FILTER (value IS NOT NULL AND try_cast(value AS decimal(28,2)) IS NULL) AS unfit_values")
 
 TUMBLING_SQL = f"""
 SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS window_start,
        time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end,
-       event_type, count(*) AS events, {_DEC} AS total_value, count(DISTINCT user_id) AS unique_users
+       event_type, count(*) AS events, {_DEC}, count(DISTINCT user_id) AS unique_users
 FROM events GROUP BY 1, 2, 3"""
 
 SLIDING_SQL = f"""
@@ -20,7 +21,7 @@ WITH b AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, ts) AS b5 FROM events),
 x AS (SELECT b5 AS window_start, event_type, user_id, value FROM b
       UNION ALL SELECT b5 - INTERVAL 5 MINUTE, event_type, user_id, value FROM b)
 SELECT window_start, window_start + INTERVAL 10 MINUTE AS window_end, event_type,
-       count(*) AS events, {_DEC} AS total_value, count(DISTINCT user_id) AS unique_users
+       count(*) AS events, {_DEC}, count(DISTINCT user_id) AS unique_users
 FROM x GROUP BY 1, 2, 3"""
 
 SESSION_SQL = f"""
@@ -32,7 +33,7 @@ WITH s AS (
   FROM events),
 g AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM s)
 SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end,
-       count(*) AS events, {_DEC} AS total_value
+       count(*) AS events, {_DEC}
 FROM g GROUP BY user_id, sid"""
 
 
@@ -51,6 +52,31 @@ def _session(spark, d):
     return WN.session_metrics(events(spark, d), "30 minutes")
 
 
+# The same statements over values that a narrow decimal does not hold.
+_WIDE = """WITH events_wide AS (SELECT * REPLACE (CASE WHEN event_id % 103 = 0 THEN 5e10 WHEN event_id % 107 = 0 THEN 1e30
+                                        ELSE value END AS value) FROM events)"""
+
+
+def _wide(sql: str) -> str:
+    sql = sql.strip().replace("FROM events", "FROM events_wide")
+    return _WIDE + (", " + sql.removeprefix("WITH ") if sql.startswith("WITH ") else "\n" + sql)
+
+
+@register("tumbling_metrics_wide", _wide(TUMBLING_SQL))
+def _tumbling_wide(spark, d):
+    return WN.tumbling_metrics(events_wide(spark, d), "5 minutes")
+
+
+@register("sliding_metrics_wide", _wide(SLIDING_SQL))
+def _sliding_wide(spark, d):
+    return WN.sliding_metrics(events_wide(spark, d), "10 minutes", "5 minutes")
+
+
+@register("session_metrics_wide", _wide(SESSION_SQL))
+def _session_wide(spark, d):
+    return WN.session_metrics(events_wide(spark, d), "30 minutes")
+
+
 ORDER_WINDOWS_SQL = """
 WITH order_lines AS (
   SELECT o_custkey AS customer_id, cast(l_quantity AS integer) AS quantity,

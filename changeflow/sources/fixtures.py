@@ -35,6 +35,13 @@ def events(spark: SparkSession, base_dir: str) -> DataFrame:
     return read_table(spark, base_dir, "events", _EVENTS)
 
 
+def events_wide(spark: SparkSession, base_dir: str) -> DataFrame:
+    """``events`` with some values that do not fit a narrow decimal: 5e10 when event_id % 103 = 0, else 1e30,
+    more than 28 digits, when % 107 = 0."""
+    large = F.expr("case when event_id % 103 = 0 then 5e10 when event_id % 107 = 0 then 1e30 else value end")
+    return events(spark, base_dir).withColumn("value", large)
+
+
 def order_lines(spark: SparkSession, base_dir: str) -> DataFrame:
     """Canonical orders (id, customer_id, product_id, quantity, price, order_date, status) and ``order_day``.
 
@@ -157,20 +164,32 @@ def envelope_raw(spark: SparkSession, base_dir: str) -> DataFrame:
     return base.select("event_id", "ts", F.expr(_ENVELOPE_JSON).alias("value"))
 
 
+def envelope_log_raw(spark: SparkSession, base_dir: str) -> DataFrame:
+    """The envelope events with log positions that differ from the order they arrive in.
+
+    A snapshot row (op ``r``) was read at half of its event's number, so it arrives long after changes that it does
+    not know of; all others are at their own. ``lsn`` = that number * 2^32 + 17.
+    """
+    at = F.expr("case when op = 'r' then event_id div 2 else event_id end * 4294967296 + 17")
+    base = cdc_base(spark, base_dir).withColumn("image", F.expr(_ENVELOPE_IMAGE)).withColumn("at", at)
+    json = _ENVELOPE_JSON.replace("event_id * 4294967296 + 17", "at")
+    return base.select("event_id", "ts", F.expr(json).alias("value"))
+
+
 # Flat (unwrapped) shape: tombstone (NULL value) when event_id % 61 = 0,
 # malformed when %97 = 0; customer_id key missing when %89 = 0, unit_price key
 # missing when %83 = 0 and JSON null when %67 = 0; operation key missing when
 # %59 = 0 and JSON null when %53 = 0; timestamp JSON null when %47 = 0 and present,
 # a day before the event, when %4 = 0; an unknown key when %10 = 0; rewritten
-# deletes carry __deleted = 'true'.
+# deletes carry __deleted = 'true'; a quantity and a price whose product does not fit the fact table when %103 = 0.
 _FLAT_JSON = """case
   when event_id % 61 = 0 then null
   when event_id % 97 = 0 then 'invalid json'
   else concat('{"order_id":', cast(id as string),
     case when event_id % 89 = 0 then '' else concat(',"customer_id":', cast(user_id as string)) end,
-    ',"product_name":"', product_id, '","quantity":', cast(quantity as string),
+    ',"product_name":"', product_id, '","quantity":', cast(case when event_id % 103 = 0 then 2000000000 else quantity end as string),
     case when event_id % 83 = 0 then '' when event_id % 67 = 0 then ',"unit_price":null'
-         else concat(',"unit_price":', cast(value as string)) end,
+         when event_id % 103 = 0 then ',"unit_price":99999999.99' else concat(',"unit_price":', cast(value as string)) end,
     ',"order_date":"', date_format(ts, 'yyyy-MM-dd HH:mm:ss'), '","status":"', status,
     '"', case when event_id % 59 = 0 then '' when event_id % 53 = 0 then ',"operation":null' else concat(',"operation":"',
         case op when 'c' then 'INSERT' when 'u' then 'UPDATE' when 'd' then 'DELETE' else 'READ' end, '"') end,

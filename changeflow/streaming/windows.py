@@ -3,7 +3,8 @@
 On a stream pass ``watermark`` (e.g. "10 minutes"): the time column is cast
 to ``timestamp`` (watermarks reject ``timestamp_ntz``), late rows beyond the
 watermark are dropped by Spark, and windows are emitted once closed (append
-mode). Distinct counts are exact in batch and HyperLogLog on streams (Spark
+mode). A value that is no decimal of 28 digits (too large, NaN) does not fail the
+job: it is left out of the sum and counted in ``unfit_values``. Distinct counts are exact in batch and HyperLogLog on streams (Spark
 rejects exact distinct aggregates on streams).
 """
 
@@ -19,13 +20,25 @@ def _prepare(events: DataFrame, ts_col: str, watermark: str | None) -> DataFrame
     return events.withColumn(ts_col, F.col(ts_col).cast("timestamp")).withWatermark(ts_col, watermark)
 
 
+# Values are summed exactly in this type; a value that it can't hold is counted, not summed.
+VALUE = "decimal(28,2)"
+
+
+def _value(value_col: str) -> Column:
+    return F.col(value_col).try_cast(VALUE)
+
+
+def _unfit(value_col: str) -> Column:
+    return F.count_if(F.col(value_col).isNotNull() & _value(value_col).isNull()).alias("unfit_values")
+
+
 def _measures(events: DataFrame, value_col: str, user_col: str, distinct: str) -> list[Column]:
     exact = distinct == "exact" and not events.isStreaming
     users = F.count_distinct(user_col) if exact else F.approx_count_distinct(user_col)
     return [
         F.count(F.lit(1)).alias("events"),
-        F.sum(F.col(value_col).cast("decimal(12,2)")).cast("double").alias("total_value"),
-        users.alias("unique_users"),
+        F.sum(_value(value_col)).cast("double").alias("total_value"),
+        users.alias("unique_users"), _unfit(value_col),
     ]
 
 
@@ -37,7 +50,7 @@ def tumbling_metrics(events: DataFrame, duration: str = "5 minutes", *, ts_col:
     g = df.groupBy(F.window(F.col(ts_col), duration).alias("w"), key).agg(
         *_measures(df, value_col, user_col, distinct))
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key,
-                    "events", "total_value", "unique_users")
+                    "events", "total_value", "unique_users", "unfit_values")
 
 
 def sliding_metrics(events: DataFrame, duration: str = "10 minutes", slide: str = "5 minutes", *,
@@ -49,7 +62,7 @@ def sliding_metrics(events: DataFrame, duration: str = "10 minutes", slide: str
     g = df.groupBy(F.window(F.col(ts_col), duration, slide).alias("w"), key).agg(
         *_measures(df, value_col, user_col, distinct))
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key,
-                    "events", "total_value", "unique_users")
+                    "events", "total_value", "unique_users", "unfit_values")
 
 
 def session_metrics(events: DataFrame, gap: str = "30 minutes", *, ts_col: str = "ts", key: str = "user_id",
@@ -70,14 +83,14 @@ def session_metrics(events: DataFrame, gap: str = "30 minutes", *, ts_col: str =
         df = _prepare(events, ts_col, watermark)
         g = df.groupBy(F.session_window(F.col(ts_col), gap).alias("s"), key).agg(
             F.count(F.lit(1)).alias("events"),
-            F.sum(F.col(value_col).cast("decimal(12,2)")).cast("double").alias("total_value"))
+            F.sum(_value(value_col)).cast("double").alias("total_value"), _unfit(value_col))
         return g.select(key, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
-                        "events", "total_value")
+                        "events", "total_value", "unfit_values")
     gap_iv = F.expr(f"INTERVAL {gap}")
     slice_start = F.floor(F.unix_micros(F.col(ts_col).cast("timestamp")) / F.lit(split_seconds * 1_000_000))
     part = (events.groupBy(key, slice_start.alias("_slice"), F.session_window(F.col(ts_col), gap).alias("s"))
             .agg(F.count(F.lit(1)).alias("events"),
-                 F.sum(F.col(value_col).cast("decimal(12,2)")).alias("_value"),
+                 F.sum(_value(value_col)).alias("_value"), _unfit(value_col),
                  F.min(ts_col).alias("_first"), F.max(ts_col).alias("_last")))
     # Only the first and the last piece of a slice can touch a slice border. Those of a
     # key are merged together; a piece between them is a session, so it stays with its slice.
@@ -90,8 +103,9 @@ def session_metrics(events: DataFrame, gap: str = "30 minutes", *, ts_col: str =
     numbered = flagged.withColumn("_sid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     merged = numbered.groupBy(key, "_group", "_sid").agg(
         F.min("_first").alias("session_start"), (F.max("_last") + gap_iv).alias("session_end"),
-        F.sum("events").alias("events"), F.sum("_value").cast("double").alias("total_value"))
-    return merged.select(key, "session_start", "session_end", "events", "total_value")
+        F.sum("events").alias("events"), F.sum("_value").cast("double").alias("total_value"),
+        F.sum("unfit_values").alias("unfit_values"))
+    return merged.select(key, "session_start", "session_end", "events", "total_value", "unfit_values")
 
 
 def order_window_metrics(orders: DataFrame, duration: str = "1 day", *, watermark: str | None = None,
