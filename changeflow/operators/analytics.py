@@ -217,20 +217,24 @@ def detect_anomalies(orders: DataFrame, threshold_multiplier: float = 2.0, *,
     ``order_date`` and ``status`` still reaches the scan. With one row of
     history σ is NULL and nothing is flagged.
     """
-    k = float(threshold_multiplier)
     anchor = resolve_as_of(orders, as_of)
     s = _anomaly_stats(orders, anchor, stats_days)
+    cand = last_days(not_cancelled(orders), anchor, candidate_days)
+    return flag_anomalies(cand, s, threshold_multiplier).orderBy(F.col("order_date").desc())
+
+
+def flag_anomalies(candidates: DataFrame, s: Column, threshold_multiplier: float) -> DataFrame:
+    """Orders further than k σ from the mean, by a struct of statistics (avg_value, sd_value, avg_qty, sd_qty)."""
+    k = float(threshold_multiplier)
     value = order_value()
     high_value = value > s["avg_value"] + F.lit(k) * s["sd_value"]
     high_qty = F.col("quantity") > s["avg_qty"] + F.lit(k) * s["sd_qty"]
     low_value = value < s["avg_value"] - F.lit(k) * s["sd_value"]
-    cand = last_days(not_cancelled(orders), anchor, candidate_days)
-    return (cand.where(high_value | high_qty | low_value)
+    return (candidates.where(high_value | high_qty | low_value)
             .select("id", "customer_id", "product_id", "quantity",
                     _dbl(F.col("price")).alias("price"), _dbl(value).alias("order_value"), "order_date",
                     F.when(high_value, "High Value").when(high_qty, "High Quantity")
-                     .when(low_value, "Low Value").otherwise("Normal").alias("anomaly_type"))
-            .orderBy(F.col("order_date").desc()))
+                     .when(low_value, "Low Value").otherwise("Normal").alias("anomaly_type")))
 
 
 # A14

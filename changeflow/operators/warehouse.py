@@ -8,9 +8,9 @@ lost: a failing row lands in the rejects with its reason.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType, TimestampType
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from changeflow.functions.cdc import parse_event_time
 from changeflow.functions.time import resolve_as_of, same_day
@@ -19,16 +19,18 @@ from changeflow.schemas import (
     DAILY_ORDER_SUMMARY, DAILY_SUMMARY_PARTITIONS, DIM_CUSTOMER, ORDER, ORDER_EVENT, ORDER_EVENT_PARTITIONS,
     ORDER_EVENT_REQUIRED,
 )
-from changeflow.streaming.sinks import MANUAL, BatchSink
+from changeflow.streaming.facts import ORIGIN, DayTableSink
+from changeflow.streaming.sinks import MANUAL
 
 
-def load_order_events(flat: DataFrame, processed_at: Column | None = None) -> DataFrame:
+def load_order_events(flat: DataFrame, processed_at: Column | None = None, epoch_unit: str = "micros") -> DataFrame:
     """Map decoded flat changes onto the ``order_events`` fact shape (K4, K5).
 
     Defaults are for a missing key only, a JSON null fails: ``unit_price`` → 0,
     ``operation`` → 'INSERT', the record's ``timestamp`` → the event's time.
-    ``total_amount`` is the generated column quantity × unit_price.
-    ``processed_at`` defaults to load time; backfills pass the event time.
+    ``total_amount`` is the generated column quantity × unit_price; a product beyond
+    its type is a reject (``out_of_range:total_amount``). ``epoch_unit`` is the unit of event times
+    that are numbers. ``processed_at`` defaults to load time; backfills pass the event time.
     """
     unit_price = F.when(F.col("unit_price_present"), F.col("unit_price")).otherwise(
         F.lit(0).cast("decimal(10,2)"))
@@ -36,18 +38,19 @@ def load_order_events(flat: DataFrame, processed_at: Column | None = None) -> Da
         *[c for c in ("event_id",) if c in flat.columns],
         F.col("order_id"), F.col("customer_id"), F.col("product_name"), F.col("quantity"),
         unit_price.alias("unit_price"),
-        (F.col("quantity") * unit_price).cast("decimal(12,2)").alias("total_amount"),
-        parse_event_time(F.col("order_date")).cast("timestamp_ntz").alias("order_date"),
+        (F.col("quantity") * unit_price).try_cast("decimal(12,2)").alias("total_amount"),
+        parse_event_time(F.col("order_date"), epoch_unit).cast("timestamp_ntz").alias("order_date"),
         F.col("status"),
         F.when(F.col("operation_present"), F.col("operation")).otherwise("INSERT").alias("event_type"),
         (processed_at if processed_at is not None else F.current_timestamp()).alias("processed_at"),
-        F.when(F.col("timestamp_present"), parse_event_time(F.col("timestamp")).cast("timestamp_ntz"))
+        F.when(F.col("timestamp_present"), parse_event_time(F.col("timestamp"), epoch_unit).cast("timestamp_ntz"))
          .otherwise(F.coalesce(F.col("event_time").cast("timestamp_ntz"), F.localtimestamp())).alias("source_timestamp"),
         F.col("reject_reason").alias("_upstream_reason"),
     )
     check = None
     for c in ORDER_EVENT_REQUIRED:
         check = F.when(F.col(c).isNull(), f"null:{c}") if check is None else check.when(F.col(c).isNull(), f"null:{c}")
+    check = check.when(F.col("total_amount").isNull(), "out_of_range:total_amount")
     return settle(row.withColumn("reject_reason", F.coalesce(F.col("_upstream_reason"), check))
                   .drop("_upstream_reason"))
 
@@ -58,35 +61,18 @@ def _fitted(df: DataFrame, schema: StructType) -> DataFrame:
                        for f in schema.fields])
 
 
-class OrderEventsSink(BatchSink):
-    """``foreachBatch`` handler appending accepted fact rows in the ``order_events`` layout.
+class OrderEventsSink(DayTableSink):
+    """``foreachBatch`` handler adding the accepted rows of a batch to the ``order_events`` facts.
 
-    A batch owns the folder ``stream=<id>/batch_id=<n>``, written with overwrite and
-    partitioned by ``processed_date`` inside: a replay replaces the batch even on
-    another day. ``table`` names the catalog table over ``path``; the batch's
-    partitions are registered with it.
+    See :mod:`changeflow.streaming.facts`: a replay replaces its batch even on another day, and
+    :func:`compact_order_events` moves batches to the day partitions of the catalog table ``table``.
     """
 
     def __init__(self, path: str, table: str | None = None):
-        self.path, self.table = path.rstrip("/"), table
+        super().__init__(path, ORDER_EVENT, "processed_at", "processed_date", table)
 
     def __call__(self, batch: DataFrame, batch_id: int, stream: str = MANUAL) -> None:
-        rows = _fitted(batch.where(F.col("reject_reason").isNull()), ORDER_EVENT)
-        folder = f"{self.path}/stream={stream}/batch_id={int(batch_id)}"
-        (rows.withColumn("processed_date", F.to_date("processed_at"))
-         .write.mode("overwrite").partitionBy("processed_date").parquet(folder))
-        if self.table:
-            spark = batch.sparkSession
-            own = f"stream = '{stream}', batch_id = {int(batch_id)}"
-            schema = StructType([*ORDER_EVENT.fields, StructField("processed_date", DateType())])
-            # One row per day of the batch: read from the folder names.
-            days = {r[0] for r in spark.read.schema(schema).parquet(folder).select("processed_date").distinct().collect()}
-            before = spark.sql(f"SHOW PARTITIONS {self.table} PARTITION ({own})").collect()
-            for day in sorted({r[0].rsplit("=", 1)[1] for r in before} - {str(d) for d in days}):
-                spark.sql(f"ALTER TABLE {self.table} DROP IF EXISTS PARTITION ({own}, processed_date = DATE '{day}')")
-            for day in sorted(days):
-                spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS PARTITION ({own}, processed_date = DATE '{day}') "
-                          f"LOCATION '{folder}/processed_date={day}'")
+        super().__call__(_fitted(batch.where(F.col("reject_reason").isNull()), ORDER_EVENT), batch_id, stream)
 
 
 def append_order_events(loaded: DataFrame, path: str, batch_id: int, stream: str = MANUAL,
@@ -95,6 +81,16 @@ def append_order_events(loaded: DataFrame, path: str, batch_id: int, stream: str
     OrderEventsSink(path, table)(loaded, batch_id, stream)
 
 
+def read_order_events(spark: SparkSession, path: str) -> DataFrame:
+    """All fact rows, moved to their days or not, each once. A filter on ``processed_date`` prunes."""
+    return OrderEventsSink(path).on(spark).read()
+
+
+def compact_order_events(spark: SparkSession, path: str, table: str | None = None) -> dict[str, int]:
+    """Move the finished batches to day partitions; the newest moved batch of each query."""
+    return OrderEventsSink(path, table).on(spark).compact()
+
+
 def write_daily_summary(summary: DataFrame, path: str) -> None:
     """Store ``daily_order_summary`` rows, replacing only the days present in
     ``summary`` (dynamic partition overwrite by ``summary_date``)."""
@@ -193,7 +189,7 @@ def write_partitioned(df: DataFrame, path: str, mode: str = "overwrite") -> None
 
 # The warehouse tables (K9): columns and partition columns.
 WAREHOUSE_TABLES = {
-    "order_events": (ORDER_EVENT, ORDER_EVENT_PARTITIONS),
+    "order_events": (StructType([*ORDER_EVENT.fields, *ORIGIN.fields]), ORDER_EVENT_PARTITIONS),
     "dim_customers": (DIM_CUSTOMER, StructType()),
     "daily_order_summary": (DAILY_ORDER_SUMMARY, DAILY_SUMMARY_PARTITIONS),
     "orders": (StructType([*ORDER.fields, StructField("created_at", TimestampType()),
@@ -213,8 +209,7 @@ def create_tables(spark, base_path: str | None = None, database: str | None = No
     """Create the warehouse tables if missing; returns the table names.
 
     With ``base_path`` each table lives in ``<base_path>/<name>`` (external);
-    the fact table is partitioned by stream, batch and processing date, so
-    replays replace and daily reports prune.
+    the fact table is partitioned by processing date, so daily reports prune.
     """
     db = f"{database}." if database else ""
     made = []

@@ -202,6 +202,16 @@ FROM latest l JOIN (SELECT *, {_amount()} AS amount FROM env2) e ON e.event_id =
 WHERE e.op_out <> 'd'"""
 
 
+def state_by_position() -> str:
+    return _w(CDC_BASE, ENVELOPE) + f"""
+, placed AS (SELECT *, (CASE WHEN base_op = 'r' THEN event_id // 2 ELSE event_id END) * 4294967296 + 17 AS log_lsn,
+    base_op <> 'r' AND op_out <> 'r' AS log_change FROM env2 WHERE reject_reason IS NULL),
+newest AS (SELECT * FROM placed QUALIFY row_number() OVER (PARTITION BY id ORDER BY log_lsn DESC, log_change DESC, event_id DESC) = 1)
+SELECT id AS order_id, 'Customer#' || lpad(cast(user_id AS varchar), 9, '0') AS customer_name, status,
+       {_amount()} AS total_amount, label AS change_type, cast(log_lsn AS bigint) AS log_lsn, event_id
+FROM newest WHERE op_out <> 'd'"""
+
+
 def dedup() -> str:
     return _w(CDC_BASE) + "SELECT event_id, ts FROM cdc_base"
 
@@ -212,9 +222,9 @@ FLAT = """flat AS (
     CASE WHEN event_id % 97 <> 0 THEN cast(id AS integer) END AS order_id,
     CASE WHEN event_id % 97 <> 0 AND event_id % 89 <> 0 THEN cast(user_id AS integer) END AS customer_id,
     CASE WHEN event_id % 97 <> 0 THEN product_id END AS product_name,
-    CASE WHEN event_id % 97 <> 0 THEN quantity END AS quantity,
+    CASE WHEN event_id % 97 <> 0 THEN CASE WHEN event_id % 103 = 0 THEN cast(2000000000 AS integer) ELSE quantity END END AS quantity,
     CASE WHEN event_id % 97 <> 0 AND event_id % 83 <> 0 AND event_id % 67 <> 0
-         THEN cast(value AS decimal(10,2)) END AS unit_price,
+         THEN CASE WHEN event_id % 103 = 0 THEN 99999999.99::decimal(10,2) ELSE cast(value AS decimal(10,2)) END END AS unit_price,
     event_id % 97 <> 0 AND event_id % 83 <> 0 AS unit_price_present,
     CASE WHEN event_id % 97 <> 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS order_date,
     CASE WHEN event_id % 97 <> 0 THEN status END AS status,
@@ -239,7 +249,7 @@ FROM flat"""
 LOADED = """loaded AS (
   SELECT event_id, order_id, customer_id, product_name, quantity,
     CASE WHEN unit_price_present THEN unit_price ELSE cast(0 AS decimal(10,2)) END AS unit_price,
-    cast(quantity * CASE WHEN unit_price_present THEN unit_price ELSE 0 END AS decimal(12,2)) AS total_amount,
+    try_cast(cast(quantity AS decimal(18,0)) * CASE WHEN unit_price_present THEN unit_price ELSE 0 END AS decimal(12,2)) AS total_amount,
     cast(order_date AS timestamp) AS order_date, status,
     CASE WHEN operation_present THEN operation ELSE 'INSERT' END AS event_type, ts AS processed_at,
     CASE WHEN timestamp_present THEN record_time ELSE ts END AS source_timestamp,
@@ -248,7 +258,8 @@ LOADED = """loaded AS (
          WHEN product_name IS NULL THEN 'null:product_name' WHEN quantity IS NULL THEN 'null:quantity'
          WHEN unit_price_present AND unit_price IS NULL THEN 'null:unit_price'
          WHEN operation_present AND operation IS NULL THEN 'null:event_type'
-         WHEN timestamp_present AND record_time IS NULL THEN 'null:source_timestamp' END AS reject_reason
+         WHEN timestamp_present AND record_time IS NULL THEN 'null:source_timestamp'
+         WHEN event_id % 103 = 0 AND unit_price_present THEN 'out_of_range:total_amount' END AS reject_reason
   FROM flat)"""
 
 
@@ -259,6 +270,13 @@ SELECT event_id, order_id, customer_id, product_name, quantity, unit_price, tota
 FROM loaded WHERE reject_reason IS NULL"""
 
 
+def warehouse_compacted() -> str:
+    return _w(CDC_BASE, FLAT, LOADED) + """
+SELECT event_id, order_id, quantity, total_amount, status, event_type, cast(event_id % 5 AS bigint) AS batch_id,
+       cast(processed_at AS date) AS processed_date
+FROM loaded WHERE reject_reason IS NULL"""
+
+
 def load_rejects() -> str:
     return _w(CDC_BASE, FLAT, LOADED) + "SELECT event_id, reject_reason FROM loaded WHERE reject_reason IS NOT NULL"
 
@@ -295,7 +313,7 @@ def etl_message_format() -> str:
         opt("NOT timestamp_present", "record_time IS NULL", ("',\"timestamp\":null'",
             "',\"timestamp\":\"' || strftime(record_time, '%Y-%m-%dT%H:%M:%S.%f') || '\"'")),
         opt("NOT unit_price_present", "event_id % 67 = 0", ("',\"unit_price\":null'",
-            f"',\"unit_price\":' || {_trimmed('cast(value AS varchar)')}")),
+            f"',\"unit_price\":' || {_trimmed("CASE WHEN event_id % 103 = 0 THEN '99999999.99' ELSE cast(value AS varchar) END")}")),
         "'}'"])
     value = (f"'{{\"topic\":\"cdc-events\",\"key\":\"' || {key} || '\",\"value\":' || {record} || ',\"timestamp\":\"' || {ts} "
              f"|| '\",\"source\":\"orders-db\",\"operation\":\"' || {op} || '\"}}'")

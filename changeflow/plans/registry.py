@@ -136,7 +136,7 @@ def _orders_count(spark, d):
 # ------------------------------------------------------------------ registry
 def _load_more() -> None:
     # Later sections register themselves on import.
-    from changeflow.plans import registry_cdc, registry_stream  # noqa: F401
+    from changeflow.plans import registry_cdc, registry_stream, registry_upkeep  # noqa: F401
 
 
 _load_more()

@@ -137,6 +137,14 @@ def _current_state(spark, d):
     return state.withColumnRenamed("event_id", "last_event_id")
 
 
+@register("cdc_state_by_position", OC.state_by_position())
+def _state_by_position(spark, d):
+    # Ordered by the source's log alone: a snapshot row that arrives late loses to the changes made since it was read.
+    f = C.accepted(C.flatten_envelope(C.decode_envelope(X.envelope_log_raw(spark, d)), keep=("event_id",), position=True))
+    return C.current_state(f, key="order_id", order_by=list(C.LOG_ORDER), op_col="operation",
+                           columns=["customer_name", "status", "total_amount", "change_type", "log_lsn", "event_id"])
+
+
 @register("cdc_dedup", OC.dedup())
 def _dedup(spark, d):
     raw = X.cdc_raw(spark, d)
@@ -170,6 +178,18 @@ def _load_rejects(spark, d):
     return C.rejected(_loaded(spark, d)).select("event_id", "reject_reason")
 
 
+@register("warehouse_compacted", OC.warehouse_compacted())
+def _warehouse_compacted(spark, d):
+    # The loader's rows through the fact table: five batches, one of them twice, moved to their days but for the newest.
+    loaded, path = _loaded(spark, d).repartition(F.to_date("processed_at")), scratch_path(spark, "order-events")
+    batch = F.col("event_id") % 5
+    for k in (0, 1, 2, 2, 3, 4):
+        W.append_order_events(loaded.where(batch == k), path, k, "registry")
+    W.compact_order_events(spark, path)
+    return W.read_order_events(spark, path).select("event_id", "order_id", "quantity", "total_amount", "status", "event_type",
+                                                   "batch_id", "processed_date")
+
+
 @register("daily_stats", OC.daily_stats())
 def _daily_stats(spark, d):
     return W.daily_stats(C.accepted(_loaded(spark, d)), day="latest")

@@ -1,7 +1,7 @@
 """Fixed schemas: the canonical order shape and the three wire shapes of change events."""
 
 from pyspark.sql.types import (
-    DateType, DecimalType, IntegerType, LongType, StringType,
+    DateType, DecimalType, DoubleType, IntegerType, LongType, StringType,
     StructField, StructType, TimestampNTZType, TimestampType,
 )
 
@@ -50,13 +50,16 @@ DAILY_ORDER_SUMMARY = StructType([
     StructField("unique_customers", LongType(), False),
 ])
 
-# Columns that the stored tables are partitioned by. Every batch of a stream has
-# its own folder, so a replay replaces it whatever day it runs on.
-ORDER_EVENT_PARTITIONS = StructType([
-    StructField("stream", StringType()), StructField("batch_id", LongType()),
-    StructField("processed_date", DateType())])
+# Columns that the stored tables are partitioned by.
+ORDER_EVENT_PARTITIONS = StructType([StructField("processed_date", DateType())])
 DAILY_SUMMARY_PARTITIONS = StructType([StructField("summary_date", DateType())])
 
+# Mergeable moments of a day's orders (see operators.moments).
+MOMENTS = StructType([
+    StructField("orders", LongType()), StructField("value_sum", DecimalType(38, 2)), StructField("value_m2", DoubleType()),
+    StructField("quantity_sum", LongType()), StructField("quantity_m2", DoubleType()),
+])
+
 # Envelope wire shape (before/after/source/op/ts_ms). Timestamps are kept as
 # strings because connectors emit either ISO text or epoch micros; txId and lsn
 # are 64-bit in practice.

@@ -60,6 +60,44 @@ def checkpoint_root(spark: SparkSession) -> str:
     return configured
 
 
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system that Spark reads; none if it is missing."""
+    at, fs = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    at, fs = _file_system(spark, path)
+    fs.delete(at, True)
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Put the folder ``source`` in the place of ``target``."""
+    at, fs = _file_system(spark, source)
+    to = _file_system(spark, target)[0]
+    fs.delete(to, True)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(at, to):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
+def publish_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename the folder ``source`` to ``target``, unless that is there already: then it stays as it is."""
+    at, fs = _file_system(spark, source)
+    to = _file_system(spark, target)[0]
+    if fs.exists(to):
+        fs.delete(at, True)
+        return
+    fs.mkdirs(to.getParent())
+    if not fs.rename(at, to):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint root."""
     root = checkpoint_root(spark)

@@ -1,15 +1,12 @@
-"""Starting and driving streaming queries."""
+"""Starting and driving streaming queries."""
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.listener import StreamingQueryListener
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from changeflow.streaming.sinks import BatchSink, checkpoint_query_id
 
@@ -68,52 +65,6 @@ def run_available(df: DataFrame, *, checkpoint: str, timeout_s: float | None = N
     return q
 
 
-_PROGRESS = StructType([
-    StructField("batch_id", LongType()), StructField("timestamp", StringType()),
-    StructField("num_input_rows", LongType()), StructField("input_rows_per_second", DoubleType()),
-    StructField("processed_rows_per_second", DoubleType()), StructField("trigger_ms", LongType()),
-])
-
-
-class ProgressLog(StreamingQueryListener):
-    """Keeps every progress report of the queries it sees, in order.
-
-    A query itself keeps only the newest ones (``spark.sql.streaming.numRecentProgressUpdates``).
-    Register with ``spark.streams.addListener``; one small dict per micro-batch.
-    """
-
-    def __init__(self):
-        self.reports: list[dict] = []
-
-    def onQueryStarted(self, event) -> None:
-        pass
-
-    def onQueryProgress(self, event) -> None:
-        self.reports.append(json.loads(event.progress.json))
-
-    def onQueryTerminated(self, event) -> None:
-        pass
-
-
-def progress_frame(spark: SparkSession, source: StreamingQuery | ProgressLog) -> DataFrame:
-    """Progress reports, one row per micro-batch, of a query or a :class:`ProgressLog`.
-
-    A query that ran longer than Spark keeps reports for is refused: its
-    oldest ones are gone, so a log must listen from the start.
-    """
-    if isinstance(source, ProgressLog):
-        reports = list(source.reports)
-    else:
-        reports = [p if isinstance(p, dict) else json.loads(p.json) for p in source.recentProgress]
-        kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates"))
-        if len(reports) >= kept - 1:               # Spark drops the oldest as soon as it has that many
-            raise ValueError(f"the query keeps its newest reports only; use a ProgressLog")
-    rows = [(p.get("batchId"), p.get("timestamp"), p.get("numInputRows"), float(p.get("inputRowsPerSecond") or 0.0),
-             float(p.get("processedRowsPerSecond") or 0.0), (p.get("durationMs") or {}).get("triggerExecution"))
-            for p in reports]
-    return spark.createDataFrame(rows, _PROGRESS)
-
-
 class _Enough(Exception):
     """Ends a bounded run before a batch is handled, so that batch stays uncommitted."""
 

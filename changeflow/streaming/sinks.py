@@ -32,6 +32,14 @@ class BatchSink:
         raise NotImplementedError
 
 
+def not_covered(batches: DataFrame, done: dict[str, int]) -> DataFrame:
+    """Batches later than the newest one done of their query, a filter on partition columns alone."""
+    if not done:
+        return batches
+    newest = F.create_map(*[F.lit(x) for pair in sorted(done.items()) for x in pair])
+    return batches.where(F.col("batch_id") > F.coalesce(F.try_element_at(newest, F.col("stream")), F.lit(-1)))
+
+
 class IdempotentParquetAppend(BatchSink):
     """Appends each batch to ``path/stream=<id>/batch_id=<n>``."""
 

@@ -167,11 +167,12 @@ def test_state_keeps_rows_over_a_fresh_checkpoint_and_refuses_unreadable_commits
     w(df((9, 3, "c", "z")), 0, "second")               # this one is
     w(df((4, 2, "d", "b")), 1, "second")
     assert {(r.id, r.v) for r in read_current_state(spark, path).collect()} == {(1, "a"), (3, "c")}
-    assert spark.read.parquet(f"{path}/v=0").count() == 0            # old versions are emptied
-    for name in os.listdir(f"{path}/_commits"):
-        if name.endswith(".parquet"):
-            with open(f"{path}/_commits/{name}", "wb") as f:
-                f.write(b"broken")
+    assert sorted(x for x in os.listdir(path) if x != "_commits") == ["slot=0", "slot=1"]      # old versions make room
+    for folder, _, names in os.walk(f"{path}/_commits"):
+        for name in names:
+            if name.endswith(".parquet"):
+                with open(f"{folder}/{name}", "wb") as f:
+                    f.write(b"broken")
     with pytest.raises(Exception, match="(?i)parquet|footer|magic"):
         w(df((5, 7, "c", "n")), 2, "second")
 
@@ -189,6 +190,28 @@ def test_changelog_compaction_keeps_the_state(spark, scratch):
     sink(df((1, 2, "u", "late"), (3, 5, "c", "n")), 2)
     state = {(r.id, r.v) for r in read_state_changelog(spark, [base, log], "id", ["seq"]).collect()}
     assert state == {(2, "B"), (3, "n")}
+    plan = read_state_changelog(spark, [base, log], "id", ["seq"])._jdf.queryExecution().executedPlan().toString()
+    assert "batch_id" in plan.split("PartitionFilters: [", 2)[2].split("Location")[0]    # compacted batches are not read
+    newer = os.path.join(scratch, "newer")
+    compact_state_changelog(spark, [base, log], newer, "id", ["seq"])
+    sink(df((1, 1, "c", "a"), (2, 2, "c", "b")), 0)                 # an old batch that is no longer what it was
+    got = read_state_changelog(spark, [newer, log], "id", ["seq"]).collect()
+    assert {(r.id, r.v) for r in got} == {(2, "B"), (3, "n")}
+    import shutil
+    shutil.rmtree(os.path.join(log, "stream=manual", "batch_id=0"))
+    assert {(r.id, r.v) for r in read_state_changelog(spark, [newer, log], "id", ["seq"]).collect()} == {(2, "B"), (3, "n")}
+
+
+def test_snapshot_writer_keeps_a_bounded_number_of_files(spark, scratch):
+    from changeflow.streaming import CurrentStateWriter, read_current_state
+    path = os.path.join(scratch, "st")
+    w = CurrentStateWriter(path, key="id", order_by=["seq"], columns=["v"])
+    sizes = []
+    for k in range(9):
+        w(spark.createDataFrame([(k, k % 3, "c", f"v{k}")], "seq long, id long, op string, v string").coalesce(1), k, f"q{k // 5}")
+        sizes.append(sum(len([x for x in names if x.endswith(".parquet")]) for _, _, names in os.walk(f"{path}/_commits")))
+    assert sizes == [1] + [2] * 8
+    assert {(r.id, r.v) for r in read_current_state(spark, path).collect()} == {(0, "v6"), (1, "v7"), (2, "v8")}
 
 
 def test_order_events_replay_over_midnight_and_catalog(spark, scratch):
@@ -202,11 +225,21 @@ def test_order_events_replay_over_midnight_and_catalog(spark, scratch):
     n = C.accepted(W.load_order_events(flat)).count()
     for day in ("2024-03-01 23:59:59", "2024-03-02 00:00:01"):       # the replay runs on the next day
         sink(W.load_order_events(flat, F.lit(day).cast("timestamp")), 0, "q")
-    table = spark.table("wh_test.order_events")
+    facts = os.path.join(path, "order_events")
+    table = W.read_order_events(spark, facts)
     assert table.count() == n > 0
     assert [str(r[0]) for r in table.select("processed_date").distinct().collect()] == ["2024-03-02"]
     sink(W.load_order_events(flat, F.lit("2024-03-02 01:00:00").cast("timestamp")), 0, "another")
-    assert spark.table("wh_test.order_events").count() == 2 * n
+    assert W.read_order_events(spark, facts).count() == 2 * n
+    plan = W.daily_stats(W.read_order_events(spark, facts), day="latest")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "processed_date" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert W.daily_stats(W.read_order_events(spark, facts), day="latest").first().total_events == 2 * n
+    assert W.compact_order_events(spark, facts, "wh_test.order_events") == {}          # both may still be replayed
+    for q in ("q", "another"):
+        sink(W.load_order_events(flat, F.lit("2024-03-03 01:00:00").cast("timestamp")), 1, q)
+    assert W.compact_order_events(spark, facts, "wh_test.order_events") == {"q": 0, "another": 0}
+    assert spark.table("wh_test.order_events").count() == 2 * n and W.read_order_events(spark, facts).count() == 4 * n
+    assert [r[0] for r in spark.sql("SHOW PARTITIONS wh_test.order_events").collect()] == ["processed_date=2024-03-02"]
     plan = W.daily_stats(spark.table("wh_test.order_events"), day="latest")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "processed_date" in plan.split("PartitionFilters")[1].split("]")[0]
     assert W.daily_stats(spark.table("wh_test.order_events"), day="latest").first().total_events == 2 * n
@@ -247,7 +280,7 @@ def test_order_events_append_replay_and_daily_summary_overwrite(spark, scratch):
     path = os.path.join(scratch, "order_events")
     W.append_order_events(loaded, path, batch_id=7)
     W.append_order_events(loaded, path, batch_id=7)              # replay
-    stored = spark.read.parquet(path)
+    stored = W.read_order_events(spark, path)
     assert stored.count() == C.accepted(loaded).count()
     assert {"processed_date", "batch_id"} <= set(stored.columns)
     orders = X.order_lines(spark, SF0001).where("order_date >= timestamp_ntz'2001-01-01 00:00:00'")
