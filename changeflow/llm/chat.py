@@ -16,7 +16,8 @@ turns is sequential by definition, and a task holds one turn.
 
 Defined cases: a null text is empty; a null role is an empty name; null sequences come
 first and ties go by role and text; a row that repeats another opens a message of its
-own; events for a message that was never opened open it; null conversations are one conversation.
+own; events for a message that was never opened open it; null conversations are one conversation; a
+conversation's id is of any type and keeps it.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from urllib.parse import quote, unquote
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 MARKS = {"user": ("[INST] ", " [/INST]"), "assistant": ("<s> ", " </s>"), "system": ("<<SYS>> ", " <</SYS>>")}
 _OPEN_ROLE, _CLOSE_ROLE = "[ROLE ", " [/ROLE]"
@@ -109,24 +111,32 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema, chars: int = 4_000_000) -
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
 
+def _conversation(rows: DataFrame) -> tuple[pa.DataType, str]:
+    """The type of the conversation id, as Arrow's and as Spark's."""
+    kind = rows.schema["conv_id"].dataType
+    return to_arrow_type(kind), kind.simpleString()
+
+
 def final_messages(events: DataFrame) -> DataFrame:
     """Log rows (conv_id, message_id, seq, kind, role, text) -> (conv_id, message_id, seq, role, text), one row per
     final message; ``seq`` is where it was opened."""
-    typed = events.select(F.col("conv_id").cast("long"), F.col("message_id").cast("string"), F.col("seq").cast("long"),
+    typed = events.select("conv_id", F.col("message_id").cast("string"), F.col("seq").cast("long"),
                           "kind", "role", "text")
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.coalesce("kind", F.lit("delta")))
     dealt = typed.repartition("conv_id", "message_id").sortWithinPartitions(
         "conv_id", "message_id", F.col("seq").asc_nulls_first(), order, "role", "text")
-    out = pa.schema([("conv_id", pa.int64()), ("message_id", pa.string()), ("seq", pa.int64()), ("role", pa.string()),
+    conv, kind = _conversation(events)
+    out = pa.schema([("conv_id", conv), ("message_id", pa.string()), ("seq", pa.int64()), ("role", pa.string()),
                      ("text", pa.string())])
     return dealt.mapInArrow(lambda batches: _batches(fold(_rows(batches)), out),
-                            "conv_id bigint, message_id string, seq bigint, role string, text string")
+                            f"conv_id {kind}, message_id string, seq bigint, role string, text string")
 
 
 def format_messages(messages: DataFrame) -> DataFrame:
     """Messages -> (conv_id, seq, message_id, piece, loss_start, loss_end): the formatted turn, and the span of the
     loss mask in it (null outside assistant turns). A conversation's text is its pieces in order."""
-    out = pa.schema([("conv_id", pa.int64()), ("seq", pa.int64()), ("message_id", pa.string()), ("piece", pa.string()),
+    conv, kind = _conversation(messages)
+    out = pa.schema([("conv_id", conv), ("seq", pa.int64()), ("message_id", pa.string()), ("piece", pa.string()),
                      ("loss_start", pa.int64()), ("loss_end", pa.int64())])
 
     def rendered(batches):
@@ -137,7 +147,7 @@ def format_messages(messages: DataFrame) -> DataFrame:
 
     return messages.select("conv_id", "message_id", "seq", "role", "text").mapInArrow(
         lambda batches: _batches(rendered(batches), out),
-        "conv_id bigint, seq bigint, message_id string, piece string, loss_start bigint, loss_end bigint")
+        f"conv_id {kind}, seq bigint, message_id string, piece string, loss_start bigint, loss_end bigint")
 
 
 def digest(pieces: DataFrame) -> DataFrame:
@@ -145,7 +155,8 @@ def digest(pieces: DataFrame) -> DataFrame:
     loss_sha256, formatted_chars)."""
     dealt = pieces.repartition("conv_id").sortWithinPartitions(
         "conv_id", F.col("seq").asc_nulls_first(), "message_id", "piece")
-    out = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
+    conv, kind = _conversation(pieces)
+    out = pa.schema([("conv_id", conv), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
                      ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
 
     def digests(batches):
@@ -168,7 +179,7 @@ def digest(pieces: DataFrame) -> DataFrame:
 
     return dealt.select("conv_id", "seq", "message_id", "piece", "loss_start", "loss_end").mapInArrow(
         lambda batches: _batches(digests(batches), out),
-        "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
+        f"conv_id {kind}, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, "
         "formatted_chars bigint")
 
 

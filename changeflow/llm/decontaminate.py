@@ -7,8 +7,10 @@
 3. A posting and a pivot's place in an item fix the offset between the two word
    sequences. The lists of the neighbouring terms are intersected at that offset, to
    the left and to the right, which gives the exact phrase around the pivot; a run
-   of at least a window is a hit. A pivot with most of its neighbourhood around it, in any order within
-   some slack, is a proximity match; its pivot is the rarest term of the window that occurs at all.
+   of at least a window is a hit.
+4. A window that most of whose distinct terms stand within a few words more than a window, in any order, is a proximity
+   match. If ``k`` terms may be missing, any match holds at least two of the window's ``k + 2`` rarest: the postings of
+   these that have another one of the same window beside them, within a span, are all that is looked at, and no match is lost.
 
 Scale: word counts are combined in the map tasks. Pivots are rare terms, so postings
 are a small part of the corpus, and no window is paired with all documents. Postings
@@ -34,8 +36,11 @@ WINDOW = 10
 # Letters A-Z are lower-cased after the split, so they count as word characters here.
 SEPARATORS = "[\\x00-/:-@\\[-`{-\\x7F]+"
 FILTER_BITS = (1 << 16, 1 << 20)      # least and most, powers of two
+# A proximity match: this share of a window's distinct terms within so many words more than the window; windows of fewer
+# distinct terms have none, as a few words in any order say little.
 NEAR_SHARE = 0.8
 NEAR_SLACK = 5
+NEAR_TERMS = 5
 
 
 def terms(text: Column) -> Column:
@@ -66,8 +71,7 @@ def term_counts(tokens: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def pivots(items: DataFrame, counts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(term, item_id, need, left, right, whole): the places of the rarest occurring term of every window; ``whole`` if
-    all terms of such a window occur, so that it can occur as a phrase."""
+    """(term, item_id, need, left, right): the places of the rarest term of every window all of whose terms occur."""
     placed = items.select("item_id", "words", F.size("words").alias("size"), F.posexplode("words").alias("pos", "term"))
     placed = placed.join(counts, "term", "left")
     frame = Window.partitionBy("item_id", "words").orderBy("pos").rowsBetween(0, window - 1)
@@ -75,11 +79,11 @@ def pivots(items: DataFrame, counts: DataFrame, window: int = WINDOW) -> DataFra
     rarest = F.min(F.when(F.col("n").isNotNull(), F.struct("n", "pos"))).over(frame)["pos"]
     starts = placed.select("item_id", "words", need.alias("need"), rarest.alias("pivot"),
                            F.count("n").over(frame).alias("present"), "pos", "size")
-    starts = starts.where((F.col("pos") <= F.col("size") - F.col("need")) & (F.col("present") > 0))
-    at = starts.groupBy("item_id", "words", "need", "pivot").agg(F.max(F.col("present") == F.col("need")).alias("whole"))
+    starts = starts.where((F.col("pos") <= F.col("size") - F.col("need")) & (F.col("present") == F.col("need")))
+    at = starts.select("item_id", "words", "need", "pivot").distinct()
     return at.select(F.element_at("words", F.col("pivot") + 1).alias("term"), "item_id", "need",
                      _before(F.col("words"), F.col("pivot"), window - 1).alias("left"),
-                     _after(F.col("words"), F.col("pivot"), window - 1).alias("right"), "whole")
+                     _after(F.col("words"), F.col("pivot"), window - 1).alias("right"))
 
 
 def _bit_field(hashes: DataFrame, bits: int) -> Callable[[Column], Column]:
@@ -99,18 +103,15 @@ def _bit_field(hashes: DataFrame, bits: int) -> Callable[[Column], Column]:
     return test
 
 
-def _may_be_pivot(words: Column, rare: DataFrame, alone_too: bool) -> Callable[[Column], Column]:
-    """Whether the word at a position may be a pivot with a neighbour of its own, or ``alone_too``, decided in the
-    word's row.
+def _pivot_test(words: Column, rare: DataFrame) -> Callable[[Column], Column]:
+    """Whether the word at a position may be a pivot with a neighbour of its own, decided in the word's row.
 
     Two bit fields of bounded size, of pivots and of pivots with a neighbour; what they let through in
     addition fails the join on the term. A larger benchmark fills them up and loses nothing.
     """
     places = rare.select("term", F.get("left", F.lit(0)).alias("was"), F.get("right", F.lit(0)).alias("comes")).distinct()
-    bits = min(FILTER_BITS[1], max(FILTER_BITS[0], 1 << (32 * places.count()).bit_length()))
+    bits = _bits(places)
     term = _bit_field(places.select(F.xxhash64("term").alias("h")), bits)
-    if alone_too:
-        return lambda i: term(F.xxhash64(F.get(words, i)))
     # A word without neighbours in its item needs none.
     near = _bit_field(places.select(F.explode(F.array(F.xxhash64("was", "term"), F.xxhash64("term", "comes"))).alias("h"),
                                     (F.col("was").isNotNull() | F.col("comes").isNotNull()).alias("has")).where("has").select("h"),
@@ -124,45 +125,104 @@ def _may_be_pivot(words: Column, rare: DataFrame, alone_too: bool) -> Callable[[
     return test
 
 
+def _bits(rows: DataFrame) -> int:
+    return min(FILTER_BITS[1], max(FILTER_BITS[0], 1 << (32 * rows.count()).bit_length()))
+
+
+def near_windows(items: DataFrame, counts: DataFrame, window: int = WINDOW, near_share: float = NEAR_SHARE,
+                 near_slack: int = NEAR_SLACK) -> DataFrame:
+    """(item_id, held, required, span, rare): the distinct terms of each window that can have a proximity match, how many of them
+    must stand within ``span`` words, and those of its rarest terms that occur in the corpus at all."""
+    need = F.least(F.lit(window), F.size("words"))
+    starts = F.sequence(F.lit(1), F.size("words") - need + 1)
+    each = items.select("item_id", need.alias("need"), F.explode(F.transform(
+        starts, lambda i: F.array_sort(F.array_distinct(F.slice("words", i, need))))).alias("held")).distinct()
+    each = each.where(F.size("held") >= NEAR_TERMS).withColumn(
+        "required", F.ceil(F.lit(near_share) * F.size("held")).cast("int")).withColumn("span", F.col("need") + near_slack)
+    counted = each.select("*", F.explode("held").alias("term")).join(counts, "term", "left")
+    ranked = counted.groupBy("item_id", "held", "required", "span").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term"))).alias("by"))
+    rarest = F.slice("by", F.lit(1), F.size("held") - F.col("required") + 2)
+    absent = F.size(F.filter("by", lambda x: x["n"] == 0))
+    return ranked.where(absent <= F.size("held") - F.col("required")).select(
+        "item_id", "held", "required", "span",
+        F.transform(F.filter(rarest, lambda x: x["n"] > 0), lambda x: x["term"]).alias("rare"))
+
+
+def _pair(a: Column, b: Column) -> Column:
+    return F.xxhash64(F.least(a, b), F.greatest(a, b))
+
+
+def _near_places(words: Column, windows: DataFrame, reach: int) -> tuple[Column, Callable[[Column], Column]]:
+    """The positions of rare terms, and the filter of those that another rare term of the same window follows within
+    ``reach`` words, both by bit fields."""
+    terms = windows.select(F.explode("rare").alias("term")).distinct()
+    pairs = windows.select(F.explode(F.flatten(F.transform("rare", lambda a: F.transform(
+        F.filter("rare", lambda b: a < b), lambda b: _pair(a, b))))).alias("h")).distinct()
+    rare, beside = _bit_field(terms.select(F.xxhash64("term").alias("h")), _bits(terms)), _bit_field(pairs, _bits(pairs))
+    places = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: rare(F.xxhash64(F.get(words, i))))
+
+    def follows(i: Column, k: Column) -> Column:
+        return F.exists(F.slice("places", k + 2, F.lit(reach)),
+                        lambda j: (j - i <= reach) & beside(_pair(F.get(words, i), F.get(words, j))))
+    return places, lambda places: F.filter(places, follows)
+
+
 def benchmark_matches(tokens: DataFrame, benchmark: DataFrame, *, item_col: str = "item_id", text_col: str = "text",
                       window: int = WINDOW, near_share: float = NEAR_SHARE,
                       near_slack: int = NEAR_SLACK, proximity: bool = True) -> DataFrame:
     """``tokens`` (doc, words) -> (doc, item_id, kind, first, last), one row per match.
 
-    ``kind`` is ``phrase`` for a run of at least a window, with its first and last word position, else
-    ``near``: at least ``near_share`` of the pivot's neighbourhood lies within ``near_slack`` further words. Those need
-    every occurrence of a pivot; without ``proximity`` only phrases are looked for.
+    ``kind`` is ``phrase`` for a run of at least a window, with its first and last word position, or, in a document
+    without a phrase of the item, ``near``: at least ``near_share`` of a window's distinct terms within ``near_slack`` words more than the window, with
+    the position of the first rare term. Without ``proximity`` only phrases are looked for.
     """
     items = benchmark.select(F.col(f"`{item_col}`").alias("item_id"), terms(F.col(f"`{text_col}`")).alias("words"))
     items = materialize(items.where(F.size("words") > 0).distinct(), "bench-items")
     vocabulary = materialize(items.select(F.explode("words").alias("term")).distinct(), "bench-terms")
     counts = materialize(term_counts(tokens, vocabulary), "bench-counts")
-    rare = pivots(items, counts, window)
-    rare = materialize(rare if proximity else rare.where("whole"), "bench-pivots")
-
+    rare = materialize(pivots(items, counts, window), "bench-pivots")
     reach = window - 1 + near_slack
-    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), _may_be_pivot(F.col("words"), rare, proximity))
-    posted = settle(tokens, at=F.when(F.size("words") > 0, places).otherwise(F.array().cast("array<int>")))
-    posting = F.transform("at", lambda x: F.struct(
-        x.alias("pos"), F.get("words", x).alias("term"),
-        _before(F.col("words"), x, reach).alias("before"), _after(F.col("words"), x, reach).alias("behind")))
-    postings = materialize(posted.select("doc", F.inline(posting)), "bench-postings")
-    found = postings.join(rare, "term")
+    none = F.array().cast("array<int>")
+    every = F.sequence(F.lit(0), F.size("words") - 1)
+    posted = settle(tokens, at=F.when(F.size("words") > 0, F.filter(every, _pivot_test(F.col("words"), rare))).otherwise(none))
+    windows = None
+    if proximity:
+        windows = materialize(near_windows(items, counts, window, near_share, near_slack), "bench-windows")
+        places, followed = _near_places(F.col("words"), windows, reach)
+        posted = settle(posted, places=F.when(F.size("words") > 0, places).otherwise(none))
+        posted = settle(posted, near_at=followed(F.col("places"))).drop("places")
+
+    def posting(near: Column) -> Callable[[Column], Column]:
+        return lambda x: F.struct(
+            x.alias("pos"), F.get("words", x).alias("term"), near.alias("near"),
+            _before(F.col("words"), x, reach).alias("before"), _after(F.col("words"), x, reach).alias("behind"))
+
+    every_posting = F.transform("at", posting(F.lit(False)))
+    if proximity:
+        every_posting = F.concat(every_posting, F.transform("near_at", posting(F.lit(True))))
+    postings = materialize(posted.select("doc", F.inline(every_posting)), "bench-postings")
+    found = postings.where("not near").join(rare, "term")
     found = found.select(
         "doc", "item_id", "pos", "need",
         _agreeing(F.slice("before", F.lit(1), F.size("left")), F.col("left")).alias("l"),
-        _agreeing(F.slice("behind", F.lit(1), F.size("right")), F.col("right")).alias("r"),
-        F.array_distinct(F.concat("left", "right")).alias("around"),
-        F.concat("before", "behind").alias("there"))
-    phrase = F.col("l") + F.col("r") + 1 >= F.col("need")
-    near = F.size(F.array_intersect("around", "there")) >= F.ceil(F.lit(near_share) * F.size("around"))
-    kind = F.when(phrase, "phrase")
-    if proximity:
-        kind = kind.when(near & (F.size("around") > 0), "near")
-    return found.withColumn("kind", kind).where(F.col("kind").isNotNull()).select(
-        "doc", "item_id", "kind",
-        F.when(phrase, F.col("pos") - F.col("l")).otherwise(F.col("pos")).alias("first"),
-        F.when(phrase, F.col("pos") + F.col("r")).otherwise(F.col("pos")).alias("last"))
+        _agreeing(F.slice("behind", F.lit(1), F.size("right")), F.col("right")).alias("r"))
+    phrases = found.where(F.col("l") + F.col("r") + 1 >= F.col("need")).select(
+        "doc", "item_id", F.lit("phrase").alias("kind"), (F.col("pos") - F.col("l")).alias("first"),
+        (F.col("pos") + F.col("r")).alias("last"))
+    if not proximity:
+        return phrases
+    around = postings.where("near").select(
+        "doc", "pos", "term", F.size("before").alias("k"), F.concat(F.reverse("before"), F.array("term"), "behind").alias("around"))
+    held = around.join(windows.select("item_id", "held", "required", "span", F.explode("rare").alias("term")), "term")
+    held = held.where(F.size(F.array_intersect("around", "held")) >= F.col("required"))
+    starts = F.sequence(F.greatest(F.col("k") - F.col("span") + 1, F.lit(0)), F.col("k"))
+    full = F.exists(starts, lambda s: F.size(F.array_intersect(F.slice("around", s + 1, F.col("span")), F.col("held")))
+                    >= F.col("required"))
+    near = held.where(full).select("doc", "item_id", F.lit("near").alias("kind"), F.col("pos").alias("first"), F.col("pos").alias("last"))
+    phrases = materialize(phrases, "bench-phrases")
+    exact = phrases.select("doc", "item_id").distinct()
+    return phrases.unionByName(near.distinct().join(exact, ["doc", "item_id"], "left_anti").select(*phrases.columns))
 
 
 def tokenized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -177,7 +237,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
                   keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: ``id_col``, ``n_words``, ``n_hit`` (words inside an occurring window), ``n_items``,
     ``items_sha256`` (their ids, sorted as strings, comma-joined), ``contaminated`` and the ``keep`` columns. With
-    ``proximity`` also ``n_near`` and ``near_sha256``: the items that have a proximity match and no phrase there."""
+    ``proximity`` also ``n_near`` and ``near_sha256``: the items with a proximity match and no phrase in the document."""
     matches = benchmark_matches(tokenized(docs, id_col, text_col), benchmark, item_col=item_col, window=window,
                                 proximity=proximity)
     matches = materialize(matches.distinct(), "bench-matches")
@@ -188,8 +248,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     hits = words.join(ids, "doc").select(F.col("doc.id").alias("hit_id"), F.col("doc.text").alias("hit_text"),
                                          "n_hit", "items")
     if proximity:
-        only = matches.groupBy("doc", "item_id").agg(F.max((F.col("kind") == "phrase")).alias("phrase"))
-        near = only.where("not phrase").groupBy("doc").agg(F.collect_set(F.col("item_id").cast("string")).alias("nears"))
+        near = matches.where("kind = 'near'").groupBy("doc").agg(F.collect_set(F.col("item_id").cast("string")).alias("nears"))
         hits = words.join(ids, "doc").join(near, "doc", "full").select(
             F.col("doc.id").alias("hit_id"), F.col("doc.text").alias("hit_text"), "n_hit", "items", "nears")
     text = F.col(f"`{text_col}`")

@@ -45,8 +45,23 @@ base AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, '
   FROM d LEFT JOIN per USING (doc_id) LEFT JOIN repeated USING (doc_id)),
 verdict AS (SELECT *, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words AS base_failed
   FROM base)
-SELECT *, NOT base_failed AND 100 * (line_chars - good_line_chars) <= {q.MAX_LOST_PERCENT} * line_chars AS kept
-FROM verdict"""
+SELECT verdict.*, NOT base_failed AND 100 * (line_chars - good_line_chars) <= {q.MAX_LOST_PERCENT} * line_chars AS kept,
+    len(string_split(coalesce(text, ''), chr(10)))::BIGINT - len(clean_lines)::BIGINT AS n_removed_lines,
+    CASE WHEN text IS NOT NULL THEN sha256(array_to_string(clean_lines, chr(10))) END AS clean_sha256
+FROM verdict JOIN ({cleaned_texts(table)}) c USING (doc_id)"""
+
+
+def cleaned_texts(table: str = "documents") -> str:
+    """doc_id, text, and its lines without those that ``quality_rules`` takes for bad."""
+    q = quality
+    words, seps = r"len(regexp_extract_all(x, '[^\x20\x09-\x0D]+'))", f"len(regexp_extract_all(x, {_re(q.SEPARATOR)}))"
+    phrases = " OR ".join(f"contains(lower(x), {_re(p)})" for p in q.BOILERPLATE)
+    bad = (rf"regexp_matches(x, '[^\x20\x09-\x0D]') AND (({words} < {q.SHORT_LINE} AND NOT regexp_matches(x, {_re(q.CLOSING)}))"
+           f" OR 10 * len(regexp_extract_all(x, {_re(q.SYMBOLS)})) > length(x)"
+           f" OR ({seps} >= 3 AND 5 * {seps} >= {words} - {seps}) OR regexp_matches(lower(x), {_re(q.NAVIGATION)})"
+           f" OR ({words} < {4 * q.SHORT_LINE} AND ({phrases})))")
+    return f"""
+SELECT doc_id, text, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: NOT ({bad})) AS clean_lines FROM {table}"""
 
 
 def mix_sources(table: str = "documents", seed: int = 7) -> str:
@@ -76,7 +91,8 @@ FROM placed LEFT JOIN taken USING (doc_id)"""
 
 
 def decontaminated(table: str = "documents", benchmark: str = "benchmark") -> str:
-    n = decontaminate.WINDOW
+    """Windows as texts; proximity by every span of words around a term that a match can't do without."""
+    n, d = decontaminate.WINDOW, decontaminate
     words = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
     return rf"""
 WITH d AS (SELECT doc_id, {words} AS w FROM {table}),
@@ -89,10 +105,25 @@ hits AS (SELECT doc_id, item_id, need, i FROM places JOIN windows USING (need, c
 words_hit AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit
   FROM (SELECT DISTINCT doc_id, need, i, unnest(range(need)) AS k FROM hits) GROUP BY doc_id),
 found AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
-  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hits) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hits) GROUP BY doc_id),
+placed AS (SELECT doc_id, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS i FROM d),
+counts AS (SELECT t, count(*) AS c FROM placed WHERE t IN (SELECT unnest(w) FROM items) GROUP BY t),
+held AS (SELECT *, ceil({d.NEAR_SHARE} * len(held))::INT AS required, need + {d.NEAR_SLACK} AS span FROM
+  (SELECT DISTINCT item_id, need, list_sort(list_distinct(w[i:i + need - 1])) AS held
+    FROM (SELECT *, least({n}, len(w)) AS need, unnest(range(1, greatest(1, len(w) - {n} + 1) + 1)) AS i FROM items WHERE len(w) > 0))
+  WHERE len(held) >= {d.NEAR_TERMS}),
+needed AS (SELECT * FROM (SELECT *, unnest(held) AS t FROM held) LEFT JOIN counts USING (t)
+  QUALIFY row_number() OVER (PARTITION BY item_id, held, need ORDER BY coalesce(c, 0), t) <= len(held) - required + 1),
+asked AS (SELECT DISTINCT doc_id, item_id, held, required, span, i FROM needed JOIN placed USING (t)),
+nears AS (SELECT doc_id, count(*) AS n_near, string_agg(id, ',' ORDER BY id) AS near_ids FROM (
+    SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM asked JOIN d USING (doc_id)
+    WHERE list_max(list_transform(range(greatest(1, i - span + 1), i + 1),
+      lambda s: len(list_intersect(list_distinct(w[s:s + span - 1]), held)))) >= required
+      AND (doc_id, item_id) NOT IN (SELECT (doc_id, item_id) FROM hits)) GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN words_hit USING (doc_id) LEFT JOIN found USING (doc_id)"""
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+  coalesce(n_near, 0)::BIGINT AS n_near, sha256(coalesce(near_ids, '')) AS near_sha256
+FROM d LEFT JOIN words_hit USING (doc_id) LEFT JOIN found USING (doc_id) LEFT JOIN nears USING (doc_id)"""
 
 
 def deduplicated_lines(table: str = "documents") -> str:

@@ -82,6 +82,7 @@ def quality_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             x["line"].alias("line"), x["i"].alias("i"), (F.rlike(x["line"], F.lit(NOT_BLANK)) & ~line_ok(x)).alias("bad"))))
         lines = lambda bad: F.filter("every", lambda x: x["bad"] if bad else ~x["bad"])
         base = settle(base, removed_lines=F.transform(lines(True), lambda x: x["i"]),
+                      bad_chars=F.aggregate(lines(True), F.lit(0).cast("long"), lambda a, x: a + F.char_length(x["line"])),
                       clean_text=F.when(F.col("raw").isNotNull(), F.array_join(F.transform(
                           lines(False), lambda x: x["line"]), "\n"))).drop("every", "raw")
     base = settle(base, words=split_words(F.col("t")),
@@ -108,8 +109,8 @@ def quality_report(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         F.transform(s, lambda x, j: F.least(F.lit(WINDOW), F.coalesce(F.get(s, j + 1) - x, F.lit(WINDOW)))),
         F.lit(0).cast("long"), lambda a, x: a + x)
     line_chars = F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + F.char_length(x))
-    good_chars = F.aggregate(F.filter(with_lower(F.col("lines")), line_ok), F.lit(0).cast("long"),
-                             lambda a, x: a + F.char_length(x["line"]))
+    good_chars = line_chars - F.col("bad_chars") if cleaned else F.aggregate(
+        F.filter(with_lower(F.col("lines")), line_ok), F.lit(0).cast("long"), lambda a, x: a + F.char_length(x["line"]))
     out = settle(
         base,
         n_words=n.cast("long"),

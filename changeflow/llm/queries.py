@@ -42,7 +42,9 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_report(table(spark, sf_dir, "documents"))
+    report = quality_report(table(spark, sf_dir, "documents"), cleaned=True)
+    return report.select("*", F.size("removed_lines").cast("long").alias("n_removed_lines"),
+                         F.sha2("clean_text", 256).alias("clean_sha256")).drop("removed_lines", "clean_text")
 
 
 def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +60,7 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), proximity=True)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,7 @@ id is reachable.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -284,6 +285,7 @@ def one_per_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     stay = materialize(first.select(key(F.col("r.id"), F.col("r.row")).alias("_key")), "simhash-stay")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept")
     keyed = docs.select(key(F.col(f"`{id_col}`"), F.xxhash64(F.col(f"`{text_col}`").cast("string"))).alias("_key"), whole)
-    # Rows equal in id and text share a key; one of them stays.
-    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0)))
+    # Rows equal in id and text share a key; one of them stays, the same in every run.
+    rest = [f"kept.`{f.name}`" for f in docs.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.xxhash64(*rest)))
     return keyed.join(stay, "_key").withColumn("_nth", nth).where("_nth = 1").select("kept.*")

@@ -170,3 +170,20 @@ def conversation(rows):
         if edit != "D":
             out.append(f"{role if edit == 'K' else due}:{text}")
     return (gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost, audit, sha("\n".join(out)))
+
+
+def near_items(text, bench, window=10, slack=5):
+    """Ids of items without a phrase in the text, of a window of which four fifths of the distinct terms stand in one span."""
+    w = [lower(x) for x in TERM.findall(text or "")]
+    exact, near = set(), set()
+    for item_id, item in bench:
+        v = [lower(x) for x in TERM.findall(item or "")]
+        need = min(window, len(v))
+        for a in range(len(v) - need + 1 if v else 0):
+            part = v[a:a + need]
+            if any(w[i:i + need] == part for i in range(len(w) - need + 1)):
+                exact.add(str(item_id))
+            held = set(part)
+            if len(held) >= 5 and any(len(held & set(w[i:i + need + slack])) >= -(-4 * len(held) // 5) for i in range(len(w))):
+                near.add(str(item_id))
+    return {i for i in near - exact if i != "None"}

@@ -182,6 +182,12 @@ def test_chat_folds_events(spark):
                    (1, 6, "assistant", "good"), (2, 0, "", ""), (3, 1, "user", "same"), (3, 1, "user", "same")]
 
 
+def test_chat_ids_keep_their_type(spark):
+    turns = spark.createDataFrame([("a-1", 0, "user", "hi"), (None, 0, "user", "x")], "conv_id string, turn long, role string, text string")
+    out = chat.digest(chat.format_messages(chat.final_messages(chat.turn_events(turns)))).collect()
+    assert sorted((r.conv_id or "", r.n_turns) for r in out) == [("", 1), ("a-1", 1)]
+
+
 def test_chat_digests(spark):
     turns = spark.createDataFrame(
         [(7, 1, "assistant", "ok </s>"), (7, 0, "user", None), (7, 2, "assistant", "é"), (8, 0, "bot", "x")],
@@ -422,13 +428,48 @@ def test_proximity_matches_need_no_neighbour_and_no_whole_window(spark):
                          "one two three"])
     bench = spark.createDataFrame([(1, item), (2, "one two missing four five six seven")], "item_id long, text string")
     kinds = {(x.doc.id, x.item_id, x.kind) for x in benchmark_matches(tokenized(docs), bench).collect()}
-    assert {(2, 1, "near"), (3, 2, "near")} == kinds
+    assert {(0, 1, "near"), (1, 1, "near"), (2, 1, "near"), (3, 2, "near")} == kinds
     got = {x.doc_id: x for x in contamination(docs, bench, proximity=True).collect()}
     assert {i: (x.n_near, x.near_sha256) for i, x in got.items()} == {
-        i: (int(i in (2, 3)), brute.sha({2: "1", 3: "2"}.get(i, ""))) for i in range(6)}
+        i: (int(i < 4), brute.sha({0: "1", 1: "1", 2: "1", 3: "2"}.get(i, ""))) for i in range(6)}
     assert not any(x.contaminated or x.n_items for x in got.values())
 
 
+@pytest.mark.parametrize("bits", [(64, 64), (1 << 16, 1 << 20)])
+def test_proximity_matches_lose_none(spark, monkeypatch, bits):
+    """Passages with words changed, moved, dropped and put in, against every span of every document."""
+    from changeflow.llm import decontaminate
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", bits)
+    r, words = random.Random(21), vocabulary(300, 21)
+    bench = [(i, prose(r, words, r.choice([3, 5, 7, 10, 25]))) for i in range(40)] + [(7, prose(r, words[:4], 12)), (None, prose(r, words, 12))]
+    texts = [None, "", prose(r, words, 400)]
+    for _, item in bench:
+        for changes in range(4):
+            w = item.split()
+            for _ in range(changes):
+                at = r.randrange(len(w))
+                kind = r.choice(["change", "drop", "put", "swap"])
+                if kind == "change":
+                    w[at] = r.choice(words)
+                elif kind == "drop" and len(w) > 1:
+                    w.pop(at)
+                elif kind == "put":
+                    w.insert(at, r.choice(words))
+                else:
+                    b = min(len(w) - 1, at + 2)
+                    w[at], w[b] = w[b], w[at]
+            texts.append(f"{prose(r, words, r.randint(0, 30))} {' '.join(w)} {prose(r, words, r.randint(0, 30))}")
+    rows = frame(spark, texts)
+    got = {x.doc_id: x for x in contamination(rows, spark.createDataFrame(bench, "item_id long, text string"), proximity=True).collect()}
+    found = 0
+    for i, t in enumerate(texts):
+        near = brute.near_items(t, bench)
+        assert (got[i].n_near, got[i].near_sha256) == (len(near), brute.sha(",".join(sorted(near)))), (i, t)
+        assert got[i].n_hit == brute.decontaminate(t, bench)[1]
+        found += len(near)
+    assert found > 30
+
+
 # ---------------------------------------------------------------- 9
 def test_line_dedup_equals_brute_force(spark):
     texts = corpus(8) + corpus(9)[5:] + ["same " * 30 + "\n\nx\n" + "same " * 30, "s1 s2\ns3\n" * 12]
