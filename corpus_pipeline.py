@@ -4,14 +4,14 @@ Each stage reads all that the one before kept, and all but the last return the c
 of ``documents``. Stages hand over Parquet in the cluster's shared folder.
 
 Defined cases: extra columns are carried through; an empty table stays empty; rows with a null
-text fail the quality rules.
+text fail the quality rules. A stage that takes lines out of a text sets ``n_chars`` to what is left.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.llm.common import NOT_BLANK, materialize, table
@@ -28,23 +28,26 @@ def _with_row(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id"), F.col("text"), F.col("source"), row)
 
 
+def _with_text(out: DataFrame, docs: DataFrame, text: str, changed: Column) -> DataFrame:
+    """The carried rows with the text of column ``text`` in place of their own; ``n_chars``, where there is one, follows it."""
+    new = F.col("_row").withField("text", F.col(text))
+    if "n_chars" in docs.columns:
+        length = F.char_length(text).cast(docs.schema["n_chars"].dataType)
+        new = new.withField("n_chars", F.when(changed, length).otherwise(F.col("_row.n_chars")))
+    return out.select(new.alias("_row")).select("_row.*")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, unchanged."""
-    return quality_report(_with_row(docs), keep=("_row",)).where("kept").select("_row.*")
+    """Documents that the quality rules keep, without their failing lines."""
+    out = quality_report(_with_row(docs), keep=("_row",), cleaned=True).where("kept")
+    return _with_text(out, docs, "clean_text", F.size("removed_lines") > 0)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without their later repeated runs of lines; a document that loses its last word goes.
-
-    ``n_chars``, where there is one, follows the text.
-    """
+    """Texts without their later repeated runs of lines; a document that loses its last word goes."""
     out = dedup_lines(_with_row(docs), keep=("_row",))
     out = out.where((F.col("n_removed") == 0) | F.rlike("kept_text", F.lit(NOT_BLANK)))
-    new = F.col("_row").withField("text", F.col("kept_text"))
-    if "n_chars" in docs.columns:
-        length = F.char_length("kept_text").cast(docs.schema["n_chars"].dataType)
-        new = new.withField("n_chars", F.when(F.col("n_removed") > 0, length).otherwise(F.col("_row.n_chars")))
-    return out.select(new.alias("_row")).select("_row.*")
+    return _with_text(out, docs, "kept_text", F.col("n_removed") > 0)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
