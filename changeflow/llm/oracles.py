@@ -152,25 +152,35 @@ FROM every LEFT JOIN gone USING (doc_id)"""
 
 
 def license_scan(table: str = "documents") -> str:
+    """The operator's definition: comment leaders off, wordings made alike, rules as ordered identifiers whose places are
+    found step by step, each at most the gap behind the one before."""
     m = licenses
-    known = ", ".join(f"('{k}', '{p}')" for k, p in m.PIECES)
+    known = ", ".join(f"('{k}', '{p}')" for k, p in sorted({(k, m.plain(p)) for k, p in m.PIECES}))
     steps = ", ".join(f"('{r}', '{lic}', {k}, '{sid}', {len(ids)})"
                       for r, lic, ids in m.PIECE_RULES for k, sid in enumerate(ids))
+    plus = f"regexp_replace(lower(x), {_re(m.PLUS)}, '\\1 or later ', 'g')"
+    alike = f"regexp_replace(trim(regexp_replace({plus}, '[^a-z0-9]+', ' ', 'g')), {_re(m.GRANT)}, '\\1 under ')"
+    owner = f"regexp_replace({alike}, {_re(m.OWNER)}, 'neither the name of the copyright holder nor the names of \\1 contributors may')"
+    text = f"regexp_replace(coalesce(text, ''), {_re(m.LEADERS)}, '', 'g')"
     cut = lambda name, pattern: (
-        f"SELECT doc_id, '{name}' AS cut, list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), "
-        f"{_re(pattern)}), lambda x: trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))), lambda x: x <> '') AS s FROM {table}")
+        f"SELECT doc_id, '{name}' AS cut, list_filter(list_transform(regexp_split_to_array({text}, {_re(pattern)}), "
+        f"lambda x: {owner}), lambda x: x <> '') AS s FROM {table}")
     return rf"""
-WITH known(sid, sentence) AS (VALUES {known}),
+WITH RECURSIVE known(sid, sentence) AS (VALUES {known}),
 steps(rule, license, step, sid, n) AS (VALUES {steps}),
 cuts AS ({cut("sentence", m.SENTENCE_END)} UNION ALL {cut("line", m.LINE_END)}),
 numbered AS (SELECT doc_id, cut, i AS pos, s[i] AS sentence FROM (SELECT *, unnest(range(1, len(s) + 1)) AS i FROM cuts)),
-seen AS (SELECT doc_id, cut, pos, sid, row_number() OVER w AS nth, pos - lag(pos) OVER w AS gap
-  FROM numbered JOIN known USING (sentence) WINDOW w AS (PARTITION BY doc_id, cut ORDER BY pos)),
-found AS (SELECT doc_id, cut, rule, license, n, min(pos) AS first, max(pos) AS last FROM seen JOIN steps USING (sid)
-  GROUP BY doc_id, cut, rule, license, n, nth - step
-  HAVING count(*) = n AND coalesce(max(gap) FILTER (step > 0), 0) <= {m.MAX_GAP + 1}),
-best AS (SELECT * FROM found f WHERE NOT EXISTS (SELECT 1 FROM found g WHERE g.doc_id = f.doc_id AND g.cut = f.cut
-  AND g.first <= f.first AND g.last >= f.last AND g.last - g.first > f.last - f.first)),
+seen AS (SELECT DISTINCT doc_id, cut, pos, sid FROM numbered JOIN known USING (sentence)),
+begun AS (
+  SELECT doc_id, cut, rule, license, n, step, pos AS first, pos FROM seen JOIN steps USING (sid) WHERE step = 0
+  UNION
+  SELECT b.doc_id, b.cut, b.rule, b.license, b.n, t.step, b.first, s.pos FROM begun b
+  JOIN steps t ON t.rule = b.rule AND t.step = b.step + 1
+  JOIN seen s ON s.doc_id = b.doc_id AND s.cut = b.cut AND s.sid = t.sid AND s.pos > b.pos AND s.pos - b.pos <= {m.MAX_GAP + 1}),
+found AS (SELECT doc_id, cut, rule, license, n, first, min(pos) AS last FROM begun WHERE step = n - 1
+  GROUP BY doc_id, cut, rule, license, n, first),
+best AS (SELECT * FROM found QUALIFY coalesce(max(last) OVER (PARTITION BY doc_id, cut ORDER BY first, last DESC, n DESC, rule
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) < last, true)),
 per AS (SELECT doc_id, list_sort(list(DISTINCT rule)) AS rules, list_sort(list(DISTINCT license)) AS licenses
   FROM best GROUP BY doc_id)
 SELECT doc_id, coalesce(len(rules), 0)::BIGINT AS n_rules, coalesce(array_to_string(rules, ','), '') AS rules,

@@ -159,6 +159,29 @@ def test_license_rules_are_subsequences_and_names_differ(spark):
     assert got == {0: "BSD-3-Clause", 1: "BSD-3-Clause", 2: "BSD-3-Clause", 3: "BSD-3-Clause", 4: "BSD-2-Clause", 5: "BSD-2-Clause"}
 
 
+def test_license_sql_is_the_operators_definition(spark):
+    """Commented headers, grant, owner and version wordings, sentences between a rule's own, rules inside rules."""
+    import duckdb
+    import pandas as pd
+
+    from changeflow.llm import oracles
+    s = licenses.SENTENCES
+    apache = [s[f"apache.{k}"] for k in ("header", "comply", "copy", "unless", "see")]
+    bsd = [s["bsd.redistribution"], s["bsd.source"], s["bsd.binary"], s["bsd.endorse"]]
+    texts = ["\n".join(f"// {x}" for x in apache), "/*\n * " + "\n * ".join(apache) + "\n */\nint main() {}",
+             "This program is licensed under the GNU General Public License, version 2.", "All rights reserved.",
+             "Released under the terms of the MIT license.", "Distributed under GPLv2+.", " ".join(bsd), " ".join(bsd[:3]),
+             " ".join([*bsd[:3], bsd[3].replace("the copyright holder", "Example & Sons, Inc.")]),
+             " ".join([bsd[0], "All rights reserved.", *bsd[1:]]), " ".join([bsd[0], bsd[1], "x.", bsd[1], "x. y.", bsd[2]]),
+             " ".join([bsd[0], "a. b. c. d. e. f. g.", *bsd[1:]]), " ".join([*bsd, *bsd[:3], s["mit.short"], *apache]), None, "", "plain text",
+             "# " + s["spdx.gpl3"], *[w for ws in licenses.license_families.families()[0].values() for w in ws]]
+    got = {r.doc_id: (r.n_rules, r.rules, r.licenses) for r in licenses.license_scan(frame(spark, texts)).collect()}
+    con = duckdb.connect()
+    con.register("texts", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}))
+    want = {d: (n, r, lic) for d, n, r, lic in con.sql(oracles.license_scan("texts")).fetchall()}
+    assert got == want and sum(n > 0 for n, _, _ in want.values()) > 20
+
+
 # ---------------------------------------------------------------- 3
 @pytest.mark.parametrize("text", ["", " ", "\\", "a\\ ", chat.EXAMPLE, "\\</s>", "\\\\[INST]", "<s> </s>", " [/INST]",
                                   "<<SYS>> x <</SYS>>", "[ROLE a] b [/ROLE]", "é\n\t[/ROLE]", "<<s>", "</s></s>\\"])
