@@ -78,9 +78,12 @@ class AnomalySink(BatchSink):
         return spark.read.parquet(f"{self.path}/flagged")
 
     def __call__(self, batch: DataFrame, batch_id: int, stream: str = MANUAL) -> None:
-        store = self.moments(batch.sparkSession)
-        store.put(daily_moments(batch), batch_id, stream)
-        newest = F.to_date(not_cancelled(batch).select(F.max("order_date")).scalar())
-        history = store.read().where(F.col(DAY) >= F.date_sub(newest, self.stats_days))
-        flags = flag_anomalies(not_cancelled(batch), merged_stats(history), self.k)
-        flags.write.mode("overwrite").parquet(f"{self.path}/flagged/stream={stream}/batch_id={int(batch_id)}")
+        store, orders = self.moments(batch.sparkSession), not_cancelled(batch).persist()       # read three times
+        try:
+            store.put(daily_moments(orders), batch_id, stream)
+            newest = F.to_date(orders.select(F.max("order_date")).scalar())
+            history = store.read().where(F.col(DAY) >= F.date_sub(newest, self.stats_days))
+            flags = flag_anomalies(orders, merged_stats(history), self.k)
+            flags.write.mode("overwrite").parquet(f"{self.path}/flagged/stream={stream}/batch_id={int(batch_id)}")
+        finally:
+            orders.unpersist()

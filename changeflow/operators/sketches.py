@@ -34,21 +34,20 @@ def daily_sketches(orders: DataFrame, lg_k: int = LG_K) -> DataFrame:
 def write_sketches(sketches: DataFrame, path: str) -> None:
     """Store sketches, replacing only the days that are there.
 
-    A day is one small row, so rows are kept by month: the touched months' other days are read, and the months
-    written anew.
+    A day is one small row, so rows are kept by year: the touched years' other days are read, and these years
+    written anew, some megabytes each.
     """
-    spark, month = sketches.sparkSession, F.trunc(DAY, "month").alias("month")
-    new = scratch_path(spark, "sketches-new")
-    sketches.select("*", month).write.partitionBy("month").parquet(new)
-    rows = spark.read.parquet(new)
+    spark = sketches.sparkSession
+    rows = sketches.withColumn("year", F.year(DAY))
     if folder_names(spark, path):
-        stored = spark.read.schema(rows.schema).parquet(path)
-        months = [r[0] for r in rows.select("month").distinct().collect()]
-        kept = stored.where(F.col("month").isin(months)).join(rows.select(DAY), DAY, "left_anti").select(*rows.columns)
-        merged = scratch_path(spark, "sketches-merged")                # a path can't be read and replaced at once
-        rows.unionByName(kept).write.partitionBy("month").parquet(merged)
-        rows = spark.read.schema(rows.schema).parquet(merged)
-    (rows.repartition("month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month")
+        stored, new, merged = spark.read.parquet(path), scratch_path(spark, "sketches-new"), scratch_path(spark, "sketches-merged")
+        rows.write.parquet(new)
+        rows = spark.read.parquet(new)
+        years = [r[0] for r in rows.select("year").distinct().collect()]
+        kept = stored.where(F.col("year").isin(years)).join(rows.select(DAY), DAY, "left_anti").select(*rows.columns)
+        rows.unionByName(kept).write.parquet(merged)                   # a path can't be read and replaced at once
+        rows = spark.read.parquet(merged)
+    (rows.repartition("year").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year")
      .parquet(path))
 
 
@@ -62,8 +61,8 @@ def customers_by_range(sketches: DataFrame, ranges: list[tuple], lg_k: int = LG_
     held = F.filter(spans, lambda r: (r["first_day"] <= day) & (day <= r["last_day"]))
     low, high = min(str(a) for a, _ in ranges), max(str(b) for _, b in ranges)
     inside = sketches.where((day >= F.lit(low).cast("date")) & (day <= F.lit(high).cast("date")))
-    if "month" in sketches.columns:
-        inside = inside.where((F.col("month") >= F.trunc(F.lit(low).cast("date"), "month")) & (F.col("month") <= F.lit(high).cast("date")))
+    if "year" in sketches.columns:
+        inside = inside.where(F.col("year").between(F.year(F.lit(low).cast("date")), F.year(F.lit(high).cast("date"))))
     rows = inside.select(F.inline(held), "total_orders", "total_revenue", "customers")
     error = relative_error(lg_k)
     merged = rows.groupBy("first_day", "last_day").agg(

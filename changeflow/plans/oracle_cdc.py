@@ -272,7 +272,7 @@ FROM loaded WHERE reject_reason IS NULL"""
 
 def warehouse_compacted() -> str:
     return _w(CDC_BASE, FLAT, LOADED) + """
-SELECT event_id, order_id, quantity, total_amount, status, event_type, cast(event_id % 5 AS bigint) AS batch_id,
+SELECT event_id, order_id, quantity, total_amount, status, event_type, cast(event_id % 3 AS bigint) AS batch_id,
        cast(processed_at AS date) AS processed_date
 FROM loaded WHERE reject_reason IS NULL"""
 

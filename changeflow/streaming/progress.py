@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
-from pyspark.sql.window import Window
 
 _REPORT = "query_id string, run_id string, batch_id long, timestamp string, report string"
 # The name under which a stream's own events are observed.
@@ -146,19 +145,22 @@ def stream_metrics(reports: DataFrame, *, as_of: Column | None = None, messages:
       (:func:`observe_events`) to ``as_of``, the wall clock unless given.
     """
     p = _parsed(reports.dropDuplicates(["query_id", "run_id", "batch_id", "timestamp"]))
-    newest_first = Window.partitionBy("query_id").orderBy(F.col("batch_id").desc(), F.col("timestamp").desc())
-    ranked = p.withColumn("_rank", F.row_number().over(newest_first))
-    one = ranked.select(
-        "query_id", "_rank", F.col("p.numInputRows").alias("rows"), F.col("p.durationMs")["triggerExecution"].alias("ms"),
+    place = F.struct("batch_id", "timestamp")
+    # A row per query: a history of any length is combined map-side, never sorted in one place.
+    newest = p.groupBy(F.col("query_id").alias("_query")).agg(F.max(place).alias("_newest"))
+    placed = p.join(newest, F.col("query_id").eqNullSafe(F.col("_query")))
+    one = placed.select(
+        (place == F.col("_newest")).alias("last"), (F.col("batch_id") > F.col("_newest.batch_id") - int(last_batches)).alias("recent"),
+        F.col("p.numInputRows").alias("rows"), F.col("p.durationMs")["triggerExecution"].alias("ms"),
         F.expr(f"try_variant_get(p.observedMetrics['{EVENTS}']['newest_micros'], '$', 'bigint')").alias("micros"),
         F.aggregate(F.transform("p.sources", _offset_lag), F.lit(None).cast("bigint"),
                     lambda a, x: F.when(x.isNull(), a).otherwise(F.coalesce(a, F.lit(0)) + x)).alias("lag"))
     now = F.current_timestamp() if as_of is None else as_of.cast("timestamp")
-    behind = F.sum(F.when(F.col("_rank") == 1, F.col("lag")))
+    behind = F.sum(F.when(F.col("last"), F.col("lag")))
     if messages is not None:
         held = messages.agg(F.count(F.lit(1)).alias("n")).scalar()
         behind = F.coalesce(behind, F.greatest(held - F.coalesce(F.sum("rows"), F.lit(0)), F.lit(0)))
-    row = one.agg((F.max(F.when(F.col("_rank") <= int(last_batches), F.col("ms"))) / 1000.0).alias("batch_duration_seconds"),
+    row = one.agg((F.max(F.when(F.col("recent"), F.col("ms"))) / 1000.0).alias("batch_duration_seconds"),
                   behind.cast("double").alias("consumer_lag_messages"),
                   F.max("micros").alias("_micros"))
     wide = row.select("batch_duration_seconds", "consumer_lag_messages",

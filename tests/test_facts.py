@@ -32,7 +32,6 @@ def test_a_thousand_batches_make_as_many_partitions_as_days(spark, scratch):
     spark.sql("CREATE TABLE facts_test.t (id BIGINT, v STRING, at TIMESTAMP_NTZ, stream STRING, batch_id BIGINT, day DATE) "
               f"USING parquet PARTITIONED BY (day) LOCATION '{path}/days'")
     t = DayTable(spark, path, COLUMNS, "day", "facts_test.t")
-    assert ids(t.read()) == list(range(4000))
     assert t.compact() == {"q": 998}
     assert len(os.listdir(f"{path}/inbox/stream=q")) == 1
     assert spark.sql("SHOW PARTITIONS facts_test.t").count() == 4 and spark.table("facts_test.t").count() == 3996

@@ -110,6 +110,30 @@ def test_bounded_consumer_restarted_until_empty_hands_every_row_over_once(spark,
     assert sorted(seen) == list(range(120)) and runs >= 4
 
 
+def test_bounded_consumer_stops_at_the_message(spark, scratch):
+    """Runs of exactly 25 successes hand every row over once and in order; what fails does not count."""
+    import pytest
+    src, ledger = os.path.join(scratch, "in"), os.path.join(scratch, "ledger")
+    _numbered_files(spark, src, 8, 10)
+    seen, runs = [], []
+
+    def handler(df, _):
+        rows = [r.id for r in df.collect()]
+        seen.extend(rows)
+        return sum(x % 7 != 0 for x in rows)
+    while True:
+        consumer = BoundedConsumer(handler, 25, order_by=["id"], ledger=ledger)
+        stream = file_stream(spark, src, spark.range(1).schema, max_files_per_trigger=3)
+        consume_bounded(stream, consumer, checkpoint=os.path.join(scratch, "ck"), timeout_s=300)
+        runs.append(consumer.processed)
+        if not consumer.processed:
+            break
+    assert seen == list(range(80))
+    assert runs == [25, 25, 18, 0]                                   # 68 of 80 succeed
+    with pytest.raises(ValueError):
+        BoundedConsumer(handler, 1, order_by=["id"])
+
+
 def test_bounded_consumer_raises_a_failing_handler_and_retries_its_batch(spark, scratch):
     import pytest
     from pyspark.errors import StreamingQueryException

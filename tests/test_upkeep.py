@@ -121,7 +121,7 @@ def test_customers_of_any_range_within_the_stated_error(spark, scratch):
     again = spark.read.parquet(path)
     assert again.count() == 40 and again.agg(F.sum("total_orders")).first()[0] == 390_000 + 10
     q = SK.customers_by_range(spark.read.parquet(path), ranges[:2])
-    assert "PartitionFilters: [isnotnull(month" in q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in q._jdf.queryExecution().executedPlan().toString()
     assert SK.customers_by_range(stored.limit(0), ranges).count() == 0
 
 
