@@ -153,19 +153,18 @@ def _pair(a: Column, b: Column) -> Column:
     return F.xxhash64(F.least(a, b), F.greatest(a, b))
 
 
-def _near_places(words: Column, windows: DataFrame, reach: int) -> tuple[Column, Callable[[Column], Column]]:
-    """The positions of rare terms, and the filter of those that another rare term of the same window follows within
-    ``reach`` words, both by bit fields."""
+def _near_places(words: Column, windows: DataFrame, reach: int) -> tuple[Callable, Callable]:
+    """Tests of a position in the document's row, by bit fields: whether its word is a rare term and, among the ``places`` of
+    these, whether another rare term of the same window follows within ``reach`` words."""
     terms = windows.select(F.explode("rare").alias("term")).distinct()
     pairs = windows.select(F.explode(F.flatten(F.transform("rare", lambda a: F.transform(
         F.filter("rare", lambda b: a < b), lambda b: _pair(a, b))))).alias("h")).distinct()
     rare, beside = _bit_field(terms.select(F.xxhash64("term").alias("h")), _bits(terms)), _bit_field(pairs, _bits(pairs))
-    places = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: rare(F.xxhash64(F.get(words, i))))
 
     def follows(i: Column, k: Column) -> Column:
         return F.exists(F.slice("places", k + 2, F.lit(reach)),
                         lambda j: (j - i <= reach) & beside(_pair(F.get(words, i), F.get(words, j))))
-    return places, lambda places: F.filter(places, follows)
+    return lambda i: rare(F.xxhash64(F.get(words, i))), follows
 
 
 def benchmark_matches(tokens: DataFrame, benchmark: DataFrame, *, item_col: str = "item_id", text_col: str = "text",
@@ -183,15 +182,20 @@ def benchmark_matches(tokens: DataFrame, benchmark: DataFrame, *, item_col: str
     counts = materialize(term_counts(tokens, vocabulary), "bench-counts")
     rare = materialize(pivots(items, counts, window), "bench-pivots")
     reach = window - 1 + near_slack
-    none = F.array().cast("array<int>")
-    every = F.sequence(F.lit(0), F.size("words") - 1)
-    posted = settle(tokens, at=F.when(F.size("words") > 0, F.filter(every, _pivot_test(F.col("words"), rare))).otherwise(none))
-    windows = None
+    # One cheap test of every word leaves the places that the others look at.
+    asked, windows = rare.select("term"), None
     if proximity:
         windows = materialize(near_windows(items, counts, window, near_share, near_slack), "bench-windows")
-        places, followed = _near_places(F.col("words"), windows, reach)
-        posted = settle(posted, places=F.when(F.size("words") > 0, places).otherwise(none))
-        posted = settle(posted, near_at=followed(F.col("places"))).drop("places")
+        asked = asked.unionByName(windows.select(F.explode("rare").alias("term")))
+    asked = asked.distinct()
+    may = _bit_field(asked.select(F.xxhash64("term").alias("h")), _bits(asked))
+    every = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: may(F.xxhash64(F.get("words", i))))
+    posted = settle(tokens, some=F.when(F.size("words") > 0, every).otherwise(F.array().cast("array<int>")))
+    posted = settle(posted, at=F.filter("some", _pivot_test(F.col("words"), rare)))
+    if proximity:
+        is_rare, followed = _near_places(F.col("words"), windows, reach)
+        posted = settle(posted, places=F.filter("some", is_rare))
+        posted = settle(posted, near_at=F.filter("places", followed))
 
     def posting(near: Column) -> Callable[[Column], Column]:
         return lambda x: F.struct(
