@@ -189,19 +189,48 @@ FROM {table} LEFT JOIN per USING (doc_id)"""
 
 
 def filtered_urls(table: str = "pages") -> str:
-    """Without links (the given pages hold none), the rules and the default decide."""
+    """Links read from the pages, resolved and followed both ways from every node; then rule, alias and default."""
+    u = url_filter
     low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    rules = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in url_filter.RULES)
+    rules = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in u.RULES)
+    rest = "CASE WHEN contains({0}, '://') THEN substr({0}, instr({0}, '://') + 3) ELSE '' END"
+    host = low.format("regexp_extract({0}, '^[^/?#]*')")
+    node = f"CASE WHEN {host} <> '' THEN {host} || regexp_extract({{0}}, '^[^/?#]*([^#]*)', 1) END"
+    scheme = "'(?i)^[a-z][a-z0-9+.-]*:"
+    fits = ("arg_max({0}, len(h || p)) FROM {1}, rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)")
     return rf"""
-WITH rules(verdict, h, p) AS (VALUES {rules}),
-rests AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM {table}),
-parts AS (SELECT page_id, {low.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
-    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM (SELECT page_id, coalesce(rest, '') AS rest FROM rests)),
-fits AS (SELECT page_id, arg_max(h || p, len(h || p)) AS rule, arg_max(verdict, len(h || p)) AS verdict
-  FROM parts, rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
-SELECT page_id, host, path, rule, coalesce(verdict, '{url_filter.DEFAULT}') AS verdict,
-  CASE WHEN rule IS NULL THEN 'default' ELSE 'rule' END AS by
-FROM parts LEFT JOIN fits USING (page_id)"""
+WITH RECURSIVE rules(verdict, h, p) AS (VALUES {rules}),
+tags AS (SELECT url, unnest(regexp_extract_all(html, {_re(u._LINK_TAG)})) AS tag FROM {table}),
+links AS (SELECT url, regexp_replace(CASE WHEN regexp_matches(tag, {_re(u._CANONICAL)}) THEN regexp_extract(tag, {_re(u._HREF)}, 1)
+    WHEN regexp_matches(tag, {_re(u._REFRESH)}) THEN regexp_extract(tag, {_re(u._REFRESH_URL)}, 1) ELSE '' END, '(?i)&amp;', '&', 'g') AS t FROM tags),
+based AS (SELECT *, regexp_extract(url, '^(.*?)://', 1) AS scheme, {rest.format("url")} AS own FROM links WHERE t <> ''),
+placed AS (SELECT *, scheme || '://' || regexp_extract(own, '^[^/?#]*') AS site, regexp_extract(own, '^[^/?#]*([^?#]*)', 1) AS path FROM based),
+joined AS (SELECT own, CASE WHEN regexp_matches(t, {scheme}//') THEN t WHEN starts_with(t, '?') THEN site || path || t
+    WHEN starts_with(t, '//') THEN scheme || ':' || t WHEN starts_with(t, '/') THEN site || t
+    WHEN regexp_matches(t, {scheme}') OR starts_with(t, '#') THEN NULL
+    ELSE site || coalesce(nullif(regexp_extract(path, '^(.*/)[^/]*$', 1), ''), '/') || t END AS full_url FROM placed),
+cut AS (SELECT own, full_url, regexp_extract(full_url, '^([^:/?#]*://[^/?#]*)([^?#]*)(.*)$', 1) AS head,
+    regexp_extract(full_url, '^([^:/?#]*://[^/?#]*)([^?#]*)(.*)$', 2) AS path,
+    regexp_extract(full_url, '^([^:/?#]*://[^/?#]*)([^?#]*)(.*)$', 3) AS tail FROM joined WHERE full_url IS NOT NULL),
+walked AS (SELECT *, string_split(path, '/') AS segs, list_reduce(list_transform(string_split(path, '/')[2:], lambda x: [x]),
+    lambda kept, x: CASE x[1] WHEN '..' THEN kept[:greatest(len(kept) - 1, 0)] WHEN '.' THEN kept ELSE list_concat(kept, x) END,
+    []::VARCHAR[]) AS kept FROM cut),
+goals AS (SELECT own, CASE WHEN regexp_matches(path, '/\.\.?(/|$)') THEN head || '/' || array_to_string(kept, '/') ||
+    CASE WHEN segs[-1] IN ('.', '..') AND len(kept) > 0 THEN '/' ELSE '' END || tail ELSE full_url END AS goal FROM walked),
+sides AS (SELECT {node.format("own")} AS u, {node.format("(" + rest.format("goal") + ")")} AS v FROM goals),
+edges AS (SELECT u, v FROM sides WHERE u <> v UNION SELECT v, u FROM sides WHERE u <> v),
+reach AS (SELECT DISTINCT u AS a, u AS b FROM edges UNION SELECT a, v FROM reach JOIN edges ON b = u),
+named AS (SELECT DISTINCT b AS node, {host.format("b")} AS host, regexp_extract(b, '^[^/?#]*([^?#]*)', 1) AS path FROM reach),
+owned AS (SELECT node, (SELECT {fits.format("verdict", "(SELECT n.host, n.path) x")}) AS own FROM named n),
+aliases AS (SELECT a AS node, CASE WHEN bool_or(own = 'allow') THEN 'allow' WHEN bool_or(own = 'block') THEN 'block' END AS alias_verdict
+  FROM reach JOIN owned ON owned.node = b GROUP BY a),
+parts AS (SELECT page_id, {host.format("rest")} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, {node.format("rest")} AS node
+  FROM (SELECT page_id, coalesce({rest.format("url")}, '') AS rest FROM {table})),
+ruled AS (SELECT *, (SELECT {fits.format("h || p", "(SELECT q.host, q.path) x")}) AS rule,
+    (SELECT {fits.format("verdict", "(SELECT q.host, q.path) x")}) AS own FROM parts q)
+SELECT page_id, host, path, rule, coalesce(own, alias_verdict, '{u.DEFAULT}') AS verdict,
+  CASE WHEN rule IS NOT NULL THEN 'rule' WHEN alias_verdict IS NOT NULL THEN 'alias' ELSE 'default' END AS by
+FROM ruled LEFT JOIN aliases USING (node)"""
 
 
 def filled_middle(table: str = "documents", seed: int = 7, rate: int = 100, spm: int = 50) -> str:

@@ -534,6 +534,28 @@ def test_relative_links_carry_decisions(spark):
     assert got == dict.fromkeys(range(1, 6), "block")
 
 
+def test_url_sql_follows_links_as_the_operator_does(spark):
+    import duckdb
+    import pandas as pd
+
+    from changeflow.llm import oracles
+    r = random.Random(17)
+    hosts = ["a.org", "B.org", "x.net", "en.example.net", "example.com", "c.io", "d.io", "e.io", "f.io"]
+    paths = ["", "/", "/x/", "/x/y.html", "/de/z", "/fr/", "/en/k", "/x/?q=1", "/x/y.html?b=2#f"]
+    targets = ["../z", "./y.html", "?b=2", "/de/z", "//d.io/x/", "http://x.net/", "https://f.io/x/y.html#g", "mailto:a@b", "#top", "..",
+               "/x/?q=1&amp;r=2", "HTTP://C.io/fr/", "y.html", "http://en.example.net/en/k"]
+    forms = ['<link rel="canonical" href="{}">', "<LINK href='{}' rel=canonical>", '<meta http-equiv="Refresh" content="0; url={}">',
+             '<link rel="stylesheet" href="{}">', "{}"]
+    rows = [(k, r.choice(["http://", "https://", "HTTP://"]) + r.choice(hosts) + r.choice(paths),
+             " ".join(r.choice(forms).format(r.choice(targets)) for _ in range(r.choice([0, 0, 1, 2])))) for k in range(120)]
+    rows += [(500, None, None), (501, "no scheme", "<link rel=canonical href=/a>"), (502, "http:///p", ""), (503, "http://c.io", None)]
+    got = sorted(map(tuple, filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()))
+    con = duckdb.connect()
+    con.register("pages", pd.DataFrame(rows, columns=["page_id", "url", "html"]))
+    want = con.sql(f'SELECT page_id, host, path, rule, verdict, "by" FROM ({oracles.filtered_urls()})').fetchall()
+    assert got == sorted(want) and sum(x[-1] == "alias" for x in got) > 10
+
+
 def test_url_rules_and_aliases(spark):
     pages = [
         (0, "http://a.net/x", None), (1, "https://WWW.Example.NET/en/1?q#f", ""), (2, "http://www.example.net/En/1", "<p>"),
