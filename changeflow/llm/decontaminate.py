@@ -10,7 +10,8 @@
    of at least a window is a hit.
 4. A window that most of whose distinct terms stand within a few words more than a window, in any order, is a proximity
    match. If ``k`` terms may be missing, any match holds at least two of the window's ``k + 2`` rarest: the postings of
-   these that have another one of the same window beside them, within a span, are all that is looked at, and no match is lost.
+   these that another one of the same window follows within a span are all that is looked at, and no match is lost.
+   Here terms are told apart by 64-bit hashes.
 
 Scale: word counts are combined in the map tasks. Pivots are rare terms, so postings
 are a small part of the corpus, and no window is paired with all documents. Postings
@@ -41,6 +42,8 @@ FILTER_BITS = (1 << 16, 1 << 20)      # least and most, powers of two
 NEAR_SHARE = 0.8
 NEAR_SLACK = 5
 NEAR_TERMS = 5
+# So many of a window's rarest terms stand in any match; with more, fewer places are looked at, by more terms.
+NEAR_EVIDENCE = 2
 
 
 def terms(text: Column) -> Column:
@@ -103,7 +106,7 @@ def _bit_field(hashes: DataFrame, bits: int) -> Callable[[Column], Column]:
     return test
 
 
-def _pivot_test(words: Column, rare: DataFrame) -> Callable[[Column], Column]:
+def _pivot_test(words: Column, hashes: Column, rare: DataFrame) -> Callable[[Column], Column]:
     """Whether the word at a position may be a pivot with a neighbour of its own, decided in the word's row.
 
     Two bit fields of bounded size, of pivots and of pivots with a neighbour; what they let through in
@@ -121,7 +124,7 @@ def _pivot_test(words: Column, rare: DataFrame) -> Callable[[Column], Column]:
     def test(i: Column) -> Column:
         word = F.get(words, i)
         beside = near(F.xxhash64(F.get(words, i - 1), word)) | near(F.xxhash64(word, F.get(words, i + 1)))
-        return term(F.xxhash64(word)) & (F.lit(True) if alone else beside)
+        return term(F.get(hashes, i)) & (F.lit(True) if alone else beside)
     return test
 
 
@@ -132,7 +135,7 @@ def _bits(rows: DataFrame) -> int:
 def near_windows(items: DataFrame, counts: DataFrame, window: int = WINDOW, near_share: float = NEAR_SHARE,
                  near_slack: int = NEAR_SLACK) -> DataFrame:
     """(item_id, held, required, span, rare): the distinct terms of each window that can have a proximity match, how many of them
-    must stand within ``span`` words, and those of its rarest terms that occur in the corpus at all."""
+    must stand within ``span`` words, and those of its rarest terms that occur in the corpus at all; terms as hashes."""
     need = F.least(F.lit(window), F.size("words"))
     starts = F.sequence(F.lit(1), F.size("words") - need + 1)
     each = items.select("item_id", need.alias("need"), F.explode(F.transform(
@@ -142,29 +145,30 @@ def near_windows(items: DataFrame, counts: DataFrame, window: int = WINDOW, near
     counted = each.select("*", F.explode("held").alias("term")).join(counts, "term", "left")
     ranked = counted.groupBy("item_id", "held", "required", "span").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term"))).alias("by"))
-    rarest = F.slice("by", F.lit(1), F.size("held") - F.col("required") + 2)
+    rarest = F.slice("by", F.lit(1), F.size("held") - F.col("required") + NEAR_EVIDENCE)
     absent = F.size(F.filter("by", lambda x: x["n"] == 0))
     return ranked.where(absent <= F.size("held") - F.col("required")).select(
-        "item_id", "held", "required", "span",
-        F.transform(F.filter(rarest, lambda x: x["n"] > 0), lambda x: x["term"]).alias("rare"))
+        "item_id", F.transform("held", lambda t: F.xxhash64(t)).alias("held"), "required", "span",
+        F.transform(F.filter(rarest, lambda x: x["n"] > 0), lambda x: F.xxhash64(x["term"])).alias("rare"))
 
 
 def _pair(a: Column, b: Column) -> Column:
     return F.xxhash64(F.least(a, b), F.greatest(a, b))
 
 
-def _near_places(words: Column, windows: DataFrame, reach: int) -> tuple[Callable, Callable]:
+def _near_places(hashes: Column, windows: DataFrame, reach: int) -> tuple[Callable, Callable]:
     """Tests of a position in the document's row, by bit fields: whether its word is a rare term and, among the ``places`` of
-    these, whether another rare term of the same window follows within ``reach`` words."""
-    terms = windows.select(F.explode("rare").alias("term")).distinct()
+    these, whether enough others that share a window with it follow within ``reach`` words."""
+    terms = windows.select(F.explode("rare").alias("h")).distinct()
     pairs = windows.select(F.explode(F.flatten(F.transform("rare", lambda a: F.transform(
         F.filter("rare", lambda b: a < b), lambda b: _pair(a, b))))).alias("h")).distinct()
-    rare, beside = _bit_field(terms.select(F.xxhash64("term").alias("h")), _bits(terms)), _bit_field(pairs, _bits(pairs))
+    rare, beside = _bit_field(terms, _bits(terms)), _bit_field(pairs, _bits(pairs))
 
     def follows(i: Column, k: Column) -> Column:
-        return F.exists(F.slice("places", k + 2, F.lit(reach)),
-                        lambda j: (j - i <= reach) & beside(_pair(F.get(words, i), F.get(words, j))))
-    return lambda i: rare(F.xxhash64(F.get(words, i))), follows
+        others = F.filter(F.slice("places", k + 2, F.lit(reach)),
+                          lambda j: (j - i <= reach) & beside(_pair(F.get(hashes, i), F.get(hashes, j))))
+        return F.size(others) >= NEAR_EVIDENCE - 1
+    return lambda i: rare(F.get(hashes, i)), follows
 
 
 def benchmark_matches(tokens: DataFrame, benchmark: DataFrame, *, item_col: str = "item_id", text_col: str = "text",
@@ -183,30 +187,32 @@ def benchmark_matches(tokens: DataFrame, benchmark: DataFrame, *, item_col: str
     rare = materialize(pivots(items, counts, window), "bench-pivots")
     reach = window - 1 + near_slack
     # One cheap test of every word leaves the places that the others look at.
-    asked, windows = rare.select("term"), None
+    asked, windows = rare.select(F.xxhash64("term").alias("h")), None
     if proximity:
         windows = materialize(near_windows(items, counts, window, near_share, near_slack), "bench-windows")
-        asked = asked.unionByName(windows.select(F.explode("rare").alias("term")))
+        asked = asked.unionByName(windows.select(F.explode("rare").alias("h")))
     asked = asked.distinct()
-    may = _bit_field(asked.select(F.xxhash64("term").alias("h")), _bits(asked))
-    every = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: may(F.xxhash64(F.get("words", i))))
-    posted = settle(tokens, some=F.when(F.size("words") > 0, every).otherwise(F.array().cast("array<int>")))
-    posted = settle(posted, at=F.filter("some", _pivot_test(F.col("words"), rare)))
+    may = _bit_field(asked, _bits(asked))
+    words, h = F.col("words"), F.col("h")
+    posted = settle(tokens, h=F.transform(words, lambda w: F.xxhash64(w)))
+    every = F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: may(F.get(h, i)))
+    posted = settle(posted, some=F.when(F.size(h) > 0, every).otherwise(F.array().cast("array<int>")))
+    posted = settle(posted, at=F.filter("some", _pivot_test(words, h, rare)))
+    none = F.lit(None).cast("array<bigint>")
+    every_posting = F.transform("at", lambda x: F.struct(
+        x.alias("pos"), F.get(words, x).alias("term"), _before(words, x, window - 1).alias("before"),
+        _after(words, x, window - 1).alias("behind"), none.alias("around")))
     if proximity:
-        is_rare, followed = _near_places(F.col("words"), windows, reach)
+        # The hashes around a rare term; its own place among them is the last one that ``reach`` allows.
+        is_rare, followed = _near_places(h, windows, reach)
         posted = settle(posted, places=F.filter("some", is_rare))
         posted = settle(posted, near_at=F.filter("places", followed))
-
-    def posting(near: Column) -> Callable[[Column], Column]:
-        return lambda x: F.struct(
-            x.alias("pos"), F.get("words", x).alias("term"), near.alias("near"),
-            _before(F.col("words"), x, reach).alias("before"), _after(F.col("words"), x, reach).alias("behind"))
-
-    every_posting = F.transform("at", posting(F.lit(False)))
-    if proximity:
-        every_posting = F.concat(every_posting, F.transform("near_at", posting(F.lit(True))))
+        text = F.lit(None).cast("string")
+        every_posting = F.concat(every_posting, F.transform("near_at", lambda x: F.struct(
+            x.alias("pos"), text.alias("term"), F.array(text).alias("before"), F.array(text).alias("behind"),
+            F.slice(h, F.greatest(x - reach, F.lit(0)) + 1, F.least(x, F.lit(reach)) + reach + 1).alias("around"))))
     postings = materialize(posted.select("doc", F.inline(every_posting)), "bench-postings")
-    found = postings.where("not near").join(rare, "term")
+    found = postings.where("around is null").join(rare, "term")
     found = found.select(
         "doc", "item_id", "pos", "need",
         _agreeing(F.slice("before", F.lit(1), F.size("left")), F.col("left")).alias("l"),
@@ -216,9 +222,9 @@ def benchmark_matches(tokens: DataFrame, benchmark: DataFrame, *, item_col: str
         (F.col("pos") + F.col("r")).alias("last"))
     if not proximity:
         return phrases
-    around = postings.where("near").select(
-        "doc", "pos", "term", F.size("before").alias("k"), F.concat(F.reverse("before"), F.array("term"), "behind").alias("around"))
-    held = around.join(windows.select("item_id", "held", "required", "span", F.explode("rare").alias("term")), "term")
+    around = postings.where("around is not null").select("doc", "pos", "around", F.least("pos", F.lit(reach)).alias("k"))
+    around = around.withColumn("h", F.get("around", F.col("k")))
+    held = around.join(windows.select("item_id", "held", "required", "span", F.explode("rare").alias("h")), "h")
     held = held.where(F.size(F.array_intersect("around", "held")) >= F.col("required"))
     starts = F.sequence(F.greatest(F.col("k") - F.col("span") + 1, F.lit(0)), F.col("k"))
     full = F.exists(starts, lambda s: F.size(F.array_intersect(F.slice("around", s + 1, F.col("span")), F.col("held")))
