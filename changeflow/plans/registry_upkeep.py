@@ -72,7 +72,9 @@ def _alert_metrics(spark, d):
     consumer = BoundedConsumer(lambda df, _: df.write.format("noop").mode("append").save() or 1, max_messages=3)
     query = consume_bounded(stream, consumer, checkpoint=scratch_path(spark, "topic-checkpoint"))
     topic = spark.read.parquet(src)
-    reports = progress.progress_reports(spark, query)
+    table = scratch_path(spark, "progress")
+    progress.progress_reports(spark, query).write.parquet(table)
+    reports = progress.progress_reports(spark, table)
     newest = topic.select(F.max("ts")).scalar()
     measured = progress.stream_metrics(reports, as_of=newest, messages=topic).unionByName(
         progress.response_metric(timed_reports(spark, {"order_summary": lambda: A.order_summary(X.order_lines(spark, d))})))
